@@ -1 +1,150 @@
-"""Registered queries."""
+"""Registered queries: projections, PageRank variants, Louvain and modularity."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from orbweave.operators import algorithms as alg
+from orbweave.operators import paths
+from orbweave.operators.nodes import node_view
+from orbweave.plans.catalog import context_for, graph_for, register
+from orbweave.plans.oracle import with_graph
+from orbweave.plans.queries_paths import SUBGRAPH_HOPS, bfs_ctes
+
+# Result sizes of the PageRank views and the typed projection.
+PAGERANK_TOP = 25
+PAGERANK_DIRECTED_TOP = 20
+GLOBAL_LABELS = ["Officer", "Entity", "Intermediary"]
+GLOBAL_TYPES = ["OFFICER_OF", "INTERMEDIARY_OF"]
+
+_HUB = "(SELECT officer_id FROM g_ctx)"
+
+
+def pagerank_ctes(nodes_sql: str, edges_sql: str) -> str:
+    return f"""
+pr_nodes AS ({nodes_sql}),
+pr_edges AS ({edges_sql}),
+pr_deg AS (SELECT src, count(*) AS n FROM pr_edges GROUP BY 1),
+pr_e AS (SELECT src, dst, count(*) / any_value(n)::DOUBLE AS w FROM pr_edges JOIN pr_deg USING (src)
+         GROUP BY 1, 2),
+pr AS (
+  SELECT 0 AS k, id, 0.15::DOUBLE AS score FROM pr_nodes
+  UNION ALL
+  SELECT k + 1, id, 0.15 + 0.85 * sum(x) FROM (
+    SELECT p.k, e.dst AS id, p.score * e.w AS x FROM pr p JOIN pr_e e ON e.src = p.id
+    UNION ALL SELECT p.k, p.id, 0.0 FROM pr p)
+  WHERE k < 20 GROUP BY k, id
+),
+pr_final AS (SELECT id, round(score, 6) AS score FROM pr WHERE k = 20)"""
+
+
+_KHOP_PR = bfs_ctes(_HUB, SUBGRAPH_HOPS).strip() + "," + pagerank_ctes(
+    "SELECT node AS id FROM g_bfs_dist",
+    "SELECT src, dst FROM g_edges WHERE src IN (SELECT node FROM g_bfs_dist) "
+    "AND dst IN (SELECT node FROM g_bfs_dist)")
+
+
+@register("pagerank_khop", with_graph(f"""
+SELECT t.id, v.kind, v.name, t.score FROM (
+  SELECT id, score FROM pr_final ORDER BY score DESC, id LIMIT {PAGERANK_TOP}) t
+LEFT JOIN g_nv v ON v.id = t.id""", _KHOP_PR, recursive=True))
+def q_pagerank_khop(spark, sf_dir):
+    """PageRank on the hub's 2-hop subgraph (directed, parallel edges kept), top 25."""
+    ctx = context_for(spark, sf_dir)
+    g = graph_for(spark, sf_dir)
+    sub = paths.khop_nodes(g, ctx.officer_id, SUBGRAPH_HOPS)
+    nodes, edges = alg.project_graph(g, node_ids=sub)
+    return alg.top_scores(alg.pagerank(nodes, edges), g, PAGERANK_TOP)
+
+
+_GLOBAL_NODES = ("SELECT id FROM g_nodes WHERE list_contains(labels, 'Officer') OR "
+                 "list_contains(labels, 'Entity') OR list_contains(labels, 'Intermediary')")
+_GLOBAL_EDGES_DIRECTED = f"""
+SELECT src, dst FROM g_edges WHERE lower(type) IN ('officer_of', 'intermediary_of')
+  AND src IN ({_GLOBAL_NODES}) AND dst IN ({_GLOBAL_NODES})"""
+_GLOBAL_PR = pagerank_ctes(
+    _GLOBAL_NODES,
+    f"SELECT src, dst FROM ({_GLOBAL_EDGES_DIRECTED}) UNION ALL SELECT dst, src FROM ({_GLOBAL_EDGES_DIRECTED})")
+
+
+@register("pagerank_global", with_graph(f"""
+SELECT t.id, v.kind, v.name, t.score FROM (
+  SELECT id, score FROM pr_final WHERE score > 0 ORDER BY score DESC, id LIMIT {PAGERANK_TOP}) t
+LEFT JOIN g_nv v ON v.id = t.id""", _GLOBAL_PR, recursive=True))
+def q_pagerank_global(spark, sf_dir):
+    """Whole-graph PageRank on the typed undirected projection, score > 0, top 25."""
+    g = graph_for(spark, sf_dir)
+    nodes, edges = alg.project_graph(g, GLOBAL_LABELS, GLOBAL_TYPES, "undirected")
+    return alg.top_scores(alg.pagerank(nodes, edges), g, PAGERANK_TOP, min_score=0.0)
+
+
+@register("pagerank_directed", with_graph(f"""
+SELECT t.id, v.name, t.score FROM (
+  SELECT id, score FROM pr_final ORDER BY score DESC, id LIMIT {PAGERANK_DIRECTED_TOP}) t
+LEFT JOIN g_nv v ON v.id = t.id""",
+    pagerank_ctes("SELECT id FROM g_nodes", "SELECT src, dst FROM g_edges"), recursive=True))
+def q_pagerank_directed(spark, sf_dir):
+    """Whole directed graph, top 20 names."""
+    g = graph_for(spark, sf_dir)
+    nodes, edges = alg.project_graph(g)
+    return alg.top_scores(alg.pagerank(nodes, edges), g, PAGERANK_DIRECTED_TOP) \
+        .select("id", "name", "score")
+
+
+@register("project_graph", with_graph(f"""
+SELECT src, dst FROM ({_GLOBAL_EDGES_DIRECTED})
+UNION ALL SELECT dst, src FROM ({_GLOBAL_EDGES_DIRECTED})"""))
+def q_project_graph(spark, sf_dir):
+    _, edges = alg.project_graph(graph_for(spark, sf_dir), GLOBAL_LABELS, GLOBAL_TYPES,
+                                 "undirected")
+    return edges
+
+
+@register("partition_modularity", with_graph("""
+SELECT round(sum(inner_w) / sum(tot) - sum(tot * tot) / (sum(tot) * sum(tot)), 6) AS modularity
+FROM (
+  SELECT cs.kind AS community, sum(CASE WHEN cs.kind = cd.kind THEN w ELSE 0 END) AS inner_w,
+         sum(w) AS tot
+  FROM (SELECT src, dst, count(*)::DOUBLE AS w FROM (
+          SELECT src, dst FROM g_edges UNION ALL SELECT dst, src FROM g_edges) GROUP BY 1, 2) e
+  JOIN g_view cs ON cs.id = e.src JOIN g_view cd ON cd.id = e.dst
+  GROUP BY 1)"""))
+def q_partition_modularity(spark, sf_dir):
+    """Modularity (the Louvain objective) of the partition of the whole graph by node kind."""
+    g = graph_for(spark, sf_dir)
+    nodes, edges = alg.project_graph(g)
+    comm = node_view(g).select("id", F.col("kind").alias("community"))
+    return alg.modularity(alg.weighted_undirected(edges), comm).select(
+        F.round("modularity", 6).alias("modularity"))
+
+
+def _louvain_khop(spark, sf_dir):
+    ctx = context_for(spark, sf_dir)
+    g = graph_for(spark, sf_dir)
+    sub = paths.khop_nodes(g, ctx.officer_id, SUBGRAPH_HOPS)
+    nodes, edges = alg.project_graph(g, node_ids=sub)
+    return g, nodes, edges, alg.louvain(nodes, edges)
+
+
+@register("louvain_khop")
+def q_louvain_khop(spark, sf_dir):
+    """Communities of the hub's 2-hop subgraph (rows-only check: no SQL Louvain)."""
+    g, _, _, comm = _louvain_khop(spark, sf_dir)
+    return comm.join(node_view(g).select("id", "kind", "name"), "id", "left") \
+        .select("id", "kind", "name", "community")
+
+
+@register("louvain_modularity")
+def q_louvain_modularity(spark, sf_dir):
+    """Modularity of the Louvain partition next to the singleton partition's (guard: not lower)."""
+    _, nodes, edges, comm = _louvain_khop(spark, sf_dir)
+    w = alg.weighted_undirected(edges)
+    found = alg.modularity(w, comm).select(F.round("modularity", 6).alias("modularity"))
+    single = alg.modularity(w, nodes.select("id", F.col("id").alias("community"))) \
+        .select(F.round("modularity", 6).alias("singleton_modularity"))
+    n_comm = comm.agg(F.countDistinct("community").alias("communities"))
+    return found.unionByName(single, allowMissingColumns=True) \
+        .unionByName(n_comm, allowMissingColumns=True) \
+        .agg(F.max("modularity").alias("modularity"),
+             F.max("singleton_modularity").alias("singleton_modularity"),
+             F.max("communities").alias("communities"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -74,4 +75,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     keep the logical plan of loops from growing with the iteration count.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first so the checkpoint write reads the computed partitions
+    # instead of running the plan a second time.
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
