@@ -1 +1,226 @@
-"""Registered queries."""
+"""Registered queries: change batches derived from the driver tables, applied to the graph.
+
+Batches are built from whole tables (every supplier, every customer, every
+part that matches a data predicate), so their size grows with the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from orbweave.functions.text import prop
+from orbweave.operators import mutate
+from orbweave.plans.catalog import graph_for, register
+from orbweave.plans.oracle import with_graph
+from orbweave.sources.fixture import (ADDRESS_BASE, CONNECTED_BASE, ENTITY_BASE,
+                                      INTERMEDIARY_BASE, OFFICER_BASE, read_table)
+from orbweave.sources.quality import validate_edge_merges, validate_node_creates
+
+# Stamps of the change batches (passed in for repeatable results)
+# and the request-id offset separating supplier requests from customer ones.
+STAMP = "2026-01-01T00:00:00Z"
+SUPPLIER_REQUEST_BASE = 1_000_000_000_000
+ORPHAN_OFFSET = 100_000_000
+MISSING_ADDRESS_OFFSET = 1000
+
+
+# -- batches ------------------------------------------------------------------------
+
+def create_batch(spark, sf_dir):
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    n = F.broadcast(read_table(spark, sf_dir, "nation", "n_nationkey", "n_name"))  # 25 rows
+    return s.join(n, s.s_nationkey == n.n_nationkey, "left").select(
+        F.col("s_suppkey").alias("request_id"),
+        F.when(F.col("s_acctbal") < 0, "Company").otherwise("Entity").alias("kind"),
+        F.concat("s_name", F.lit(" Holdings")).alias("name"), F.col("n_name").alias("country"),
+        F.lit(None).cast("string").alias("jurisdiction"),
+        F.lit("created from supplier").alias("note"))
+
+
+_CREATE_BATCH_SQL = """
+g_cb AS (
+  SELECT s_suppkey AS request_id, CASE WHEN s_acctbal < 0 THEN 'Company' ELSE 'Entity' END AS kind,
+         s_name || ' Holdings' AS name, n_name AS country
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+)"""
+_KIND_OK = "kind IN ('Officer', 'Entity', 'Intermediary', 'Address')"
+
+
+def patch_batch(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_size")
+    eid = F.lit(ENTITY_BASE) + F.col("p_partkey")
+
+    def rows(cond, id_col, key, value, seq):
+        return p.filter(cond).select(id_col.alias("id"), F.lit(key).alias("key"),
+                                     F.lit(value).cast("string").alias("value"),
+                                     F.lit(seq).alias("seq"))
+    return (rows(F.col("p_size") < 25, eid, "status", "Dissolved", 1)
+            .unionByName(rows(F.col("p_size") < 10, eid, "jurisdiction", None, 2))
+            .unionByName(rows(F.col("p_size") < 5, eid, "status", "Struck off", 3))
+            .unionByName(rows(F.col("p_size") >= 49, eid + F.lit(ORPHAN_OFFSET), "note",
+                              "orphan patch", 1)))
+
+
+_PATCH_BATCH_SQL = f"""
+g_pb AS (
+  SELECT {ENTITY_BASE} + p_partkey AS id, 'status' AS key, 'Dissolved' AS value, 1 AS seq FROM part WHERE p_size < 25
+  UNION ALL SELECT {ENTITY_BASE} + p_partkey, 'jurisdiction', NULL, 2 FROM part WHERE p_size < 10
+  UNION ALL SELECT {ENTITY_BASE} + p_partkey, 'status', 'Struck off', 3 FROM part WHERE p_size < 5
+  UNION ALL SELECT {ENTITY_BASE + ORPHAN_OFFSET} + p_partkey, 'note', 'orphan patch', 1 FROM part WHERE p_size >= 49
+),
+g_pl AS (
+  SELECT id, key, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY id, key ORDER BY seq DESC) AS rn FROM g_pb) WHERE rn = 1
+)"""
+
+
+def delete_node_batch(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    return c.filter(F.col("c_mktsegment") == "BUILDING").select(
+        (F.lit(OFFICER_BASE) + F.col("c_custkey")).alias("id"))
+
+
+_DELETED_SQL = f"(SELECT {OFFICER_BASE} + c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"
+
+
+def merge_batch(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey", "s_acctbal")
+    cust = c.select(F.col("c_custkey").alias("request_id"),
+                    (F.lit(OFFICER_BASE) + F.col("c_custkey")).alias("src"),
+                    (F.lit(ADDRESS_BASE) + F.col("c_nationkey")).alias("dst"),
+                    F.lit("registered_address").alias("type"))
+    supp = s.select((F.lit(SUPPLIER_REQUEST_BASE) + F.col("s_suppkey")).alias("request_id"),
+                    (F.lit(INTERMEDIARY_BASE) + F.col("s_suppkey")).alias("src"),
+                    (F.lit(ADDRESS_BASE + MISSING_ADDRESS_OFFSET) + F.col("s_nationkey")).alias("dst"),
+                    F.when(F.col("s_acctbal") < 0, "registered address")
+                    .otherwise("registered_address").alias("type"))
+    return cust.unionByName(supp)
+
+
+_MERGE_BATCH_SQL = f"""
+g_mb AS (
+  SELECT c_custkey AS request_id, {OFFICER_BASE} + c_custkey AS src, {ADDRESS_BASE} + c_nationkey AS dst,
+         'registered_address' AS type FROM customer
+  UNION ALL
+  SELECT {SUPPLIER_REQUEST_BASE} + s_suppkey, {INTERMEDIARY_BASE} + s_suppkey,
+         {ADDRESS_BASE + MISSING_ADDRESS_OFFSET} + s_nationkey,
+         CASE WHEN s_acctbal < 0 THEN 'registered address' ELSE 'registered_address' END FROM supplier
+),
+g_mv AS (SELECT request_id, src, dst, lower(type) AS type FROM g_mb
+         WHERE regexp_full_match(type, '[A-Za-z_][A-Za-z0-9_]*')),
+g_mok AS (SELECT * FROM g_mv WHERE src IN (SELECT id FROM g_nodes) AND dst IN (SELECT id FROM g_nodes)),
+g_mex AS (SELECT src, dst, lower(type) AS type, min(id) AS edge_id FROM g_edges GROUP BY 1, 2, 3),
+g_mfirst AS (SELECT src, dst, type, min(request_id) AS first_request FROM g_mok GROUP BY 1, 2, 3),
+g_mres AS (
+  SELECT f.src, f.dst, f.type, f.first_request,
+         coalesce(x.edge_id, (SELECT max(id) + 1 FROM g_edges) + f.first_request) AS edge_id,
+         x.edge_id IS NULL AS is_new
+  FROM g_mfirst f LEFT JOIN g_mex x ON x.src = f.src AND x.dst = f.dst AND x.type = f.type
+)"""
+
+
+def delete_edge_batch(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_acctbal")
+    return c.filter((F.col("c_custkey") % 4 == 0) & (F.col("c_acctbal") < 0)).select(
+        (F.lit(CONNECTED_BASE) + F.col("c_custkey")).alias("id"))
+
+
+# -- queries ---------------------------------------------------------------------------
+
+@register("validate_nodes", with_graph(f"""
+SELECT request_id, CASE WHEN NOT ({_KIND_OK}) OR kind IS NULL THEN 'kind not allowed'
+                        ELSE 'name required' END AS reason
+FROM g_cb WHERE NOT ({_KIND_OK}) OR kind IS NULL OR name IS NULL OR length(name) < 1""",
+    _CREATE_BATCH_SQL))
+def q_validate_nodes(spark, sf_dir):
+    _, rejected = validate_node_creates(create_batch(spark, sf_dir))
+    return rejected.select("request_id", "reason")
+
+
+@register("create_nodes", with_graph(f"""
+SELECT request_id,
+       CASE WHEN {_KIND_OK} THEN (SELECT max(id) + 1 FROM g_nodes) + request_id END AS id,
+       kind, name, CASE WHEN {_KIND_OK} THEN 'created' ELSE 'kind not allowed' END AS status
+FROM g_cb""", _CREATE_BATCH_SQL))
+def q_create_nodes(spark, sf_dir):
+    g = graph_for(spark, sf_dir)
+    applied = mutate.create_nodes(g, create_batch(spark, sf_dir), STAMP)
+    made = applied.graph.nodes.join(applied.results.select("id", "request_id", "status"), "id") \
+        .select("request_id", "id", F.get("labels", 0).alias("kind"), prop("name").alias("name"),
+                "status")
+    refused = applied.rejected.select("request_id", F.lit(None).cast("long").alias("id"), "kind",
+                                      "name", F.col("reason").alias("status"))
+    return made.unionByName(refused)
+
+
+@register("patch_nodes", with_graph(f"""
+SELECT n.id,
+  CASE WHEN EXISTS (SELECT 1 FROM g_pl p WHERE p.id = n.id AND p.key = 'status')
+       THEN (SELECT value FROM g_pl p WHERE p.id = n.id AND p.key = 'status') ELSE n.status END AS status,
+  CASE WHEN EXISTS (SELECT 1 FROM g_pl p WHERE p.id = n.id AND p.key = 'jurisdiction')
+       THEN (SELECT value FROM g_pl p WHERE p.id = n.id AND p.key = 'jurisdiction') ELSE n.jurisdiction END AS jurisdiction,
+  CASE WHEN n.id IN (SELECT id FROM g_pl) THEN '{STAMP}' END AS updated_at,
+  CASE WHEN n.id IN (SELECT id FROM g_pl) THEN 'patched' ELSE 'unchanged' END AS result
+FROM g_nodes n WHERE list_contains(n.labels, 'Entity')
+UNION ALL
+SELECT DISTINCT id, NULL, NULL, NULL, 'node not found' FROM g_pl WHERE id NOT IN (SELECT id FROM g_nodes)""",
+    _PATCH_BATCH_SQL))
+def q_patch_nodes(spark, sf_dir):
+    g = graph_for(spark, sf_dir)
+    applied = mutate.patch_nodes(g, patch_batch(spark, sf_dir), STAMP)
+    ent = applied.graph.nodes.filter(F.array_contains("labels", "Entity")).select(
+        "id", prop("status").alias("status"), prop("jurisdiction").alias("jurisdiction"),
+        prop("updated_at").alias("updated_at"),
+        F.when(prop("updated_at").isNotNull(), "patched").otherwise("unchanged").alias("result"))
+    refused = applied.rejected.select(
+        "id", F.lit(None).cast("string").alias("status"),
+        F.lit(None).cast("string").alias("jurisdiction"),
+        F.lit(None).cast("string").alias("updated_at"), F.col("reason").alias("result"))
+    return ent.unionByName(refused)
+
+
+@register("detach_delete_nodes", with_graph(f"SELECT id FROM g_nodes WHERE id NOT IN {_DELETED_SQL}"))
+def q_detach_delete_nodes(spark, sf_dir):
+    applied = mutate.detach_delete_nodes(graph_for(spark, sf_dir), delete_node_batch(spark, sf_dir))
+    return applied.graph.nodes.select("id")
+
+
+@register("detach_delete_edges", with_graph(f"""
+SELECT id, src, dst FROM g_edges WHERE src NOT IN {_DELETED_SQL} AND dst NOT IN {_DELETED_SQL}"""))
+def q_detach_delete_edges(spark, sf_dir):
+    applied = mutate.detach_delete_nodes(graph_for(spark, sf_dir), delete_node_batch(spark, sf_dir))
+    return applied.graph.edges.select("id", "src", "dst")
+
+
+@register("validate_edges", with_graph("""
+SELECT request_id, 'type must be an identifier' AS reason FROM g_mb
+WHERE NOT regexp_full_match(type, '[A-Za-z_][A-Za-z0-9_]*')""", _MERGE_BATCH_SQL))
+def q_validate_edges(spark, sf_dir):
+    _, rejected = validate_edge_merges(merge_batch(spark, sf_dir))
+    return rejected.select("request_id", "reason")
+
+
+@register("merge_edges", with_graph("""
+SELECT o.request_id, r.edge_id,
+       CASE WHEN r.is_new AND o.request_id = r.first_request THEN 'created' ELSE 'matched' END AS status
+FROM g_mok o JOIN g_mres r ON r.src = o.src AND r.dst = o.dst AND r.type = o.type
+UNION ALL
+SELECT request_id, NULL, 'type must be an identifier' FROM g_mb
+WHERE NOT regexp_full_match(type, '[A-Za-z_][A-Za-z0-9_]*')
+UNION ALL
+SELECT request_id, NULL, 'endpoint not found' FROM g_mv WHERE request_id NOT IN (SELECT request_id FROM g_mok)""",
+    _MERGE_BATCH_SQL))
+def q_merge_edges(spark, sf_dir):
+    applied = mutate.merge_edges(graph_for(spark, sf_dir), merge_batch(spark, sf_dir), STAMP)
+    refused = applied.rejected.select("request_id", F.lit(None).cast("long").alias("edge_id"),
+                                      F.col("reason").alias("status"))
+    return applied.results.unionByName(refused)
+
+
+@register("delete_edges", with_graph(f"""
+SELECT id FROM g_edges WHERE id NOT IN (
+  SELECT {CONNECTED_BASE} + c_custkey FROM customer WHERE c_custkey % 4 = 0 AND c_acctbal < 0)"""))
+def q_delete_edges(spark, sf_dir):
+    applied = mutate.delete_edges(graph_for(spark, sf_dir), delete_edge_batch(spark, sf_dir))
+    return applied.graph.edges.select("id")
