@@ -8,6 +8,7 @@ sample context, which the oracle derives the same way in SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from orbweave.model import Graph
 from orbweave.plans.context import Context, resolve_context
 from orbweave.sources.etl import Mirror, mirror
-from orbweave.sources.fixture import fixture_graph
+from orbweave.session import checkpoint_dir
+from orbweave.sources.fixture import fixture_graph, store_graph
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,7 +34,10 @@ def graph_for(spark: SparkSession, sf_dir: str) -> Graph:
     """The fixture graph of ``sf_dir``, built once per session and kept persisted."""
     k = _key(spark, sf_dir)
     if k not in _GRAPHS:
-        _GRAPHS[k] = fixture_graph(spark, sf_dir).persist()
+        # Derive once, store as sorted parquet tables in the shared checkpoint
+        # folder, then serve every query from those (persisted) scans.
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/graph-{uuid.uuid4().hex}"
+        _GRAPHS[k] = store_graph(fixture_graph(spark, sf_dir), folder).persist()
     return _GRAPHS[k]
 
 
