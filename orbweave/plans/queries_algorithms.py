@@ -148,3 +148,19 @@ def q_louvain_modularity(spark, sf_dir):
         .agg(F.max("modularity").alias("modularity"),
              F.max("singleton_modularity").alias("singleton_modularity"),
              F.max("communities").alias("communities"))
+
+
+@register("enrich_view")
+def q_enrich_view(spark, sf_dir):
+    """The hub's 2-hop view coloured by Louvain community, shortest-path nodes highlighted.
+
+    Rows-only check: the community lookup comes from Louvain, which has no SQL oracle.
+    """
+    from orbweave.operators import mapping
+    ctx = context_for(spark, sf_dir)
+    g, _, _, comm = _louvain_khop(spark, sf_dir)
+    sp = paths.shortest_path(g, ctx.path_source_id, ctx.path_target_id, ctx.max_hops)
+    on_path = paths.path_steps(sp).select(F.col("node_id").alias("id"))
+    shown = comm.select("id").unionByName(on_path).distinct()
+    nodes = node_view(g).join(shown, "id", "left_semi").select("id", "kind", "name")
+    return mapping.enrich_view(nodes, comm, on_path)

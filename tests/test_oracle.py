@@ -39,7 +39,7 @@ def con():
 def test_every_query_has_callable_and_most_have_oracles():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"louvain_khop", "louvain_modularity"}
+    assert set(q) - set(o) == {"louvain_khop", "louvain_modularity", "enrich_view"}
 
 
 @pytest.mark.parametrize("key", KEYS)
