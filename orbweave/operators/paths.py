@@ -39,7 +39,7 @@ def adjacency(graph: Graph, directed: bool = False) -> DataFrame:
 
 
 def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths: bool = False,
-        target: int | None = None, checkpoint_every: int = 3) -> DataFrame:
+        target: int | None = None, checkpoint_every: int = 4) -> DataFrame:
     """Levels of a BFS from each root: (root, node, depth[, path]).
 
     Stops at ``max_depth``, at an empty frontier, or (single target) at the
@@ -53,9 +53,11 @@ def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths:
         start = start.withColumn("path", F.array(F.col("node")))
     start = start.withColumn("depth", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
     levels = [start]
-    held = [start]
-    if target is not None and start.filter(F.col("node") == target).limit(1).count() > 0:
-        return start
+    if target is not None:
+        if not isinstance(roots, int):
+            raise ValueError("a target stop needs a single root")
+        if int(roots) == int(target):
+            return start  # depth 0: the source itself (no job needed)
     for d in range(1, max_depth + 1):
         frontier = levels[-1]
         step = frontier.join(adj.withColumnRenamed("u", "node"), "node")
@@ -72,7 +74,6 @@ def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths:
             step = cut_lineage(step)
         else:
             step = step.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(step)
         summary = step.agg(F.count(F.lit(1)).alias("n"),
                            F.max((F.col("node") == F.lit(target)).cast("int")).alias("hit")
                            if target is not None else F.lit(None).alias("hit")).first()

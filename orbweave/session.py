@@ -71,8 +71,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the reliable checkpoint directory and return it.
 
-    Reliable checkpoints survive executor loss (unlike ``localCheckpoint``) and
-    keep the logical plan of loops from growing with the iteration count.
+    Reliable checkpoints survive executor loss (unlike ``localCheckpoint``),
+    keep the frame's partitioning, and stop the logical plan of loops from
+    growing with the iteration count. (Measured here: cheaper than writing and
+    re-reading a parquet table, whose commit protocol costs more.)
     """
     checkpoint_dir(df.sparkSession)
     # Persist first so the checkpoint write reads the computed partitions
