@@ -43,14 +43,33 @@ EDGE_PROP_KEYS = ["link", "status", "start_date", "end_date", "sourceID", "creat
 class Graph:
     nodes: DataFrame
     edges: DataFrame
+    # Optional second copy of ``edges`` laid out by ``dst`` (same rows). When
+    # present, lookups by target prune row groups instead of scanning.
+    edges_by_dst: DataFrame | None = None
 
     def persist(self) -> "Graph":
-        return Graph(self.nodes.persist(StorageLevel.MEMORY_AND_DISK),
-                     self.edges.persist(StorageLevel.MEMORY_AND_DISK))
+        lvl = StorageLevel.MEMORY_AND_DISK
+        by_dst = None if self.edges_by_dst is None else self.edges_by_dst.persist(lvl)
+        return Graph(self.nodes.persist(lvl), self.edges.persist(lvl), by_dst)
 
     def unpersist(self) -> None:
         self.nodes.unpersist()
         self.edges.unpersist()
+        if self.edges_by_dst is not None:
+            self.edges_by_dst.unpersist()
+
+    def incident(self, node_id: int) -> DataFrame:
+        """Edges touching ``node_id`` in either direction (a self-loop once).
+
+        Written as two point filters, ``src = x`` on the src-sorted edges and
+        ``dst = x`` on the dst-sorted copy, so each side can be pruned by
+        parquet min/max statistics; equals ``filter(src = x OR dst = x)``.
+        """
+        from pyspark.sql import functions as F
+        out_e = self.edges.filter(F.col("src") == node_id)
+        by_dst = self.edges_by_dst if self.edges_by_dst is not None else self.edges
+        in_e = by_dst.filter((F.col("dst") == node_id) & (F.col("src") != node_id))
+        return out_e.unionByName(in_e)
 
     @property
     def spark(self):

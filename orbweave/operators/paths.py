@@ -26,6 +26,8 @@ from orbweave.operators.pattern import _roots_frame
 from orbweave.session import cut_lineage
 
 MAX_HOPS_LIMIT = 10
+# Largest frontier whose ids are turned into pushed-down IN filters.
+LOOKUP_LIMIT = 1000
 
 
 def adjacency(graph: Graph, directed: bool = False) -> DataFrame:
@@ -38,12 +40,42 @@ def adjacency(graph: Graph, directed: bool = False) -> DataFrame:
     return fwd.unionByName(e.select(F.col("dst").alias("u"), F.col("src").alias("v")))
 
 
+def _is_cached(df: DataFrame) -> bool:
+    lvl = df.storageLevel
+    return bool(lvl.useMemory or lvl.useDisk)
+
+
+def lookup_adjacency(graph: Graph, ids: list[int], directed: bool = False) -> DataFrame:
+    """Adjacency rows of the given nodes only, as point filters on the stored layouts.
+
+    ``src IN ids`` on the src-sorted edges and ``dst IN ids`` on the
+    dst-sorted copy: parquet min/max statistics skip every row group that holds
+    none of the ids, so a small frontier reads a few row groups instead of the
+    whole edge table.
+    """
+    out_e = graph.edges.filter(F.col("src").isin(ids)).select(
+        F.col("src").alias("u"), F.col("dst").alias("v"))
+    if directed:
+        return out_e
+    by_dst = graph.edges_by_dst if graph.edges_by_dst is not None else graph.edges
+    in_e = by_dst.filter(F.col("dst").isin(ids)).select(
+        F.col("dst").alias("u"), F.col("src").alias("v"))
+    return out_e.unionByName(in_e)
+
+
 def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths: bool = False,
-        target: int | None = None, checkpoint_every: int = 4) -> DataFrame:
+        target: int | None = None, checkpoint_every: int = 4,
+        lookup_limit: int = LOOKUP_LIMIT) -> DataFrame:
     """Levels of a BFS from each root: (root, node, depth[, path]).
 
     Stops at ``max_depth``, at an empty frontier, or (single target) at the
     level that reaches ``target``.
+
+    When the edges are read from storage (not cached) and a frontier holds at
+    most ``lookup_limit`` distinct nodes, the next level reads only those
+    nodes' adjacency through pushed-down ``IN`` filters (see
+    ``lookup_adjacency``); the id list is bounded by that checked count.
+    Larger frontiers, and cached graphs, use the plain join.
     """
     if not 0 <= max_depth <= MAX_HOPS_LIMIT:
         raise ValueError(f"max_depth must be within 0..{MAX_HOPS_LIMIT}")
@@ -53,6 +85,12 @@ def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths:
         start = start.withColumn("path", F.array(F.col("node")))
     start = start.withColumn("depth", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
     levels = [start]
+    use_lookup = lookup_limit > 0 and not _is_cached(graph.edges)
+    ids = None
+    if use_lookup and not isinstance(roots, DataFrame):
+        ids = [int(roots)] if isinstance(roots, int) else [int(r) for r in roots]
+        if len(ids) > lookup_limit:
+            ids = None
     if target is not None:
         if not isinstance(roots, int):
             raise ValueError("a target stop needs a single root")
@@ -60,7 +98,8 @@ def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths:
             return start  # depth 0: the source itself (no job needed)
     for d in range(1, max_depth + 1):
         frontier = levels[-1]
-        step = frontier.join(adj.withColumnRenamed("u", "node"), "node")
+        level_adj = adj if ids is None else lookup_adjacency(graph, ids, directed)
+        step = frontier.join(level_adj.withColumnRenamed("u", "node"), "node")
         if with_paths:
             step = step.groupBy("root", F.col("v").alias("node")).agg(
                 F.min(F.concat("path", F.array(F.col("v")))).alias("path"))
@@ -82,6 +121,10 @@ def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths:
         levels.append(step)
         if target is not None and summary["hit"] == 1:
             break
+        ids = None
+        if use_lookup and summary["n"] <= lookup_limit and d < max_depth:
+            # bounded by the checked count: at most lookup_limit ids
+            ids = [r[0] for r in step.select("node").distinct().collect()]
     out = levels[0]
     for lvl in levels[1:]:
         out = out.unionByName(lvl)

@@ -170,8 +170,7 @@ def undirected_adjacency(graph: Graph, with_edge_ids: bool = False) -> DataFrame
 
 def neighborhood_edges(graph: Graph, root: int, limit: int | None = 80) -> DataFrame:
     """Incident edges of ``root`` (either direction), the first ``limit`` by id."""
-    e = graph.edges.filter((F.col("src") == root) | (F.col("dst") == root)) \
-        .select("id", "type", "src", "dst")
+    e = graph.incident(root).select("id", "type", "src", "dst")
     return e.orderBy("id").limit(limit) if limit else e
 
 

@@ -34,6 +34,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("ORBWEAVE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # IN lists up to the BFS lookup limit are pushed to parquet as value
+        # sets (row-group pruning), not widened to a min..max range
+        .config("spark.sql.parquet.pushdown.inFilterThreshold", "1000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
