@@ -8,6 +8,7 @@ sample context, which the oracle derives the same way in SQL.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -19,6 +20,9 @@ from orbweave.sources.etl import Mirror, mirror
 from orbweave.session import checkpoint_dir
 from orbweave.sources.fixture import fixture_graph, store_graph
 
+# Stored graphs up to this size are also cached in memory (env override).
+CACHE_LIMIT_BYTES = int(os.environ.get("ORBWEAVE_CACHE_LIMIT_BYTES", str(1 << 30)))
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -37,10 +41,22 @@ def graph_for(spark: SparkSession, sf_dir: str) -> Graph:
         # Derive once, store as sorted parquet tables in the shared checkpoint
         # folder, then serve every query from those (persisted) scans.
         folder = f"{checkpoint_dir(spark).rstrip('/')}/graph-{uuid.uuid4().hex}"
-        _GRAPHS[k] = store_graph(fixture_graph(spark, sf_dir), folder).persist()
+        g = store_graph(fixture_graph(spark, sf_dir), folder)
+        # Cache only a graph whose stored size is checked to be small; a large
+        # one is served from the sorted files, where point lookups and small
+        # BFS frontiers become pruned scans.
+        _GRAPHS[k] = g.persist() if stored_bytes(spark, folder) <= CACHE_LIMIT_BYTES else g
     return _GRAPHS[k]
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` on the cluster filesystem (one metadata call)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def mirror_for(spark: SparkSession, sf_dir: str) -> Mirror:
     return mirror(graph_for(spark, sf_dir))
 

@@ -151,3 +151,14 @@ def test_modularity_singletons_not_above_found(make_graph):
     single = alg.modularity(w, nodes.select("id", F.col("id").alias("community"))).first()[0]
     found = alg.modularity(w, alg.louvain(nodes, edges)).first()[0]
     assert found >= single
+
+
+def test_pagerank_salted_hub_equals_plain(make_graph, monkeypatch):
+    # node 1 is a hub with 24 out-edges; a zero floor makes it a hot key
+    star = [(1, j) for j in range(2, 26)] + [(j, j + 1) for j in range(2, 25)] + [(25, 1)]
+    g = _plain(make_graph, 25, star)
+    nodes, edges = alg.project_graph(g)
+    plain = _scores(nodes, edges)
+    monkeypatch.setattr(alg, "HOT_DEGREE_FLOOR", 0)
+    salted = {r["id"]: round(r["score"], 6) for r in alg.pagerank(nodes, edges, salts=4).collect()}
+    assert salted == plain
