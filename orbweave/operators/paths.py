@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbweave.model import Graph
-from orbweave.operators.nodes import node_view
+from orbweave.operators.nodes import attach_nodes, is_cached as _is_cached
 from orbweave.operators.pattern import _roots_frame
 from orbweave.session import cut_lineage
 
@@ -40,11 +40,6 @@ def adjacency(graph: Graph, directed: bool = False) -> DataFrame:
     return fwd.unionByName(e.select(F.col("dst").alias("u"), F.col("src").alias("v")))
 
 
-def _is_cached(df: DataFrame) -> bool:
-    lvl = df.storageLevel
-    return bool(lvl.useMemory or lvl.useDisk)
-
-
 def lookup_adjacency(graph: Graph, ids: list[int], directed: bool = False) -> DataFrame:
     """Adjacency rows of the given nodes only, as point filters on the stored layouts.
 
@@ -178,8 +173,7 @@ def path_steps(path_df: DataFrame) -> DataFrame:
 
 
 def path_nodes(graph: Graph, path_df: DataFrame) -> DataFrame:
-    nv = node_view(graph).select(F.col("id").alias("node_id"), "kind", "name")
-    return path_steps(path_df).join(nv, "node_id", "left")
+    return attach_nodes(path_steps(path_df), graph, "node_id")
 
 
 def path_edges(graph: Graph, path_df: DataFrame, directed: bool = False) -> DataFrame:

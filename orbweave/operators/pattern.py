@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from orbweave.functions.text import EDGE_TYPE_PATTERN
 from orbweave.model import Graph
-from orbweave.operators.nodes import attach_nodes, edge_frame, node_view, with_label
+from orbweave.operators.nodes import (attach_nodes, edge_frame, keep_labelled, node_view,
+                                      with_label)
 
 
 def check_edge_type(edge_type: str) -> str:
@@ -39,8 +40,7 @@ def entities_controlled(graph: Graph, officer_id: int, limit: int | None = None)
     """Entities at the end of any outgoing edge of one officer; one row per edge."""
     out = edge_frame(graph).filter(F.col("src") == officer_id).select(
         F.col("id").alias("edge_id"), F.col("dst").alias("entity_id"))
-    out = out.join(with_label(graph, "Entity").withColumnRenamed("id", "entity_id"),
-                   "entity_id", "left_semi")
+    out = keep_labelled(out, graph, "entity_id", "Entity")
     out = attach_nodes(out, graph, "entity_id", ("name",))
     return out.orderBy("edge_id").limit(limit) if limit else out
 
@@ -89,8 +89,7 @@ def co_officer_ids(graph: Graph, roots, officer_of_type: str, intermediary_of_ty
     e2 = r3.select("root", "e2").distinct()
     others = e2.join(of.select(F.col("src").alias("other"), F.col("dst").alias("e2")), "e2") \
         .select("root", "other").distinct().filter(F.col("other") != F.col("root"))
-    officers = with_label(graph, "Officer").withColumnRenamed("id", "other")
-    return others.join(officers, "other", "left_semi")
+    return keep_labelled(others, graph, "other", "Officer")
 
 
 def co_officers(graph: Graph, officer_id: int, officer_of_type: str, intermediary_of_type: str,
@@ -187,8 +186,7 @@ def neighborhood_nodes(graph: Graph, root: int, limit: int | None = 80,
     ids = ids.unionByName(has_edge).distinct()
     if keep_isolated:
         ids = ids.unionByName(graph.nodes.filter(F.col("id") == root).select("id")).distinct()
-    nv = node_view(graph).select("id", "kind", "name")
-    return nv.join(ids, "id", "left_semi")
+    return attach_nodes(ids, graph, "id", how="inner")
 
 
 def closed_neighborhood(nodes: DataFrame, edges: DataFrame, focus: int) -> DataFrame:

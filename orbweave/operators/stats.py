@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orbweave.functions.text import first_label, name_fragment
 from orbweave.model import Graph
-from orbweave.operators.nodes import node_view, with_label
+from orbweave.operators.nodes import attach_nodes, node_view, with_label
 
 
 def stats_nodes(graph: Graph) -> DataFrame:
@@ -55,8 +55,7 @@ def officer_degree(graph: Graph) -> DataFrame:
 def hub_officer(graph: Graph) -> DataFrame:
     """The officer with most edges to entities; ties go to the smallest id. One row."""
     top = officer_degree(graph).orderBy(F.desc("degree"), "officer_id").limit(1)
-    names = node_view(graph).select(F.col("id").alias("officer_id"), "name")
-    return top.join(names, "officer_id", "left")
+    return attach_nodes(top, graph, "officer_id", ("name",))
 
 
 def name_fragments(graph: Graph, label: str = "Officer") -> DataFrame:

@@ -51,10 +51,13 @@ def graph_for(spark: SparkSession, sf_dir: str) -> Graph:
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` on the cluster filesystem (one metadata call)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(hpath).getLength())
+    except Exception:  # noqa: BLE001 - unknown size: treat as large (no cache)
+        return CACHE_LIMIT_BYTES + 1
 
 
 def mirror_for(spark: SparkSession, sf_dir: str) -> Mirror:
