@@ -20,16 +20,32 @@ KEYS = ["search_contains", "entities_controlled", "neighborhood_edges", "co_offi
         "stats_totals", "etl_officers", "merge_edges"]
 
 
-def condensed(plan: str) -> list[str]:
-    out = []
-    for line in plan.splitlines():
-        s = line.strip(" :+-*")
-        if re.match(r"^(Exchange|BroadcastExchange|BroadcastHashJoin|SortMergeJoin|"
-                     r"ShuffledHashJoin|HashAggregate|TakeOrderedAndProject|FileScan|"
-                     r"InMemoryTableScan|Scan ExistingRDD|Window|Generate|Union)", s):
-            s = re.sub(r"#\d+L?", "", s)
-            s = re.sub(r"Location: [^,]+, ", "", s)
-            out.append(s[:300])
+KEEP = re.compile(r"^(Exchange|ShuffleQueryStage|BroadcastQueryStage|AQEShuffleRead|BroadcastExchange|BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|"
+                  r"HashAggregate|TakeOrderedAndProject|FileScan|Scan|InMemoryTableScan|Window|"
+                  r"Generate|Union|BroadcastNestedLoopJoin|CartesianProduct)")
+
+
+def condensed(plan, depth: int = 0, out=None) -> list[str]:
+    """Key operators of the executed plan, walking ``children`` only.
+
+    Cached frames show as one ``InMemoryTableScan`` line: their own plans ran
+    once when they were materialised (BFS levels, loop inputs).
+    """
+    out = [] if out is None else out
+    text = plan.simpleString(25)
+    text = re.sub(r"#\d+L?", "", text)
+    text = re.sub(r"Location: [^,]+, ", "", text)
+    if plan.nodeName().startswith("WholeStageCodegen") or plan.nodeName() == "InputAdapter":
+        pass
+    elif KEEP.match(text.strip(" *")):
+        out.append("  " * depth + text.strip(" *")[:260])
+        depth += 1
+    if "QueryStage" in plan.nodeName():
+        # adaptive query stages are leaves that wrap the stage's plan
+        return condensed(plan.plan(), depth, out)
+    kids = plan.children()
+    for i in range(kids.size()):
+        condensed(kids.apply(i), depth, out)
     return out
 
 
@@ -40,9 +56,12 @@ def main():
     print(f"# Physical plans (condensed), {sf_dir}, graph read from its stored layout\n")
     for k in KEYS:
         df = qs[k](spark, sf_dir)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        df.collect()  # final adaptive plan
+        plan = df._jdf.queryExecution().executedPlan()
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.executedPlan()
         lines = condensed(plan)
-        n_ex = sum(1 for x in lines if x.startswith("Exchange"))
+        n_ex = sum(1 for x in lines if x.strip().startswith("Exchange"))
         print(f"## {k}\n\nshuffle exchanges: {n_ex}\n\n```")
         print("\n".join(lines))
         print("```\n")
