@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbweave.functions.text import edge_caption, kind_from_labels, prop
+from orbweave.functions.text import display_name, edge_caption, kind_from_labels, prop
 from orbweave.model import Graph
-from orbweave.operators.nodes import node_view
 
 # Detail-view keys with their captions, in display order.
 DETAIL_KEYS = [
@@ -50,12 +49,12 @@ def node_kind(graph: Graph) -> DataFrame:
 
 def map_nodes(graph: Graph) -> DataFrame:
     """Typed node view: id, kind, name, country, jurisdiction, status, sourceID."""
-    nv = node_view(graph).select("id", "kind", "name")
-    extra = graph.nodes.select(
-        "id", F.coalesce(prop("countries"), prop("country")).alias("country"),
+    kind = kind_from_labels("labels")
+    return graph.nodes.select(
+        "id", kind.alias("kind"), display_name(kind, F.col("id")).alias("name"),
+        F.coalesce(prop("countries"), prop("country")).alias("country"),
         prop("jurisdiction_description").alias("jurisdiction"), prop("status").alias("status"),
         prop("sourceID").alias("sourceID"))
-    return nv.join(extra, "id")
 
 
 def map_edges(graph: Graph) -> DataFrame:

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbweave.functions.text import WS_TRIM_PATTERN, prop
+from orbweave.functions.text import kind_from_labels, prop
 from orbweave.model import Graph
-from orbweave.operators.nodes import node_view
+from orbweave.operators.nodes import attach_nodes, node_view
 
 # Kinds searched by the multi-kind search, in branch order,
 # and the tokenizer split pattern (anything that is not a letter or digit).
@@ -67,21 +67,22 @@ def search_nodes(graph: Graph, q: str | None, limit: int | None = None) -> DataF
         return empty
     kinds = F.array(*[F.lit(k) for k in SEARCH_KINDS])
     raw_name = prop("name")
+    # a hit has a non-null name, so its display name is the raw name: one scan, no join
     hits = graph.nodes.filter(F.lower(raw_name).contains(cleaned.lower())).select(
-        "id", F.explode(F.array_intersect(kinds, F.col("labels"))).alias("branch"),
+        "id", F.explode(F.array_intersect(kinds, F.col("labels"))).alias("kind"),
+        raw_name.alias("name"),
         F.coalesce(prop("countries"), prop("country")).alias("country"),
         prop("jurisdiction_description").alias("jurisdiction"))
-    hits = hits.join(nv.select("id", "name"), "id").select(
-        "id", F.col("branch").alias("kind"), "name", "country", "jurisdiction")
     return _ordered_limit(hits, limit, "kind", "id")
 
 
 def lookup_ids(graph: Graph, ids) -> DataFrame:
     """Nodes by id: a literal list is pushed into the scan; a frame of ids is semi-joined."""
-    nv = node_view(graph).select("id", "kind", "name")
     if isinstance(ids, DataFrame):
-        return nv.join(ids.select(F.col(ids.columns[0]).alias("id")), "id", "left_semi")
-    return nv.filter(F.col("id").isin([int(i) for i in ids]))
+        return attach_nodes(ids.select(F.col(ids.columns[0]).alias("id")).distinct(), graph,
+                            "id", how="inner")
+    return node_view(graph).select("id", "kind", "name").filter(
+        F.col("id").isin([int(i) for i in ids]))
 
 
 def lookup_name(table: DataFrame, name: str, id_col: str = "node_id") -> DataFrame:
@@ -118,12 +119,10 @@ def token_search(index: DataFrame, q: str) -> DataFrame:
 
 def country_counts(graph: Graph) -> DataFrame:
     """Nodes per (country, kind), country = countries, else country."""
-    nv = node_view(graph)
-    c = graph.nodes.select("id", F.coalesce(prop("countries"), prop("country")).alias("country"))
-    return c.join(nv.select("id", "kind"), "id").groupBy("country", "kind") \
-        .agg(F.count(F.lit(1)).alias("nodes"))
+    c = graph.nodes.select(F.coalesce(prop("countries"), prop("country")).alias("country"),
+                           kind_from_labels("labels").alias("kind"))
+    return c.groupBy("country", "kind").agg(F.count(F.lit(1)).alias("nodes"))
 
 
 __all__ = ["search_contains", "search_ilike", "search_nodes", "clean_query", "lookup_ids",
-           "lookup_name", "resolve_name", "token_index", "token_search", "country_counts",
-           "WS_TRIM_PATTERN"]
+           "lookup_name", "resolve_name", "token_index", "token_search", "country_counts"]

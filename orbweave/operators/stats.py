@@ -60,7 +60,7 @@ def hub_officer(graph: Graph) -> DataFrame:
 
 def name_fragments(graph: Graph, label: str = "Officer") -> DataFrame:
     """Search fragment derived from each node name (first token of 4+ chars, else 6 chars)."""
-    nv = node_view(graph).join(with_label(graph, label), "id", "left_semi")
+    nv = node_view(graph).filter(F.array_contains("labels", label))
     return nv.select("id", "name", name_fragment(F.col("name")).alias("fragment"))
 
 
