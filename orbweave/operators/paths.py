@@ -28,6 +28,8 @@ from orbweave.session import cut_lineage
 MAX_HOPS_LIMIT = 10
 # Largest frontier whose ids are turned into pushed-down IN filters.
 LOOKUP_LIMIT = 1000
+# Materialise and count every level even when no decision depends on it.
+EAGER_LEVELS = False
 
 
 def adjacency(graph: Graph, directed: bool = False) -> DataFrame:
@@ -60,7 +62,7 @@ def lookup_adjacency(graph: Graph, ids: list[int], directed: bool = False) -> Da
 
 def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths: bool = False,
         target: int | None = None, checkpoint_every: int = 4,
-        lookup_limit: int = LOOKUP_LIMIT) -> DataFrame:
+        lookup_limit: int = LOOKUP_LIMIT, eager_levels: bool = EAGER_LEVELS) -> DataFrame:
     """Levels of a BFS from each root: (root, node, depth[, path]).
 
     Stops at ``max_depth``, at an empty frontier, or (single target) at the
@@ -108,6 +110,11 @@ def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths:
             step = cut_lineage(step)
         else:
             step = step.persist(StorageLevel.MEMORY_AND_DISK)
+        if target is None and not use_lookup and not eager_levels:
+            # nothing to decide per level: levels stay lazy (persisted on first
+            # use); an empty frontier just yields empty later levels
+            levels.append(step)
+            continue
         summary = step.agg(F.count(F.lit(1)).alias("n"),
                            F.max((F.col("node") == F.lit(target)).cast("int")).alias("hit")
                            if target is not None else F.lit(None).alias("hit")).first()
