@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orbweave.model import Graph
 from orbweave.plans.context import Context, resolve_context
-from orbweave.sources.etl import Mirror, mirror
+from orbweave.sources.etl import Mirror, mirror, store_mirror
 from orbweave.session import checkpoint_dir
 from orbweave.sources.fixture import fixture_graph, store_graph
 
@@ -61,9 +61,27 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 
 
 def mirror_for(spark: SparkSession, sf_dir: str) -> Mirror:
+    """The ETL projection of the graph, computed (used by the ETL queries themselves)."""
     return mirror(graph_for(spark, sf_dir))
 
 
+_MIRRORS: dict[tuple, Mirror] = {}
+
+
+def loaded_mirror_for(spark: SparkSession, sf_dir: str) -> Mirror:
+    """The mirror as loaded tables: projected once, stored in the shared checkpoint
+    folder and read back (cached when small). SQL-side queries run against it,
+    as the relational mirror is queried after its load."""
+    k = _key(spark, sf_dir)
+    if k not in _MIRRORS:
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/mirror-{uuid.uuid4().hex}"
+        m = store_mirror(mirror_for(spark, sf_dir), folder)
+        if stored_bytes(spark, folder) <= CACHE_LIMIT_BYTES:
+            m = Mirror(*(df.persist() for df in m.tables().values()), m.quarantine)
+        _MIRRORS[k] = m
+    return _MIRRORS[k]
+
+
 def context_for(spark: SparkSession, sf_dir: str) -> Context:
     k = _key(spark, sf_dir)
     if k not in _CONTEXTS:

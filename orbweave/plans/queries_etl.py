@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from orbweave.functions.text import prop
 from orbweave.operators import mapping, pattern, search
-from orbweave.plans.catalog import context_for, graph_for, mirror_for, register
+from orbweave.plans.catalog import (context_for, graph_for, loaded_mirror_for, mirror_for,
+                                    register)
 from orbweave.plans.oracle import norm, with_graph
 from orbweave.sources import etl, quality
 
@@ -172,7 +173,7 @@ WHERE name ILIKE '%' || replace((SELECT name_fragment FROM g_ctx), '#', '_') ||
 def q_search_ilike(spark, sf_dir):
     """The fragment with '#' turned into '_' — which ILIKE treats as a one-character wildcard."""
     ctx = context_for(spark, sf_dir)
-    return search.search_ilike(mirror_for(spark, sf_dir).officers,
+    return search.search_ilike(loaded_mirror_for(spark, sf_dir).officers,
                                ctx.name_fragment.replace("#", "_"))
 
 
@@ -204,7 +205,7 @@ def q_lookup_ids(spark, sf_dir):
 
 def _hub_table_name(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
-    m = mirror_for(spark, sf_dir)
+    m = loaded_mirror_for(spark, sf_dir)
     return m.officers.filter(F.col("node_id") == ctx.officer_id).select("name").first()["name"]
 
 
@@ -213,14 +214,14 @@ _HUB_NAME = "(SELECT name FROM g_officers WHERE node_id = (SELECT officer_id FRO
 
 @register("lookup_name", with_graph(f"SELECT node_id, name FROM g_officers WHERE name = {_HUB_NAME}"))
 def q_lookup_name(spark, sf_dir):
-    return search.lookup_name(mirror_for(spark, sf_dir).officers, _hub_table_name(spark, sf_dir))
+    return search.lookup_name(loaded_mirror_for(spark, sf_dir).officers, _hub_table_name(spark, sf_dir))
 
 
 @register("resolve_name", with_graph(f"""
 SELECT min(node_id) AS node_id FROM g_officers WHERE name = {_HUB_NAME}
 HAVING min(node_id) IS NOT NULL"""))
 def q_resolve_name(spark, sf_dir):
-    return search.resolve_name(mirror_for(spark, sf_dir).officers, _hub_table_name(spark, sf_dir))
+    return search.resolve_name(loaded_mirror_for(spark, sf_dir).officers, _hub_table_name(spark, sf_dir))
 
 
 _TOKENS_SQL = r"""
@@ -233,7 +234,7 @@ g_tokens AS (
 
 @register("token_index", with_graph("SELECT token, node_id, kind FROM g_tokens", _TOKENS_SQL))
 def q_token_index(spark, sf_dir):
-    return search.token_index(etl.all_nodes(mirror_for(spark, sf_dir)))
+    return search.token_index(etl.all_nodes(loaded_mirror_for(spark, sf_dir)))
 
 
 @register("token_search", with_graph(rf"""
@@ -244,7 +245,7 @@ HAVING count(DISTINCT token) = (SELECT count(DISTINCT t) FROM (
   SELECT unnest(string_split_regex(lower({_HUB_NAME}), '[^\p{{L}}\p{{N}}]+')) AS t) WHERE t <> '')""",
     _TOKENS_SQL))
 def q_token_search(spark, sf_dir):
-    index = search.token_index(etl.all_nodes(mirror_for(spark, sf_dir)))
+    index = search.token_index(etl.all_nodes(loaded_mirror_for(spark, sf_dir)))
     return search.token_search(index, _hub_table_name(spark, sf_dir))
 
 

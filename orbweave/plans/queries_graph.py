@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orbweave.operators import pattern, stats
-from orbweave.plans.catalog import context_for, graph_for, mirror_for, register
+from orbweave.plans.catalog import context_for, graph_for, loaded_mirror_for, register
 from orbweave.plans.context import sample_context as _sample_context
 from orbweave.plans.oracle import fragment, with_graph
 
@@ -85,7 +85,7 @@ JOIN g_entities e ON e.node_id = r.end_id
 WHERE o.name = (SELECT name FROM g_officers WHERE node_id = (SELECT officer_id FROM g_ctx))"""))
 def q_entities_by_owner_name(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
-    m = mirror_for(spark, sf_dir)
+    m = loaded_mirror_for(spark, sf_dir)
     owner = m.officers.filter(F.col("node_id") == ctx.officer_id).select("name").first()["name"]
     return pattern.entities_by_owner_name(m.officers, m.relationships, m.entities, owner)
 
@@ -113,7 +113,7 @@ WHERE r1.start_id = (SELECT officer_id FROM g_ctx)
   AND other.node_id <> (SELECT officer_id FROM g_ctx)"""))
 def q_co_officers_sql(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
-    m = mirror_for(spark, sf_dir)
+    m = loaded_mirror_for(spark, sf_dir)
     return pattern.co_officers_sql(m.officers, m.relationships, ctx.officer_id,
                                    ctx.officer_of_type.lower(), ctx.intermediary_of_type.lower())
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orbweave.operators import mapping, paths, pattern
 from orbweave.operators.nodes import node_view
-from orbweave.plans.catalog import context_for, graph_for, mirror_for, register
+from orbweave.plans.catalog import context_for, graph_for, loaded_mirror_for, register
 from orbweave.plans.oracle import with_graph
 from orbweave.operators.search import resolve_name
 
@@ -232,7 +232,7 @@ _NAME_OF_TARGET = "(SELECT min(node_id) FROM g_officers WHERE name = (SELECT nam
 
 def _ids_by_name(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
-    officers = mirror_for(spark, sf_dir).officers
+    officers = loaded_mirror_for(spark, sf_dir).officers
     def name_of(i):
         return officers.filter(F.col("node_id") == i).select("name").first()["name"]
     src = resolve_name(officers, name_of(ctx.path_source_id)).first()["node_id"]

@@ -178,6 +178,16 @@ def load_report(m: Mirror) -> DataFrame:
     return out.unionByName(nodes_total)
 
 
+def store_mirror(m: Mirror, path: str) -> Mirror:
+    """Write the five mirror tables as parquet under ``path`` and return frames reading them."""
+    spark = m.officers.sparkSession
+    for name, df in m.tables().items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    return Mirror(*(spark.read.parquet(f"{path}/{n}") for n in
+                    ("officers", "entities", "intermediaries", "addresses", "relationships")),
+                  m.quarantine)
+
+
 def load_graph(m: Mirror, path: str | None = None, truncate: bool = False) -> DataFrame:
     """Write the mirror as parquet tables and return the report read back from storage.
 
