@@ -169,9 +169,58 @@ def shortest_path(graph: Graph, source: int, target: int, max_hops: int = 6,
 
 def shortest_path_length(graph: Graph, source: int, target: int, max_hops: int = 6,
                          directed: bool = False) -> DataFrame:
-    levels = bfs(graph, source, max_hops, directed=directed, target=target)
-    return levels.filter(F.col("node") == target).select(
-        F.col("root").alias("source"), F.col("node").alias("target"), F.col("depth").alias("length"))
+    """Length of a shortest path (0..max_hops) as one row (source, target, length), or none.
+
+    Bidirectional BFS: each step expands the smaller of the two frontiers (the
+    target side follows edges backwards when directed), so on a graph with
+    hubs the frontiers grow to about b^(d/2) instead of b^d. Each level is one
+    job returning two scalars: its size and the smallest depth at which it
+    meets the other side. The first level that meets gives the length.
+    """
+    if not 0 <= max_hops <= MAX_HOPS_LIMIT:
+        raise ValueError(f"max_hops must be within 0..{MAX_HOPS_LIMIT}")
+    spark = graph.spark
+    schema = "source long, target long, length int"
+    exists = graph.nodes.filter(F.col("id").isin([int(source), int(target)])) \
+        .select("id").distinct().count()
+    if int(source) == int(target):
+        rows = [(int(source), int(target), 0)] if exists == 1 else []
+        return spark.createDataFrame(rows, schema)
+    if exists < 2:
+        return spark.createDataFrame([], schema)
+    e = graph.edges.select("src", "dst")
+    fwd = e.select(F.col("src").alias("node"), F.col("dst").alias("v"))
+    bwd = e.select(F.col("dst").alias("node"), F.col("src").alias("v"))
+    adj = {"s": fwd if directed else fwd.unionByName(bwd),
+           "t": bwd if directed else fwd.unionByName(bwd)}
+    levels = {"s": [spark.range(1).select(F.lit(int(source)).cast("long").alias("node"))],
+              "t": [spark.range(1).select(F.lit(int(target)).cast("long").alias("node"))]}
+    size = {"s": 1, "t": 1}
+    depth = {"s": 0, "t": 0}
+    while depth["s"] + depth["t"] < max_hops:
+        side = "s" if size["s"] <= size["t"] else "t"
+        other = "t" if side == "s" else "s"
+        step = levels[side][-1].join(adj[side], "node").select(F.col("v").alias("node")).distinct()
+        seen = levels[side] if directed else levels[side][-2:]
+        for lvl in seen:
+            step = step.join(lvl, "node", "left_anti")
+        d = depth[side] + 1
+        step = (cut_lineage(step) if d % 4 == 0 else step.persist(StorageLevel.MEMORY_AND_DISK))
+        other_all = None
+        for i, lvl in enumerate(levels[other]):
+            part = lvl.select("node", F.lit(i).alias("b"))
+            other_all = part if other_all is None else other_all.unionByName(part)
+        summary = step.join(other_all, "node", "left").agg(
+            F.count(F.lit(1)).alias("n"), F.min("b").alias("meet")).first()
+        if summary["meet"] is not None:
+            return spark.createDataFrame([(int(source), int(target), d + int(summary["meet"]))],
+                                         schema)
+        if summary["n"] == 0:
+            break
+        levels[side].append(step)
+        size[side] = summary["n"]
+        depth[side] = d
+    return spark.createDataFrame([], schema)
 
 
 def path_steps(path_df: DataFrame) -> DataFrame:
