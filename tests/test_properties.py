@@ -74,3 +74,19 @@ def test_incident_equals_either_end_filter(make_graph):
     for x in (0, 7, 13):
         want = sorted(r["id"] for r in g.edges.filter((F.col("src") == x) | (F.col("dst") == x)).collect())
         assert sorted(r["id"] for r in by_dst.incident(x).collect()) == want
+
+
+def test_simple_path_enumeration_lists_every_simple_path(make_graph):
+    g = make_graph([(i, ["Officer"], {}) for i in (1, 2, 3, 4)],
+                   [(100, "c", 1, 2), (101, "c", 2, 4), (102, "c", 1, 3), (103, "c", 3, 4)])
+    got = sorted(tuple(r["path"]) for r in paths.simple_paths(g, 1, 3).collect())
+    assert got == [(1,), (1, 2), (1, 2, 4), (1, 2, 4, 3), (1, 3), (1, 3, 4), (1, 3, 4, 2)]
+
+
+def test_batch_bfs_equals_one_root_at_a_time(spark, make_graph):
+    g, _ = _random_graph(make_graph, seed=9)
+    roots = spark.createDataFrame([(0,), (4,), (9,)], "root long")
+    batch = sorted((r["root"], r["node"], r["depth"]) for r in paths.bfs(g, roots, 3).collect())
+    single = sorted((r["root"], r["node"], r["depth"])
+                    for x in (0, 4, 9) for r in paths.bfs(g, x, 3).collect())
+    assert batch == single
