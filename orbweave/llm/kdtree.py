@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orbweave.llm.common import cut
+
 K = 20
 SCALE = 64
 LEAF = 64
@@ -152,7 +154,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id",
                 .applyInArrow(_search(k), form))
 
     points = every.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    first = searched(queries.select("query_id", "dim", "v", "block", F.col("own").alias("shard"), none.alias("at_least")), points)
+    first = cut(searched(queries.select("query_id", "dim", "v", "block", F.col("own").alias("shard"), none.alias("at_least")), points))
     # The kth score so far; a query with fewer than k own candidates has no bound yet.
     kth = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth")).withColumnRenamed("query_id", "kth_id")
     others = (queries.join(kth, F.col("query_id") == F.col("kth_id"), "left")

@@ -230,7 +230,7 @@ def weights(histogram: np.ndarray, steps: int = EM_STEPS) -> np.ndarray:
         share = weight[:, None] * ratio
         share = share / (share + 1 - weight[:, None])
         weight = np.where(total > 0, (histogram * share).sum(1) / np.maximum(total, 1), weight)
-    weight = weight.clip(0, 1 - 1e-6)  # a word never seen after its context keeps some probability
+        weight = weight.clip(1e-6, 1 - 1e-6)  # a word never seen after its context keeps some probability
     weight[0] = 0.0
     return weight
 
