@@ -15,14 +15,18 @@ element with the least a is the sample. The draws come from a table of 65,536
 triples; ties of a go to the smaller element hash.
 
 Documents with equal word sequences are one text. Texts that agree in a band
-share a bucket. Each text is compared with ``LEADERS`` members of each of its
-buckets, which is linear in the bucket; links are pairs of weighted Jaccard
-similarity ``THRESHOLD`` or more, and classes are the connected parts. Buckets
-that then still hold texts of several classes are finished: 1 - similarity is a
-metric, so two members can only be linked if their distances to the bucket's
-first leader differ by at most 1 - THRESHOLD; the pairs of different classes
-that this leaves are all compared. So no link between members of a bucket is
-lost that could join two classes, and groups of copies are not expanded.
+share a bucket. Weight that a text shares with no other text of any bucket is
+lonely: a pair's common weight is at most each side's weight that isn't, which
+bounds the pair's similarity (``_reachable``); pairs below the threshold by
+that bound are never compared. Each text is compared with ``LEADERS`` members of
+each of its buckets, those with the least lonely share, which is linear in the
+bucket; links are pairs of weighted Jaccard similarity ``THRESHOLD`` or more, and
+classes are the connected parts. Buckets that then still hold texts of several
+classes are finished: of the pairs across classes all are compared that the
+bound and the distances to the bucket's first leader allow (1 - similarity is
+a metric, so linked members' distances differ by at most 1 - THRESHOLD). So no
+link between members of a bucket is lost that could join two classes, and
+groups of copies are not expanded.
 
 Defined results: a null text is an empty text, and all texts without words are
 copies of each other; rows that share a ``doc_id`` are one document (their texts
@@ -38,7 +42,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orbweave.llm.common import cut
@@ -174,7 +178,7 @@ def sketches(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 
 
 def elements(docs: DataFrame, wanted: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(``text_id``, ``codes``) of the texts of ``wanted`` (``text_id``, ``rep``: a document that has it)."""
+    """(``text_id``, ``codes``, ``weight``) of the texts of ``wanted`` (``text_id``, ``rep``: a document that has it)."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,17 +189,47 @@ def elements(docs: DataFrame, wanted: DataFrame, idf: np.ndarray) -> DataFrame:
                 right = _text_ids(block).view(np.int64) == want[block.lo:block.hi]  # a document's other text isn't it
                 at = np.flatnonzero(right)
                 codes = [s.code[s.first[i]:s.first[i + 1]].tobytes() for i in at]
-                yield pa.RecordBatch.from_arrays([pa.array(want[block.lo:block.hi][at]), pa.array(codes, pa.binary())], names=["text_id", "codes"])
+                weight = np.bincount(s.doc, _weights(s.code), block.hi - block.lo)[at]
+                yield pa.RecordBatch.from_arrays([pa.array(want[block.lo:block.hi][at]), pa.array(codes, pa.binary()), pa.array(weight)], names=["text_id", "codes", "weight"])
 
     return (_rows(docs).join(wanted, F.col("doc_id") == F.col("rep")).select("text", "text_id")
-            .mapInArrow(run, "text_id long, codes binary").dropDuplicates(["text_id"]))
+            .mapInArrow(run, "text_id long, codes binary, weight double").dropDuplicates(["text_id"]))
+
+
+def _weights(code: np.ndarray) -> np.ndarray:
+    return 2.0 ** ((code & np.uint64(255)).astype(float) / LEVEL_STEP)
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, codes = np.asarray(batch.column("text_id")), batch.column("codes").to_pylist()
+        for lo in range(0, len(codes), 500):
+            parts = [np.frombuffer(c, np.uint64) for c in codes[lo:lo + 500]]
+            code = np.concatenate(parts)
+            yield pa.RecordBatch.from_arrays([pa.array((code >> np.uint64(8)).astype(np.int64)), pa.array(np.repeat(texts[lo:lo + 500], [p.size for p in parts])),
+                                              pa.array((code & np.uint64(255)).astype(np.int8))], names=["element", "text_id", "level"])
+
+
+def shared_weights(codes: DataFrame) -> DataFrame:
+    """(``m``, ``weight``, ``shared``) of each text: its weight, and the part of elements that another text of ``codes`` has too."""
+    alone = (codes.select("text_id", "codes").mapInArrow(_listed, "element long, text_id long, level byte")
+             .groupBy("element").agg(F.min("text_id").alias("t"), F.max("text_id").alias("z"), F.max("level").alias("level")).where("t = z")
+             .groupBy("t").agg(F.sum(F.pow(F.lit(2.0), F.col("level") / LEVEL_STEP)).alias("lonely")))
+    return (codes.select(F.col("text_id").alias("m"), "weight").join(alone, F.col("m") == F.col("t"), "left")
+            .select("m", "weight", (F.col("weight") - F.coalesce("lonely", F.lit(0.0))).alias("shared")))
+
+
+def _reachable(threshold: float, other: str) -> Column:
+    """Whether the weights of a pair (``weight``, ``shared`` and the same with the suffix ``other``) allow a link."""
+    common = F.least("shared", f"shared{other}")
+    return common * (1 + threshold) >= threshold * (F.col("weight") + F.col(f"weight{other}")) - 1e-6
 
 
 def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Sum of least over sum of largest weights of two sorted code arrays."""
     if not a.size and not b.size:
         return 1.0
-    wa, wb = 2.0 ** ((a & np.uint64(255)).astype(float) / LEVEL_STEP), 2.0 ** ((b & np.uint64(255)).astype(float) / LEVEL_STEP)
+    wa, wb = _weights(a), _weights(b)
     _, i, j = np.intersect1d(a >> np.uint64(8), b >> np.uint64(8), assume_unique=True, return_indices=True)
     both = np.minimum(wa[i], wb[j]).sum()
     return float(both / (wa.sum() + wb.sum() - both))
@@ -239,16 +273,22 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     idf = word_idf(docs)
     marks = cut(sketches(docs, idf))
     texts = cut(marks.where("doc_id is not null").groupBy("text_id").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
-    members = cut(texts.where("text_id <> 0").select(F.col("text_id").alias("m"), F.posexplode("bands").alias("band", "key")))
+    single = texts.where("text_id <> 0").select(F.col("text_id").alias("m"), F.posexplode("bands").alias("band", "key"))
+    several = single.groupBy("band", "key").agg(F.min("m").alias("x"), F.max("m").alias("y")).where("x <> y").select("band", "key")
+    members = cut(single.join(several, ["band", "key"]))
+    wanted = members.select(F.col("m").alias("text_id")).distinct().join(texts.select("text_id", "rep"), "text_id")
+    codes = cut(elements(docs, wanted, idf))
+    # A text that shares too little weight is linked to none.
+    able = shared_weights(codes).where(F.col("shared") >= threshold * F.col("weight") - 1e-6)
+    members = cut(members.join(able, "m"))
 
-    # Leaders of a bucket: the member of least hash in each of LEADERS parts; the first leader has the least of all.
-    place = F.struct(F.xxhash64("m").alias("h"), F.col("m").alias("m"))
+    # Leaders of a bucket: in each of LEADERS parts the member of least lonely share; the first leader has the least of all.
+    place = F.struct((1 - F.col("shared") / F.col("weight")).alias("u"), F.xxhash64("m").alias("h"), "m", "weight", "shared")
     part = F.pmod(F.xxhash64("m", F.lit(1)), F.lit(LEADERS)).alias("part")
-    leaders = members.groupBy("band", "key", part).agg(F.min(place).alias("l")).select("band", "key", F.col("l.m").alias("leader"), F.col("l.h").alias("h"))
+    leaders = members.groupBy("band", "key", part).agg(F.min(place).alias("l")).select(
+        "band", "key", F.col("l.m").alias("leader"), F.col("l.weight").alias("weight2"), F.col("l.shared").alias("shared2"), F.col("l.u").alias("u"), F.col("l.h").alias("h"))
     pair = F.least("m", "leader").alias("a"), F.greatest("m", "leader").alias("b")
-    pairs = cut(members.join(leaders, ["band", "key"]).where("m <> leader").select(*pair).distinct())
-    wanted = pairs.select(F.col("a").alias("text_id")).unionByName(pairs.select(F.col("b").alias("text_id"))).distinct().join(texts.select("text_id", "rep"), "text_id")
-    codes = cut(elements(docs, wanted, idf))
+    pairs = members.join(leaders, ["band", "key"]).where((F.col("m") != F.col("leader")) & _reachable(threshold, "2")).select(*pair).distinct()
     compared = cut(compare(pairs, codes))
     # Texts of the same doc_id belong together.
     twice = (marks.where("doc_id is not null").groupBy("doc_id").agg(F.min("text_id").alias("a"), F.max("text_id").alias("z")).where("a <> z"))
@@ -258,17 +298,18 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     # Buckets with several classes: compare the pairs across classes that the distance to the first leader allows.
     label = F.coalesce("label", "m").alias("label")
-    labelled = members.join(labels, F.col("m") == F.col("node"), "left").select("band", "key", "m", label)
+    labelled = members.join(labels, F.col("m") == F.col("node"), "left").select("band", "key", "m", "weight", "shared", label)
     mixed = labelled.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
-    first = leaders.groupBy("band", "key").agg(F.min(F.struct("h", "leader")).alias("f")).select("band", "key", F.col("f.leader").alias("first"))
-    # A leader has been compared with every member.
+    first = leaders.groupBy("band", "key").agg(F.min(F.struct("u", "h", "leader")).alias("f")).select("band", "key", F.col("f.leader").alias("first"))
+    # A leader has been compared with every member that it can reach.
     rest = (labelled.join(mixed, ["band", "key"]).join(leaders.select("band", "key", F.col("leader").alias("m")), ["band", "key", "m"], "left_anti")
             .join(first, ["band", "key"])
             .withColumn("a", F.least("m", "first")).withColumn("b", F.greatest("m", "first"))
-            .join(compared, ["a", "b"]).select("band", "key", "m", "label", "similarity"))
+            .join(compared, ["a", "b"], "left").select("band", "key", "m", "label", "weight", "shared", "similarity"))
     rest = cut(rest)
-    other = rest.select("band", "key", F.col("m").alias("m2"), F.col("label").alias("label2"), F.col("similarity").alias("similarity2"))
-    near = (F.abs(F.col("similarity") - F.col("similarity2")) <= 1 - threshold + 1e-9) & (F.col("label") < F.col("label2"))
+    other = rest.select("band", "key", F.col("m").alias("m2"), F.col("label").alias("label2"), *(F.col(c).alias(f"{c}2") for c in ("weight", "shared", "similarity")))
+    apart = F.abs(F.col("similarity") - F.col("similarity2")) > 1 - threshold + 1e-9  # null where one wasn't compared
+    near = ~F.coalesce(apart, F.lit(False)) & (F.col("label") < F.col("label2")) & _reachable(threshold, "2")
     more = (rest.join(other, ["band", "key"]).where(near).select(F.least("m", "m2").alias("a"), F.greatest("m", "m2").alias("b")).distinct())
     late = cut(compare(more, codes).where(F.col("similarity") >= threshold).select("a", "b"))
     if late.limit(1).count():
