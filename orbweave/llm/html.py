@@ -217,7 +217,8 @@ def extract(pages: DataFrame) -> DataFrame:
     whole = rows.where(marked).mapInArrow(_marked_texts, "page_id long, url string, text string")
     rest = rows.where(~marked)
     loose = (rest.mapInArrow(_loose_blocks, "page_id long, url string, host string, blocks array<string>")
-             .select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "host", F.posexplode_outer("blocks").alias("at", "block")))
+             .withColumn("row", F.monotonically_increasing_id())  # numbers pages, before their blocks are listed
+             .select("row", "page_id", "url", "host", F.posexplode_outer("blocks").alias("at", "block")))
     # The whole table's streams count, those of pages with a marked article too; there is nothing to judge if no page is loose.
     boilerplate = repeated_blocks(rows).withColumn("repeats", F.lit(True))
     kept = (loose.join(boilerplate, ["host", "block"], "left")
