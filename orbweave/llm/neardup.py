@@ -16,9 +16,9 @@ triples; ties of a go to the smaller element hash.
 
 Documents with equal word sequences are one text. Texts that agree in a band
 share a bucket. Weight that a text shares with no other text of any bucket is
-lonely: a pair's common weight is at most each side's weight that isn't, which
-bounds the pair's similarity (``_reachable``); pairs below the threshold by
-that bound are never compared. Each text is compared with ``LEADERS`` members of
+lonely: a pair's common weight is at most each side's weight that isn't (also
+within each of ``PARTS`` hashed parts of the elements), which bounds the pair's
+similarity; pairs below the threshold by that bound are never compared. Each text is compared with ``LEADERS`` members of
 each of its buckets, those with the least lonely share, which is linear in the
 bucket; links are pairs of weighted Jaccard similarity ``THRESHOLD`` or more, and
 classes are the connected parts. Buckets that then still hold texts of several
@@ -55,6 +55,8 @@ LEADERS = 4
 DF_CELLS = 1 << 18
 #: Weights are 2 ** (level / LEVEL_STEP).
 LEVEL_STEP, LEVELS = 4, 128
+#: Parts of the elements for which weights are kept apart in the bound.
+PARTS = 32
 DRAWS, SEED = 1 << 16, 20_240_607
 
 
@@ -178,7 +180,7 @@ def sketches(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 
 
 def elements(docs: DataFrame, wanted: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(``text_id``, ``codes``, ``weight``) of the texts of ``wanted`` (``text_id``, ``rep``: a document that has it)."""
+    """(``text_id``, ``codes``, ``weight``, ``parts``: its weight by part) of the texts of ``wanted`` (``text_id``, ``rep``: a document that has it)."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,11 +191,13 @@ def elements(docs: DataFrame, wanted: DataFrame, idf: np.ndarray) -> DataFrame:
                 right = _text_ids(block).view(np.int64) == want[block.lo:block.hi]  # a document's other text isn't it
                 at = np.flatnonzero(right)
                 codes = [s.code[s.first[i]:s.first[i + 1]].tobytes() for i in at]
-                weight = np.bincount(s.doc, _weights(s.code), block.hi - block.lo)[at]
-                yield pa.RecordBatch.from_arrays([pa.array(want[block.lo:block.hi][at]), pa.array(codes, pa.binary()), pa.array(weight)], names=["text_id", "codes", "weight"])
+                cell = s.doc * PARTS + (s.code >> np.uint64(8)).astype(np.int64) % PARTS
+                parts = np.bincount(cell, _weights(s.code), (block.hi - block.lo) * PARTS).reshape(-1, PARTS)[at]
+                yield pa.RecordBatch.from_arrays([pa.array(want[block.lo:block.hi][at]), pa.array(codes, pa.binary()), pa.array(parts.sum(1)), pa.array(list(parts), pa.list_(pa.float64()))],
+                                                 names=["text_id", "codes", "weight", "parts"])
 
     return (_rows(docs).join(wanted, F.col("doc_id") == F.col("rep")).select("text", "text_id")
-            .mapInArrow(run, "text_id long, codes binary, weight double").dropDuplicates(["text_id"]))
+            .mapInArrow(run, "text_id long, codes binary, weight double, parts array<double>").dropDuplicates(["text_id"]))
 
 
 def _weights(code: np.ndarray) -> np.ndarray:
@@ -211,18 +215,19 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_weights(codes: DataFrame) -> DataFrame:
-    """(``m``, ``weight``, ``shared``) of each text: its weight, and the part of elements that another text of ``codes`` has too."""
+    """(``m``, ``weight``, ``shared``, ``parts``) of each text: its weight, and the weight (by part) of elements that another text of ``codes`` has too."""
     alone = (codes.select("text_id", "codes").mapInArrow(_listed, "element long, text_id long, level byte")
              .groupBy("element").agg(F.min("text_id").alias("t"), F.max("text_id").alias("z"), F.max("level").alias("level")).where("t = z")
-             .groupBy("t").agg(F.sum(F.pow(F.lit(2.0), F.col("level") / LEVEL_STEP)).alias("lonely")))
-    return (codes.select(F.col("text_id").alias("m"), "weight").join(alone, F.col("m") == F.col("t"), "left")
-            .select("m", "weight", (F.col("weight") - F.coalesce("lonely", F.lit(0.0))).alias("shared")))
+             .groupBy("t", F.pmod("element", F.lit(PARTS)).alias("part")).agg(F.sum(F.pow(F.lit(2.0), F.col("level") / LEVEL_STEP)).alias("w"))
+             .groupBy("t").agg(F.sum("w").alias("lonely"), F.map_from_entries(F.collect_list(F.struct("part", "w"))).alias("by_part")))  # at most PARTS entries
+    left = F.transform("parts", lambda w, i: w - F.coalesce(F.element_at("by_part", i.cast("long")), F.lit(0.0)))
+    return (codes.select(F.col("text_id").alias("m"), "weight", "parts").join(alone, F.col("m") == F.col("t"), "left")
+            .select("m", "weight", (F.col("weight") - F.coalesce("lonely", F.lit(0.0))).alias("shared"), left.alias("parts")))
 
 
-def _reachable(threshold: float, other: str) -> Column:
-    """Whether the weights of a pair (``weight``, ``shared`` and the same with the suffix ``other``) allow a link."""
-    common = F.least("shared", f"shared{other}")
-    return common * (1 + threshold) >= threshold * (F.col("weight") + F.col(f"weight{other}")) - 1e-6
+def _reachable(threshold: float, common: Column) -> Column:
+    """Whether a pair's weights (``weight``, ``weight2``) allow a link if its common weight is at most ``common``."""
+    return common * (1 + threshold) >= threshold * (F.col("weight") + F.col("weight2")) - 1e-6
 
 
 def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -279,8 +284,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     wanted = members.select(F.col("m").alias("text_id")).distinct().join(texts.select("text_id", "rep"), "text_id")
     codes = cut(elements(docs, wanted, idf))
     # A text that shares too little weight is linked to none.
-    able = shared_weights(codes).where(F.col("shared") >= threshold * F.col("weight") - 1e-6)
-    members = cut(members.join(able, "m"))
+    able = cut(shared_weights(codes).where(F.col("shared") >= threshold * F.col("weight") - 1e-6))
+    members = cut(members.join(able.drop("parts"), "m"))
 
     # Leaders of a bucket: in each of LEADERS parts the member of least lonely share; the first leader has the least of all.
     place = F.struct((1 - F.col("shared") / F.col("weight")).alias("u"), F.xxhash64("m").alias("h"), "m", "weight", "shared")
@@ -288,7 +293,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     leaders = members.groupBy("band", "key", part).agg(F.min(place).alias("l")).select(
         "band", "key", F.col("l.m").alias("leader"), F.col("l.weight").alias("weight2"), F.col("l.shared").alias("shared2"), F.col("l.u").alias("u"), F.col("l.h").alias("h"))
     pair = F.least("m", "leader").alias("a"), F.greatest("m", "leader").alias("b")
-    pairs = members.join(leaders, ["band", "key"]).where((F.col("m") != F.col("leader")) & _reachable(threshold, "2")).select(*pair).distinct()
+    common = F.least("shared", "shared2")
+    pairs = members.join(leaders, ["band", "key"]).where((F.col("m") != F.col("leader")) & _reachable(threshold, common)).select(*pair).distinct()
     compared = cut(compare(pairs, codes))
     # Texts of the same doc_id belong together.
     twice = (marks.where("doc_id is not null").groupBy("doc_id").agg(F.min("text_id").alias("a"), F.max("text_id").alias("z")).where("a <> z"))
@@ -306,11 +312,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .join(first, ["band", "key"])
             .withColumn("a", F.least("m", "first")).withColumn("b", F.greatest("m", "first"))
             .join(compared, ["a", "b"], "left").select("band", "key", "m", "label", "weight", "shared", "similarity"))
-    rest = cut(rest)
-    other = rest.select("band", "key", F.col("m").alias("m2"), F.col("label").alias("label2"), *(F.col(c).alias(f"{c}2") for c in ("weight", "shared", "similarity")))
+    bands = texts.select(F.col("text_id").alias("m"), "bands")
+    rest = cut(rest.join(able.select("m", "parts"), "m").join(bands, "m"))
+    names = ("m", "label", "weight", "shared", "similarity", "parts", "bands")
+    other = rest.select("band", "key", *(F.col(c).alias(f"{c}2") for c in names))
     apart = F.abs(F.col("similarity") - F.col("similarity2")) > 1 - threshold + 1e-9  # null where one wasn't compared
-    near = ~F.coalesce(apart, F.lit(False)) & (F.col("label") < F.col("label2")) & _reachable(threshold, "2")
-    more = (rest.join(other, ["band", "key"]).where(near).select(F.least("m", "m2").alias("a"), F.greatest("m", "m2").alias("b")).distinct())
+    in_parts = F.aggregate(F.zip_with("parts", "parts2", lambda x, y: F.least(x, y)), F.lit(0.0), lambda s, x: s + x)
+    first_band = F.array_position(F.zip_with("bands", "bands2", lambda x, y: x == y), True) == F.col("band") + 1  # a pair once, not in each band
+    near = (F.col("label") < F.col("label2")) & ~F.coalesce(apart, F.lit(False)) & _reachable(threshold, common) & first_band & _reachable(threshold, in_parts)
+    more = rest.join(other, ["band", "key"]).where(near).select(F.least("m", "m2").alias("a"), F.greatest("m", "m2").alias("b")).distinct()
     late = cut(compare(more, codes).where(F.col("similarity") >= threshold).select("a", "b"))
     if late.limit(1).count():
         labels = components(links.unionByName(late))
