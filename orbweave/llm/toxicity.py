@@ -9,7 +9,8 @@ each counted. The model is
 with one weight vector shared by all thresholds. Grade 0 is a clean document;
 the toxic training documents are graded 1, 2, 3 by the terciles of how many of
 their words carry evidence. A document's expected severity is the sum of
-P(grade > k) over k; it is toxic if P(grade > 0) >= 0.5.
+P(grade > k) over k; it is toxic if P(grade > 0) >= ``TOXIC_AT`` (below one half:
+toxic documents are rare, which pulls the probabilities of the mild ones down).
 
 Training uses a bounded sample of labelled documents (``TRAIN_DOCS``); only
 features whose document frequency differs clearly between toxic and clean
@@ -42,6 +43,7 @@ TRAIN_DOCS = 20_000
 MAX_FEATURES = 20_000
 PREFIXES = (4, 6)
 GRADES = 3
+TOXIC_AT = 0.3
 MIN_DOCS, MIN_ODDS, MIN_CHI2 = 3, 4.0, 20.0
 
 _SEP = separators(bytes(b for b in range(128) if not chr(b).isalnum()))
@@ -201,7 +203,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         for batch in batches:
             severity, grade, p = m.severity(_latent(m, batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(severity), pa.array(grade), pa.array(p), pa.array(p >= 0.5)],
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(severity), pa.array(grade), pa.array(p), pa.array(p >= TOXIC_AT)],
                                              names=["doc_id", "severity", "grade", "p_toxic", "toxic"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -216,7 +218,7 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         for batch in batches:
             _, _, p = m.severity(_latent(m, batch.column("text")))
-            yield batch.filter(pa.array(p < 0.5))
+            yield batch.filter(pa.array(p < TOXIC_AT))
 
     return docs.mapInArrow(run, docs.schema)
 
