@@ -112,7 +112,7 @@ def _search(k: int):  # noqa: ANN202
         tree = Tree(_matrix(points.column("v"), dim), np.asarray(points.column("vec_id")))
         asked = np.asarray(queries.column("query_id"))
         least = queries.column("at_least").to_numpy()
-        vectors = _matrix(queries.column("v"), dim)
+        vectors = _matrix(queries.column("q_v"), dim)
         out = []
         for lo in range(0, len(asked), 1024):
             part = slice(lo, lo + 1024)
@@ -150,7 +150,9 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id",
     form = "query_id long, vec_id long, score long"
 
     def searched(asks: DataFrame, points: DataFrame) -> DataFrame:
-        return (points.groupBy("dim", "shard", "block").cogroup(asks.groupBy("dim", "shard", "block"))
+        # Both sides stem from the same rows: own names for the queries' columns keep them apart.
+        asks = asks.select("query_id", "at_least", *(F.col(c).alias(f"q_{c}") for c in ("dim", "shard", "block", "v")))
+        return (points.groupBy("dim", "shard", "block").cogroup(asks.groupBy("q_dim", "q_shard", "q_block"))
                 .applyInArrow(_search(k), form))
 
     points = every.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
