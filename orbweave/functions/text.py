@@ -14,7 +14,8 @@ WS_TRIM_PATTERN = rf"^{WS_CLASS}+|{WS_CLASS}+$"
 KIND_PRIORITY = ["Officer", "Entity", "Intermediary", "Address"]
 KIND_OTHER = "Other"
 # Edge types accepted by the identifier checks.
-EDGE_TYPE_PATTERN = r"^[A-Za-z_][A-Za-z0-9_]*$"
+IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_]*"
+EDGE_TYPE_PATTERN = rf"^{IDENTIFIER}\z"
 
 
 def norm_text(col: Column | str) -> Column:
@@ -63,7 +64,3 @@ def edge_caption(type_col: Column | str = "type") -> Column:
     c = F.col(type_col) if isinstance(type_col, str) else type_col
     return F.translate(c, "_", " ")
 
-
-def is_identifier(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.rlike(EDGE_TYPE_PATTERN)

@@ -5,7 +5,8 @@ frames plus what happened to every request; nothing is updated in place.
 All work is set-based (semi/anti/outer joins keyed by id or (src, dst, type)),
 so a batch of any size is one distributed job, and hot keys are handled by
 AQE's skew-join splitting. New ids are ``max(id) + 1 + request_id``: unique,
-repeatable, and free of any global row numbering.
+repeatable, and free of any global row numbering; null, negative and repeated
+request ids are rejected.
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ def patch_nodes(graph: Graph, patches: DataFrame, updated_at: str) -> Applied:
     touched = F.array_union(F.map_keys("patch"), F.array(F.lit("updated_at")))
     merged = F.map_concat(
         F.map_filter("props", lambda k, v: ~F.array_contains(touched, k)),
-        F.map_filter("patch", lambda k, v: v.isNotNull()),
+        F.map_filter("patch", lambda k, v: v.isNotNull() & (k != "updated_at")),  # the stamp wins
         stamp)
     nodes = graph.nodes.join(known, "id", "left").select(
         "id", "labels", F.when(F.col("patch").isNull(), F.col("props")).otherwise(merged)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbweave.functions.text import display_name, kind_from_labels, prop
+from orbweave.functions.text import display_name, kind_from_labels
 from orbweave.model import Graph
 
 
@@ -26,45 +26,13 @@ def edge_frame(graph: Graph, edge_type: str | None = None) -> DataFrame:
     return e if edge_type is None else e.filter(F.col("type") == edge_type)
 
 
-# Largest key set a lookup join turns into a pushed-down IN filter.
-LOOKUP_LIMIT = 1000
-
-
-def is_cached(df: DataFrame) -> bool:
-    lvl = df.storageLevel
-    return bool(lvl.useMemory or lvl.useDisk)
-
-
-def lookup_join(small: DataFrame, big: DataFrame, on: str, how: str, graph: Graph,
-                limit: int = LOOKUP_LIMIT) -> DataFrame:
-    """``small ⋈ big`` on ``on`` where ``small`` is expected to hold few keys.
-
-    On a storage-backed graph, the distinct keys of ``small`` are fetched
-    with a bounded ``limit(limit + 1)``. When there are at most ``limit`` of
-    them, ``big`` is first filtered with ``on IN (keys)``, which reaches the
-    parquet scan (row groups pruned on the sorted id layout). The join then
-    sees two small sides instead of shuffling the whole node table to label a
-    handful of rows. More keys, or a cached graph, keep the plain join.
-    """
-    if limit > 0 and not is_cached(graph.nodes):
-        keys = [r[0] for r in small.select(on).distinct().limit(limit + 1).collect()]
-        if len(keys) <= limit:
-            big = big.filter(F.col(on).isin(keys))
-    return small.join(big, on, how)
-
-
 def attach_nodes(df: DataFrame, graph: Graph, on: str, cols=("kind", "name"),
                  how: str = "left") -> DataFrame:
-    """Join node display fields onto ``df`` by the id column ``on`` (a lookup join)."""
+    """Join node display fields onto ``df`` by the id column ``on``."""
     nv = node_view(graph).select(F.col("id").alias(on), *cols)
-    return lookup_join(df, nv, on, how, graph)
+    return df.join(nv, on, how)
 
 
 def keep_labelled(df: DataFrame, graph: Graph, on: str, label: str) -> DataFrame:
-    """Rows of ``df`` whose ``on`` node carries ``label`` (a lookup semi-join)."""
-    return lookup_join(df, with_label(graph, label).withColumnRenamed("id", on), on,
-                       "left_semi", graph)
-
-
-def name_of(graph: Graph, node: str = "name") -> DataFrame:
-    return graph.nodes.select("id", prop(node).alias(node))
+    """Rows of ``df`` whose ``on`` node carries ``label``."""
+    return df.join(with_label(graph, label).withColumnRenamed("id", on), on, "left_semi")

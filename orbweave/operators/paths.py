@@ -21,15 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbweave.model import Graph
-from orbweave.operators.nodes import attach_nodes, is_cached as _is_cached
+from orbweave.functions.params import clamp
+from orbweave.operators.nodes import attach_nodes
 from orbweave.operators.pattern import _roots_frame
 from orbweave.session import cut_lineage
 
 MAX_HOPS_LIMIT = 10
-# Largest frontier whose ids are turned into pushed-down IN filters.
-LOOKUP_LIMIT = 1000
-# Materialise and count every level even when no decision depends on it.
-EAGER_LEVELS = False
 
 
 def adjacency(graph: Graph, directed: bool = False) -> DataFrame:
@@ -42,52 +39,22 @@ def adjacency(graph: Graph, directed: bool = False) -> DataFrame:
     return fwd.unionByName(e.select(F.col("dst").alias("u"), F.col("src").alias("v")))
 
 
-def lookup_adjacency(graph: Graph, ids: list[int], directed: bool = False) -> DataFrame:
-    """Adjacency rows of the given nodes only, as point filters on the stored layouts.
-
-    ``src IN ids`` on the src-sorted edges and ``dst IN ids`` on the
-    dst-sorted copy: parquet min/max statistics skip every row group that holds
-    none of the ids, so a small frontier reads a few row groups instead of the
-    whole edge table.
-    """
-    out_e = graph.edges.filter(F.col("src").isin(ids)).select(
-        F.col("src").alias("u"), F.col("dst").alias("v"))
-    if directed:
-        return out_e
-    by_dst = graph.edges_by_dst if graph.edges_by_dst is not None else graph.edges
-    in_e = by_dst.filter(F.col("dst").isin(ids)).select(
-        F.col("dst").alias("u"), F.col("src").alias("v"))
-    return out_e.unionByName(in_e)
-
-
 def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths: bool = False,
-        target: int | None = None, checkpoint_every: int = 4,
-        lookup_limit: int = LOOKUP_LIMIT, eager_levels: bool = EAGER_LEVELS) -> DataFrame:
+        target: int | None = None, checkpoint_every: int = 4) -> DataFrame:
     """Levels of a BFS from each root: (root, node, depth[, path]).
 
     Stops at ``max_depth``, at an empty frontier, or (single target) at the
     level that reaches ``target``.
 
-    When the edges are read from storage (not cached) and a frontier holds at
-    most ``lookup_limit`` distinct nodes, the next level reads only those
-    nodes' adjacency through pushed-down ``IN`` filters (see
-    ``lookup_adjacency``); the id list is bounded by that checked count.
-    Larger frontiers, and cached graphs, use the plain join.
+    ``max_depth`` is clamped to 0..``MAX_HOPS_LIMIT``.
     """
-    if not 0 <= max_depth <= MAX_HOPS_LIMIT:
-        raise ValueError(f"max_depth must be within 0..{MAX_HOPS_LIMIT}")
+    max_depth = clamp(max_depth, 0, MAX_HOPS_LIMIT)
     adj = adjacency(graph, directed)
     start = _roots_frame(graph, roots).select("root", F.col("root").alias("node"))
     if with_paths:
         start = start.withColumn("path", F.array(F.col("node")))
     start = start.withColumn("depth", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
     levels = [start]
-    use_lookup = lookup_limit > 0 and not _is_cached(graph.edges)
-    ids = None
-    if use_lookup and not isinstance(roots, DataFrame):
-        ids = [int(roots)] if isinstance(roots, int) else [int(r) for r in roots]
-        if len(ids) > lookup_limit:
-            ids = None
     if target is not None:
         if not isinstance(roots, int):
             raise ValueError("a target stop needs a single root")
@@ -95,8 +62,7 @@ def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths:
             return start  # depth 0: the source itself (no job needed)
     for d in range(1, max_depth + 1):
         frontier = levels[-1]
-        level_adj = adj if ids is None else lookup_adjacency(graph, ids, directed)
-        step = frontier.join(level_adj.withColumnRenamed("u", "node"), "node")
+        step = frontier.join(adj.withColumnRenamed("u", "node"), "node")
         if with_paths:
             step = step.groupBy("root", F.col("v").alias("node")).agg(
                 F.min(F.concat("path", F.array(F.col("v")))).alias("path"))
@@ -110,23 +76,18 @@ def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths:
             step = cut_lineage(step)
         else:
             step = step.persist(StorageLevel.MEMORY_AND_DISK)
-        if target is None and not use_lookup and not eager_levels:
+        if target is None:
             # nothing to decide per level: levels stay lazy (persisted on first
             # use); an empty frontier just yields empty later levels
             levels.append(step)
             continue
         summary = step.agg(F.count(F.lit(1)).alias("n"),
-                           F.max((F.col("node") == F.lit(target)).cast("int")).alias("hit")
-                           if target is not None else F.lit(None).alias("hit")).first()
+                           F.max((F.col("node") == F.lit(target)).cast("int")).alias("hit")).first()
         if summary["n"] == 0:
             break
         levels.append(step)
-        if target is not None and summary["hit"] == 1:
+        if summary["hit"] == 1:
             break
-        ids = None
-        if use_lookup and summary["n"] <= lookup_limit and d < max_depth:
-            # bounded by the checked count: at most lookup_limit ids
-            ids = [r[0] for r in step.select("node").distinct().collect()]
     out = levels[0]
     for lvl in levels[1:]:
         out = out.unionByName(lvl)
@@ -177,8 +138,7 @@ def shortest_path_length(graph: Graph, source: int, target: int, max_hops: int =
     job returning two scalars: its size and the smallest depth at which it
     meets the other side. The first level that meets gives the length.
     """
-    if not 0 <= max_hops <= MAX_HOPS_LIMIT:
-        raise ValueError(f"max_hops must be within 0..{MAX_HOPS_LIMIT}")
+    max_hops = clamp(max_hops, 0, MAX_HOPS_LIMIT)
     spark = graph.spark
     schema = "source long, target long, length int"
     exists = graph.nodes.filter(F.col("id").isin([int(source), int(target)])) \
@@ -282,8 +242,7 @@ def simple_paths(graph: Graph, source: int, max_depth: int, directed: bool = Fal
     small neighbourhood. With ``stop_at`` the walk stops after the first depth
     that reaches that node and does not expand through it.
     """
-    if not 0 <= max_depth <= MAX_HOPS_LIMIT:
-        raise ValueError(f"max_depth must be within 0..{MAX_HOPS_LIMIT}")
+    max_depth = clamp(max_depth, 0, MAX_HOPS_LIMIT)
     adj = adjacency(graph, directed).distinct()
     level = graph.spark.range(1).select(F.lit(source).cast("long").alias("node"),
                                         F.array(F.lit(source).cast("long")).alias("path"),

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbweave.functions.text import EDGE_TYPE_PATTERN
+from orbweave.functions.text import IDENTIFIER
 from orbweave.model import Graph
 from orbweave.operators.nodes import (attach_nodes, edge_frame, keep_labelled, node_view,
                                       with_label)
@@ -21,8 +21,8 @@ from orbweave.operators.nodes import (attach_nodes, edge_frame, keep_labelled, n
 
 def check_edge_type(edge_type: str) -> str:
     """Edge-type identifier check used before a type is put into a pattern."""
-    if not isinstance(edge_type, str) or not re.match(EDGE_TYPE_PATTERN, edge_type):
-        raise ValueError(f"unexpected relationship type: {edge_type!r}")
+    if not isinstance(edge_type, str) or not re.fullmatch(IDENTIFIER, edge_type):
+        raise ValueError(f"{edge_type!r} can't be an edge type")
     return edge_type
 
 

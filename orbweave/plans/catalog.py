@@ -8,7 +8,6 @@ sample context, which the oracle derives the same way in SQL.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
@@ -20,9 +19,6 @@ from orbweave.sources.etl import Mirror, mirror, store_mirror
 from orbweave.session import checkpoint_dir
 from orbweave.sources.fixture import fixture_graph, store_graph
 
-# Stored graphs up to this size are also cached in memory (env override).
-CACHE_LIMIT_BYTES = int(os.environ.get("ORBWEAVE_CACHE_LIMIT_BYTES", str(1 << 30)))
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -35,31 +31,16 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def graph_for(spark: SparkSession, sf_dir: str) -> Graph:
-    """The fixture graph of ``sf_dir``, built once per session and kept persisted."""
+    """The fixture graph of ``sf_dir``, derived once per session and read from its stored tables."""
     k = _key(spark, sf_dir)
     if k not in _GRAPHS:
         # Derive once, store as sorted parquet tables in the shared checkpoint
-        # folder, then serve every query from those (persisted) scans.
+        # folder, then serve every query from those scans, whatever their size.
         folder = f"{checkpoint_dir(spark).rstrip('/')}/graph-{uuid.uuid4().hex}"
-        g = store_graph(fixture_graph(spark, sf_dir), folder)
-        # Cache only a graph whose stored size is checked to be small; a large
-        # one is served from the sorted files, where point lookups and small
-        # BFS frontiers become pruned scans.
-        _GRAPHS[k] = g.persist() if stored_bytes(spark, folder) <= CACHE_LIMIT_BYTES else g
+        _GRAPHS[k] = store_graph(fixture_graph(spark, sf_dir), folder)
     return _GRAPHS[k]
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under ``path`` on the cluster filesystem (one metadata call)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(hpath).getLength())
-    except Exception:  # noqa: BLE001 - unknown size: treat as large (no cache)
-        return CACHE_LIMIT_BYTES + 1
-
-
 def mirror_for(spark: SparkSession, sf_dir: str) -> Mirror:
     """The ETL projection of the graph, computed (used by the ETL queries themselves)."""
     return mirror(graph_for(spark, sf_dir))
@@ -70,15 +51,12 @@ _MIRRORS: dict[tuple, Mirror] = {}
 
 def loaded_mirror_for(spark: SparkSession, sf_dir: str) -> Mirror:
     """The mirror as loaded tables: projected once, stored in the shared checkpoint
-    folder and read back (cached when small). SQL-side queries run against it,
+    folder and read back. SQL-side queries run against it,
     as the relational mirror is queried after its load."""
     k = _key(spark, sf_dir)
     if k not in _MIRRORS:
         folder = f"{checkpoint_dir(spark).rstrip('/')}/mirror-{uuid.uuid4().hex}"
-        m = store_mirror(mirror_for(spark, sf_dir), folder)
-        if stored_bytes(spark, folder) <= CACHE_LIMIT_BYTES:
-            m = Mirror(*(df.persist() for df in m.tables().values()), m.quarantine)
-        _MIRRORS[k] = m
+        _MIRRORS[k] = store_mirror(mirror_for(spark, sf_dir), folder)
     return _MIRRORS[k]
 
 

@@ -7,6 +7,8 @@ pre-registered table views. The Spark side is built with the DataFrame API in
 
 from __future__ import annotations
 
+import re
+
 # Whitespace class (RE2 needs \x0b added; its \s lacks vertical tab).
 WS = r"[\s\p{Z}\x{FEFF}\x0b]"
 
@@ -25,7 +27,7 @@ _NODE_COLS = ("name, address, country_codes, country, countries, jurisdiction, "
 
 GRAPH_CTES = f"""
 g_nodes AS (
-  SELECT 1000000000 + c_custkey AS id,
+  SELECT 1000000000000000 + c_custkey AS id,
          CASE WHEN c_custkey % 50 = 0 THEN ['Intermediary', 'Officer'] ELSE ['Officer'] END AS labels,
          CASE WHEN c_custkey % 11 = 0 THEN '  '
               WHEN c_custkey % 11 = 1 THEN chr(9) || c_name || ' ' ELSE c_name END AS name,
@@ -38,38 +40,42 @@ g_nodes AS (
          'Source ' || CAST(c_custkey % 3 AS VARCHAR) AS sourceID
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
   UNION ALL
-  SELECT 2000000000 + p_partkey, ['Entity'], p_name, NULL, NULL, NULL, NULL, p_brand, p_type,
+  SELECT 2000000000000000 + p_partkey, ['Entity'], p_name, NULL, NULL, NULL, NULL, p_brand, p_type,
          CASE WHEN p_size >= 25 THEN 'Active' ELSE 'Defaulted' END, NULL, NULL FROM part
   UNION ALL
-  SELECT 3000000000 + s_suppkey, ['Intermediary'], s_name, NULL, NULL, NULL, NULL, NULL, NULL,
+  SELECT 3000000000000000 + s_suppkey, ['Intermediary'], s_name, NULL, NULL, NULL, NULL, NULL, NULL,
          NULL, NULL, NULL FROM supplier
   UNION ALL
-  SELECT 4000000000 + n_nationkey, ['Address'], NULL, n_name, NULL, NULL, NULL, NULL, NULL,
+  SELECT 4000000000000000 + n_nationkey, ['Address'], NULL, n_name, NULL, NULL, NULL, NULL, NULL,
          NULL, NULL, NULL FROM nation
   UNION ALL
-  SELECT 5000000000 + r_regionkey, ['Other'], r_name, NULL, NULL, NULL, NULL, NULL, NULL,
+  SELECT 5000000000000000 + r_regionkey, ['Other'], r_name, NULL, NULL, NULL, NULL, NULL, NULL,
          NULL, NULL, NULL FROM region
 ),
-g_edges AS (
-  SELECT 200000000000000000 + l_orderkey * 100000000 + l_partkey AS id, 'officer_of' AS type,
-         1000000000 + min(o_custkey) AS src, 2000000000 + l_partkey AS dst,
+g_pairs_of AS (
+  SELECT l_orderkey, l_partkey, min(o_custkey) AS cust, min(l_suppkey) AS supp,
          min(l_returnflag) AS link, min(l_linestatus) AS status,
          CAST(CAST(min(l_shipdate) AS DATE) AS VARCHAR) AS start_date
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_linenumber = 1 AND l_quantity >= 40 GROUP BY l_orderkey, l_partkey
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_partkey
+),
+g_numbered AS (
+  SELECT *, l_orderkey * 4096 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) - 1 AS k FROM g_pairs_of
+),
+g_edges AS (
+  SELECT {1 * 2**60} + k AS id, 'officer_of' AS type,
+         1000000000000000 + cust AS src, 2000000000000000 + l_partkey AS dst, link, status, start_date
+  FROM g_numbered WHERE cust IS NOT NULL
   UNION ALL
-  SELECT 300000000000000000 + l_orderkey * 100000000 + l_partkey, 'intermediary_of',
-         3000000000 + min(l_suppkey), 2000000000 + l_partkey,
-         min(l_returnflag), min(l_linestatus), CAST(CAST(min(l_shipdate) AS DATE) AS VARCHAR)
-  FROM lineitem WHERE l_linenumber = 2 AND l_quantity >= 45 GROUP BY l_orderkey, l_partkey
+  SELECT {2 * 2**60} + k, 'intermediary_of', 3000000000000000 + supp, 2000000000000000 + l_partkey, link, status, start_date
+  FROM g_numbered
   UNION ALL
-  SELECT 400000000000000000 + c_custkey, 'REGISTERED_ADDRESS', 1000000000 + c_custkey,
-         4000000000 + c_nationkey, NULL, NULL, NULL
-  FROM customer WHERE c_custkey % 10 = 0
+  SELECT {3 * 2**60} + c_custkey, 'REGISTERED_ADDRESS', 1000000000000000 + c_custkey,
+         4000000000000000 + c_nationkey, NULL, NULL, NULL
+  FROM customer
   UNION ALL
-  SELECT 500000000000000000 + c_custkey, 'connected_to', 1000000000 + c_custkey,
-         1000000000 + (c_custkey * 7 + 4) % (SELECT count(*) FROM customer), NULL, NULL, NULL
-  FROM customer WHERE c_custkey % 4 = 0
+  SELECT {4 * 2**60} + c_custkey, 'connected_to', 1000000000000000 + c_custkey,
+         1000000000000000 + (c_custkey * 7 + 4) % (SELECT count(*) FROM customer), NULL, NULL, NULL
+  FROM customer
 ),
 g_view AS (
   SELECT id, labels,
@@ -144,15 +150,23 @@ g_hub AS (
     SELECT src AS officer_id, count(*) AS degree FROM g_oe GROUP BY src
     ORDER BY degree DESC, officer_id LIMIT 1) d JOIN g_nv v ON v.id = d.officer_id
 ),
+g_h1 AS (  -- the hub's entities
+  SELECT DISTINCT dst AS e FROM g_edges
+  WHERE src = (SELECT officer_id FROM g_hub) AND type = (SELECT type FROM g_of_type)
+),
+g_hi AS (  -- intermediaries of those entities, with their number of edges into them
+  SELECT src AS i, count(*) AS c FROM g_edges
+  WHERE type = (SELECT type FROM g_im_type) AND dst IN (SELECT e FROM g_h1) GROUP BY src
+),
+g_h2 AS (  -- entities of those intermediaries by another edge
+  SELECT DISTINCT x.dst AS e FROM g_edges x JOIN g_hi ON g_hi.i = x.src
+  WHERE x.type = (SELECT type FROM g_im_type) AND (g_hi.c >= 2 OR x.dst NOT IN (SELECT e FROM g_h1))
+),
 g_co AS (
-  SELECT DISTINCT r4.src AS other
-  FROM g_hub h
-  JOIN g_edges r1 ON r1.src = h.officer_id AND r1.type = (SELECT type FROM g_of_type)
-  JOIN g_edges r2 ON r2.dst = r1.dst AND r2.type = (SELECT type FROM g_im_type)
-  JOIN g_edges r3 ON r3.src = r2.src AND r3.type = (SELECT type FROM g_im_type) AND r3.id <> r2.id
-  JOIN g_edges r4 ON r4.dst = r3.dst AND r4.type = (SELECT type FROM g_of_type)
-  JOIN g_nodes o ON o.id = r4.src AND list_contains(o.labels, 'Officer')
-  WHERE r4.src <> h.officer_id
+  SELECT DISTINCT src AS other FROM g_edges
+  WHERE type = (SELECT type FROM g_of_type) AND dst IN (SELECT e FROM g_h2)
+    AND src <> (SELECT officer_id FROM g_hub)
+    AND src IN (SELECT id FROM g_nodes WHERE list_contains(labels, 'Officer'))
 ),
 g_ctx AS (
   SELECT {fragment('h.name')} AS name_fragment, h.name AS officer_name,
@@ -168,8 +182,26 @@ g_adj AS (
 """
 
 
+def _ctes(text: str) -> dict[str, str]:
+    """name -> "name AS (...)" of a list of CTEs."""
+    starts = [(m.start(), m[1]) for m in re.finditer(r"^(\w+) AS \(", text, re.M)]
+    ends = [at for at, _ in starts[1:]] + [len(text)]
+    return {name: text[at:end].strip().rstrip(",") for (at, name), end in zip(starts, ends, strict=True)}
+
+
+_GRAPH = _ctes(GRAPH_CTES)
+
+
 def with_graph(select_sql: str, extra_ctes: str = "", recursive: bool = False) -> str:
-    """Prefix ``select_sql`` with the graph CTEs (and optional extra CTEs)."""
+    """Prefix ``select_sql`` with the graph CTEs it needs (and optional extra CTEs)."""
+    text = f"{select_sql}\n{extra_ctes}"
+    need: set[str] = set()
+    todo = [n for n in _GRAPH if re.search(rf"\b{n}\b", text)]
+    while todo:
+        name = todo.pop()
+        if name not in need:
+            need.add(name)
+            todo += [n for n in _GRAPH if re.search(rf"\b{n}\b", _GRAPH[name].split(" AS (", 1)[1])]
     head = "WITH RECURSIVE" if recursive else "WITH"
-    extra = f",\n{extra_ctes.strip()}" if extra_ctes.strip() else ""
-    return f"{head}{GRAPH_CTES.rstrip()}{extra}\n{select_sql.strip()}"
+    parts = [cte for name, cte in _GRAPH.items() if name in need] + ([extra_ctes.strip()] if extra_ctes.strip() else [])
+    return f"{head}\n" + ",\n".join(parts) + f"\n{select_sql.strip()}" if parts else select_sql.strip()

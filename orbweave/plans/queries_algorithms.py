@@ -35,7 +35,7 @@ pr AS (
     UNION ALL SELECT p.k, p.id, 0.0 FROM pr p)
   WHERE k < 20 GROUP BY k, id
 ),
-pr_final AS (SELECT id, round(score, 6) AS score FROM pr WHERE k = 20)"""
+pr_final AS (SELECT id, round(score, 6) AS score, round(score, 9) AS raw FROM pr WHERE k = 20)"""
 
 
 _KHOP_PR = bfs_ctes(_HUB, SUBGRAPH_HOPS).strip() + "," + pagerank_ctes(
@@ -46,7 +46,7 @@ _KHOP_PR = bfs_ctes(_HUB, SUBGRAPH_HOPS).strip() + "," + pagerank_ctes(
 
 @register("pagerank_khop", with_graph(f"""
 SELECT t.id, v.kind, v.name, t.score FROM (
-  SELECT id, score FROM pr_final ORDER BY score DESC, id LIMIT {PAGERANK_TOP}) t
+  SELECT id, score FROM pr_final ORDER BY raw DESC, id LIMIT {PAGERANK_TOP}) t
 LEFT JOIN g_nv v ON v.id = t.id""", _KHOP_PR, recursive=True))
 def q_pagerank_khop(spark, sf_dir):
     """PageRank on the hub's 2-hop subgraph (directed, parallel edges kept), top 25."""
@@ -69,7 +69,7 @@ _GLOBAL_PR = pagerank_ctes(
 
 @register("pagerank_global", with_graph(f"""
 SELECT t.id, v.kind, v.name, t.score FROM (
-  SELECT id, score FROM pr_final WHERE score > 0 ORDER BY score DESC, id LIMIT {PAGERANK_TOP}) t
+  SELECT id, score FROM pr_final WHERE score > 0 ORDER BY raw DESC, id LIMIT {PAGERANK_TOP}) t
 LEFT JOIN g_nv v ON v.id = t.id""", _GLOBAL_PR, recursive=True))
 def q_pagerank_global(spark, sf_dir):
     """Whole-graph PageRank on the typed undirected projection, score > 0, top 25."""
@@ -80,7 +80,7 @@ def q_pagerank_global(spark, sf_dir):
 
 @register("pagerank_directed", with_graph(f"""
 SELECT t.id, v.name, t.score FROM (
-  SELECT id, score FROM pr_final ORDER BY score DESC, id LIMIT {PAGERANK_DIRECTED_TOP}) t
+  SELECT id, score FROM pr_final ORDER BY raw DESC, id LIMIT {PAGERANK_DIRECTED_TOP}) t
 LEFT JOIN g_nv v ON v.id = t.id""",
     pagerank_ctes("SELECT id FROM g_nodes", "SELECT src, dst FROM g_edges"), recursive=True))
 def q_pagerank_directed(spark, sf_dir):
@@ -131,7 +131,7 @@ def q_louvain_khop(spark, sf_dir):
     """Communities of the hub's 2-hop subgraph (rows-only check: no SQL Louvain)."""
     g, _, _, comm = _louvain_khop(spark, sf_dir)
     return comm.join(node_view(g).select("id", "kind", "name"), "id", "left") \
-        .select("id", "kind", "name", "community")
+        .select("id", "kind", "name", "community").orderBy("community", "id")
 
 
 @register("louvain_modularity")

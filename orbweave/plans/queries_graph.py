@@ -98,19 +98,17 @@ def q_co_officers(spark, sf_dir):
                                ctx.intermediary_of_type, edge_unique=True)
 
 
-@register("co_officers_sql", with_graph("""
-SELECT DISTINCT other.name
-FROM g_relationships r1
-JOIN g_relationships r2 ON r2.end_id = r1.end_id
- AND r2.rel_type = lower((SELECT intermediary_of_type FROM g_ctx))
-JOIN g_relationships r3 ON r3.start_id = r2.start_id
- AND r3.rel_type = lower((SELECT intermediary_of_type FROM g_ctx))
-JOIN g_relationships r4 ON r4.end_id = r3.end_id
- AND r4.rel_type = lower((SELECT officer_of_type FROM g_ctx))
-JOIN g_officers other ON other.node_id = r4.start_id
-WHERE r1.start_id = (SELECT officer_id FROM g_ctx)
-  AND r1.rel_type = lower((SELECT officer_of_type FROM g_ctx))
-  AND other.node_id <> (SELECT officer_id FROM g_ctx)"""))
+_OF = "rel_type = lower((SELECT officer_of_type FROM g_ctx))"
+_IM = "rel_type = lower((SELECT intermediary_of_type FROM g_ctx))"
+
+
+@register("co_officers_sql", with_graph(f"""
+SELECT DISTINCT name FROM g_officers
+WHERE node_id <> (SELECT officer_id FROM g_ctx) AND node_id IN (
+  SELECT start_id FROM g_relationships WHERE {_OF} AND end_id IN (
+    SELECT end_id FROM g_relationships WHERE {_IM} AND start_id IN (
+      SELECT start_id FROM g_relationships WHERE {_IM} AND end_id IN (
+        SELECT end_id FROM g_relationships WHERE {_OF} AND start_id = (SELECT officer_id FROM g_ctx)))))"""))
 def q_co_officers_sql(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
     m = loaded_mirror_for(spark, sf_dir)

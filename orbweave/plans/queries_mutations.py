@@ -20,30 +20,38 @@ from orbweave.sources.quality import validate_edge_merges, validate_node_creates
 # and the request-id offset separating supplier requests from customer ones.
 STAMP = "2026-01-01T00:00:00Z"
 SUPPLIER_REQUEST_BASE = 1_000_000_000_000
-ORPHAN_OFFSET = 100_000_000
-MISSING_ADDRESS_OFFSET = 1000
+REPEATED_REQUEST = 2_000_000_000_000
+ORPHAN_OFFSET = 100_000_000_000_000
+MISSING_ADDRESS_OFFSET = 100_000_000_000_000
 
 
 # -- batches ------------------------------------------------------------------------
 
 def create_batch(spark, sf_dir):
+    """One request a supplier; some repeat another's id, some have a negative one."""
     s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    n = F.broadcast(read_table(spark, sf_dir, "nation", "n_nationkey", "n_name"))  # 25 rows
-    return s.join(n, s.s_nationkey == n.n_nationkey, "left").select(
-        F.col("s_suppkey").alias("request_id"),
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    one = s.join(n, s.s_nationkey == n.n_nationkey, "left").select(
+        F.when(F.col("s_nationkey") == 1, -F.col("s_suppkey") - 1)
+        .when(F.col("s_nationkey") == 2, F.lit(REPEATED_REQUEST)).otherwise(F.col("s_suppkey")).alias("request_id"),
         F.when(F.col("s_acctbal") < 0, "Company").otherwise("Entity").alias("kind"),
         F.concat("s_name", F.lit(" Holdings")).alias("name"), F.col("n_name").alias("country"),
         F.lit(None).cast("string").alias("jurisdiction"),
         F.lit("created from supplier").alias("note"))
+    return one
 
 
-_CREATE_BATCH_SQL = """
+_CREATE_BATCH_SQL = f"""
 g_cb AS (
-  SELECT s_suppkey AS request_id, CASE WHEN s_acctbal < 0 THEN 'Company' ELSE 'Entity' END AS kind,
-         s_name || ' Holdings' AS name, n_name AS country
-  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+  SELECT *, CASE WHEN request_id < 0 THEN 'request id not valid'
+                 WHEN count(*) OVER (PARTITION BY request_id) > 1 THEN 'request id repeated'
+                 WHEN kind NOT IN ('Officer', 'Entity', 'Intermediary', 'Address') THEN 'kind not allowed'
+                 WHEN name IS NULL OR length(name) < 1 THEN 'name required' END AS reason
+  FROM (SELECT CASE s_nationkey WHEN 1 THEN -s_suppkey - 1 WHEN 2 THEN {REPEATED_REQUEST} ELSE s_suppkey END AS request_id,
+               CASE WHEN s_acctbal < 0 THEN 'Company' ELSE 'Entity' END AS kind,
+               s_name || ' Holdings' AS name, n_name AS country
+        FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)
 )"""
-_KIND_OK = "kind IN ('Officer', 'Entity', 'Intermediary', 'Address')"
 
 
 def patch_batch(spark, sf_dir):
@@ -57,6 +65,7 @@ def patch_batch(spark, sf_dir):
     return (rows(F.col("p_size") < 25, eid, "status", "Dissolved", 1)
             .unionByName(rows(F.col("p_size") < 10, eid, "jurisdiction", None, 2))
             .unionByName(rows(F.col("p_size") < 5, eid, "status", "Struck off", 3))
+            .unionByName(rows(F.col("p_size") < 3, eid, "updated_at", "1999-01-01T00:00:00Z", 4))
             .unionByName(rows(F.col("p_size") >= 49, eid + F.lit(ORPHAN_OFFSET), "note",
                               "orphan patch", 1)))
 
@@ -66,6 +75,7 @@ g_pb AS (
   SELECT {ENTITY_BASE} + p_partkey AS id, 'status' AS key, 'Dissolved' AS value, 1 AS seq FROM part WHERE p_size < 25
   UNION ALL SELECT {ENTITY_BASE} + p_partkey, 'jurisdiction', NULL, 2 FROM part WHERE p_size < 10
   UNION ALL SELECT {ENTITY_BASE} + p_partkey, 'status', 'Struck off', 3 FROM part WHERE p_size < 5
+  UNION ALL SELECT {ENTITY_BASE} + p_partkey, 'updated_at', '1999-01-01T00:00:00Z', 4 FROM part WHERE p_size < 3
   UNION ALL SELECT {ENTITY_BASE + ORPHAN_OFFSET} + p_partkey, 'note', 'orphan patch', 1 FROM part WHERE p_size >= 49
 ),
 g_pl AS (
@@ -84,28 +94,32 @@ _DELETED_SQL = f"(SELECT {OFFICER_BASE} + c_custkey FROM customer WHERE c_mktseg
 
 
 def merge_batch(spark, sf_dir):
-    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_acctbal")
     s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey", "s_acctbal")
+    # customers in debt move to the next nation's address: a new edge
+    nation = F.when(F.col("c_acctbal") < 0, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey"))
     cust = c.select(F.col("c_custkey").alias("request_id"),
                     (F.lit(OFFICER_BASE) + F.col("c_custkey")).alias("src"),
-                    (F.lit(ADDRESS_BASE) + F.col("c_nationkey")).alias("dst"),
+                    (F.lit(ADDRESS_BASE) + nation).alias("dst"),
                     F.lit("registered_address").alias("type"))
     supp = s.select((F.lit(SUPPLIER_REQUEST_BASE) + F.col("s_suppkey")).alias("request_id"),
                     (F.lit(INTERMEDIARY_BASE) + F.col("s_suppkey")).alias("src"),
                     (F.lit(ADDRESS_BASE + MISSING_ADDRESS_OFFSET) + F.col("s_nationkey")).alias("dst"),
                     F.when(F.col("s_acctbal") < 0, "registered address")
+                    .when(F.col("s_nationkey") == 0, "registered_address\n")
                     .otherwise("registered_address").alias("type"))
     return cust.unionByName(supp)
 
 
 _MERGE_BATCH_SQL = f"""
 g_mb AS (
-  SELECT c_custkey AS request_id, {OFFICER_BASE} + c_custkey AS src, {ADDRESS_BASE} + c_nationkey AS dst,
+  SELECT c_custkey AS request_id, {OFFICER_BASE} + c_custkey AS src, {ADDRESS_BASE} + CASE WHEN c_acctbal < 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS dst,
          'registered_address' AS type FROM customer
   UNION ALL
   SELECT {SUPPLIER_REQUEST_BASE} + s_suppkey, {INTERMEDIARY_BASE} + s_suppkey,
          {ADDRESS_BASE + MISSING_ADDRESS_OFFSET} + s_nationkey,
-         CASE WHEN s_acctbal < 0 THEN 'registered address' ELSE 'registered_address' END FROM supplier
+         CASE WHEN s_acctbal < 0 THEN 'registered address' WHEN s_nationkey = 0 THEN 'registered_address' || chr(10)
+              ELSE 'registered_address' END FROM supplier
 ),
 g_mv AS (SELECT request_id, src, dst, lower(type) AS type FROM g_mb
          WHERE regexp_full_match(type, '[A-Za-z_][A-Za-z0-9_]*')),
@@ -122,26 +136,22 @@ g_mres AS (
 
 def delete_edge_batch(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_acctbal")
-    return c.filter((F.col("c_custkey") % 4 == 0) & (F.col("c_acctbal") < 0)).select(
+    return c.filter(F.col("c_acctbal") < 0).select(
         (F.lit(CONNECTED_BASE) + F.col("c_custkey")).alias("id"))
 
 
 # -- queries ---------------------------------------------------------------------------
 
-@register("validate_nodes", with_graph(f"""
-SELECT request_id, CASE WHEN NOT ({_KIND_OK}) OR kind IS NULL THEN 'kind not allowed'
-                        ELSE 'name required' END AS reason
-FROM g_cb WHERE NOT ({_KIND_OK}) OR kind IS NULL OR name IS NULL OR length(name) < 1""",
-    _CREATE_BATCH_SQL))
+@register("validate_nodes", with_graph(
+    "SELECT request_id, reason FROM g_cb WHERE reason IS NOT NULL", _CREATE_BATCH_SQL))
 def q_validate_nodes(spark, sf_dir):
     _, rejected = validate_node_creates(create_batch(spark, sf_dir))
     return rejected.select("request_id", "reason")
 
 
-@register("create_nodes", with_graph(f"""
-SELECT request_id,
-       CASE WHEN {_KIND_OK} THEN (SELECT max(id) + 1 FROM g_nodes) + request_id END AS id,
-       kind, name, CASE WHEN {_KIND_OK} THEN 'created' ELSE 'kind not allowed' END AS status
+@register("create_nodes", with_graph("""
+SELECT request_id, CASE WHEN reason IS NULL THEN (SELECT max(id) + 1 FROM g_nodes) + request_id END AS id,
+       kind, name, coalesce(reason, 'created') AS status
 FROM g_cb""", _CREATE_BATCH_SQL))
 def q_create_nodes(spark, sf_dir):
     g = graph_for(spark, sf_dir)
@@ -220,7 +230,7 @@ def q_merge_edges(spark, sf_dir):
 
 @register("delete_edges", with_graph(f"""
 SELECT id FROM g_edges WHERE id NOT IN (
-  SELECT {CONNECTED_BASE} + c_custkey FROM customer WHERE c_custkey % 4 = 0 AND c_acctbal < 0)"""))
+  SELECT {CONNECTED_BASE} + c_custkey FROM customer WHERE c_acctbal < 0)"""))
 def q_delete_edges(spark, sf_dir):
     applied = mutate.delete_edges(graph_for(spark, sf_dir), delete_edge_batch(spark, sf_dir))
     return applied.graph.edges.select("id")

@@ -1,7 +1,7 @@
 """Registered queries: neighbourhoods, k-hop subgraphs, BFS and shortest paths.
 
-Oracles use DuckDB recursive CTEs: set-semantics BFS for distances and a
-simple-path walk (the reference's own SQL formulation) for shortest paths.
+Oracles use DuckDB recursive CTEs: set-semantics BFS for distances, and for
+shortest paths the least node of each step among those on one.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from orbweave.operators.nodes import node_view
 from orbweave.plans.catalog import context_for, graph_for, loaded_mirror_for, register
 from orbweave.plans.oracle import with_graph
 from orbweave.operators.search import resolve_name
+from orbweave.sources.fixture import OFFICER_BASE, read_table
 
 # Hops of the subgraph/algorithm queries, neighbourhood edge cap,
 # and the depth range of the sweep.
@@ -35,18 +36,41 @@ def bfs_ctes(source: str, max_depth: int | str, name: str = "g_bfs") -> str:
 {name}_dist AS (SELECT node, min(depth) AS depth FROM {name} GROUP BY node)"""
 
 
-def walk_ctes(source: str, target: str, hops: str, directed: bool = False) -> str:
-    adj = "(SELECT src AS u, dst AS v FROM g_edges)" if directed else "g_adj"
+def shortest_ctes(source: str, target: str, hops: str, directed: bool = False) -> str:
+    """g_best (source, target, length, path) and g_pairs (pos, a, b) of the smallest shortest path.
+
+    Distances from both ends by set-semantics BFS; a node lies on a shortest
+    path if they add up to its length, and the smallest path takes the least
+    such node at each step.
+    """
+    out = "SELECT src AS u, dst AS v FROM g_edges" if directed else "SELECT u, v FROM g_adj"
     return f"""
-g_walk AS (
-  SELECT {source} AS node, [{source}] AS path, 0 AS depth
+g_step AS ({out}),
+g_fwd AS (
+  SELECT {source} AS node, 0 AS depth
+  UNION
+  SELECT a.v, b.depth + 1 FROM g_fwd b JOIN g_step a ON a.u = b.node WHERE b.depth < {hops}
+),
+g_bwd AS (
+  SELECT {target} AS node, 0 AS depth
+  UNION
+  SELECT a.u, b.depth + 1 FROM g_bwd b JOIN g_step a ON a.v = b.node WHERE b.depth < {hops}
+),
+g_length AS (SELECT min(depth) AS n FROM g_fwd WHERE node = {target}),
+g_on AS (
+  SELECT f.node, f.depth FROM (SELECT node, min(depth) AS depth FROM g_fwd GROUP BY node) f
+  JOIN (SELECT node, min(depth) AS depth FROM g_bwd GROUP BY node) t ON t.node = f.node
+  WHERE f.depth + t.depth = (SELECT n FROM g_length)
+),
+g_least AS (
+  SELECT node, depth FROM g_on WHERE depth = 0
   UNION ALL
-  SELECT a.v, list_append(w.path, a.v), w.depth + 1 FROM g_walk w JOIN {adj} a ON a.u = w.node
-  WHERE w.depth < {hops} AND NOT list_contains(w.path, a.v) AND w.node <> {target}
+  SELECT min(o.node), l.depth + 1 FROM g_least l JOIN g_step a ON a.u = l.node
+  JOIN g_on o ON o.node = a.v AND o.depth = l.depth + 1 GROUP BY l.depth
 ),
 g_best AS (
-  SELECT {source} AS source, {target} AS target, depth AS length, min(path) AS path
-  FROM g_walk WHERE node = {target} GROUP BY depth ORDER BY depth LIMIT 1
+  SELECT {source} AS source, {target} AS target, CAST(max(depth) AS INTEGER) AS length, list(node ORDER BY depth) AS path
+  FROM g_least HAVING count(*) > 0
 ),
 g_pairs AS (
   SELECT i - 1 AS pos, path[i] AS a, path[i + 1] AS b
@@ -125,15 +149,18 @@ def q_undirected_adjacency(spark, sf_dir):
     return pattern.undirected_adjacency(graph_for(spark, sf_dir))
 
 
+_OF = "type = (SELECT officer_of_type FROM g_ctx)"
+_IM = "type = (SELECT intermediary_of_type FROM g_ctx)"
+
+
 @register("match_chain", with_graph(f"""
-SELECT DISTINCT {_HUB} AS root, r4.src AS node
-FROM g_edges r1
-JOIN g_nodes n1 ON n1.id = r1.dst AND list_contains(n1.labels, 'Entity')
-JOIN g_edges r2 ON r2.dst = r1.dst AND r2.type = (SELECT intermediary_of_type FROM g_ctx)
-JOIN g_edges r3 ON r3.src = r2.src AND r3.type = (SELECT intermediary_of_type FROM g_ctx)
-JOIN g_edges r4 ON r4.dst = r3.dst AND r4.type = (SELECT officer_of_type FROM g_ctx)
-JOIN g_nodes n4 ON n4.id = r4.src AND list_contains(n4.labels, 'Officer')
-WHERE r1.src = {_HUB} AND r1.type = (SELECT officer_of_type FROM g_ctx)"""))
+SELECT {_HUB} AS root, id AS node FROM g_nodes
+WHERE list_contains(labels, 'Officer') AND id IN (
+  SELECT src FROM g_edges WHERE {_OF} AND dst IN (
+    SELECT dst FROM g_edges WHERE {_IM} AND src IN (
+      SELECT src FROM g_edges WHERE {_IM} AND dst IN (
+        SELECT dst FROM g_edges WHERE {_OF} AND src = {_HUB}
+          AND dst IN (SELECT id FROM g_nodes WHERE list_contains(labels, 'Entity'))))))"""))
 def q_match_chain(spark, sf_dir):
     """The co-officer chain written as generic steps (no uniqueness, root included)."""
     ctx, g = _ctx(spark, sf_dir)
@@ -177,7 +204,7 @@ def q_closed_neighborhood(spark, sf_dir):
 
 # -- BFS, shortest paths ------------------------------------------------------------
 
-_WALK = walk_ctes(_HUB, _TARGET, _HOPS)
+_SHORTEST = shortest_ctes(_HUB, _TARGET, _HOPS)
 
 
 def _shortest(spark, sf_dir):
@@ -188,7 +215,7 @@ def _shortest(spark, sf_dir):
 @register("shortest_path_nodes", with_graph("""
 SELECT p.pos, p.node_id, v.kind, v.name FROM (
   SELECT CAST(generate_subscripts(path, 1) - 1 AS INTEGER) AS pos, unnest(path) AS node_id FROM g_best) p
-LEFT JOIN g_nv v ON v.id = p.node_id""", _WALK, recursive=True))
+LEFT JOIN g_nv v ON v.id = p.node_id""", _SHORTEST, recursive=True))
 def q_shortest_path_nodes(spark, sf_dir):
     _, g, sp = _shortest(spark, sf_dir)
     return paths.path_nodes(g, sp)
@@ -198,14 +225,14 @@ def q_shortest_path_nodes(spark, sf_dir):
 SELECT CAST(b.pos AS INTEGER) AS pos, b.edge_id, e.type, e.src, e.dst FROM (
   SELECT p.pos, min(e.id) AS edge_id FROM g_pairs p
   JOIN g_edges e ON (e.src = p.a AND e.dst = p.b) OR (e.src = p.b AND e.dst = p.a)
-  GROUP BY p.pos) b JOIN g_edges e ON e.id = b.edge_id""", _WALK, recursive=True))
+  GROUP BY p.pos) b JOIN g_edges e ON e.id = b.edge_id""", _SHORTEST, recursive=True))
 def q_shortest_path_edges(spark, sf_dir):
     _, g, sp = _shortest(spark, sf_dir)
     return paths.path_edges(g, sp)
 
 
 @register("shortest_path_length", with_graph(
-    "SELECT source, target, length FROM g_best", _WALK, recursive=True))
+    "SELECT source, target, length FROM g_best", _SHORTEST, recursive=True))
 def q_shortest_path_length(spark, sf_dir):
     ctx, g = _ctx(spark, sf_dir)
     return paths.shortest_path_length(g, ctx.path_source_id, ctx.path_target_id, ctx.max_hops)
@@ -213,14 +240,14 @@ def q_shortest_path_length(spark, sf_dir):
 
 @register("path_steps", with_graph("""
 SELECT CAST(generate_subscripts(path, 1) - 1 AS INTEGER) AS pos, unnest(path) AS node_id FROM g_best""",
-    _WALK, recursive=True))
+    _SHORTEST, recursive=True))
 def q_path_steps(spark, sf_dir):
     _, _, sp = _shortest(spark, sf_dir)
     return paths.path_steps(sp)
 
 
 @register("simple_paths", with_graph("""
-SELECT target, length, array_to_string(path, ',') AS path FROM g_best""", _WALK, recursive=True))
+SELECT target, length, array_to_string(path, ',') AS path FROM g_best""", _SHORTEST, recursive=True))
 def q_simple_paths(spark, sf_dir):
     ctx, g = _ctx(spark, sf_dir)
     return paths.first_hit(g, ctx.path_source_id, ctx.path_target_id, ctx.max_hops)
@@ -230,19 +257,19 @@ _NAME_OF_HUB = "(SELECT min(node_id) FROM g_officers WHERE name = (SELECT name F
 _NAME_OF_TARGET = "(SELECT min(node_id) FROM g_officers WHERE name = (SELECT name FROM g_officers WHERE node_id = (SELECT path_target_id FROM g_ctx)))"
 
 
-def _ids_by_name(spark, sf_dir):
+def _ids_by_name(spark, sf_dir, target=None):
     ctx = context_for(spark, sf_dir)
     officers = loaded_mirror_for(spark, sf_dir).officers
     def name_of(i):
         return officers.filter(F.col("node_id") == i).select("name").first()["name"]
     src = resolve_name(officers, name_of(ctx.path_source_id)).first()["node_id"]
-    dst = resolve_name(officers, name_of(ctx.path_target_id)).first()["node_id"]
+    dst = resolve_name(officers, name_of(target or ctx.path_target_id)).first()["node_id"]
     return ctx, src, dst
 
 
 @register("shortest_path_by_name", with_graph("""
 SELECT source, target, length, array_to_string(path, ',') AS path FROM g_best""",
-    walk_ctes(_NAME_OF_HUB, _NAME_OF_TARGET, _HOPS), recursive=True))
+    shortest_ctes(_NAME_OF_HUB, _NAME_OF_TARGET, _HOPS), recursive=True))
 def q_shortest_path_by_name(spark, sf_dir):
     ctx, src, dst = _ids_by_name(spark, sf_dir)
     sp = paths.shortest_path(graph_for(spark, sf_dir), src, dst, ctx.max_hops)
@@ -250,11 +277,25 @@ def q_shortest_path_by_name(spark, sf_dir):
                      F.array_join(F.col("path").cast("array<string>"), ",").alias("path"))
 
 
+# Three connected_to steps away from the hub (the rule of the fixture's edges).
+_N = "(SELECT count(*) FROM customer)"
+_AWAY = f"({_HUB} - {OFFICER_BASE})"
+for _ in range(3):
+    _AWAY = f"(({_AWAY} * 7 + 4) % {_N})"
+_DIRECTED_TARGET = _NAME_OF_TARGET.replace("(SELECT path_target_id FROM g_ctx)", f"{OFFICER_BASE} + {_AWAY}")
+
+
 @register("simple_paths_directed", with_graph("""
 SELECT target, length, array_to_string(path, ',') AS path FROM g_best""",
-    walk_ctes(_NAME_OF_HUB, _NAME_OF_TARGET, _HOPS, directed=True), recursive=True))
+    shortest_ctes(_NAME_OF_HUB, _DIRECTED_TARGET, _HOPS, directed=True), recursive=True))
 def q_simple_paths_directed(spark, sf_dir):
-    ctx, src, dst = _ids_by_name(spark, sf_dir)
+    """Along edge directions, between two names: the hub and the officer three steps away."""
+    ctx = context_for(spark, sf_dir)
+    n = read_table(spark, sf_dir, "customer", "c_custkey").count()
+    away = ctx.officer_id - OFFICER_BASE
+    for _ in range(3):
+        away = (away * 7 + 4) % n
+    _, src, dst = _ids_by_name(spark, sf_dir, OFFICER_BASE + away)
     return paths.first_hit(graph_for(spark, sf_dir), src, dst, ctx.max_hops, directed=True)
 
 
@@ -278,7 +319,7 @@ SELECT v.id, v.kind, v.name, CAST(NULL AS BIGINT) AS community,
 FROM g_nv v LEFT JOIN (VALUES {", ".join(f"('{k}', '{c}')" for k, _, c in mapping.KIND_STYLE)}) s(kind, color)
   ON s.kind = v.kind
 WHERE v.id IN (SELECT node FROM g_bfs_dist) OR v.id IN (SELECT unnest(path) FROM g_best)""",
-    _WALK.rstrip() + "," + bfs_ctes(_HUB, SUBGRAPH_HOPS), recursive=True))
+    _SHORTEST.rstrip() + "," + bfs_ctes(_HUB, SUBGRAPH_HOPS), recursive=True))
 def q_path_highlight(spark, sf_dir):
     """The hub's 2-hop view plus the path, path members flagged for highlighting."""
     ctx, g, sp = _shortest(spark, sf_dir)

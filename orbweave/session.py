@@ -34,9 +34,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("ORBWEAVE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # IN lists up to the BFS lookup limit are pushed to parquet as value
-        # sets (row-group pruning), not widened to a min..max range
-        .config("spark.sql.parquet.pushdown.inFilterThreshold", "1000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -62,7 +60,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises in some versions
             configured = None
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; iterative operators need a shared "
                 "checkpoint directory on a cluster")

@@ -1,7 +1,7 @@
 """Constraint checks on the mirror and validation of change batches.
 
-The report is one row per rule with its violation count; each rule is a single
-aggregate (or anti-join) so the whole report is a handful of scans. Batch
+The report is one row per rule with its violation count; each rule is an
+aggregate (or anti-join) of its own. Batch
 validation splits a batch into ``valid`` and ``rejected`` (with a reason)
 frames instead of failing the job.
 """
@@ -49,21 +49,31 @@ def quality_report(graph: Graph, m: Mirror) -> DataFrame:
     return out
 
 
-def validate_node_creates(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Create requests: kind in the closed enum, non-empty name. Returns (valid, rejected)."""
-    reason = F.when(~F.col("kind").isin(KIND_PRIORITY) | F.col("kind").isNull(),
-                    F.lit("kind not allowed")) \
-        .when(F.col("name").isNull() | (F.length("name") < 1), F.lit("name required"))
-    tagged = batch.withColumn("reason", reason)
+def _request_reason(batch: DataFrame) -> tuple[DataFrame, F.Column]:
+    """The batch with a mark on repeated request ids, and why a request's id can't be used (NULL if it can)."""
+    again = batch.groupBy("request_id").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+    marked = batch.join(again, "request_id", "left")
+    return marked, F.when(F.col("request_id").isNull() | (F.col("request_id") < 0), F.lit("request id not valid")) \
+        .when(F.col("__n").isNotNull(), F.lit("request id repeated"))
+
+
+def _split(batch: DataFrame, marked: DataFrame, reason: F.Column) -> tuple[DataFrame, DataFrame]:
+    tagged = marked.select(*batch.columns, reason.alias("reason"))
     return (tagged.filter(F.col("reason").isNull()).drop("reason"),
             tagged.filter(F.col("reason").isNotNull()))
 
 
+def validate_node_creates(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Create requests: usable request id, kind in the closed enum, non-empty name. Returns (valid, rejected)."""
+    marked, reason = _request_reason(batch)
+    reason = F.coalesce(reason, F.when(~F.col("kind").isin(KIND_PRIORITY) | F.col("kind").isNull(), F.lit("kind not allowed"))
+                        .when(F.col("name").isNull() | (F.length("name") < 1), F.lit("name required")))
+    return _split(batch, marked, reason)
+
+
 def validate_edge_merges(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Merge requests: both endpoints given, type an identifier. Returns (valid, rejected)."""
-    reason = F.when(F.col("src").isNull() | F.col("dst").isNull(), F.lit("endpoint required")) \
-        .when(F.col("type").isNull() | ~F.col("type").rlike(EDGE_TYPE_PATTERN),
-              F.lit("type must be an identifier"))
-    tagged = batch.withColumn("reason", reason)
-    return (tagged.filter(F.col("reason").isNull()).drop("reason"),
-            tagged.filter(F.col("reason").isNotNull()))
+    """Merge requests: usable request id, both endpoints given, type an identifier. Returns (valid, rejected)."""
+    marked, reason = _request_reason(batch)
+    reason = F.coalesce(reason, F.when(F.col("src").isNull() | F.col("dst").isNull(), F.lit("endpoint required"))
+                        .when(F.col("type").isNull() | ~F.col("type").rlike(EDGE_TYPE_PATTERN), F.lit("type must be an identifier")))
+    return _split(batch, marked, reason)

@@ -153,12 +153,17 @@ def test_modularity_singletons_not_above_found(make_graph):
     assert found >= single
 
 
-def test_pagerank_salted_hub_equals_plain(make_graph, monkeypatch):
-    # node 1 is a hub with 24 out-edges; a zero floor makes it a hot key
+def test_pagerank_salted_hub_equals_plain(make_graph):
+    # node 1 is a hub with 24 out-edges; four targets a salt split it into six
     star = [(1, j) for j in range(2, 26)] + [(j, j + 1) for j in range(2, 25)] + [(25, 1)]
     g = _plain(make_graph, 25, star)
     nodes, edges = alg.project_graph(g)
     plain = _scores(nodes, edges)
-    monkeypatch.setattr(alg, "HOT_DEGREE_FLOOR", 0)
-    salted = {r["id"]: round(r["score"], 6) for r in alg.pagerank(nodes, edges, salts=4).collect()}
+    salted = {r["id"]: round(r["score"], 6) for r in alg.pagerank(nodes, edges, edges_per_salt=4).collect()}
     assert salted == plain
+
+
+def test_top_scores_order_before_rounding(spark, make_graph):
+    g = _plain(make_graph, 3, [(1, 2)])
+    scores = spark.createDataFrame([(1, 0.1500001), (2, 0.1500004), (3, 0.15)], "id long, score double")
+    assert [(r["id"], r["score"]) for r in alg.top_scores(scores, g, 2).collect()] == [(2, 0.15), (1, 0.15)]

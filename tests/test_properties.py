@@ -53,18 +53,6 @@ def test_results_do_not_depend_on_partitioning(spark, make_graph):
     assert out[0] == out[1]
 
 
-def test_lookup_join_same_rows_below_and_above_the_limit(make_graph):
-    from pyspark.sql import functions as F
-
-    from orbweave.operators.nodes import lookup_join, node_view
-    g, _ = _random_graph(make_graph, seed=3)
-    small = g.edges.filter(F.col("src") < 5).select(F.col("dst").alias("id"))
-    nv = node_view(g).select("id", "name")
-    below = sorted(tuple(r) for r in lookup_join(small, nv, "id", "inner", g, limit=1000).collect())
-    above = sorted(tuple(r) for r in lookup_join(small, nv, "id", "inner", g, limit=1).collect())
-    assert below == above and len(below) == small.count()
-
-
 def test_incident_equals_either_end_filter(make_graph):
     from pyspark.sql import functions as F
 

@@ -1,6 +1,6 @@
 """Print condensed physical plans of the headline queries (stored, uncached graph).
 
-usage: ORBWEAVE_CACHE_LIMIT_BYTES=0 python tools/explain_plans.py [sf_dir] > PLANS.md
+usage: python tools/explain_plans.py [sf_dir] > PLANS.md
 Shows, per query: exchanges (shuffles), join strategies, and each scan's pushed
 filters and read schema, so pruning and pushdown can be checked at a glance.
 """
@@ -10,7 +10,6 @@ import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-os.environ.setdefault("ORBWEAVE_CACHE_LIMIT_BYTES", "0")
 
 from orbweave.plans.catalog import all_queries  # noqa: E402
 from orbweave.session import build_session  # noqa: E402
