@@ -29,6 +29,11 @@ class Applied:
     rejected: DataFrame  # requests refused, with a reason
 
 
+def _edges(graph: Graph, change) -> tuple[DataFrame, DataFrame | None]:
+    """``change`` applied to the edges and, if there is one, to their copy by target."""
+    return change(graph.edges), None if graph.edges_by_dst is None else change(graph.edges_by_dst)
+
+
 def _next_id_base(df: DataFrame) -> F.Column:
     """max(id) + 1 as a scalar subquery (evaluated once, no driver round trip)."""
     return df.select(F.coalesce(F.max("id"), F.lit(0)) + F.lit(1)).scalar()
@@ -49,7 +54,7 @@ def create_nodes(graph: Graph, batch: DataFrame, created_at: str,
                            "request_id")
     new_nodes = graph.nodes.unionByName(created.drop("request_id"))
     results = created.select("request_id", "id", F.lit("created").alias("status"))
-    return Applied(Graph(new_nodes, graph.edges), results, rejected)
+    return Applied(Graph(new_nodes, graph.edges, graph.edges_by_dst), results, rejected)
 
 
 def patch_nodes(graph: Graph, patches: DataFrame, updated_at: str) -> Applied:
@@ -73,19 +78,19 @@ def patch_nodes(graph: Graph, patches: DataFrame, updated_at: str) -> Applied:
         "id", "labels", F.when(F.col("patch").isNull(), F.col("props")).otherwise(merged)
         .alias("props"))
     results = known.select("id", F.lit("patched").alias("status"))
-    return Applied(Graph(nodes, graph.edges), results, rejected)
+    return Applied(Graph(nodes, graph.edges, graph.edges_by_dst), results, rejected)
 
 
 def detach_delete_nodes(graph: Graph, ids: DataFrame) -> Applied:
     """Remove nodes and every incident edge. Unknown ids are a no-op."""
     gone = ids.select("id").distinct()
     nodes = graph.nodes.join(gone, "id", "left_anti")
-    edges = graph.edges.join(gone.withColumnRenamed("id", "src"), "src", "left_anti") \
-        .join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
+    edges = _edges(graph, lambda e: e.join(gone.withColumnRenamed("id", "src"), "src", "left_anti")
+                   .join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti").select(*e.columns))
     results = gone.join(graph.nodes.select("id"), "id", "left_semi") \
         .select("id", F.lit("deleted").alias("status"))
     empty = gone.select("id", F.lit(None).cast("string").alias("reason")).filter(F.lit(False))
-    return Applied(Graph(nodes, edges), results, empty)
+    return Applied(Graph(nodes, *edges), results, empty)
 
 
 def merge_edges(graph: Graph, batch: DataFrame, created_at: str,
@@ -103,8 +108,10 @@ def merge_edges(graph: Graph, batch: DataFrame, created_at: str,
     # first request per key wins; later duplicates resolve to the same edge
     key = ["src", "dst", "type"]
     first = ok.groupBy(*key).agg(F.min("request_id").alias("first_request"))
+    # only edges between the batch's own ends are looked at
     existing = graph.edges.select(F.col("id").alias("edge_id"), "src", "dst",
-                                  F.lower("type").alias("type"))
+                                  F.lower("type").alias("type")) \
+        .join(first.select("src", "dst").distinct(), ["src", "dst"], "left_semi")
     existing = existing.groupBy(*key).agg(F.min("edge_id").alias("edge_id"))
     resolved = first.join(existing, key, "left")
     base = _next_id_base(graph.edges)
@@ -115,18 +122,18 @@ def merge_edges(graph: Graph, batch: DataFrame, created_at: str,
     props = F.create_map(F.lit("created_at"), F.lit(created_at), F.lit("sourceID"), F.lit(source_id))
     created = resolved.filter("is_new").select(
         F.col("edge_id").alias("id"), "type", "src", "dst", props.alias("props"))
-    edges = graph.edges.unionByName(created)
+    edges = _edges(graph, lambda e: e.unionByName(created))
     results = ok.join(resolved, key).select(
         "request_id", "edge_id",
         F.when(F.col("is_new") & (F.col("request_id") == F.col("first_request")), "created")
         .otherwise("matched").alias("status"))
-    return Applied(Graph(graph.nodes, edges), results, rejected)
+    return Applied(Graph(graph.nodes, *edges), results, rejected)
 
 
 def delete_edges(graph: Graph, ids: DataFrame) -> Applied:
     gone = ids.select("id").distinct()
-    edges = graph.edges.join(gone, "id", "left_anti")
+    edges = _edges(graph, lambda e: e.join(gone, "id", "left_anti"))
     results = gone.join(graph.edges.select("id"), "id", "left_semi") \
         .select("id", F.lit("deleted").alias("status"))
     empty = gone.select("id", F.lit(None).cast("string").alias("reason")).filter(F.lit(False))
-    return Applied(Graph(graph.nodes, edges), results, empty)
+    return Applied(Graph(graph.nodes, *edges), results, empty)

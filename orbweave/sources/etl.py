@@ -1,7 +1,6 @@
 """Graph -> relational mirror (four node tables, one edge table, one union view).
 
-One scan of the node frame feeds four filtered projections; Spark runs them in
-parallel when written together. Dirty values are normalised with JVM-side
+Four filtered projections of the node frame, each a scan of its own. Dirty values are normalised with JVM-side
 regex expressions. Nothing here collects rows to the driver.
 """
 
@@ -10,6 +9,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -188,21 +188,30 @@ def store_mirror(m: Mirror, path: str) -> Mirror:
                   m.quarantine)
 
 
+def _has_rows(spark, path: str) -> bool:
+    try:
+        return not spark.read.parquet(path).isEmpty()
+    except AnalysisException:  # no such folder, or no file in it yet
+        return False
+
+
 def load_graph(m: Mirror, path: str | None = None, truncate: bool = False) -> DataFrame:
     """Write the mirror as parquet tables and return the report read back from storage.
 
-    Guard: refuses when ``relationships`` already exists at ``path`` unless
-    ``truncate`` (then every table is overwritten). The default location is a
-    fresh folder under the cluster's checkpoint directory (shared storage).
+    Guard: refuses when ``relationships`` at ``path`` has rows, unless ``truncate``.
+    It is written last, so a load that died on the way can be run again.
+    Every table is overwritten. The default location is a fresh folder under
+    the cluster's checkpoint directory (shared storage).
     """
     spark = m.officers.sparkSession
+    if path is not None and not truncate and _has_rows(spark, f"{path}/relationships"):
+        raise RuntimeError(f"{path} already holds a loaded graph")
     if path is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/mirror-{uuid.uuid4().hex}"
-    mode = "overwrite" if truncate else "errorifexists"
     for name, df in m.tables().items():
-        writer = df.write.mode(mode)
+        writer = df.write.mode("overwrite")
         if name == "relationships":
-            # one sorted file set per type: edge-type filters prune whole folders
+            # one folder per type: edge-type filters prune whole folders
             writer = writer.partitionBy("rel_type")
         writer.parquet(f"{path}/{name}")
     stored = Mirror(*(spark.read.parquet(f"{path}/{n}") for n in

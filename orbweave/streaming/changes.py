@@ -4,8 +4,9 @@ The reference changes one element per request; here a stream of change
 records (e.g. a folder or topic of edge merges) is applied micro-batch by
 micro-batch with the batch operators of ``orbweave.operators.mutate``. Each
 micro-batch reads the current graph version, applies the changes as joins and
-writes a *new* version folder ``v<epoch>``; a small pointer table names the
-current version. Re-running an epoch after a failure rewrites the same
+writes a *new* version folder ``v<epoch>`` in the sorted layouts, with the
+requests it refused; then a new pointer folder names the version (none is ever
+overwritten in place). Re-running an epoch after a failure rewrites the same
 folder, so the sink is idempotent and the stream exactly-once end to end.
 """
 
@@ -16,39 +17,39 @@ from pyspark.sql import functions as F
 
 from orbweave.model import Graph
 from orbweave.operators import mutate
+from orbweave.sources.fixture import store_graph
 
 POINTER = "_current"
 
 
-def write_version(graph: Graph, store: str, version: int) -> None:
-    graph.nodes.write.mode("overwrite").parquet(f"{store}/v{version}/nodes")
-    graph.edges.write.mode("overwrite").parquet(f"{store}/v{version}/edges")
-    spark = graph.spark
-    spark.range(1).select(F.lit(version).cast("long").alias("version")) \
-        .write.mode("overwrite").parquet(f"{store}/{POINTER}")
+def write_version(graph: Graph, store: str, version: int, rejected: DataFrame | None = None) -> None:
+    store_graph(graph, f"{store}/v{version}")
+    if rejected is not None:
+        rejected.select("reason", F.to_json(F.struct(*rejected.columns)).alias("request")) \
+            .write.mode("overwrite").parquet(f"{store}/v{version}/rejected")
+    graph.spark.range(1).write.mode("overwrite").parquet(f"{store}/{POINTER}/version={version}")
 
 
 def current_version(spark: SparkSession, store: str) -> int:
-    return spark.read.parquet(f"{store}/{POINTER}").first()["version"]
+    return spark.read.parquet(f"{store}/{POINTER}").agg(F.max("version")).first()[0]
 
 
 def read_current(spark: SparkSession, store: str) -> Graph:
     v = current_version(spark, store)
-    return Graph(spark.read.parquet(f"{store}/v{v}/nodes"),
-                 spark.read.parquet(f"{store}/v{v}/edges"))
+    return Graph(*(spark.read.parquet(f"{store}/v{v}/{t}") for t in ("nodes", "edges", "edges_by_dst")))
 
 
-def _apply(kind: str, graph: Graph, batch: DataFrame, stamp: str) -> Graph:
+def _apply(kind: str, graph: Graph, batch: DataFrame, stamp: str) -> mutate.Applied:
     if kind == "merge_edges":
-        return mutate.merge_edges(graph, batch, stamp).graph
+        return mutate.merge_edges(graph, batch, stamp)
     if kind == "delete_edges":
-        return mutate.delete_edges(graph, batch).graph
+        return mutate.delete_edges(graph, batch)
     if kind == "detach_delete_nodes":
-        return mutate.detach_delete_nodes(graph, batch).graph
+        return mutate.detach_delete_nodes(graph, batch)
     if kind == "create_nodes":
-        return mutate.create_nodes(graph, batch, stamp).graph
+        return mutate.create_nodes(graph, batch, stamp)
     if kind == "patch_nodes":
-        return mutate.patch_nodes(graph, batch, stamp).graph
+        return mutate.patch_nodes(graph, batch, stamp)
     raise ValueError(f"unknown change kind {kind!r}")
 
 
@@ -69,7 +70,8 @@ def apply_change_stream(changes: DataFrame, store: str, kind: str, checkpoint_lo
         target = epoch_id + 1
         if current_version(spark, store) >= target:
             return  # epoch already applied (replay after a failure)
-        write_version(_apply(kind, graph, batch, stamp), store, target)
+        applied = _apply(kind, graph, batch, stamp)
+        write_version(applied.graph, store, target, applied.rejected)
 
     writer = changes.writeStream.foreachBatch(each_batch) \
         .option("checkpointLocation", checkpoint_location)

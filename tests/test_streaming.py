@@ -17,10 +17,13 @@ def test_merge_stream_applies_each_batch_once(spark, make_graph):
                             "merge_edges", ckpt)
     q.awaitTermination(120)
     assert read_current(spark, store).edges.count() == 1
-    spark.createDataFrame([(2, 1, 3, "officer_of"), (3, 1, 2, "officer_of")], schema) \
+    spark.createDataFrame([(2, 1, 3, "officer_of"), (3, 1, 2, "officer_of"), (4, 1, 9, "officer_of")], schema) \
         .write.mode("append").parquet(inbox)
     q = apply_change_stream(spark.readStream.schema(schema).parquet(inbox), store,
                             "merge_edges", ckpt)
     q.awaitTermination(120)
-    edges = read_current(spark, store).edges
+    now = read_current(spark, store)
+    assert now.edges_by_dst.count() == 2
+    assert [r["reason"] for r in spark.read.parquet(f"{store}/v2/rejected").collect()] == ["endpoint not found"]
+    edges = now.edges
     assert sorted((r["src"], r["dst"]) for r in edges.collect()) == [(1, 2), (1, 3)]
