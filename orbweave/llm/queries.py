@@ -73,10 +73,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_kdtree_topk": """
         WITH whole AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(64.0 * x::DOUBLE)) AS v
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64.0 * CAST(x AS DOUBLE))) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
             FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),

@@ -48,6 +48,17 @@ def test_query_on_a_whole_table(spark):
     assert found(op3_kdtree_topk(spark, d)) == brute(rows, 20)
 
 
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from orbweave.llm.queries import ORACLES
+
+    d = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{d}/embeddings.parquet')")
+    assert found(op3_kdtree_topk(spark, d)) == set(con.sql(ORACLES["op3_kdtree_topk"]).fetchall())
+
+
 def test_boxes_bound_their_points():
     rng = np.random.default_rng(3)
     points, queries = np.floor(rng.normal(size=(500, 4)) * 20), np.floor(rng.normal(size=(30, 4)) * 20)
