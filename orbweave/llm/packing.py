@@ -51,7 +51,8 @@ class Tokens:
     For a byte-level BPE whose ids ascend in merge order, the same ids come
     several times faster from ``tiktoken`` with the file's vocabulary as ranks;
     it is used only if both agree on the probes and on each task's first texts.
-    Texts that hold a special token's string always go through ``tokenizers``.
+    Texts that hold a special token's string always go through ``tokenizers``,
+    and so do texts whose white space is too long for the quick encoder's pattern.
     """
 
     def __init__(self, path: str):
@@ -81,7 +82,10 @@ class Tokens:
         return tiktoken.Encoding("own", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
 
     def _fast(self, text: str) -> bytes:
-        return self.quick.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        try:
+            return self.quick.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        except ValueError:  # a run of white space beyond the pattern's backtracking stack
+            return self._slow([text])[0]
 
     def _slow(self, texts: Sequence[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(list(texts), add_special_tokens=False)]

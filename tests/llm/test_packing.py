@@ -67,3 +67,8 @@ def test_odd_rows(odd_docs, no_docs):
 def test_white_space_and_special_strings(make_docs):
     texts = [(i, t) for i, t in enumerate(["a  b", " a", "a ", "a\n b", "a \n b", "a\n\n  b c", "  x", "<|endoftext|> y<|endoftext|>", "it's   12 34", "é ß 東京 \t z", "\x85 a"])]
     check(packing.pack(make_docs(texts)).collect(), texts)
+
+
+def test_very_long_runs(make_docs):
+    texts = [(1, "a" + " " * 1_500_000 + "b"), (2, "\n" * 1_200_000), (3, "x" * 300_000), (4, "12" * 100_000)]
+    check(packing.pack(make_docs(texts)).collect(), texts)
