@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -74,7 +75,7 @@ def literal_weight(text: str) -> float:
     if len(text) < MIN_VALUE or " " in text or PLACEHOLDER.match(text):
         return 0.0
     n = len(text)
-    entropy = -sum(c / n * math.log2(c / n) for c in map(text.count, set(text)))
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(text).values())
     classes = sum(any(map(test, text)) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
     return min(1.0, 0.3 + 0.1 * entropy + 0.1 * (classes - 1) + 0.01 * min(n, 20))
 
@@ -93,25 +94,39 @@ def lexed(text: str) -> list[Finding]:
         literals.append((start, end, m["name"]))
         if group == "bare" and NAME.fullmatch(m["bare"]):
             alias.setdefault(m["bare"], set()).add(m["name"])
+    reached = _most_sensitive({name for _, _, name in literals}, alias)
     found = []
     for start, end, name in literals:
-        worth = literal_weight(text[start:end])
-        if not worth:
+        if text[start:end] in alias:
             continue
-        own = name_weight(name)
-        best, via, seen, todo = own, name, {name}, [name]
-        while todo:
-            for target in alias.get(todo.pop(), ()):
-                if target not in seen:
-                    seen.add(target)
-                    todo.append(target)
-                    if (w := name_weight(target)) > best:
-                        best, via = w, target
-        if best * worth >= MIN_SCORE and text[start:end] not in alias:
-            found.append(Finding("pair" if own * worth >= MIN_SCORE else "flow", start, end, via, best * worth))
+        worth = literal_weight(text[start:end])
+        best, via = reached[name]
+        if best * worth >= MIN_SCORE:
+            found.append(Finding("pair" if name_weight(name) * worth >= MIN_SCORE else "flow", start, end, via, best * worth))
     return found
 
 
+def _most_sensitive(names: set[str], alias: dict[str, set[str]]) -> dict[str, tuple[float, str]]:
+    """(weight, name) of the most sensitive name that each name's value reaches; its own name, then the least one, wins ties.
+
+    Weights go backwards from the most sensitive names, so each name is settled
+    once, however long the chains of names are.
+    """
+    every = names | set(alias) | set().union(*alias.values())
+    givers: dict[str, list[str]] = {}
+    for giver, targets in alias.items():
+        for target in targets:
+            givers.setdefault(target, []).append(giver)
+    out: dict[str, tuple[float, str]] = {}
+    for weight, top in sorted(((name_weight(n), n) for n in every), key=lambda x: (-x[0], x[1])):
+        todo = [top]
+        while todo:
+            if (name := todo.pop()) not in out:
+                out[name] = (weight, name if name_weight(name) == weight else top)
+                todo += givers.get(name, ())
+    return out
+
+
 def scan(text: str) -> list[Finding]:
     """All findings of a text by start, then kind."""
     found = [Finding("assign", *m.span(), m[1], 1.0) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= MIN_VALUE]

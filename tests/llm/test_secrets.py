@@ -31,6 +31,14 @@ def test_constants_flow_to_sensitive_names():
     assert spans("a = b\nb = a\npassword = a", "pair", "flow") == []
 
 
+def test_long_chains_of_constants():
+    n = 30_000
+    text = "".join(f"a{i} = 'v{i}x8Kd92mmPq'\nb{i} = a{i}\na{i + 1} = b{i}\n" for i in range(n)) + f"my_token = a{n}"
+    found = secrets.lexed(text)
+    assert len(found) == n and all(f.kind == "flow" and f.name == "my_token" for f in found)
+    assert secrets.literal_weight("".join(map(chr, range(40, 60_000))).replace("\ud800", "")) == 1.0
+
+
 def test_digest_and_odd_rows(spark, odd_docs, no_docs, make_docs):
     rows = secrets.digest(secrets.scan_documents(odd_docs)).collect()
     assert len(rows) == odd_docs.count() and all(r["spans"] == "" and r["base_sha256"] == secrets.sha256_of([]) for r in rows)
