@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orbweave.operators import algorithms as alg
-from orbweave.operators import paths
+from orbweave.operators import mapping, paths
 from orbweave.operators.nodes import node_view
 from orbweave.plans.catalog import context_for, graph_for, register
 from orbweave.plans.oracle import with_graph
-from orbweave.plans.queries_paths import SUBGRAPH_HOPS, bfs_ctes
+from orbweave.plans.queries_paths import SUBGRAPH_HOPS, bfs_ctes, shortest_ctes
 
 # Result sizes of the PageRank views and the typed projection.
 PAGERANK_TOP = 25
@@ -118,6 +118,93 @@ def q_partition_modularity(spark, sf_dir):
         F.round("modularity", 6).alias("modularity"))
 
 
+def _half_pass_ctes(before: str, after: str, half: int) -> str:
+    """``after`` (id, community, k): the nodes of ``before`` whose turn is ``half`` of pass 0 moved to their best community."""
+    return f"""
+{after}_into AS (
+  SELECT id, c, sum(w) AS k_in FROM (
+    SELECT e.src AS id, there.community AS c, e.w FROM lv_w e JOIN {before} there ON there.id = e.dst WHERE e.src <> e.dst
+    UNION ALL SELECT id, community, 0 FROM {before})
+  GROUP BY id, c
+),
+{after}_gain AS (
+  SELECT v.id, v.community AS own, x.c,
+         x.k_in / m - v.k * (t.tot - CASE WHEN x.c = v.community THEN v.k ELSE 0 END) / (2 * m * m) AS gain
+  FROM {before} v JOIN {after}_into x ON x.id = v.id
+  JOIN (SELECT community, sum(k) AS tot FROM {before} GROUP BY 1) t ON t.community = x.c, lv_m
+  WHERE (v.id % 1000003 * 7919) % 1009 % 2 = {half}
+),
+{after}_best AS (
+  SELECT id, c, gain, max(CASE WHEN c = own THEN gain END) OVER (PARTITION BY id) AS stay,
+         row_number() OVER (PARTITION BY id ORDER BY gain DESC, c) AS place
+  FROM {after}_gain
+),
+{after} AS (
+  SELECT v.id, CASE WHEN b.gain > b.stay + 1e-12 THEN b.c ELSE v.community END AS community, v.k
+  FROM {before} v LEFT JOIN (SELECT * FROM {after}_best WHERE place = 1) b ON b.id = v.id
+)"""
+
+
+def _pass_ctes(nodes_sql: str, edges_sql: str) -> str:
+    """lv_two: the first pass of local moving over a graph, from every node on its own."""
+    return f"""
+lv_e AS ({edges_sql}),
+lv_w AS (SELECT src, dst, CAST(count(*) AS DOUBLE) AS w FROM (
+  SELECT src, dst FROM lv_e UNION ALL SELECT dst, src FROM lv_e) GROUP BY 1, 2),
+lv_m AS (SELECT sum(w) / 2 AS m FROM lv_w),
+lv_none AS (
+  SELECT n.id, n.id AS community, coalesce(d.k, 0) AS k
+  FROM ({nodes_sql}) n LEFT JOIN (SELECT src, sum(w) AS k FROM lv_w GROUP BY 1) d ON d.src = n.id
+),""" + _half_pass_ctes("lv_none", "lv_one", 0).rstrip() + "," + _half_pass_ctes("lv_one", "lv_two", 1)
+
+
+_KHOP_NODES = "SELECT node AS id FROM g_bfs_dist"
+_KHOP_EDGES = ("SELECT src, dst FROM g_edges WHERE src IN (SELECT node FROM g_bfs_dist) "
+               "AND dst IN (SELECT node FROM g_bfs_dist)")
+
+
+def _first_pass(nodes, edges):
+    w = alg.cut_lineage(alg.weighted_undirected(edges))
+    m2 = w.agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("m2")).first()["m2"]
+    state = alg.cut_lineage(alg.singletons(nodes, w))
+    return (alg.local_pass(w, state, m2, 0) if m2 else state).select("id", "community")
+
+
+@register("louvain_pass", with_graph(
+    "SELECT id, community FROM lv_two", _pass_ctes("SELECT id FROM g_nodes", "SELECT src, dst FROM g_edges")))
+def q_louvain_pass(spark, sf_dir):
+    """The first pass of Louvain's local moving over the whole graph: each node's community."""
+    return _first_pass(*alg.project_graph(graph_for(spark, sf_dir)))
+
+
+@register("enrich_view_pass", with_graph(f"""
+SELECT v.id, v.kind, v.name, c.community, coalesce(p.color, s.color) AS color,
+  CASE WHEN v.id IN (SELECT unnest(path) FROM g_best) THEN 1 ELSE 0 END AS highlighted
+FROM g_nv v LEFT JOIN lv_two c ON c.id = v.id
+LEFT JOIN (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(mapping.COMMUNITY_PALETTE))}) p(bucket, color)
+  ON p.bucket = c.community % {len(mapping.COMMUNITY_PALETTE)}
+LEFT JOIN (VALUES {", ".join(f"('{k}', '{c}')" for k, _, c in mapping.KIND_STYLE)}) s(kind, color) ON s.kind = v.kind
+WHERE v.id IN (SELECT id FROM lv_two) OR v.id IN (SELECT unnest(path) FROM g_best)""",
+    shortest_ctes("(SELECT path_source_id FROM g_ctx)", "(SELECT path_target_id FROM g_ctx)",
+                  "(SELECT max_hops FROM g_ctx)").rstrip() + "," + bfs_ctes(_HUB, SUBGRAPH_HOPS).rstrip() + ","
+    + _pass_ctes(_KHOP_NODES, _KHOP_EDGES), recursive=True))
+def q_enrich_view_pass(spark, sf_dir):
+    """The hub's 2-hop view coloured by the communities of the first pass, shortest-path nodes highlighted."""
+    ctx = context_for(spark, sf_dir)
+    g = graph_for(spark, sf_dir)
+    sub = paths.khop_nodes(g, ctx.officer_id, SUBGRAPH_HOPS)
+    comm = _first_pass(*alg.project_graph(g, node_ids=sub))
+    return _coloured(g, ctx, comm)
+
+
+def _coloured(g, ctx, comm):
+    sp = paths.shortest_path(g, ctx.path_source_id, ctx.path_target_id, ctx.max_hops)
+    on_path = paths.path_steps(sp).select(F.col("node_id").alias("id"))
+    shown = comm.select("id").unionByName(on_path).distinct()
+    nodes = node_view(g).join(shown, "id", "left_semi").select("id", "kind", "name")
+    return mapping.enrich_view(nodes, comm, on_path)
+
+
 def _louvain_khop(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
     g = graph_for(spark, sf_dir)
@@ -156,11 +243,28 @@ def q_enrich_view(spark, sf_dir):
 
     Rows-only check: the community lookup comes from Louvain, which has no SQL oracle.
     """
-    from orbweave.operators import mapping
     ctx = context_for(spark, sf_dir)
     g, _, _, comm = _louvain_khop(spark, sf_dir)
-    sp = paths.shortest_path(g, ctx.path_source_id, ctx.path_target_id, ctx.max_hops)
-    on_path = paths.path_steps(sp).select(F.col("node_id").alias("id"))
-    shown = comm.select("id").unionByName(on_path).distinct()
-    nodes = node_view(g).join(shown, "id", "left_semi").select("id", "kind", "name")
-    return mapping.enrich_view(nodes, comm, on_path)
+    return _coloured(g, ctx, comm)
+
+
+@register("louvain_invariants", with_graph("""
+SELECT (SELECT count(*) FROM lv_none) AS nodes, (SELECT count(*) FROM lv_none) AS labelled, 0 AS not_least_member, 0 AS below_singletons,
+  round((SELECT coalesce(sum(w), 0) FROM lv_w WHERE src = dst) / (2 * m) - (SELECT sum(k * k) FROM lv_none) / (4 * m * m), 6) AS singleton_modularity
+FROM lv_m""", bfs_ctes(_HUB, SUBGRAPH_HOPS).rstrip() + "," + _pass_ctes(_KHOP_NODES, _KHOP_EDGES), recursive=True))
+def q_louvain_invariants(spark, sf_dir):
+    """What holds of Louvain's communities of the hub's 2-hop view: every node once, labels are least members, no loss of modularity."""
+    _, nodes, edges, comm = _louvain_khop(spark, sf_dir)
+    w = alg.cut_lineage(alg.weighted_undirected(edges))
+    comm = alg.cut_lineage(comm)
+    least = comm.groupBy("community").agg(F.min("id").alias("least"))
+    counts = comm.agg(F.count("*").alias("nodes"), F.count_distinct("id").alias("labelled"))
+    wrong = least.agg(F.count(F.when(F.col("least") != F.col("community"), 1)).cast("int").alias("not_least_member"))
+    found = alg.modularity(w, comm).withColumnRenamed("modularity", "found")
+    single = alg.modularity(w, nodes.select("id", F.col("id").alias("community")))
+    out = counts  # frames of one row each
+    for part in (wrong, found, single):
+        out = out.unionByName(part, allowMissingColumns=True)
+    out = out.agg(*(F.max(c).alias(c) for c in out.columns))
+    return out.select("nodes", "labelled", "not_least_member", (F.col("found") < F.col("modularity")).cast("int").alias("below_singletons"),
+                      F.round("modularity", 6).alias("singleton_modularity"))

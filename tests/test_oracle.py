@@ -14,7 +14,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # A representative slice per operator family; tools/check_oracle.py runs every key.
 KEYS = ["co_officers", "co_officers_sql", "sample_context", "stats_totals", "etl_officers",
         "etl_edges", "quality_report", "search_nodes", "token_search", "node_detail",
-        "khop_edges", "shortest_path_edges", "depth_sweep", "pagerank_directed",
+        "khop_edges", "shortest_path_edges", "depth_sweep", "pagerank_directed", "louvain_pass", "enrich_view_pass",
         "merge_edges", "patch_nodes", "create_nodes", "validate_edges", "simple_paths_directed", "match_chain"]
 
 
