@@ -1,15 +1,20 @@
-"""Benchmark decontamination: rare word n-grams as seeds, Smith-Waterman alignment as proof.
-
-Words are lower-cased (A-Z) and cut at white space. Every ``GRAM``-gram of a
-test item is counted over the training documents (in how many it occurs); in
-each run of ``WINDOW`` successive grams of an item the rarest becomes a seed,
-so any ``GRAM + WINDOW - 1`` words kept in order by a copy hold one, and frequent
-phrases are passed over where a rarer one is near. Items shorter than ``GRAM``
-words are their own seed. Around each seed that a document shares with an item,
-the item's words are aligned with the document's words (local alignment:
-match ``MATCH``, mismatch and gap ``-1``). The score is the alignment's, divided
-by that of the whole item with itself: 1 for a copy, less by edits. From
-``MIN_SCORE`` on the document is contaminated by the item.
+"""Benchmark decontamination: a counting filter that misses no alignment, Smith-Waterman as proof.
+
+Words are lower-cased (A-Z) and cut at white space. The words of a test item are
+aligned with those of a document (local alignment: match ``MATCH``, mismatch
+and gap ``-1``). The score is the alignment's, divided by that of the whole
+item with itself: 1 for a copy, less by edits. From ``MIN_SCORE`` on the
+document is contaminated by the item.
+
+Only the places that can reach that score are aligned, and all of them are. An
+alignment of m matched words, b pairs of which are neighbours in both texts, has
+m - b - 1 edits or more, so it scores m + b + 1 at most: a score of t takes t - 1
+of the item's n words and n - 1 pairs of neighbours, within 3 n - t words of the
+document. Any k more of these features than an alignment may lack hold k that
+it has. The rarest are taken (by the number of documents that each occurs in;
+those that occur nowhere come first), and where a document has k of them within
+reach it is aligned. Items shorter than ``SHORT`` words count where they
+stand whole.
 
 Test items are the stated set against all documents: they are taken in blocks
 of about ``ITEM_BYTES`` of text (a bounded broadcast), and each block makes two
@@ -24,7 +29,7 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +38,8 @@ from pyspark.sql import functions as F
 
 from orbweave.llm.tokens import Block, blocks, gram_hashes
 
-GRAM, WINDOW = 4, 3
+#: Items of fewer words must stand in a document whole.
+SHORT = 4
 MATCH = 2
 MIN_SCORE = 0.5
 #: Bytes of item text that one pass carries, about.
@@ -42,30 +48,40 @@ ITEM_BYTES = 4 << 20
 
 @dataclass
 class Items:
-    """Items' word hashes, and their grams as sorted arrays by length of gram: (length, hashes, item, place)."""
+    """Items' word hashes, and their features as sorted arrays by length of gram: (length, hashes, item).
+
+    An alignment of an item's ``least`` score or more lacks at most ``spare`` of its features and is at most ``span`` words long.
+    """
 
     ids: list
     words: list[np.ndarray]
-    grams: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
+    grams: list[tuple[int, np.ndarray, np.ndarray]]
+    least: np.ndarray
+    spare: np.ndarray
+    span: np.ndarray
+    #: How many of the features must lie within reach.
+    hits: np.ndarray
 
     @staticmethod
-    def of(ids: list, texts: list[str | None]) -> Items:
+    def of(ids: list, texts: list[str | None], least: float) -> Items:
         words: list[np.ndarray] = []
         for block in blocks(pa.array(texts, pa.string())):
             words += [block.hash[a:b] for a, b in zip(block.first, block.first[1:], strict=False)]
+        size = np.array([w.size for w in words], np.int64)
+        score = np.ceil(least * MATCH * size).astype(np.int64)
+        whole = size < SHORT
+        need = np.where(whole, 1, np.maximum(score - 1, 1))
         found: dict[int, list[tuple[np.ndarray, int]]] = {}
         for i, w in enumerate(words):
-            if w.size:
-                n = min(GRAM, w.size)
+            for n in ((w.size,) if whole[i] else (1, 2)) if w.size else ():
                 found.setdefault(n, []).append((gram_hashes(w, n), i))
         grams = []
         for n, parts in sorted(found.items()):
             h = np.concatenate([g for g, _ in parts])
             item = np.concatenate([np.full(g.size, i) for g, i in parts])
-            place = np.concatenate([np.arange(g.size) for g, _ in parts])
-            order = np.lexsort((place, item, h))
-            grams.append((n, h[order], item[order], place[order]))
-        return Items(ids, words, grams)
+            order = np.lexsort((item, h))
+            grams.append((n, h[order], item[order]))
+        return Items(ids, words, grams, score, np.where(whole, 0, 2 * size - 1 - need), np.maximum(3 * size - score, 1), need)
 
 
 def _hits(grams: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +93,7 @@ def _hits(grams: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _frequencies(docs: DataFrame, items: Items) -> list[np.ndarray]:
     """In how many documents each gram occurs."""
-    shared = docs.sparkSession.sparkContext.broadcast([(n, np.unique(h)) for n, h, _, _ in items.grams])
+    shared = docs.sparkSession.sparkContext.broadcast([(n, np.unique(h)) for n, h, _ in items.grams])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [np.zeros(h.size, np.int64) for _, h in shared.value]
@@ -96,27 +112,24 @@ def _frequencies(docs: DataFrame, items: Items) -> list[np.ndarray]:
     # At most one row for each distinct gram of the block of items.
     for r in docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "k long, at long, n long").groupBy("k", "at").agg(F.sum("n").alias("n")).collect():
         out[r["k"]][r["at"]] = r["n"]
-    return [count[np.searchsorted(np.unique(h), h)] for count, (_, h, _, _) in zip(out, items.grams, strict=True)]
-
-
-def rare_seeds(items: Items, frequencies: list[np.ndarray], window: int = WINDOW) -> Items:
-    """``items`` with the grams that are the rarest of some run of ``window`` of their item's grams."""
-    out = []
-    for (n, h, item, place), df in zip(items.grams, frequencies, strict=True):
-        order = np.lexsort((place, item))
-        rank = df[order] * np.int64(1 << 20) + np.arange(order.size) % (1 << 20)  # ties: the earlier one
-        last = np.append(np.flatnonzero(item[order][1:] != item[order][:-1]), order.size - 1)
-        chosen = np.zeros(order.size, bool)
-        begin = 0
-        for end in last + 1:
-            size = min(window, end - begin)
-            runs = np.lib.stride_tricks.sliding_window_view(rank[begin:end], size)
-            chosen[begin + np.arange(len(runs)) + runs.argmin(1)] = True
-            begin = end
-        keep = np.zeros(order.size, bool)
-        keep[order[chosen]] = True
-        out.append((n, h[keep], item[keep], place[keep]))
-    return Items(items.ids, items.words, out)
+    return [count[np.searchsorted(np.unique(h), h)] for count, (_, h, _) in zip(out, items.grams, strict=True)]
+
+
+def rarest(items: Items, frequencies: list[np.ndarray]) -> Items:
+    """``items`` with their rarest features: as many as an alignment may lack, and a quarter of those that it needs (one at least)."""
+    item = np.concatenate([i for _, _, i in items.grams])
+    hits = np.maximum(items.hits // 4, 1)
+    order = np.lexsort((np.concatenate(frequencies), item))
+    nth = np.arange(order.size) - np.searchsorted(item[order], item[order])
+    keep = np.zeros(order.size, bool)
+    keep[order] = nth < (items.spare + hits)[item[order]]
+    out, begin = [], 0
+    for n, h, i in items.grams:
+        part = keep[begin:begin + h.size]
+        begin += h.size
+        if part.any():
+            out.append((n, h[part], i[part]))
+    return replace(items, grams=out, hits=hits)
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
@@ -135,58 +148,67 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _found(block: Block, items: Items, least: float, memory: dict) -> Iterator[tuple[int, int, float, int]]:
-    """(document, item, score, end word) of the contaminated documents of a block."""
-    docs, which, begins = [], [], []
-    for n, wanted, item, place in items.grams:
-        h, doc = block.grams(n)
+def _places(block: Block, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, item, word) from which on the document has enough of the item's features within reach, in this order."""
+    keys = [np.zeros(0, np.int64)]
+    for n, wanted, item in items.grams:
+        h, _ = block.grams(n)
         hit, first = _hits(h, wanted)
         if not hit.size:
             continue
         many = np.searchsorted(wanted, h[hit], side="right") - first
         index = np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         at = np.flatnonzero(block.doc[:block.hash.size - n + 1] == block.doc[n - 1:])[hit]  # the gram's first word
-        docs.append(np.repeat(doc[hit], many))
-        which.append(item[index])
-        begins.append(np.repeat(at, many) - place[index])
-    if not docs:
+        keys.append((item[index].astype(np.int64) << 32) + np.repeat(at, many))
+    key = np.sort(np.concatenate(keys))
+    item, word = key >> 32, key & 0xFFFFFFFF
+    last = np.arange(key.size) + items.hits[item] - 1
+    go = np.flatnonzero(last < key.size)
+    go = go[key[last[go]] - key[go] < items.span[item[go]]]
+    go = go[block.doc[word[last[go]]] == block.doc[word[go]]]
+    item, word = item[go], word[go]
+    order = np.lexsort((word, item, block.doc[word]))
+    return block.doc[word[order]], item[order], word[order]
+
+
+def _found(block: Block, items: Items, memory: dict) -> Iterator[tuple[int, int, float, int]]:
+    """(document, item, score, end word) of the contaminated documents of a block."""
+    doc, item, word = _places(block, items)
+    if not doc.size:
         return
-    doc, item, begin = (np.concatenate(x) for x in (docs, which, begins))
-    order = np.lexsort((begin, item, doc))
-    doc, item, begin = doc[order], item[order], begin[order]
     new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])))
     for a, b in zip(new, np.append(new[1:], doc.size), strict=True):
         d, i = int(doc[a]), int(item[a])
-        words = items.words[i]
-        slack = words.size // 2 + GRAM
-        lo, hi = block.first[d], block.first[d + 1]
+        words, span = items.words[i], int(items.span[i])
+        lo, hi = int(block.first[d]), int(block.first[d + 1])
         top, top_end = 0, 0
-        reach = -1
-        for start in begin[a:b]:
-            if start + slack <= reach and reach >= 0:
-                continue  # inside the window before
-            left, right = max(lo, start - slack), min(hi, start + 2 * words.size + 2 * slack)
-            reach = right - words.size
+        # Places whose reaches meet are aligned as one part.
+        cuts = np.flatnonzero(np.diff(word[a:b]) > 2 * span) + 1
+        for near in np.split(word[a:b], cuts):
+            left, right = max(lo, int(near[0]) - span), min(hi, int(near[-1]) + span + 1)
             part = block.hash[left:right]
-            key = (i, part.tobytes())
-            if key not in memory:
-                if len(memory) > 20_000:
-                    memory.clear()
-                memory[key] = align(words, part)
-            s, end = memory[key]
+            key = (i, part.tobytes()) if part.size <= 8 * span else None
+            if key in memory:
+                s, end = memory[key]
+            else:
+                s, end = align(words, part)
+                if key:
+                    if len(memory) > 20_000:
+                        memory.clear()
+                    memory[key] = s, end
             if s > top:
                 top, top_end = s, left + end - lo
-        if top >= least * MATCH * words.size:
+        if top >= items.least[i]:
             yield d, i, top / (MATCH * words.size), int(top_end)
 
 
-def _item_blocks(benchmark: DataFrame, limit: int) -> Iterator[Items]:
+def _item_blocks(benchmark: DataFrame, limit: int, least: float) -> Iterator[Items]:
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null").dropDuplicates()
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     n = max(1, -(-size // limit))
     for k in range(n):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        items = Items.of([r["item_id"] for r in part], [r["text"] for r in part])
+        items = Items.of([r["item_id"] for r in part], [r["text"] for r in part], least)
         if items.grams:
             yield items
 
@@ -196,14 +218,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     form = "doc_id long, item_id long, score double, end_word long"
     out = None
-    for items in _item_blocks(benchmark, item_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(rare_seeds(items, _frequencies(rows, items)))
+    for items in _item_blocks(benchmark, item_bytes, least):
+        shared = docs.sparkSession.sparkContext.broadcast(rarest(items, _frequencies(rows, items)))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             memory: dict = {}
             for batch in batches:
                 for block in blocks(batch.column("text")):
-                    found = list(_found(block, shared.value, least, memory))
+                    found = list(_found(block, shared.value, memory))
                     ids = batch.column("doc_id")
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array([block.lo + f[0] for f in found], pa.int64())), pa.array([shared.value.ids[f[1]] for f in found], pa.int64()),
@@ -216,15 +238,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE, item_bytes: int = ITEM_BYTES) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, unchanged."""
-    for items in _item_blocks(benchmark, item_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(rare_seeds(items, _frequencies(docs, items)))
+    for items in _item_blocks(benchmark, item_bytes, least):
+        shared = docs.sparkSession.sparkContext.broadcast(rarest(items, _frequencies(docs, items)))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             memory: dict = {}
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 for block in blocks(batch.column("text")):
-                    for d, *_ in _found(block, shared.value, least, memory):
+                    for d, *_ in _found(block, shared.value, memory):
                         keep[block.lo + d] = False
                 yield batch.filter(pa.array(keep))
 

@@ -49,6 +49,28 @@ def test_equals_alignment_of_all_pairs(corpus):
     assert pairs(dc.contaminated(docs.where("doc_id < 60"), items)) == want
 
 
+def test_edits_at_even_distances_equal_alignment_of_all_pairs(spark):
+    rng = random.Random(9)
+    common = ["the", "of", "and", "a"]
+    text = lambda n: [rng.choice(common) if rng.random() < 0.3 else f"w{rng.randrange(500)}" for _ in range(n)]
+    items = [text(n) for n in (15, 20, 30, 59) for _ in range(3)]
+    docs = []
+    for k, item in enumerate(items):
+        for step in (2, 3, 4, 5, 6):
+            for how in ("replaced", "inserted", "left out"):
+                copy = []
+                for at, w in enumerate(item):
+                    edit = at % step == step - 1
+                    copy += [f"x{at}"] if edit and how == "replaced" else [w, f"x{at}"] if edit and how == "inserted" else [] if edit else [w]
+                docs.append(text(50) + copy + text(50))
+        docs.append(text(30) + [y for w in item for y in (w, "between")])  # no two words of the item are left together
+        docs.append(text(30) + item)  # an exact copy elsewhere
+        docs.append([w if rng.random() < 0.75 else "edited" for w in item])
+    want = {(i, k) for i, t in enumerate(docs) for k, w in enumerate(items) if slow(w, t) >= dc.MIN_SCORE * dc.MATCH * len(w)}
+    frames = (spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(x)], f"{c} long, text string") for x, c in ((docs, "doc_id"), (items, "item_id")))
+    assert len(want) > 100 and pairs(dc.contaminated(*frames)) == want
+
+
 def slow(a, b):
     row, best = [0] * (len(b) + 1), 0
     for x in a:
