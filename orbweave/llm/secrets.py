@@ -8,6 +8,9 @@ The lexer reads source and configuration syntax (``name = "x"``, ``"name": x``,
 ``export NAME=x``, ``name := 'x'``, ``name => x``, XML attributes) into pairs of
 a name and a literal or another name. Names that stand for a name are followed
 within the text until nothing changes (``DB = "..."`` then ``password = DB``).
+A value without quotes is a name if the text gives that name a value, and else
+a literal as in .env, INI and YAML files; identifiers that are called or compared
+(``f(x)``, ``a == b``) are neither.
 A literal's score is the weight of the most sensitive name that it reaches
 times how much the literal looks like a secret; from ``MIN_SCORE`` on it is
 reported, as ``pair`` where the name is its own and as ``flow`` where the name
@@ -44,6 +47,7 @@ PAIR = re.compile(
     r"""(?<![\w.$-])(?P<q>["'`]?)(?P<name>[A-Za-z_$][\w.$-]*+)(?P=q)[ \t]*+(?::=|=>|==?|:)[ \t]*+"""
     r"""(?:"(?P<double>(?:[^"\\\n]|\\.)*+)"|'(?P<single>(?:[^'\\\n]|\\.)*+)'|`(?P<back>[^`\n]*+)`|(?P<bare>[^\s"'`,;(){}\[\]<>]++))""", re.ASCII)
 NAME = re.compile(r"[A-Za-z_$][\w.$-]*", re.ASCII)
+CALL = re.compile(r"\([^()\n]*+[()]")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 #: Weights of name parts and of neighbouring parts written together.
@@ -84,21 +88,20 @@ def lexed(text: str) -> list[Finding]:
     """``pair`` and ``flow`` findings of a text."""
     if ":" not in text and "=" not in text:
         return []
+    # The rest of an URL's scheme is no value.
+    pairs = [m for m in PAIR.finditer(text) if m.lastgroup != "bare" or not m["bare"].startswith("//")]
+    names = {m["name"] for m in pairs}
     literals: list[tuple[int, int, str]] = []  # start, end, own name
     alias: dict[str, set[str]] = {}  # a name -> the names that are given its value
-    for m in PAIR.finditer(text):
-        group = m.lastgroup
-        if group == "bare" and m["bare"].startswith("//"):  # the rest of an URL's scheme
-            continue
-        start, end = m.span(group)
-        literals.append((start, end, m["name"]))
-        if group == "bare" and NAME.fullmatch(m["bare"]):
+    for m in pairs:
+        start, end = m.span(m.lastgroup)
+        if m.lastgroup == "bare" and m["bare"] in names:
             alias.setdefault(m["bare"], set()).add(m["name"])
-    reached = _most_sensitive({name for _, _, name in literals}, alias)
+        elif not (m.lastgroup == "bare" and NAME.fullmatch(m["bare"].rstrip(":")) and ("==" in text[m.end("name"):start] or CALL.match(text, end))):
+            literals.append((start, end, m["name"]))
+    reached = _most_sensitive(names, alias)
     found = []
     for start, end, name in literals:
-        if text[start:end] in alias:
-            continue
         worth = literal_weight(text[start:end])
         best, via = reached[name]
         if best * worth >= MIN_SCORE:

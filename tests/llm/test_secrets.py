@@ -24,6 +24,17 @@ def test_names_and_literals():
     assert spans("see http://example.com/a=b and 10:30", "pair", "flow") == []
 
 
+def test_values_without_quotes():
+    for text, value in (("# db\nDB_PWD=Xk29fjA8s\nDB_HOST=localhost\n", "Xk29fjA8s"), ("MASTER_KEY=abcd1234efgh5678", "abcd1234efgh5678"),
+                        ("vault:\n  signing_key: Zq9kk31xT0\n  port: 8200\n", "Zq9kk31xT0"), ("[db]\npassphrase = kT7.vv-Qp2x\nuser = admin_user\n", "kT7.vv-Qp2x"),
+                        ("export AUTH_KEY=$9fKq2LmX1", "$9fKq2LmX1"), ("credential: hQ8z_Lw3Rt", "hQ8z_Lw3Rt")):
+        assert spans(text, "pair", "flow") == [("pair", value)]
+    assert spans("seen = x8Kd92mmPq\npwd = 'x8Kd92mmPq'", "pair", "flow") == [("pair", "x8Kd92mmPq")]  # the same text without quotes elsewhere
+    assert spans("Zq9kk31xT0 = 5\nprivate_key = Zq9kk31xT0", "pair", "flow") == []  # a name that has a value
+    assert spans("A=x8Kd92mmPq\nDB_PWD=A\n", "pair", "flow") == [("flow", "x8Kd92mmPq")]
+    assert spans("pwd = read_value(1)\nif master_key == other_master_key: pass", "pair", "flow") == []
+
+
 def test_constants_flow_to_sensitive_names():
     text = 'A = "x8Kd92mmPq"\nB = A\ncfg.password = B\nother = "x8Kd92mmPq"'
     assert spans(text, "pair", "flow") == [("flow", "x8Kd92mmPq")]
