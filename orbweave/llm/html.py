@@ -1,9 +1,11 @@
 """Main text of web pages: marked articles, and a suffix array of each host's loose text.
 
 A page's HTML is read once into blocks. Dropped outright are scripts, styles,
-forms, comments of the markup, and elements whose tag, role, class or id names
-a menu, page header or footer, sidebar, notice, advert, form or comment
-section. If the page marks its article (``article``, ``main``, ``role=main``,
+forms, comments of the markup, and elements whose tag, role, class or id (whole
+class names, and ids of boxes only) names a menu, page header or footer,
+sidebar, notice, advert, form or comment section; words that also name parts of
+an article, such as header or related, count outside of it only. An element
+around the page's article is never dropped. If the page marks its article (``article``, ``main``, ``role=main``,
 ``itemprop=articleBody``), the text is that article's blocks, all of them.
 
 Otherwise the blocks that are left ("loose") are judged by what repeats on
@@ -28,6 +30,7 @@ page; rows keep a null ``page_id`` or ``url``; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -54,7 +57,20 @@ OTHER = {"nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "he
          "banner", "contentinfo", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "ad", "ads", "advert", "advertisement", "adsense", "sponsor",
          "sponsored", "promo", "promotion", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login",
          "popup", "modal", "overlay", "search", "form", "comment", "comments", "commentlist", "respond", "replies", "disqus", "pagination", "pager", "toolbar", "widget"}
-WORDS = re.compile(r"[A-Za-z]+")
+#: Of these, the words that also name parts of an article (its header, a section on related work): dropped outside of it only.
+OUTSIDE = {"header", "masthead", "banner", "notice", "alert", "search", "related", "recommended", "social", "form", "sponsor", "sponsored", "promo", "promotion",
+           "consent", "subscription", "signup", "login", "overlay", "complementary"}
+#: In an article, inline elements with one of the others keep their text too (a comment in code, a name of a menu).
+INLINE_KEPT = {"menu", "comment", "comments", "respond", "replies", "widget", "modal", "popup", "toolbar", "navigation", "sidebar", "aside", "pager"}
+#: What a class or id may hold beside them and still name the same thing ("share-box", "site-header"; not "has-sidebar", "ad-free", "entry-header").
+BESIDE = {"box", "bar", "container", "wrapper", "wrap", "block", "area", "list", "links", "link", "buttons", "button", "btn", "panel", "inner", "outer", "module", "region", "unit",
+          "slot", "items", "item", "site", "page", "main", "global", "top", "bottom", "left", "right", "primary", "secondary", "mobile", "desktop", "div", "footer", "head"}
+#: An id counts on these only: elsewhere it is the target of a link.
+BOXES = {"div", "ul", "ol", "dl", "table", "header", "center", "article"}
+#: Dropped elements that may stand around a whole page, and comment sections, which are no wrappers of an article.
+WRAPS = {"form", "fieldset"}
+COMMENTS = {"comment", "comments", "commentlist", "respond", "replies", "disqus"}
+PARTS = re.compile(r"[A-Za-z]+")
 HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)")
 #: Seen anywhere in a page, these mark its article.
 MARKED = r"(?i)<(?:article|main)[\s>/]|role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articleBody"
@@ -64,22 +80,77 @@ def _attributes(attrs: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(attrs)} if attrs.strip("/ \n\t") else {}
 
 
-def _other(tag: str, attrs: dict[str, str]) -> bool:
+def _other(tag: str, attrs: dict[str, str], inside: bool) -> bool:
+    """Whether an element is something other than the main text; ``inside`` a marked article less is."""
     if tag in DROPPED or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
         return True
     if tag in ("body", "html", "main", "article") and attrs.get("role", "").lower() in ("", "main", "article"):
-        return tag == "article" and bool(OTHER & {"comment", "comments", "ad", "advert", "related", "promo"} & _words(attrs))
-    return bool(OTHER & _words(attrs))
-
-
-def _words(attrs: dict[str, str]) -> set[str]:
-    return {w.lower() for k in ("class", "id", "role") if attrs.get(k) for w in WORDS.findall(attrs[k])}
+        return tag == "article" and bool({"comment", "comments", "ad", "advert", "related", "promo"} & _roles(tag, attrs))
+    roles = _roles(tag, attrs)
+    if inside:
+        roles -= OUTSIDE
+        if tag in INLINE:
+            roles -= INLINE_KEPT
+    return bool(roles)
+
+
+def _roles(tag: str, attrs: dict[str, str]) -> set[str]:
+    """The words of ``OTHER`` that an element's class, role or id names as a whole."""
+    out: set[str] = set()
+    for key in ("class", "role", "id") if tag in BOXES else ("class", "role"):
+        for token in attrs.get(key, "").lower().split():
+            parts = set(PARTS.findall(token))
+            if parts & OTHER and parts <= OTHER | BESIDE:
+                out |= parts & OTHER
+    return out
+
+
+def _zone(tag: str, attrs: dict[str, str]) -> str:
+    """The zone that an element opens, if any."""
+    if tag == "article" or attrs.get("itemprop", "").lower() == "articlebody":
+        return "article"
+    return "main" if tag == "main" or attrs.get("role", "").lower() == "main" else ""
+
+
+def _around_articles(html: str) -> set[int]:
+    """Where the wrappers begin (any element but menus, asides, footers and comment sections) that hold an article or main part."""
+    out: set[int] = set()
+    stack: list[tuple[str, int, bool]] = []  # tag, begin, whether it may be a wrapper
+    opened: Counter[str] = Counter()
+    at = 0
+    while m := MARKUP.search(html, at):
+        at = m.end()
+        tag = (m["tag"] or "").lower()
+        if tag in RAW and not m["close"]:
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
+            at = end.end() if end else len(html)
+        if not tag or tag in RAW or tag in VOID or tag in INLINE:
+            continue
+        if m["close"]:
+            while opened[tag]:
+                t, _, _ = stack.pop()
+                opened[t] -= 1
+                if t == tag:
+                    break
+            continue
+        attrs = _attributes(m["attrs"])
+        wraps = (tag not in DROPPED or tag in WRAPS) and "hidden" not in attrs and not COMMENTS & _roles(tag, attrs)
+        marks = bool(_zone(tag, attrs)) and wraps and not (tag == "article" and _other(tag, attrs, False))
+        stack.append((tag, m.start(), wraps and (not stack or stack[-1][2])))
+        opened[tag] += 1
+        if marks and stack[-1][2]:
+            for _, begin, _ in reversed(stack):
+                if begin in out:
+                    break  # so are those around it
+                out.add(begin)
+    return out
 
 
 class _Page:
     """Blocks of a page: of its articles, of its main parts, loose ones, and dropped ones."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, around: frozenset[int] | set[int] = frozenset()):
+        """``around``: where elements begin that are not skipped, since they hold an article."""
         self.zones: dict[str, list[str]] = {"article": [], "main": [], "loose": [], "dropped": []}
         self.parts: list[str] = []
         open_zone = {"article": 0, "main": 0}
@@ -104,7 +175,7 @@ class _Page:
                 continue
             if tag in INLINE and not skip:
                 attrs = _attributes(m["attrs"]) if not closing and m["attrs"] else {}
-                if not attrs or not _other(tag, attrs):
+                if not attrs or not _other(tag, attrs, bool(open_zone["article"] or open_zone["main"])):
                     continue
             elif tag == "br":
                 self.parts.append(" ")
@@ -122,11 +193,11 @@ class _Page:
                 continue
             if not closing:
                 attrs = _attributes(m["attrs"])
-                inside = open_zone["article"] or open_zone["main"]
-                if _other(tag, attrs) or tag == "header" and not inside:
+                inside = bool(open_zone["article"] or open_zone["main"])
+                if (_other(tag, attrs, inside) or tag == "header" and not inside) and m.start() not in around:
                     skip, depth = tag, 1
                     continue
-                name = "article" if tag == "article" or attrs.get("itemprop", "").lower() == "articlebody" else "main" if tag == "main" or attrs.get("role", "").lower() == "main" else ""
+                name = _zone(tag, attrs)
                 if name or any(t == tag for t, _ in stack):
                     stack.append((tag, name))
                     if name:
@@ -150,7 +221,19 @@ class _Page:
 
 def page_blocks(html: str | None) -> dict[str, list[str]]:
     """Blocks of a page by zone, each with its white space turned into single spaces."""
-    return _Page(html).zones if html else {"article": [], "main": [], "loose": [], "dropped": []}
+    if not html:
+        return {"article": [], "main": [], "loose": [], "dropped": []}
+    zones = _Page(html).zones
+    if not (zones["article"] or zones["main"]) and zones["dropped"] and (around := _around_articles(html)):
+        wrapped = _Page(html, around).zones
+        # A teaser in a sidebar is not the page's article.
+        if _chars(wrapped["article"]) + _chars(wrapped["main"]) > _chars(zones["loose"]):
+            return wrapped
+    return zones
+
+
+def _chars(texts: list[str]) -> int:
+    return sum(map(len, texts))
 
 
 def _host(url: str | None) -> str:

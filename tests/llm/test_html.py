@@ -22,6 +22,18 @@ def test_marked_article(spark):
     assert got[2] == "only this"
 
 
+def test_wrappers_and_parts_of_an_article_stay(spark):
+    body = "<article class='post ad-free'><header class='entry-header'><h1 class='header'>Title</h1></header><p>Body</p><section id='related-work'><h2 id='search'>Related</h2><p>Work</p></section>" \
+           "<div class='social-history'>Social</div><p class='notice'>Note <span class='comment'>code</span></p><div class='share-box'>no</div><div id='comments'>no</div></article>"
+    whole = "Title\n\nBody\n\nRelated\n\nWork\n\nSocial\n\nNote code"
+    wrappers = ['<div class="layout has-sidebar">', '<div id="page" class="with-header">', '<div class="ad-free">', '<div class="header">', '<form id="aspnet">', '<div class="notice"><div class="widget">']
+    got = text_of(spark, [("http://a.org/%d" % i, f"<nav>Menu</nav>{w}{body}") for i, w in enumerate(wrappers)]
+                  + [("http://b.org/", "<div class='entry'><p>The body of this page is loose.</p></div><div class='sidebar'><article>Teaser</article></div>"),
+                     ("http://c.org/", f"<div class='related'><article>Teaser</article></div>{body}")])
+    assert [got[i] for i in range(len(wrappers))] == [whole] * len(wrappers)
+    assert got[len(wrappers) + 1] == whole and "Teaser" not in html.page_blocks("<p>A longer text than that</p><div class='sidebar'><article>Teaser</article></div>")["article"]
+
+
 def test_loose_text_against_the_rest_of_its_host(spark):
     page = "<div>Welcome to the site of all good things</div><p>{0} {0}a {0}b own {0}c words {0}d here</p><div>Made with care by the people of this place in {0}</div><p>short</p>"
     pages = [("http://h.org/%d" % i, page.format(f"year{i}")) for i in range(3)] + [("http://other.org", page.format("alone"))]
