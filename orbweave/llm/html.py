@@ -6,7 +6,9 @@ class names, and ids of boxes only) names a menu, page header or footer,
 sidebar, notice, advert, form or comment section; words that also name parts of
 an article, such as header or related, count outside of it only. An element
 around the page's article is never dropped. If the page marks its article (``article``, ``main``, ``role=main``,
-``itemprop=articleBody``), the text is that article's blocks, all of them.
+``itemprop=articleBody``) and there is text in it, the text is that article's
+blocks, all of them; where an article lies inside a main part, all blocks of
+both in page order; where an article lies beside it, the article's.
 
 Otherwise the blocks that are left ("loose") are judged by what repeats on
 their host: the token streams of the loose and of the dropped blocks of all the
@@ -72,8 +74,8 @@ WRAPS = {"form", "fieldset"}
 COMMENTS = {"comment", "comments", "commentlist", "respond", "replies", "disqus"}
 PARTS = re.compile(r"[A-Za-z]+")
 HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)")
-#: Seen anywhere in a page, these mark its article.
-MARKED = r"(?i)<(?:article|main)[\s>/]|role\s*=\s*[\"']?main|itemprop\s*=\s*[\"']?articleBody"
+#: Without one of these, nothing in a page marks its article.
+MARKED = re.compile(r"""<(?:article|main)[\s>/]|role\s*=\s*["']?main|itemprop\s*=\s*["']?articleBody""", re.I)
 
 
 def _attributes(attrs: str) -> dict[str, str]:
@@ -153,6 +155,9 @@ class _Page:
         """``around``: where elements begin that are not skipped, since they hold an article."""
         self.zones: dict[str, list[str]] = {"article": [], "main": [], "loose": [], "dropped": []}
         self.parts: list[str] = []
+        marked: list[tuple[str, str]] = []  # (zone, block) of both marked zones in page order
+        self.marked = marked
+        nested = False
         open_zone = {"article": 0, "main": 0}
         stack: list[tuple[str, str]] = []  # elements that open a zone
         skip, depth = "", 0
@@ -202,6 +207,7 @@ class _Page:
                     stack.append((tag, name))
                     if name:
                         open_zone[name] += 1
+                        nested = nested or name == "article" and bool(open_zone["main"]) and not open_zone["article"] - 1
             elif any(t == tag for t, _ in stack):
                 while stack:
                     t, name = stack.pop()
@@ -212,10 +218,14 @@ class _Page:
             self.zone = "article" if open_zone["article"] else "main" if open_zone["main"] else "loose"
         self.parts.append(html[at:])
         self._flush("dropped" if skip else self.zone)
+        if nested and self.zones["main"]:  # the main part as a whole, its articles included
+            self.zones["article"], self.zones["main"] = [], [block for _, block in marked]
 
     def _flush(self, zone: str) -> None:
         if text := " ".join(unescape("".join(self.parts)).split()):
             self.zones[zone].append(text)
+            if zone in ("article", "main"):
+                self.marked.append((zone, text))
         self.parts = []
 
 
@@ -224,7 +234,7 @@ def page_blocks(html: str | None) -> dict[str, list[str]]:
     if not html:
         return {"article": [], "main": [], "loose": [], "dropped": []}
     zones = _Page(html).zones
-    if not (zones["article"] or zones["main"]) and zones["dropped"] and (around := _around_articles(html)):
+    if not (zones["article"] or zones["main"]) and zones["dropped"] and MARKED.search(html) and (around := _around_articles(html)):
         wrapped = _Page(html, around).zones
         # A teaser in a sidebar is not the page's article.
         if _chars(wrapped["article"]) + _chars(wrapped["main"]) > _chars(zones["loose"]):
@@ -242,19 +252,29 @@ def _host(url: str | None) -> str:
 
 
 def _marked_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pages whose marked article or main part has text, and those without html."""
     for batch in batches:
         texts = []
         for html in batch.column("html").to_pylist():
             zones = page_blocks(html)
-            texts.append("\n\n".join(zones["article"] or zones["main"]))
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+            marked = zones["article"] or zones["main"]
+            texts.append("\n\n".join(marked) if marked or not html else None)
+        texts = pa.array(texts, pa.string())
+        whole = texts.is_valid()
+        yield pa.RecordBatch.from_arrays([batch.column("page_id").filter(whole), batch.column("url").filter(whole), texts.filter(whole)], names=["page_id", "url", "text"])
 
 
 def _loose_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The other pages."""
     for batch in batches:
-        rows = [page_blocks(h)["loose"] for h in batch.column("html").to_pylist()]
-        hosts = [_host(u) for u in batch.column("url").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(hosts, pa.string()), pa.array(rows, pa.list_(pa.string()))],
+        ids, urls, rows = [], [], []
+        for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
+            zones = page_blocks(html)
+            if html and not (zones["article"] or zones["main"]):
+                ids.append(page_id)
+                urls.append(url)
+                rows.append(zones["loose"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array([_host(u) for u in urls], pa.string()), pa.array(rows, pa.list_(pa.string()))],
                                          names=["page_id", "url", "host", "blocks"])
 
 
@@ -295,11 +315,9 @@ def repeated_blocks(pages: DataFrame, depth: int = DEPTH, covered: float = COVER
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages``: ``page_id``, ``url``, ``text`` (blocks joined by an empty line), ``n_chars``."""
-    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
-    marked = F.coalesce(F.col("html").rlike(MARKED), F.lit(True))  # no html: no text
-    whole = rows.where(marked).mapInArrow(_marked_texts, "page_id long, url string, text string")
-    rest = rows.where(~marked)
-    loose = (rest.mapInArrow(_loose_blocks, "page_id long, url string, host string, blocks array<string>")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    whole = rows.mapInArrow(_marked_texts, "page_id long, url string, text string")
+    loose = (rows.mapInArrow(_loose_blocks, "page_id long, url string, host string, blocks array<string>")
              .withColumn("row", F.monotonically_increasing_id())  # numbers pages, before their blocks are listed
              .select("row", "page_id", "url", "host", F.posexplode_outer("blocks").alias("at", "block")))
     # The whole table's streams count, those of pages with a marked article too; there is nothing to judge if no page is loose.

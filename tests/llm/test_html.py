@@ -34,6 +34,15 @@ def test_wrappers_and_parts_of_an_article_stay(spark):
     assert got[len(wrappers) + 1] == whole and "Teaser" not in html.page_blocks("<p>A longer text than that</p><div class='sidebar'><article>Teaser</article></div>")["article"]
 
 
+def test_marks_without_text_and_articles_in_main(spark):
+    got = text_of(spark, [("http://a.org/", "<div class='entry-content'><p>The body</p></div><article class='comment'><p>Nice</p></article>"),
+                          ("http://b.org/", "<script>var s = '<main >';</script><p>The body</p>"), ("http://c.org/", "<main id='app'></main><!-- <article> --><p>The body</p>"),
+                          ("http://d.org/", "<main><h1>Title</h1><p>One</p><article>Teaser</article><p>Two</p></main><p>out</p>"),
+                          ("http://e.org/", "<article>Text</article><main>Rest</main>"), ("http://f.org/", "<article>A<main>B</main>C</article>"),
+                          ("http://g.org/", "<main><nav>no</nav><article>A</article><article>B</article></main>"), ("http://h.org/", "<article class='comment'>only this</article>")])
+    assert [got[i] for i in range(8)] == ["The body"] * 3 + ["Title\n\nOne\n\nTeaser\n\nTwo", "Text", "A\n\nB\n\nC", "A\n\nB", ""]
+
+
 def test_loose_text_against_the_rest_of_its_host(spark):
     page = "<div>Welcome to the site of all good things</div><p>{0} {0}a {0}b own {0}c words {0}d here</p><div>Made with care by the people of this place in {0}</div><p>short</p>"
     pages = [("http://h.org/%d" % i, page.format(f"year{i}")) for i in range(3)] + [("http://other.org", page.format("alone"))]
