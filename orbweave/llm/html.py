@@ -1,4 +1,4 @@
-"""Main text of web pages: marked articles, and a suffix array of each host's loose text.
+"""Main text of web pages: marked articles, and what doesn't repeat of each host's loose text.
 
 A page's HTML is read once into blocks. Dropped outright are scripts, styles,
 forms, comments of the markup, and elements whose tag, role, class or id (whole
@@ -11,26 +11,27 @@ blocks, all of them; where an article lies inside a main part, all blocks of
 both in page order; where an article lies beside it, the article's.
 
 Otherwise the blocks that are left ("loose") are judged by what repeats on
-their host: the token streams of the loose and of the dropped blocks of all the
-host's pages are concatenated, their suffixes are sorted to a depth of
-``DEPTH`` tokens (a suffix array cut at the length that counts as long), and
-suffixes whose first ``DEPTH`` tokens are equal and come from distinct pages
-are a repeated substring. A loose block of which repeated substrings cover
-half the tokens or more is boilerplate; the others are kept whole. The suffixes
-are those of distinct blocks (equal blocks of a host are counted before), are
-dealt by host and head, and are summed before they move, so that a host with a
-third of all pages and a line on each of them needs no task of its own.
+their host: the runs of ``DEPTH`` tokens (a shorter block as a whole) of the
+loose and of the dropped blocks of all the host's pages are counted by the
+pages that hold them. Pages with the same content (see ``_content``) are one, so
+copies under several urls are no evidence against their text. A run repeats
+from ``PAGES`` pages on that are the part ``SHARE`` of the host's. Where repeated
+runs cover half of a loose block's tokens or more, they are cut out of it and
+its own runs stay; other blocks are kept whole. Runs are grouped by host and
+hash and their pages counted before they move, so that a host with a third of
+all pages and a line on each of them needs no task of its own.
 
 Repetition inside a marked article is left alone: the article is wanted whole,
 and articles repeat (copies, licences, quotations).
 
 Defined results: null or empty html gives an empty text; a page without a host
-is judged among the pages without one; repeated rows of a page count as one
+is judged among the pages without one; repeated rows and copies of a page count as one
 page; rows keep a null ``page_id`` or ``url``; other columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -44,6 +45,10 @@ from pyspark.sql import functions as F
 DEPTH = 6
 #: Part of a loose block's tokens that repeated substrings cover at least if it is boilerplate.
 COVERED = 0.5
+#: A repeated substring is on so many pages of its host at least (or on all, if there are fewer), and on this part of them.
+PAGES, SHARE = 3, 0.2
+#: Tokens of a paragraph at least, and of a run of its own that a covered block keeps (one token is a year or a number in a line that repeats).
+PARAGRAPH, OWN = 12, 2
 
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"""
@@ -278,39 +283,74 @@ def _loose_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                          names=["page_id", "url", "host", "blocks"])
 
 
+def _content(zones: dict[str, list[str]]) -> int:
+    """What tells a page from others: its paragraphs if they are most of its text, so that a print view or a copy under another url is the same page."""
+    blocks = [b for zone in ("article", "main", "loose") for b in zones[zone]] or zones["dropped"]
+    long = [b for b in blocks if b.count(" ") + 1 >= PARAGRAPH]
+    own = long if 2 * _chars(long) >= _chars(blocks) else blocks
+    return int.from_bytes(hashlib.blake2b("\n".join(own).encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
+
+
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, block, page): what can repeat on a host."""
+    """(host, block, page): what can repeat on a host; a page has a row without a block too."""
     for batch in batches:
         hosts, blocks, pages = [], [], []
-        for url, html, page in zip(*(batch.column(c).to_pylist() for c in ("url", "html", "page"))):
+        for url, html in zip(*(batch.column(c).to_pylist() for c in ("url", "html")), strict=True):
             zones = page_blocks(html)
-            own = dict.fromkeys([*zones["loose"], *zones["dropped"]])
-            hosts += [_host(url)] * len(own)
-            pages += [page] * len(own)
-            blocks += own
+            if any(zones.values()):
+                own = [None, *dict.fromkeys([*zones["loose"], *zones["dropped"]])]
+                hosts += [_host(url)] * len(own)
+                pages += [_content(zones)] * len(own)
+                blocks += own
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(blocks, pa.string()), pa.array(pages, pa.int64())], names=["host", "block", "page"])
 
 
-def repeated_blocks(pages: DataFrame, depth: int = DEPTH, covered: float = COVERED) -> DataFrame:
-    """(``host``, ``block``) of the loose and dropped blocks that substrings repeated across a host's pages cover."""
-    page = F.xxhash64("url", "html")
-    blocks = (pages.select("url", "html", page.alias("page")).mapInArrow(_streams, "host string, block string, page long")
-              .groupBy("host", "block").agg(F.min("page").alias("lo"), F.max("page").alias("hi")))
-    tokens = F.split("block", " ")
+def _left(depth: int, covered: float):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What is left of the blocks that are covered: the runs of ``OWN`` tokens or more that nothing covers."""
+        for batch in batches:
+            hosts, blocks, kept = [], [], []
+            for host, block, starts in zip(*(batch.column(c).to_pylist() for c in ("host", "block", "at")), strict=True):
+                tokens = block.split(" ")
+                runs, end, n = [], 0, 0  # tokens before ``end`` are looked at
+                for at in sorted(starts):
+                    if at - 1 > end:
+                        runs.append(tokens[end:at - 1])
+                    last = min(len(tokens), at - 1 + depth)
+                    n += last - max(end, at - 1)
+                    end = last
+                runs.append(tokens[end:])
+                if n >= covered * len(tokens):
+                    hosts.append(host)
+                    blocks.append(block)
+                    kept.append(" ".join(t for r in runs if len(r) >= OWN for t in r))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (hosts, blocks, kept)], names=["host", "block", "kept"])
+
+    return run
+
+
+def repeated_blocks(pages: DataFrame, depth: int = DEPTH, covered: float = COVERED, least: int = 2, share: float = 0.0) -> DataFrame:
+    """(``host``, ``block``, ``kept``) of the loose and dropped blocks that substrings repeated across a host's pages cover, and what is left of each.
+
+    A substring is repeated if it is on ``least`` of the host's pages (all, if it has fewer, but two) and on the part ``share`` of them.
+    """
+    seen = pages.select("url", "html").mapInArrow(_streams, "host string, block string, page long")
     size = F.size("tokens")
-    # A block of up to ``depth`` tokens has one suffix to look at; it ends the stream, so only equal whole blocks meet.
-    suffixes = (blocks.select("host", "block", "lo", "hi", tokens.alias("tokens"))
-                .select("host", "block", "lo", "hi", size.alias("size"),
-                        F.explode(F.sequence(F.lit(1), F.greatest(size - depth + 1, F.lit(1)))).alias("at"), "tokens")
-                .select("host", "block", "lo", "hi", "size", "at",
-                        F.concat(F.array_join(F.slice("tokens", F.col("at"), depth), " "), F.when(size < depth, F.lit("\n")).otherwise("")).alias("head")))
-    repeats = (suffixes.groupBy("host", "head").agg(F.min("lo").alias("first_page"), F.max("hi").alias("last_page"))
-               .where("first_page <> last_page").select("host", "head"))
-    hits = (suffixes.join(repeats, ["host", "head"]).groupBy("host", "block", "size").agg(F.sort_array(F.collect_set("at")).alias("at")))
-    # Tokens in the union of [at, at + depth): each start adds what the one before hasn't covered.
-    union = F.aggregate("at", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), lambda s, a: F.struct(
-        (s["n"] + F.least(F.col("size"), a + depth - 1) - F.greatest(s["end"], a - 1)).alias("n"), F.least(F.col("size"), a + depth - 1).alias("end")), lambda s: s["n"])
-    return hits.where(union >= covered * F.col("size")).select("host", "block")
+
+    def suffixes(blocks: DataFrame, *more: str) -> DataFrame:
+        # A block of up to ``depth`` tokens has one suffix to look at; it ends the stream, so only equal whole blocks meet.
+        return (blocks.select("host", *more, F.split("block", " ").alias("tokens"))
+                .select("host", *more, size.alias("size"), F.explode(F.sequence(F.lit(1), F.greatest(size - depth + 1, F.lit(1)))).alias("at"), "tokens")
+                .select("host", *more, "at", F.xxhash64(F.array_join(F.slice("tokens", F.col("at"), depth), " "), F.col("size") < depth).alias("head")))
+
+    blocks = seen.where("block is not null")
+    hosts = seen.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    found = suffixes(blocks, "page").select("host", "head", "page").distinct().groupBy("host", "head").agg(F.count("*").alias("n")).where("n >= 2")
+    wanted = F.greatest(F.lit(2), F.least(F.lit(least), F.col("pages")), F.ceil(F.lit(share) * F.col("pages")))
+    repeats = found.join(hosts, "host").where(F.col("n") >= wanted).select("host", "head")
+    hits = (suffixes(blocks.select("host", "block").distinct(), "block").join(repeats, ["host", "head"])
+            .groupBy("host", "block").agg(F.collect_set("at").alias("at")))
+    return hits.mapInArrow(_left(depth, covered), "host string, block string, kept string")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -321,10 +361,11 @@ def extract(pages: DataFrame) -> DataFrame:
              .withColumn("row", F.monotonically_increasing_id())  # numbers pages, before their blocks are listed
              .select("row", "page_id", "url", "host", F.posexplode_outer("blocks").alias("at", "block")))
     # The whole table's streams count, those of pages with a marked article too; there is nothing to judge if no page is loose.
-    boilerplate = repeated_blocks(rows).withColumn("repeats", F.lit(True))
+    boilerplate = repeated_blocks(rows, least=PAGES, share=SHARE)
+    piece = F.coalesce("kept", "block")
     kept = (loose.join(boilerplate, ["host", "block"], "left")
             .groupBy("row", "page_id", "url")
-            .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("repeats").isNull() & F.col("block").isNotNull(), F.struct("at", "block")))),
+            .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.when(piece != "", F.struct("at", piece.alias("block"))))),
                                           lambda b: b["block"]), "\n\n").alias("text"))
             .select("page_id", "url", "text"))
     return whole.unionByName(kept).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -53,6 +53,26 @@ def test_loose_text_against_the_rest_of_its_host(spark):
     assert plain == {0: "own text one", 1: "z"}  # dropped parts of other pages count
 
 
+def test_copied_articles_survive(spark):
+    import random
+
+    rng = random.Random(3)
+    paragraph = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+    menu = "<div>Home News Sports Weather Jobs Contact Imprint</div><div>All rights reserved by the people of this place</div>"
+    page = lambda *own: menu + "".join(f"<p>{o}</p>" for o in own)
+    a, b, phrase = [paragraph() for _ in range(3)], paragraph(), "as the saying goes in this very old town"
+    pages = [("http://two.org/a", page(*a)), ("http://two.org/a?utm=1", page(*a))]  # nothing else on this host
+    pages += [("http://many.org/a", page(*a)), ("http://many.org/a?utm=1", page(*a)), ("http://many.org/print/a", "".join(f"<p>{o}</p>" for o in a)), ("http://many.org/a2", page(*a, b))]
+    pages += [(f"http://many.org/{i}", page(paragraph(), phrase if i < 2 else paragraph(), "Summary" if i < 2 else f"Part {i}")) for i in range(20)]
+    pages += [(f"http://own.org/{i}", f"<p>This line is on every page of the host and ends with words of page{i}x page{i}y page{i}z</p><p>{paragraph()}</p>") for i in range(4)]
+    got = text_of(spark, pages)
+    assert got[0] == got[1] and all(x in got[0] for x in a)
+    assert [got[i] for i in (2, 3, 4, 5)] == ["\n\n".join(a)] * 3 + ["\n\n".join([*a, b])]
+    assert phrase in got[6] and phrase in got[7] and "Summary" in got[6]  # on two of many pages
+    assert all("Home" not in got[i] and "rights" not in got[i] for i in range(2, 26))
+    assert all(got[26 + i].startswith(f"page{i}x page{i}y page{i}z\n\n") for i in range(4))
+
+
 def brute_repeats(blocks, depth):
     """Covered share of each (host, block) by substrings of ``depth`` tokens that occur on two pages."""
     seen = {}
