@@ -4,7 +4,8 @@ Words are lower-cased (A-Z) and cut at white space. The words of a test item are
 aligned with those of a document (local alignment: match ``MATCH``, mismatch
 and gap ``-1``). The score is the alignment's, divided by that of the whole
 item with itself: 1 for a copy, less by edits. From ``MIN_SCORE`` on the
-document is contaminated by the item.
+document is contaminated by the item, and also if the alignment scores as much
+as ``QUOTED`` words in a row, whatever part of a long item that is.
 
 Only the places that can reach that score are aligned, and all of them are. An
 alignment of m matched words, b pairs of which are neighbours in both texts, has
@@ -42,6 +43,8 @@ from orbweave.llm.tokens import Block, blocks, gram_hashes
 SHORT = 4
 MATCH = 2
 MIN_SCORE = 0.5
+#: An alignment that scores as much as a copy of so many words contaminates too, however long the item is.
+QUOTED = 25
 #: Bytes of item text that one pass carries, about.
 ITEM_BYTES = 4 << 20
 
@@ -50,7 +53,7 @@ ITEM_BYTES = 4 << 20
 class Items:
     """Items' word hashes, and their features as sorted arrays by length of gram: (length, hashes, item).
 
-    An alignment of an item's ``least`` score or more lacks at most ``spare`` of its features and is at most ``span`` words long.
+    An alignment of the score ``least`` (not divided) or more lacks at most ``spare`` of its features and is at most ``span`` words long.
     """
 
     ids: list
@@ -63,12 +66,12 @@ class Items:
     hits: np.ndarray
 
     @staticmethod
-    def of(ids: list, texts: list[str | None], least: float) -> Items:
+    def of(ids: list, texts: list[str | None], least: float, quoted: int) -> Items:
         words: list[np.ndarray] = []
         for block in blocks(pa.array(texts, pa.string())):
             words += [block.hash[a:b] for a, b in zip(block.first, block.first[1:], strict=False)]
         size = np.array([w.size for w in words], np.int64)
-        score = np.ceil(least * MATCH * size).astype(np.int64)
+        score = np.minimum(np.ceil(least * MATCH * size).astype(np.int64), MATCH * quoted)
         whole = size < SHORT
         need = np.where(whole, 1, np.maximum(score - 1, 1))
         found: dict[int, list[tuple[np.ndarray, int]]] = {}
@@ -202,23 +205,23 @@ def _found(block: Block, items: Items, memory: dict) -> Iterator[tuple[int, int,
             yield d, i, top / (MATCH * words.size), int(top_end)
 
 
-def _item_blocks(benchmark: DataFrame, limit: int, least: float) -> Iterator[Items]:
+def _item_blocks(benchmark: DataFrame, limit: int, least: float, quoted: int) -> Iterator[Items]:
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null").dropDuplicates()
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     n = max(1, -(-size // limit))
     for k in range(n):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        items = Items.of([r["item_id"] for r in part], [r["text"] for r in part], least)
+        items = Items.of([r["item_id"] for r in part], [r["text"] for r in part], least, quoted)
         if items.grams:
             yield items
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE, item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """Pairs ``doc_id``, ``item_id``, ``score``, ``end_word`` (of the best alignment) of score ``least`` or more."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE, item_bytes: int = ITEM_BYTES, quoted: int = QUOTED) -> DataFrame:
+    """Pairs ``doc_id``, ``item_id``, ``score``, ``end_word`` (of the best alignment) of score ``least`` or more, or of ``quoted`` words or more."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     form = "doc_id long, item_id long, score double, end_word long"
     out = None
-    for items in _item_blocks(benchmark, item_bytes, least):
+    for items in _item_blocks(benchmark, item_bytes, least, quoted):
         shared = docs.sparkSession.sparkContext.broadcast(rarest(items, _frequencies(rows, items)))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
@@ -236,9 +239,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE
     return out if out is not None else docs.sparkSession.createDataFrame([], form)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE, item_bytes: int = ITEM_BYTES) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE, item_bytes: int = ITEM_BYTES, quoted: int = QUOTED) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, unchanged."""
-    for items in _item_blocks(benchmark, item_bytes, least):
+    for items in _item_blocks(benchmark, item_bytes, least, quoted):
         shared = docs.sparkSession.sparkContext.broadcast(rarest(items, _frequencies(docs, items)))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001

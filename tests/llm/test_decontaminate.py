@@ -71,6 +71,18 @@ def test_edits_at_even_distances_equal_alignment_of_all_pairs(spark):
     assert len(want) > 100 and pairs(dc.contaminated(*frames)) == want
 
 
+def test_long_quotations(spark):
+    rng = random.Random(6)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items = [text(59), text(300), text(300)]
+    docs = [text(40) + items[0][20:49] + text(40), text(40) + items[1][100:240] + text(40), text(40) + items[2][5:30] + text(9), text(40) + items[2][5:29] + text(9),
+            text(9) + [w for i, w in enumerate(items[1][:60]) if i % 6] + text(9)]
+    frames = [spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(x)], f"{c} long, text string") for x, c in ((docs, "doc_id"), (items, "item_id"))]
+    assert pairs(dc.contaminated(*frames)) == {(0, 0), (1, 1), (2, 2), (4, 1)}
+    assert pairs(dc.contaminated(*frames, quoted=100)) == {(1, 1)}
+    assert {r["doc_id"] for r in dc.drop_contaminated(*frames).collect()} == {3}
+
+
 def slow(a, b):
     row, best = [0] * (len(b) + 1), 0
     for x in a:
