@@ -18,7 +18,10 @@ Defined results: vectors that are null, empty or hold a null or non-finite
 component, and rows with a null id, take no part; vectors of another dimension
 are not compared; ties go to the smaller id; equal rows are candidates each,
 but a query is asked once per id and never returns its own id; fewer than k
-candidates give fewer rows; other columns are not read.
+candidates give fewer rows; other columns are not read. Scores of vectors too
+large for a tree (products of 2**40 or more) are exact too, from all pairs with
+such a vector. Beyond 64 bits a component counts as 2**63 (or its negative) and a
+score as 2**63 - 1 (or its negative), where ties go to the smaller id as well.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ SCALE = 64
 LEAF = 64
 #: Stands for no key and no score yet.
 NONE = -(1 << 62)
+#: Inner products in a tree are smaller (in a key, the row's number goes with them), and any product is cut to this.
+TREE, MOST = 1 << 40, (1 << 63) - 1
 #: Vectors of a shard and queries of a block, about.
 SHARD = BLOCK = 8192
 
@@ -75,7 +80,7 @@ class Tree:
         best = np.full((n, k), none, np.int64)
         bound = self.bounds(queries)
         top = (bound.astype(np.int64) << shift) + (mask - self.first)
-        floor = np.where(at_least == none, none, np.maximum(at_least, -(1 << 40)) << shift)
+        floor = np.where(at_least == none, none, np.clip(at_least, -TREE, TREE) << shift)
         order = np.argsort(-top, axis=1, kind="stable")
         active = np.arange(n)
         for step in range(order.shape[1]):
@@ -97,10 +102,37 @@ class Tree:
 
 
 def _matrix(col: pa.ChunkedArray, dim: int) -> np.ndarray:
-    values = np.asarray(col.combine_chunks().flatten(), dtype=np.float64).reshape(-1, dim)
-    if values.size and np.abs(values).max() ** 2 * dim >= 2**40:
-        raise ValueError("components are too large for exact scores")
-    return values
+    return np.asarray(col.combine_chunks().flatten(), dtype=np.float64).reshape(-1, dim)
+
+
+def _large(vectors: np.ndarray) -> np.ndarray:
+    """Which rows the tree can't score exactly: any two of the others have a product below ``TREE``."""
+    return np.abs(vectors).max(1) ** 2 * vectors.shape[1] >= TREE
+
+
+def _products(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Exact inner products in int64: in Python's integers where they may not fit, the outcome cut to ``MOST``."""
+    if not queries.size or not points.size:
+        return np.zeros((len(queries), len(points)), np.int64)
+    tops = np.abs(queries).max(1)[:, None], np.abs(points).max(1)
+    # A row with components beyond 2**62 is all zero here and counted below.
+    fits = [v.astype(np.int64) for v in (np.where(tops[0] < 2.0**62, queries, 0), np.where(tops[1][:, None] < 2.0**62, points, 0))]
+    out = fits[0] @ fits[1].T  # wraps only where it is counted again
+    for q, c in zip(*np.nonzero(tops[0] * tops[1] * queries.shape[1] >= 2.0**62), strict=True):
+        exact = sum(int(x) * int(y) for x, y in zip(queries[q], points[c], strict=True))
+        out[q, c] = max(-MOST, min(MOST, exact))
+    return out
+
+
+def _all_pairs(queries: np.ndarray, own: np.ndarray, at_least: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, id, score) of each query's best k points, as ``Tree.search`` has them, from all products."""
+    score = _products(queries, points)
+    out = []
+    for q in range(len(queries)):
+        at = np.flatnonzero((ids != own[q]) & ((at_least[q] == NONE) | (score[q] >= at_least[q])))
+        at = at[np.lexsort((ids[at], -score[q, at]))[:k]]
+        out.append((np.full(at.size, q), ids[at], score[q, at]))
+    return tuple(np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(3))
 
 
 def _search(k: int):  # noqa: ANN202
@@ -109,15 +141,28 @@ def _search(k: int):  # noqa: ANN202
         if not points.num_rows or not queries.num_rows:
             return pa.table({n: pa.array([], t) for n, t in names.items()})
         dim = points.column("dim")[0].as_py()
-        tree = Tree(_matrix(points.column("v"), dim), np.asarray(points.column("vec_id")))
+        every, ids = _matrix(points.column("v"), dim), np.asarray(points.column("vec_id"))
+        wide = _large(every)
+        tree = Tree(every[~wide], ids[~wide]) if not wide.all() else None
         asked = np.asarray(queries.column("query_id"))
         least = queries.column("at_least").to_numpy()
         vectors = _matrix(queries.column("q_v"), dim)
-        out = []
-        for lo in range(0, len(asked), 1024):
-            part = slice(lo, lo + 1024)
+        large = _large(vectors)
+        out = [(np.zeros(0, np.int64),) * 3]
+
+        def add(part: np.ndarray, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+            q, vec_id, score = found
+            out.append((asked[part][q], vec_id, score))
+
+        # The vectors that are too large for the tree, and all others for such queries, are compared pair by pair.
+        for few, rows in ((~large, wide), (large, np.ones(len(every), bool))):
+            for lo in range(0, int(few.sum()) if rows.any() else 0, 256):
+                part = np.flatnonzero(few)[lo:lo + 256]
+                add(part, _all_pairs(vectors[part], asked[part], least[part], every[rows], ids[rows], k))
+        for lo in range(0, int((~large).sum()) if tree else 0, 1024):
+            part = np.flatnonzero(~large)[lo:lo + 1024]
             q, row, score = tree.search(vectors[part], asked[part], least[part], k)
-            out.append((asked[part][q], tree.ids[row], score))
+            add(part, (q, tree.ids[row], score))
         return pa.table({n: pa.array(np.concatenate([o[i] for o in out]), t) for i, (n, t) in enumerate(names.items())})
 
     return run

@@ -42,6 +42,22 @@ def test_odd_rows(spark):
     assert found(kdtree.top_k(rows.limit(0), F.col("vec_id") % 20 == 0, 20)) == set()
 
 
+@pytest.mark.parametrize("shard", [8192, 60])
+def test_large_components(spark, shard):
+    rng = np.random.default_rng(7)
+    vectors = [[float(x) for x in rng.integers(-9, 9, 64)] for _ in range(300)]
+    for at, scale in ((0, 2048.0), (7, 2048.0), (20, 5e6), (31, 2e7), (45, 1e12), (60, 3e11), (61, 1e17), (62, -1e17), (63, 1e300), (80, 1e300)):
+        vectors[at] = [x * scale for x in vectors[at]]
+    rows = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    whole = [[max(-2**63, min(2**63, int(np.floor(64 * x)))) for x in v] for v in vectors]
+    want = set()
+    for q in range(0, 300, 20):
+        score = lambda c: max(1 - 2**63, min(2**63 - 1, sum(x * y for x, y in zip(whole[q], whole[c]))))  # noqa: E731, B023
+        best = sorted((-score(c), c) for c in range(300) if c != q)[:20]
+        want |= {(q, n + 1, c, -s) for n, (s, c) in enumerate(best)}
+    assert found(kdtree.top_k(rows, F.col("vec_id") % 20 == 0, 20, shard=shard)) == want
+
+
 def test_query_on_a_whole_table(spark):
     d = "/root/testdata/sf0.001"
     rows = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{d}/embeddings.parquet").collect()]
