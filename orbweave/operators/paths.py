@@ -1,97 +1,65 @@
 """Breadth-first search, shortest paths and k-hop subgraphs as DataFrame loops.
 
-One level = frontier ⋈ adjacency -> per-node reduction -> anti-join against
+One level = frontier ⋈ the edges of its buckets -> distinct -> anti-join against
 already visited nodes. The loop runs on the driver only as control: each level
 is a Spark job whose single returned value is a small summary row (count,
-target found). Levels are persisted and, every few levels, cut with a
-reliable checkpoint so the plan does not grow with depth and a lost executor
-only costs a recomputation from the last checkpoint.
+buckets, where it meets). Levels are persisted while a result is made, every few
+levels cut with a reliable checkpoint, and let go when the result is written.
 
 Undirected BFS uses the fact that a neighbour of a node at depth d-1 has depth
 d-2, d-1 or d, so the anti-join only needs the last two levels, not the whole
-visited set. Paths are carried as ARRAY<LONG> (at most max_depth+1 ids) and
-reduced with ``min`` per node, which yields the lexicographically smallest
-shortest path exactly.
+visited set. A shortest path is found from both ends without carrying paths:
+the nodes on shortest paths follow from the levels, and the least path takes the
+least of them at each step.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbweave.model import Graph
 from orbweave.functions.params import clamp
+from orbweave.model import Graph
+from orbweave.operators.frontier import Frontier, Kept, expand, known, measured, of_roots
 from orbweave.operators.nodes import attach_nodes
-from orbweave.operators.pattern import _roots_frame
 from orbweave.session import cut_lineage
 
 MAX_HOPS_LIMIT = 10
 
 
-def adjacency(graph: Graph, directed: bool = False) -> DataFrame:
-    """(u, v) steps: src->dst, plus dst->src when undirected. Parallel edges are kept;
-    the per-level reduction removes duplicates after the join."""
-    e = graph.edges.select("src", "dst")
-    fwd = e.select(F.col("src").alias("u"), F.col("dst").alias("v"))
-    if directed:
-        return fwd
-    return fwd.unionByName(e.select(F.col("dst").alias("u"), F.col("src").alias("v")))
-
+def _level(graph: Graph, at: Frontier, direction: str, seen: list[DataFrame], kept: Kept, depth: int, keys: list[str]) -> DataFrame:
+    """The nodes one step from the frontier that are in none of ``seen``, kept."""
+    step = expand(graph, at, direction).select(*keys[:-1], F.col("next").alias("node")).distinct()
+    for level in seen:
+        step = step.join(level.select(*keys), keys, "left_anti")
+    return cut_lineage(step) if depth % 4 == 0 else kept.keep(step)
 
-def bfs(graph: Graph, roots, max_depth: int, directed: bool = False, with_paths: bool = False,
-        target: int | None = None, checkpoint_every: int = 4) -> DataFrame:
-    """Levels of a BFS from each root: (root, node, depth[, path]).
 
-    Stops at ``max_depth``, at an empty frontier, or (single target) at the
-    level that reaches ``target``.
+def bfs(graph: Graph, roots, max_depth: int, directed: bool = False) -> DataFrame:
+    """Levels of a BFS from each root: (root, node, depth), written to the checkpoint folder.
 
-    ``max_depth`` is clamped to 0..``MAX_HOPS_LIMIT``.
+    Stops at ``max_depth`` (clamped to 0..``MAX_HOPS_LIMIT``) or at an empty frontier.
     """
     max_depth = clamp(max_depth, 0, MAX_HOPS_LIMIT)
-    adj = adjacency(graph, directed)
-    start = _roots_frame(graph, roots).select("root", F.col("root").alias("node"))
-    if with_paths:
-        start = start.withColumn("path", F.array(F.col("node")))
-    start = start.withColumn("depth", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
-    levels = [start]
-    if target is not None:
-        if not isinstance(roots, int):
-            raise ValueError("a target stop needs a single root")
-        if int(roots) == int(target):
-            return start  # depth 0: the source itself (no job needed)
-    for d in range(1, max_depth + 1):
-        frontier = levels[-1]
-        step = frontier.join(adj.withColumnRenamed("u", "node"), "node")
-        if with_paths:
-            step = step.groupBy("root", F.col("v").alias("node")).agg(
-                F.min(F.concat("path", F.array(F.col("v")))).alias("path"))
-        else:
-            step = step.select("root", F.col("v").alias("node")).distinct()
-        seen = levels[-2:] if not directed else levels
-        for lvl in seen:
-            step = step.join(lvl.select("root", "node"), ["root", "node"], "left_anti")
-        step = step.withColumn("depth", F.lit(d))
-        if d % checkpoint_every == 0:
-            step = cut_lineage(step)
-        else:
-            step = step.persist(StorageLevel.MEMORY_AND_DISK)
-        if target is None:
-            # nothing to decide per level: levels stay lazy (persisted on first
-            # use); an empty frontier just yields empty later levels
+    kept = Kept()
+    try:
+        at = of_roots(graph, roots, kept)
+        levels = [at.frame.select("root", "node")]
+        for d in range(1, max_depth + 1):
+            step = _level(graph, at, "out" if directed else "both", levels if directed else levels[-2:], kept, d, ["root", "node"])
             levels.append(step)
-            continue
-        summary = step.agg(F.count(F.lit(1)).alias("n"),
-                           F.max((F.col("node") == F.lit(target)).cast("int")).alias("hit")).first()
-        if summary["n"] == 0:
-            break
-        levels.append(step)
-        if summary["hit"] == 1:
-            break
-    out = levels[0]
-    for lvl in levels[1:]:
-        out = out.unionByName(lvl)
-    return out
+            if d < max_depth:
+                at, _ = measured(graph, step)
+                if not at.rows:
+                    break
+        out = levels[0].withColumn("depth", F.lit(0))
+        for d, level in enumerate(levels[1:], 1):
+            out = out.unionByName(level.withColumn("depth", F.lit(d)))
+        return kept.result(out)
+    finally:
+        kept.release()
 
 
 # -- distances and subgraphs ----------------------------------------------------
@@ -101,86 +69,124 @@ def khop_nodes(graph: Graph, root: int, hops: int = 2) -> DataFrame:
     return bfs(graph, root, hops).select(F.col("node").alias("id"), "depth")
 
 
-def induced_edges(graph: Graph, node_ids: DataFrame) -> DataFrame:
-    """All edges whose two ends are in ``node_ids`` (two semi-joins; parallel edges kept)."""
-    ids = node_ids.select("id").distinct()
-    e = graph.edges.select("id", "type", "src", "dst")
-    e = e.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-    return e.join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+def induced_edges(graph: Graph, node_ids: DataFrame, carry: tuple[str, ...] = ("type",)) -> DataFrame:
+    """All edges whose two ends are in ``node_ids`` (parallel edges kept): id, src, dst and ``carry``.
+
+    Reads the edges of the nodes' buckets; both ends are joined with the nodes, which are broadcast if few.
+    """
+    at, _ = measured(graph, node_ids.select(F.col("id").alias("node")).distinct())
+    out = expand(graph, at, "out", carry=("id", *carry))
+    return out.join(Frontier(at.frame.withColumnRenamed("node", "next"), at.rows).hinted(), "next", "left_semi") \
+        .select(F.col("edge_id").alias("id"), *carry, F.col("node").alias("src"), F.col("next").alias("dst"))
 
 
 def khop_subgraph(graph: Graph, root: int, hops: int = 2) -> Graph:
     """The k-hop neighbourhood as a graph: reached nodes + induced edges."""
     ids = khop_nodes(graph, root, hops)
     nodes = graph.nodes.join(ids.select("id"), "id", "left_semi")
-    return Graph(nodes, graph.edges.join(
-        induced_edges(graph, ids).select("id"), "id", "left_semi"))
+    return Graph(nodes, induced_edges(graph, ids, ("type", "props")).select(*graph.edges.columns))
 
 
 # -- shortest paths ----------------------------------------------------------------
 
+@dataclass
+class _Meeting:
+    """Levels from both ends up to where they meet; ``length`` is None if they don't."""
+    levels: dict[str, list[Frontier]]
+    length: int | None
+
+
+def _meet(graph: Graph, source: int, target: int, max_hops: int, directed: bool, kept: Kept) -> _Meeting:
+    """Two-sided BFS: each step expands the smaller of the two frontiers (the target's side backwards if directed).
+
+    On a graph with hubs the frontiers grow to about b^(d/2) instead of b^d.
+    Each level is one job returning its size, its buckets and where it meets
+    the other side.
+    """
+    spark = graph.spark
+
+    def start(i: int) -> Frontier:
+        one = known(graph, [i])
+        return Frontier(spark.range(1).select(F.lit(i).cast("long").alias("node")), 1, one.buckets)
+
+    levels = {"s": [start(source)], "t": [start(target)]}
+    while len(levels["s"]) + len(levels["t"]) - 2 < max_hops:
+        side, other = ("s", "t") if levels["s"][-1].rows <= levels["t"][-1].rows else ("t", "s")
+        direction = {"s": "out", "t": "in"}[side] if directed else "both"
+        seen = [level.frame for level in (levels[side] if directed else levels[side][-2:])]
+        depth = len(levels[side])
+        step = _level(graph, levels[side][-1], direction, seen, kept, depth, ["node"])
+        # Sides that have not met before can only meet at the other side's last level.
+        last = levels[other][-1]
+        marked = step.join(Frontier(last.frame.select("node", F.lit(1).alias("met")), last.rows).hinted(), "node", "left")
+        at, row = measured(graph, marked, F.max("met").alias("met"))
+        levels[side].append(Frontier(step, at.rows, at.buckets))
+        if row["met"]:
+            return _Meeting(levels, len(levels["s"]) + len(levels["t"]) - 2)
+        if not at.rows:
+            break
+    return _Meeting(levels, None)
+
+
+def _ends(graph: Graph, source: int, target: int) -> set[int]:
+    return {r["id"] for r in graph.nodes.filter(F.col("id").isin([source, target])).select("id").distinct().collect()}
+
+
+def _least_path(graph: Graph, source: int, target: int, meeting: _Meeting, directed: bool, kept: Kept) -> list[int]:
+    """The least shortest path by node ids, step by step; at most ``MAX_HOPS_LIMIT`` + 1 ids reach the driver.
+
+    A node at the target's side is on a shortest path by its distance alone. At
+    the source's side those are found backwards from where the sides meet.
+    """
+    s, t = meeting.levels["s"], meeting.levels["t"]
+    middle = len(s) - 1
+    forward, backward = ("out", "in") if directed else ("both", "both")
+    on = {middle: kept.keep(s[-1].frame.select("node").join(t[-1].frame.select("node"), "node", "left_semi"))}
+    for step in range(middle - 1, 0, -1):
+        at, _ = measured(graph, on[step + 1])
+        before = expand(graph, at, backward).select(F.col("next").alias("node")).distinct()
+        on[step] = kept.keep(s[step].frame.select("node").join(before, "node", "left_semi"))
+    path = [source]
+    for step in range(1, meeting.length):
+        allowed = on[step] if step <= middle else t[meeting.length - step].frame.select("node")
+        reached = expand(graph, known(graph, path[-1:]), forward).select(F.col("next").alias("node"))
+        path.append(reached.join(allowed, "node", "left_semi").agg(F.min("node")).first()[0])
+    return [*path, target]
+
+
 def shortest_path(graph: Graph, source: int, target: int, max_hops: int = 6,
                   directed: bool = False) -> DataFrame:
     """The smallest (by node-id array) shortest path: one row (source, target, length, path) or none."""
-    levels = bfs(graph, source, max_hops, directed=directed, with_paths=True, target=target)
-    return levels.filter(F.col("node") == target).select(
-        F.col("root").alias("source"), F.col("node").alias("target"),
-        F.col("depth").alias("length"), "path")
+    source, target, max_hops = int(source), int(target), clamp(max_hops, 0, MAX_HOPS_LIMIT)
+    kept, rows = Kept(), []
+    try:
+        found = _ends(graph, source, target)
+        if source == target and found:
+            rows = [(source, target, 0, [source])]
+        elif len(found) == 2:
+            meeting = _meet(graph, source, target, max_hops, directed, kept)
+            if meeting.length is not None:
+                rows = [(source, target, meeting.length, _least_path(graph, source, target, meeting, directed, kept))]
+    finally:
+        kept.release()
+    return graph.spark.createDataFrame(rows, "source long, target long, length int, path array<long>")
 
 
 def shortest_path_length(graph: Graph, source: int, target: int, max_hops: int = 6,
                          directed: bool = False) -> DataFrame:
-    """Length of a shortest path (0..max_hops) as one row (source, target, length), or none.
-
-    Bidirectional BFS: each step expands the smaller of the two frontiers (the
-    target side follows edges backwards when directed), so on a graph with
-    hubs the frontiers grow to about b^(d/2) instead of b^d. Each level is one
-    job returning two scalars: its size and the smallest depth at which it
-    meets the other side. The first level that meets gives the length.
-    """
-    max_hops = clamp(max_hops, 0, MAX_HOPS_LIMIT)
-    spark = graph.spark
-    schema = "source long, target long, length int"
-    exists = graph.nodes.filter(F.col("id").isin([int(source), int(target)])) \
-        .select("id").distinct().count()
-    if int(source) == int(target):
-        rows = [(int(source), int(target), 0)] if exists == 1 else []
-        return spark.createDataFrame(rows, schema)
-    if exists < 2:
-        return spark.createDataFrame([], schema)
-    e = graph.edges.select("src", "dst")
-    fwd = e.select(F.col("src").alias("node"), F.col("dst").alias("v"))
-    bwd = e.select(F.col("dst").alias("node"), F.col("src").alias("v"))
-    adj = {"s": fwd if directed else fwd.unionByName(bwd),
-           "t": bwd if directed else fwd.unionByName(bwd)}
-    levels = {"s": [spark.range(1).select(F.lit(int(source)).cast("long").alias("node"))],
-              "t": [spark.range(1).select(F.lit(int(target)).cast("long").alias("node"))]}
-    size = {"s": 1, "t": 1}
-    depth = {"s": 0, "t": 0}
-    while depth["s"] + depth["t"] < max_hops:
-        side = "s" if size["s"] <= size["t"] else "t"
-        other = "t" if side == "s" else "s"
-        step = levels[side][-1].join(adj[side], "node").select(F.col("v").alias("node")).distinct()
-        seen = levels[side] if directed else levels[side][-2:]
-        for lvl in seen:
-            step = step.join(lvl, "node", "left_anti")
-        d = depth[side] + 1
-        step = (cut_lineage(step) if d % 4 == 0 else step.persist(StorageLevel.MEMORY_AND_DISK))
-        other_all = None
-        for i, lvl in enumerate(levels[other]):
-            part = lvl.select("node", F.lit(i).alias("b"))
-            other_all = part if other_all is None else other_all.unionByName(part)
-        summary = step.join(other_all, "node", "left").agg(
-            F.count(F.lit(1)).alias("n"), F.min("b").alias("meet")).first()
-        if summary["meet"] is not None:
-            return spark.createDataFrame([(int(source), int(target), d + int(summary["meet"]))],
-                                         schema)
-        if summary["n"] == 0:
-            break
-        levels[side].append(step)
-        size[side] = summary["n"]
-        depth[side] = d
-    return spark.createDataFrame([], schema)
+    """Length of a shortest path (0..max_hops) as one row (source, target, length), or none."""
+    source, target, max_hops = int(source), int(target), clamp(max_hops, 0, MAX_HOPS_LIMIT)
+    kept, rows = Kept(), []
+    try:
+        found = _ends(graph, source, target)
+        if source == target and found:
+            rows = [(source, target, 0)]
+        elif len(found) == 2:
+            length = _meet(graph, source, target, max_hops, directed, kept).length
+            rows = [] if length is None else [(source, target, length)]
+    finally:
+        kept.release()
+    return graph.spark.createDataFrame(rows, "source long, target long, length int")
 
 
 def path_steps(path_df: DataFrame) -> DataFrame:
@@ -193,19 +199,18 @@ def path_nodes(graph: Graph, path_df: DataFrame) -> DataFrame:
 
 
 def path_edges(graph: Graph, path_df: DataFrame, directed: bool = False) -> DataFrame:
-    """Edges of a path: for each consecutive pair the smallest edge id joining them."""
+    """Edges of a path: for each consecutive pair the smallest edge id joining them (of the edges of the path's buckets)."""
     pairs = path_df.select(F.posexplode(F.arrays_zip(
         F.slice("path", 1, F.size("path") - 1).alias("a"),
         F.slice("path", 2, F.size("path") - 1).alias("b"))).alias("pos", "p")) \
-        .select("pos", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-    e = graph.edges.select(F.col("id").alias("edge_id"), "type", "src", "dst")
-    fwd = pairs.join(e, (F.col("src") == F.col("a")) & (F.col("dst") == F.col("b")))
-    hits = fwd
+        .select("pos", F.col("p.a").alias("node"), F.col("p.b").alias("b"))
+    at, _ = measured(graph, pairs)
+    carry = ("id", "type")
+    hits = expand(graph, at, "out", carry=carry).select("*", F.col("node").alias("src"), F.col("next").alias("dst"))
     if not directed:
-        bwd = pairs.join(e, (F.col("src") == F.col("b")) & (F.col("dst") == F.col("a")))
-        hits = fwd.unionByName(bwd)
-    best = hits.groupBy("pos").agg(F.min("edge_id").alias("edge_id"))
-    return best.join(e, "edge_id").select("pos", "edge_id", "type", "src", "dst")
+        hits = hits.unionByName(expand(graph, at, "in", carry=carry).select("*", F.col("next").alias("src"), F.col("node").alias("dst")))
+    best = hits.filter(F.col("next") == F.col("b")).groupBy("pos").agg(F.min(F.struct("edge_id", "type", "src", "dst")).alias("e"))
+    return best.select("pos", "e.*")
 
 
 def depth_sweep(graph: Graph, source: int, target: int | None, min_hops: int = 2,
@@ -234,48 +239,37 @@ def depth_sweep(graph: Graph, source: int, target: int | None, min_hops: int = 2
     return cum.filter(F.col("max_hops") >= min_hops)
 
 
-def simple_paths(graph: Graph, source: int, max_depth: int, directed: bool = False,
-                 stop_at: int | None = None) -> DataFrame:
-    """Enumerate simple paths from ``source`` (node, depth, path), like a recursive walk.
+def recursive_walk(nodes: DataFrame, edges: DataFrame, source: int, max_depth: int, directed: bool = False) -> DataFrame:
+    """All simple paths from ``source`` up to ``max_depth`` steps: (node, depth, path), by Spark's recursive SQL.
 
-    Exponential by nature (it lists every path, not every node); meant for a
-    small neighbourhood. With ``stop_at`` the walk stops after the first depth
-    that reaches that node and does not expand through it.
+    Written as the walk reads: a recursive member that expands each path by a
+    lateral subquery over its last node's neighbours and prunes visited nodes by
+    the path array. It lists every path, not every node, so it is meant for a
+    small neighbourhood; Spark bounds levels and rows
+    (``spark.sql.cteRecursionLevelLimit``, ``spark.sql.cteRecursionRowLimit``).
     """
     max_depth = clamp(max_depth, 0, MAX_HOPS_LIMIT)
-    adj = adjacency(graph, directed).distinct()
-    level = graph.spark.range(1).select(F.lit(source).cast("long").alias("node"),
-                                        F.array(F.lit(source).cast("long")).alias("path"),
-                                        F.lit(0).alias("depth"))
-    out = [level]
-    for d in range(1, max_depth + 1):
-        grow = level
-        if stop_at is not None:
-            grow = grow.filter(F.col("node") != stop_at)
-        level = grow.join(adj.withColumnRenamed("u", "node"), "node") \
-            .filter(~F.array_contains("path", F.col("v"))) \
-            .select(F.col("v").alias("node"), F.concat("path", F.array("v")).alias("path"),
-                    F.lit(d).alias("depth"))
-        level = cut_lineage(level)
-        summary = level.agg(F.count(F.lit(1)).alias("n"),
-                            F.max((F.col("node") == F.lit(stop_at)).cast("int")).alias("hit")).first()
-        if summary["n"] == 0:
-            break
-        out.append(level)
-        if stop_at is not None and summary["hit"] == 1:
-            break
-    res = out[0]
-    for lvl in out[1:]:
-        res = res.unionByName(lvl)
-    return res
+    step = edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))
+    if not directed:
+        step = step.unionByName(edges.select(F.col("dst").alias("u"), F.col("src").alias("v")))
+    # Read from storage by each level of the recursion, so not derived again.
+    return nodes.sparkSession.sql("""
+        WITH RECURSIVE walk(node, depth, path) AS (
+          SELECT id, 0, array(id) FROM {nodes} WHERE id = :source
+          UNION ALL
+          SELECT n.v, w.depth + 1, array_append(w.path, n.v)
+          FROM walk w, LATERAL (SELECT s.v FROM {steps} s WHERE s.u = w.node) n
+          WHERE w.depth < :most AND NOT array_contains(w.path, n.v))
+        SELECT node, depth, path FROM walk""",
+        args={"source": source, "most": max_depth}, nodes=nodes.select("id"), steps=cut_lineage(step.distinct()))
 
 
 def first_hit(graph: Graph, source: int, target: int, max_depth: int,
               directed: bool = False) -> DataFrame:
     """The walk's answer: smallest depth reaching ``target`` and its smallest path.
 
-    Computed with the BFS kernel: the minimal-depth simple paths are exactly the
-    shortest paths, so no path enumeration is needed.
+    The minimal-depth simple paths are exactly the shortest paths, so no path
+    enumeration is needed.
     """
     sp = shortest_path(graph, source, target, max_depth, directed)
     return sp.select("target", "length", F.array_join(F.col("path").cast("array<string>"), ",")

@@ -1,44 +1,40 @@
 """Pattern matching, expands and neighbourhoods as joins over the edge frame.
 
-Multi-hop patterns never carry edge lists: every hop keeps a *distinct set*
-of (root, node) keys, so intermediate sizes are bounded by the edge count and
-not by the number of paths. Joins are plain equi-joins; AQE picks broadcast
-for small frontiers from runtime sizes and splits skewed (hub) partitions.
+Every hop keeps a *distinct set* of (root, node) keys, so intermediate sizes are
+bounded by the edge count and not by the number of paths; chains with unique
+edges carry, beside it, a bounded number of edge ids that can still matter. Hops
+read the edges of the frontier's buckets only (``operators.frontier``).
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orbweave.functions.params import parameter
 from orbweave.functions.text import IDENTIFIER
 from orbweave.model import Graph
+from orbweave.operators.frontier import Kept, edges_of, expand, known, measured, of_roots
 from orbweave.operators.nodes import (attach_nodes, edge_frame, keep_labelled, node_view,
                                       with_label)
 
 
-def check_edge_type(edge_type: str) -> str:
-    """Edge-type identifier check used before a type is put into a pattern."""
+def check_edge_type(edge_type: str | Column) -> str | Column:
+    """Edge-type identifier check used before a type is put into a pattern (a column, as a scalar subquery, is data)."""
+    if isinstance(edge_type, Column):
+        return edge_type
     if not isinstance(edge_type, str) or not re.fullmatch(IDENTIFIER, edge_type):
         raise ValueError(f"{edge_type!r} can't be an edge type")
     return edge_type
 
 
-def _roots_frame(graph: Graph, roots) -> DataFrame:
-    """A one-column ``root`` frame from an id, a list of ids, or a DataFrame with ``root``."""
-    if isinstance(roots, DataFrame):
-        return roots.select(F.col("root").cast("long")).distinct()
-    ids = [int(roots)] if isinstance(roots, int) else [int(r) for r in roots]
-    return graph.nodes.filter(F.col("id").isin(ids)).select(F.col("id").alias("root"))
-
-
 # -- D1 / D2 -----------------------------------------------------------------
 
 def entities_controlled(graph: Graph, officer_id: int, limit: int | None = None) -> DataFrame:
     """Entities at the end of any outgoing edge of one officer; one row per edge."""
-    out = edge_frame(graph).filter(F.col("src") == officer_id).select(
+    out = edges_of(graph, known(graph, [officer_id]), "src").filter(F.col("src") == officer_id).select(
         F.col("id").alias("edge_id"), F.col("dst").alias("entity_id"))
     out = keep_labelled(out, graph, "entity_id", "Entity")
     out = attach_nodes(out, graph, "entity_id", ("name",))
@@ -60,7 +56,7 @@ def entities_by_owner_name(officers: DataFrame, relationships: DataFrame, entiti
 
 # -- D3 / D4 -----------------------------------------------------------------
 
-def co_officer_ids(graph: Graph, roots, officer_of_type: str, intermediary_of_type: str,
+def co_officer_ids(graph: Graph, roots, officer_of_type: str | Column, intermediary_of_type: str | Column,
                    edge_unique: bool = True) -> DataFrame:
     """(root, other) pairs: root -of-> e1 <-im- i -im-> e2 <-of- other, other an Officer != root.
 
@@ -72,24 +68,27 @@ def co_officer_ids(graph: Graph, roots, officer_of_type: str, intermediary_of_ty
     """
     check_edge_type(officer_of_type)
     check_edge_type(intermediary_of_type)
-    roots = _roots_frame(graph, roots)
-    of = edge_frame(graph, officer_of_type).select("src", "dst")
-    im = edge_frame(graph, intermediary_of_type).select("src", "dst")
-
-    e1 = roots.join(of.withColumnRenamed("src", "root"), "root") \
-        .select("root", F.col("dst").alias("e1")).distinct()
-    # i with the number of its edges into root's entities (parallel edges count)
-    r2 = e1.join(im.select(F.col("src").alias("i"), F.col("dst").alias("e1")), "e1")
-    i_set = r2.groupBy("root", "i").agg(F.count(F.lit(1)).alias("c_i"))
-    r3 = i_set.join(im.select(F.col("src").alias("i"), F.col("dst").alias("e2")), "i")
-    if edge_unique:
-        in_e1 = e1.select("root", F.col("e1").alias("e2"), F.lit(True).alias("in_e1"))
-        r3 = r3.join(in_e1, ["root", "e2"], "left").filter(
-            F.col("in_e1").isNull() | (F.col("c_i") >= 2))
-    e2 = r3.select("root", "e2").distinct()
-    others = e2.join(of.select(F.col("src").alias("other"), F.col("dst").alias("e2")), "e2") \
-        .select("root", "other").distinct().filter(F.col("other") != F.col("root"))
-    return keep_labelled(others, graph, "other", "Officer")
+    kept = Kept()
+    try:
+        at = of_roots(graph, roots, kept)
+        e1 = kept.keep(expand(graph, at, "out", officer_of_type).select("root", F.col("next").alias("node")).distinct())
+        at, _ = measured(graph, e1)
+        # i with the number of its edges into root's entities (parallel edges count)
+        i_set = kept.keep(expand(graph, at, "in", intermediary_of_type).groupBy("root", F.col("next").alias("node"))
+                          .agg(F.count(F.lit(1)).alias("c_i")))
+        at, _ = measured(graph, i_set)
+        r3 = expand(graph, at, "out", intermediary_of_type).select("root", "c_i", F.col("next").alias("node"))
+        if edge_unique:
+            in_e1 = e1.select("root", "node", F.lit(True).alias("in_e1"))
+            r3 = r3.join(in_e1, ["root", "node"], "left").filter(
+                F.col("in_e1").isNull() | (F.col("c_i") >= 2))
+        e2 = kept.keep(r3.select("root", "node").distinct())
+        at, _ = measured(graph, e2)
+        others = expand(graph, at, "in", officer_of_type).select("root", F.col("next").alias("other")) \
+            .distinct().filter(F.col("other") != F.col("root"))
+        return kept.result(keep_labelled(others, graph, "other", "Officer"))
+    finally:
+        kept.release()
 
 
 def co_officers(graph: Graph, officer_id: int, officer_of_type: str, intermediary_of_type: str,
@@ -119,38 +118,88 @@ def co_officers_sql(officers: DataFrame, relationships: DataFrame, officer_id: i
     return names.orderBy("name").limit(limit) if limit else names
 
 
-def path_witness(graph: Graph, officer_id: int, officer_of_type: str,
-                 intermediary_of_type: str) -> DataFrame:
-    """One officer reachable by the co-officer pattern: the smallest id (0 or 1 row)."""
-    ids = co_officer_ids(graph, officer_id, officer_of_type, intermediary_of_type, True)
+def path_witness(graph: Graph, officer: int | DataFrame, officer_of_type: str | Column,
+                 intermediary_of_type: str | Column) -> DataFrame:
+    """One officer reachable by the co-officer pattern from one (an id or a frame ``root``): the smallest id (0 or 1 row)."""
+    ids = co_officer_ids(graph, officer, officer_of_type, intermediary_of_type, True)
     return ids.agg(F.min("other").alias("witness_id")).filter(F.col("witness_id").isNotNull())
 
 
 # -- D5: generic chain --------------------------------------------------------
 
-def match_chain(graph: Graph, roots, steps, distinct_between: bool = True) -> DataFrame:
+def _may_meet(a: str | None, b: str | None) -> bool:
+    """Whether steps of these edge types may take the same edge."""
+    return a is None or b is None or a == b
+
+
+def _representatives(frame: DataFrame, column: str, times: int) -> DataFrame:
+    """For equal other columns, the ``times`` + 1 least values of ``column``.
+
+    Enough if at most ``times`` later edges must differ from it: of so many
+    values one is left. Each half of a hub's edges is cut before the whole is.
+    """
+    others = [c for c in frame.columns if c != column]
+    if times == 1:
+        both = frame.groupBy(*others).agg(F.min(column).alias("__least"), F.max(column).alias("__most"))
+        return both.select(*others, F.explode(F.array_distinct(F.array("__least", "__most"))).alias(column))
+    return first_of(frame.distinct(), others, [column], times + 1, F.col(column))
+
+
+def match_chain(graph: Graph, roots, steps, distinct_between: bool = True, edge_unique: bool = False) -> DataFrame:
     """Follow a fixed chain of steps from each root; returns (root, node) at the end.
 
     ``steps`` is a list of ``(edge_type or None, direction, label or None)`` with
     direction ``"out"``, ``"in"`` or ``"both"``. Each step is one join with the
-    edge frame; the frontier is de-duplicated between steps, so hub fan-out is
-    paid once per (root, node) and not once per path.
+    edges of the frontier's buckets; the frontier is de-duplicated between steps,
+    so hub fan-out is paid once per (root, node) and not once per path.
+
+    ``edge_unique``: no edge may be taken twice by one path, as in a graph
+    pattern. A taken edge's id is carried only while a later step may meet it (one
+    of its type, or of any), and for equal other columns only one id more is
+    carried than there are such steps. The result is then distinct.
     """
-    frontier = _roots_frame(graph, roots).select("root", F.col("root").alias("node"))
-    for edge_type, direction, label in steps:
+    for edge_type, direction, _ in steps:
         if edge_type is not None:
             check_edge_type(edge_type)
-        e = edge_frame(graph, edge_type)
-        fwd = e.select(F.col("src").alias("node"), F.col("dst").alias("next"))
-        bwd = e.select(F.col("dst").alias("node"), F.col("src").alias("next"))
-        adj = {"out": fwd, "in": bwd, "both": fwd.unionByName(bwd)}[direction]
-        frontier = frontier.join(adj, "node").select("root", F.col("next").alias("node"))
-        if label is not None:
-            frontier = frontier.join(with_label(graph, label).withColumnRenamed("id", "node"),
-                                     "node", "left_semi")
-        if distinct_between:
-            frontier = frontier.distinct()
-    return frontier
+        if direction not in ("out", "in", "both"):
+            raise ValueError(f"unknown direction {direction!r}")
+    kept = Kept()
+    try:
+        at = of_roots(graph, roots, kept)
+        frontier = at.frame
+        carried: dict[int, str] = {}  # step -> column of the edge it took
+        for i, (edge_type, direction, label) in enumerate(steps):
+            if i:
+                at, _ = measured(graph, kept.keep(frontier))
+            frontier = expand(graph, at, direction, edge_type, carry=("id",) if edge_unique else ())
+            for step, column in carried.items():
+                if _may_meet(steps[step][0], edge_type):
+                    frontier = frontier.filter(F.col("edge_id") != F.col(column))
+            later = {step: sum(_may_meet(steps[step][0], t) for t, _, _ in steps[i + 1:]) for step in [*carried, i]} if edge_unique else {}
+            carried = {step: f"__edge{step}" for step, n in later.items() if n}
+            taken = [F.col("edge_id" if step == i else column).alias(column) for step, column in carried.items()]
+            frontier = frontier.select("root", F.col("next").alias("node"), *taken)
+            if label is not None:
+                frontier = frontier.join(with_label(graph, label).withColumnRenamed("id", "node"),
+                                         "node", "left_semi").select(*frontier.columns)
+            if edge_unique or distinct_between:
+                frontier = frontier.distinct()
+            for step, column in carried.items():
+                frontier = _representatives(frontier, column, later[step])
+        return kept.result(frontier.select("root", "node"))
+    finally:
+        kept.release()
+
+
+def first_of(rows: DataFrame, keys: list[str], order: list, k: int, spread, salts: int = 32) -> DataFrame:
+    """The first ``k`` rows of each key by ``order``, in two stages: ``k`` of each key's ``salts`` parts by hash of
+    ``spread``, then ``k`` of what is left. No task ranks all rows of a hot key."""
+    part = F.pmod(F.xxhash64(spread), F.lit(salts))
+    out = rows.withColumn("__part", part)
+    for by in ([*keys, "__part"], keys):
+        nth = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        out = out.withColumn("__nth", nth).filter(F.col("__nth") <= k).drop("__nth")
+    return out.drop("__part")
 
 
 # -- D6 .. D9, D13 -------------------------------------------------------------
@@ -167,13 +216,32 @@ def undirected_adjacency(graph: Graph, with_edge_ids: bool = False) -> DataFrame
     return e.select(*cols_f).unionByName(e.select(*cols_b)).distinct()
 
 
-def neighborhood_edges(graph: Graph, root: int, limit: int | None = 80) -> DataFrame:
-    """Incident edges of ``root`` (either direction), the first ``limit`` by id."""
+def neighborhood_edges(graph: Graph, root: int, limit: int | None = None) -> DataFrame:
+    """Incident edges of ``root`` (either direction), the first ``limit`` by id (the parameter ``neighborhood_limit``)."""
     e = graph.incident(root).select("id", "type", "src", "dst")
-    return e.orderBy("id").limit(limit) if limit else e
+    return e.orderBy("id").limit(parameter("neighborhood_limit", limit))
 
 
-def neighborhood_nodes(graph: Graph, root: int, limit: int | None = 80,
+def neighborhood_batch(graph: Graph, roots: DataFrame, limit: int | None = None) -> DataFrame:
+    """``neighborhood_edges`` of every ``root`` of a frame: (root, id, type, src, dst, neighbor).
+
+    Each root keeps its first ``limit`` edges by id, in two stages, so that a hub's
+    edges are cut in parts by hash before any task ranks them together.
+    """
+    kept = Kept()
+    try:
+        at = of_roots(graph, roots, kept)
+        carry = ("id", "type")
+        out = expand(graph, at, "out", carry=carry).select("root", "edge_id", "type", F.col("node").alias("src"), F.col("next").alias("dst"), F.col("next").alias("neighbor"))
+        back = expand(graph, at, "in", carry=carry).filter(F.col("next") != F.col("node")) \
+            .select("root", "edge_id", "type", F.col("next").alias("src"), F.col("node").alias("dst"), F.col("next").alias("neighbor"))
+        first = first_of(out.unionByName(back), ["root"], ["edge_id"], parameter("neighborhood_limit", limit), F.col("edge_id"))
+        return kept.result(first.withColumnRenamed("edge_id", "id"))
+    finally:
+        kept.release()
+
+
+def neighborhood_nodes(graph: Graph, root: int, limit: int | None = None,
                        keep_isolated: bool = False) -> DataFrame:
     """Root plus the far ends of the (limited) incident edges, de-duplicated by id.
 
@@ -197,7 +265,7 @@ def closed_neighborhood(nodes: DataFrame, edges: DataFrame, focus: int) -> DataF
     return ids
 
 
-def collect_neighbors(graph: Graph, root: int, limit: int = 80) -> DataFrame:
+def collect_neighbors(graph: Graph, root: int, limit: int | None = None) -> DataFrame:
     """One row: the root with sorted distinct neighbour ids and edge ids of its limited star.
 
     The lists are bounded by ``limit`` (the neighbourhood's edge cap), so no

@@ -1,18 +1,23 @@
 """Attribute search and lookups.
 
 Substring predicates stay JVM-side (``contains`` / ``ilike`` on lower-cased
-columns). The token index is an ordinary table (token, node) that a search
-joins against; partitioned by token, a lookup touches only the matching
-tokens' rows.
+columns). The token index is a stored table of postings (token, node), in
+folders by the token's bucket: a search reads its tokens' folders and joins
+their postings, the rarest token's first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbweave.functions.params import parameter
 from orbweave.functions.text import kind_from_labels, prop
 from orbweave.model import Graph
+from orbweave.operators.frontier import BROADCAST_ROWS
 from orbweave.operators.nodes import attach_nodes, node_view
 
 # Kinds searched by the multi-kind search, in branch order,
@@ -52,6 +57,11 @@ def clean_query(q: str | None) -> str | None:
     return t if len(t) >= MIN_QUERY_CHARS else None
 
 
+def search_page(graph: Graph, q: str | None, limit: int | None = None) -> DataFrame:
+    """The first hits of the multi-kind search, by kind and id: as many as the parameter ``search_limit`` allows."""
+    return search_nodes(graph, q, parameter("search_limit", limit))
+
+
 def search_nodes(graph: Graph, q: str | None, limit: int | None = None) -> DataFrame:
     """Multi-kind search: one row per (node, matching searched label), kind = that label.
 
@@ -95,26 +105,76 @@ def resolve_name(table: DataFrame, name: str, id_col: str = "node_id") -> DataFr
         .filter(F.col("node_id").isNotNull())
 
 
+def name_tokens(name: Column) -> Column:
+    """Distinct lower-case tokens of a name: runs of letters and digits."""
+    return F.filter(F.array_distinct(F.split(F.lower(name), TOKEN_SPLIT)), lambda t: t != "")
+
+
 def token_index(all_nodes: DataFrame) -> DataFrame:
     """Inverted index (token, node_id, kind) over names of the searchable kinds."""
-    toks = F.array_distinct(F.split(F.lower(F.col("name")), TOKEN_SPLIT))
     return all_nodes.filter(F.col("kind").isin(SEARCH_KINDS)).select(
-        F.explode(toks).alias("token"), "node_id", "kind").filter(F.col("token") != "")
+        F.explode(name_tokens(F.col("name"))).alias("token"), "node_id", "kind")
+
+
+def query_tokens(spark: SparkSession, q: str) -> list[str]:
+    """The tokens of a query, by the expression that makes the index."""
+    return sorted(spark.range(1).select(name_tokens(F.lit(q)).alias("t")).first()["t"])
 
 
-def query_tokens(q: str) -> list[str]:
-    import regex
-    return sorted({t for t in regex.split(r"[^\p{L}\p{N}]+", q.lower()) if t})
+@dataclass(frozen=True)
+class TokenIndex:
+    """A stored token index: ``postings`` (token, node_id, kind) and ``counts`` (token, nodes), both by ``bucket``."""
+    postings: DataFrame
+    counts: DataFrame
+    buckets: int
 
+    def of(self, table: DataFrame, tokens: list[str]) -> DataFrame:
+        """The rows of some tokens, read from their buckets."""
+        here = [_token_bucket(F.lit(t), self.buckets) for t in tokens]
+        return table.filter(F.col("bucket").isin(here) & F.col("token").isin(tokens))
 
-def token_search(index: DataFrame, q: str) -> DataFrame:
-    """Nodes whose name holds every token of ``q`` (AND semantics) via the index."""
-    tokens = query_tokens(q)
-    if not tokens:
-        return index.select("node_id", "kind").filter(F.lit(False))
-    return index.filter(F.col("token").isin(tokens)).groupBy("node_id", "kind") \
-        .agg(F.countDistinct("token").alias("matched")) \
-        .filter(F.col("matched") == len(tokens))
+
+def _token_bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
+
+def store_token_index(all_nodes: DataFrame, path: str, buckets: int | None = None) -> TokenIndex:
+    """Write the token index of ``all_nodes`` to ``path``: folders by the token's bucket, sorted by token.
+
+    Rows are dealt by ranges of (bucket, token, node), so a token that a third of
+    all names hold is written, and later read, by as many tasks as that asks for.
+    """
+    spark = all_nodes.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 4 * n
+    order = ["bucket", "token", "node_id"]
+    token_index(all_nodes).distinct().withColumn("bucket", _token_bucket(F.col("token"), buckets)) \
+        .repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    kept = spark.read.schema("token string, node_id long, kind string, bucket int").parquet(f"{path}/postings")
+    kept.groupBy("bucket", "token").agg(F.count(F.lit(1)).alias("nodes")) \
+        .repartitionByRange(n, "bucket", "token").sortWithinPartitions("bucket", "token").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/counts")
+    return TokenIndex(kept, spark.read.schema("token string, nodes long, bucket int").parquet(f"{path}/counts"), buckets)
+
+
+def token_search(index: TokenIndex, q: str) -> DataFrame:
+    """Nodes whose name holds every token of ``q``: (node_id, kind, matched).
+
+    Reads the buckets of the query's tokens only. The tokens' stored counts (a
+    row for each token of the query) say which postings to start from; those are
+    broadcast if they are few, so a common token's postings are not shuffled.
+    """
+    spark = index.postings.sparkSession
+    tokens = query_tokens(spark, q)
+    counts = {r["token"]: r["nodes"] for r in index.of(index.counts, tokens).collect()} if tokens else {}
+    if not tokens or len(counts) < len(tokens):
+        return index.postings.select("node_id", "kind", F.lit(len(tokens)).cast("long").alias("matched")).filter(F.lit(False))
+    order = sorted(tokens, key=lambda t: (counts[t], t))
+    postings = [index.of(index.postings, [t]).select("node_id", "kind") for t in order]
+    if counts[order[0]] <= BROADCAST_ROWS:
+        postings[0] = F.broadcast(postings[0])
+    # No list is longer than the first from then on: the rows found so far are the side to send.
+    found = reduce(lambda rare, more: rare.join(more, ["node_id", "kind"]), postings)
+    return found.withColumn("matched", F.lit(len(tokens)).cast("long"))
 
 
 def country_counts(graph: Graph) -> DataFrame:
@@ -125,4 +185,5 @@ def country_counts(graph: Graph) -> DataFrame:
 
 
 __all__ = ["search_contains", "search_ilike", "search_nodes", "clean_query", "lookup_ids",
-           "lookup_name", "resolve_name", "token_index", "token_search", "country_counts"]
+           "lookup_name", "resolve_name", "token_index", "store_token_index", "token_search", "search_page",
+           "country_counts"]

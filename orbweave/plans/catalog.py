@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orbweave.model import Graph
 from orbweave.plans.context import Context, resolve_context
-from orbweave.sources.etl import Mirror, mirror, store_mirror
+from orbweave.operators.search import TokenIndex, store_token_index
+from orbweave.sources.etl import Mirror, all_nodes, mirror, store_mirror
 from orbweave.session import checkpoint_dir
 from orbweave.sources.fixture import fixture_graph, store_graph
 
@@ -60,6 +61,18 @@ def loaded_mirror_for(spark: SparkSession, sf_dir: str) -> Mirror:
     return _MIRRORS[k]
 
 
+_TOKENS: dict[tuple, TokenIndex] = {}
+
+
+def token_index_for(spark: SparkSession, sf_dir: str) -> TokenIndex:
+    """The mirror's token index, written once per session beside it."""
+    k = _key(spark, sf_dir)
+    if k not in _TOKENS:
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+        _TOKENS[k] = store_token_index(all_nodes(loaded_mirror_for(spark, sf_dir)), folder)
+    return _TOKENS[k]
+
+
 def context_for(spark: SparkSession, sf_dir: str) -> Context:
     k = _key(spark, sf_dir)
     if k not in _CONTEXTS:

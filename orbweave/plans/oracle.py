@@ -46,7 +46,7 @@ g_nodes AS (
   SELECT 3000000000000000 + s_suppkey, ['Intermediary'], s_name, NULL, NULL, NULL, NULL, NULL, NULL,
          NULL, NULL, NULL FROM supplier
   UNION ALL
-  SELECT 4000000000000000 + n_nationkey, ['Address'], NULL, n_name, NULL, NULL, NULL, NULL, NULL,
+  SELECT 4000000000000000 + n_nationkey, ['Address'], NULL, CASE WHEN n_nationkey % 7 = 3 THEN ' ' || chr(9) ELSE n_name END, NULL, NULL, NULL, NULL, NULL,
          NULL, NULL, NULL FROM nation
   UNION ALL
   SELECT 5000000000000000 + r_regionkey, ['Other'], r_name, NULL, NULL, NULL, NULL, NULL, NULL,

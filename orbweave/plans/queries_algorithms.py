@@ -17,7 +17,7 @@ PAGERANK_DIRECTED_TOP = 20
 GLOBAL_LABELS = ["Officer", "Entity", "Intermediary"]
 GLOBAL_TYPES = ["OFFICER_OF", "INTERMEDIARY_OF"]
 
-_HUB = "(SELECT officer_id FROM g_ctx)"
+_HUB = "(SELECT officer_id FROM g_hub)"
 
 
 def pagerank_ctes(nodes_sql: str, edges_sql: str) -> str:
@@ -185,8 +185,8 @@ LEFT JOIN (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(mapping.COMMU
   ON p.bucket = c.community % {len(mapping.COMMUNITY_PALETTE)}
 LEFT JOIN (VALUES {", ".join(f"('{k}', '{c}')" for k, _, c in mapping.KIND_STYLE)}) s(kind, color) ON s.kind = v.kind
 WHERE v.id IN (SELECT id FROM lv_two) OR v.id IN (SELECT unnest(path) FROM g_best)""",
-    shortest_ctes("(SELECT path_source_id FROM g_ctx)", "(SELECT path_target_id FROM g_ctx)",
-                  "(SELECT max_hops FROM g_ctx)").rstrip() + "," + bfs_ctes(_HUB, SUBGRAPH_HOPS).rstrip() + ","
+    shortest_ctes("(SELECT officer_id FROM g_hub)", "(SELECT path_target_id FROM g_ctx)",
+                  "5").rstrip() + "," + bfs_ctes(_HUB, SUBGRAPH_HOPS).rstrip() + ","
     + _pass_ctes(_KHOP_NODES, _KHOP_EDGES), recursive=True))
 def q_enrich_view_pass(spark, sf_dir):
     """The hub's 2-hop view coloured by the communities of the first pass, shortest-path nodes highlighted."""

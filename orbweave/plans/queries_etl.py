@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orbweave.functions.text import prop
 from orbweave.operators import mapping, pattern, search
 from orbweave.plans.catalog import (context_for, graph_for, loaded_mirror_for, mirror_for,
-                                    register)
+                                    register, token_index_for)
 from orbweave.plans.oracle import norm, with_graph
 from orbweave.sources import etl, quality
 
@@ -216,7 +216,7 @@ def _hub_table_name(spark, sf_dir):
     return m.officers.filter(F.col("node_id") == ctx.officer_id).select("name").first()["name"]
 
 
-_HUB_NAME = "(SELECT name FROM g_officers WHERE node_id = (SELECT officer_id FROM g_ctx))"
+_HUB_NAME = "(SELECT name FROM g_officers WHERE node_id = (SELECT officer_id FROM g_hub))"
 
 
 @register("lookup_name", with_graph(f"SELECT node_id, name FROM g_officers WHERE name = {_HUB_NAME}"))
@@ -241,7 +241,7 @@ g_tokens AS (
 
 @register("token_index", with_graph("SELECT token, node_id, kind FROM g_tokens", _TOKENS_SQL))
 def q_token_index(spark, sf_dir):
-    return search.token_index(etl.all_nodes(loaded_mirror_for(spark, sf_dir)))
+    return token_index_for(spark, sf_dir).postings.select("token", "node_id", "kind")
 
 
 @register("token_search", with_graph(rf"""
@@ -252,8 +252,33 @@ HAVING count(DISTINCT token) = (SELECT count(DISTINCT t) FROM (
   SELECT unnest(string_split_regex(lower({_HUB_NAME}), '[^\p{{L}}\p{{N}}]+')) AS t) WHERE t <> '')""",
     _TOKENS_SQL))
 def q_token_search(spark, sf_dir):
-    index = search.token_index(etl.all_nodes(loaded_mirror_for(spark, sf_dir)))
-    return search.token_search(index, _hub_table_name(spark, sf_dir))
+    return search.token_search(token_index_for(spark, sf_dir), _hub_table_name(spark, sf_dir))
+
+
+_TWO_WORDS = "(SELECT name FROM g_entities WHERE node_id = (SELECT min(node_id) FROM g_entities))"
+
+
+@register("token_search_words", with_graph(rf"""
+SELECT node_id, kind, count(*) AS matched FROM g_tokens
+WHERE token IN (SELECT unnest(string_split_regex(lower({_TWO_WORDS}), '[^\p{{L}}\p{{N}}]+')))
+GROUP BY node_id, kind
+HAVING count(*) = (SELECT count(DISTINCT t) FROM (
+  SELECT unnest(string_split_regex(lower({_TWO_WORDS}), '[^\p{{L}}\p{{N}}]+')) AS t) WHERE t <> '')""",
+    _TOKENS_SQL))
+def q_token_search_words(spark, sf_dir):
+    """All names that hold the words of the first entity's name: two common tokens, many hits."""
+    entities = loaded_mirror_for(spark, sf_dir).entities
+    words = entities.agg(F.min_by("name", "node_id")).first()[0]
+    return search.token_search(token_index_for(spark, sf_dir), words)
+
+
+@register("search_page", with_graph(f"""
+SELECT n.id, k.kind, n.name, coalesce(n.countries, n.country) AS country, n.jurisdiction_description AS jurisdiction
+FROM g_nodes n JOIN (VALUES ('Officer'), ('Entity'), ('Intermediary')) k(kind) ON list_contains(n.labels, k.kind)
+WHERE contains(lower(n.name), 'er') ORDER BY k.kind, n.id LIMIT 100"""))
+def q_search_page(spark, sf_dir):
+    """The first hits of a common fragment; the limit asked for is beyond the most a search gives."""
+    return search.search_page(graph_for(spark, sf_dir), " eR ", 1_000)
 
 
 @register("country_counts", with_graph("""
@@ -322,7 +347,7 @@ def q_edge_caption(spark, sf_dir):
 @register("dedupe_edges", with_graph("""
 SELECT DISTINCT id, type, src, dst FROM (
   SELECT * FROM (SELECT id, type, src, dst FROM g_edges
-    WHERE src = (SELECT officer_id FROM g_ctx) OR dst = (SELECT officer_id FROM g_ctx) ORDER BY id LIMIT 80)
+    WHERE src = (SELECT officer_id FROM g_hub) OR dst = (SELECT officer_id FROM g_hub) ORDER BY id LIMIT 80)
   UNION ALL
   SELECT * FROM (SELECT id, type, src, dst FROM g_edges
     WHERE src = (SELECT path_target_id FROM g_ctx) OR dst = (SELECT path_target_id FROM g_ctx) ORDER BY id LIMIT 80))"""))

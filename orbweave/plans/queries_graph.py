@@ -12,8 +12,7 @@ from orbweave.plans.oracle import fragment, with_graph
 
 @register("sample_context", with_graph("SELECT * FROM g_ctx"))
 def q_sample_context(spark, sf_dir):
-    g = graph_for(spark, sf_dir)
-    return _sample_context(g, context_for(spark, sf_dir))
+    return _sample_context(graph_for(spark, sf_dir))
 
 
 @register("stats_nodes", with_graph(
@@ -71,7 +70,7 @@ def q_name_fragment(spark, sf_dir):
 @register("entities_controlled", with_graph("""
 SELECT r.id AS edge_id, r.dst AS entity_id, v.name
 FROM g_edges r JOIN g_nv v ON v.id = r.dst AND list_contains(v.labels, 'Entity')
-WHERE r.src = (SELECT officer_id FROM g_ctx)"""))
+WHERE r.src = (SELECT officer_id FROM g_hub)"""))
 def q_entities_controlled(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
     return pattern.entities_controlled(graph_for(spark, sf_dir), ctx.officer_id)
@@ -82,7 +81,7 @@ SELECT o.node_id AS officer_id, e.node_id AS entity_id, e.name AS entity_name
 FROM g_officers o
 JOIN g_relationships r ON r.start_id = o.node_id AND r.rel_type = 'officer_of'
 JOIN g_entities e ON e.node_id = r.end_id
-WHERE o.name = (SELECT name FROM g_officers WHERE node_id = (SELECT officer_id FROM g_ctx))"""))
+WHERE o.name = (SELECT name FROM g_officers WHERE node_id = (SELECT officer_id FROM g_hub))"""))
 def q_entities_by_owner_name(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
     m = loaded_mirror_for(spark, sf_dir)
@@ -98,17 +97,17 @@ def q_co_officers(spark, sf_dir):
                                ctx.intermediary_of_type, edge_unique=True)
 
 
-_OF = "rel_type = lower((SELECT officer_of_type FROM g_ctx))"
-_IM = "rel_type = lower((SELECT intermediary_of_type FROM g_ctx))"
+_OF = "rel_type = lower((SELECT type FROM g_of_type))"
+_IM = "rel_type = lower((SELECT type FROM g_im_type))"
 
 
 @register("co_officers_sql", with_graph(f"""
 SELECT DISTINCT name FROM g_officers
-WHERE node_id <> (SELECT officer_id FROM g_ctx) AND node_id IN (
+WHERE node_id <> (SELECT officer_id FROM g_hub) AND node_id IN (
   SELECT start_id FROM g_relationships WHERE {_OF} AND end_id IN (
     SELECT end_id FROM g_relationships WHERE {_IM} AND start_id IN (
       SELECT start_id FROM g_relationships WHERE {_IM} AND end_id IN (
-        SELECT end_id FROM g_relationships WHERE {_OF} AND start_id = (SELECT officer_id FROM g_ctx)))))"""))
+        SELECT end_id FROM g_relationships WHERE {_OF} AND start_id = (SELECT officer_id FROM g_hub)))))"""))
 def q_co_officers_sql(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
     m = loaded_mirror_for(spark, sf_dir)

@@ -13,7 +13,6 @@ from orbweave.operators.nodes import node_view
 from orbweave.plans.catalog import context_for, graph_for, loaded_mirror_for, register
 from orbweave.plans.oracle import with_graph
 from orbweave.operators.search import resolve_name
-from orbweave.sources.fixture import OFFICER_BASE, read_table
 
 # Hops of the subgraph/algorithm queries, neighbourhood edge cap,
 # and the depth range of the sweep.
@@ -21,9 +20,9 @@ SUBGRAPH_HOPS = 2
 NEIGHBORHOOD_LIMIT = 80
 SWEEP_MIN, SWEEP_MAX = 2, 6
 
-_HUB = "(SELECT officer_id FROM g_ctx)"
+_HUB = "(SELECT officer_id FROM g_hub)"
 _TARGET = "(SELECT path_target_id FROM g_ctx)"
-_HOPS = "(SELECT max_hops FROM g_ctx)"
+_HOPS = "5"  # the context's max_hops
 
 
 def bfs_ctes(source: str, max_depth: int | str, name: str = "g_bfs") -> str:
@@ -123,6 +122,34 @@ def q_neighborhood_isolated(spark, sf_dir):
     return pattern.neighborhood_nodes(g, _isolated_root(g), NEIGHBORHOOD_LIMIT, keep_isolated=True)
 
 
+@register("neighborhood_default", with_graph(f"""
+SELECT 'hub' AS root, id FROM g_nv WHERE id IN (
+  SELECT CASE WHEN src = {_HUB} THEN dst ELSE src END FROM g_ne UNION SELECT {_HUB} FROM g_ne)
+UNION ALL SELECT 'isolated', id FROM g_nv WHERE id = (SELECT id FROM g_isolated) AND false""",
+    _NE.rstrip() + "," + _ISOLATED))
+def q_neighborhood_default(spark, sf_dir):
+    """The default form for the hub and an isolated node: the limit is the parameter's, and the latter has no row."""
+    ctx, g = _ctx(spark, sf_dir)
+    parts = [pattern.neighborhood_nodes(g, root).select(F.lit(name).alias("root"), "id")
+             for name, root in (("hub", ctx.officer_id), ("isolated", _isolated_root(g)))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("neighborhood_batch", with_graph(f"""
+SELECT root, id, type, src, dst, neighbor FROM (
+  SELECT o.node_id AS root, e.id, e.type, e.src, e.dst, e.far AS neighbor,
+         row_number() OVER (PARTITION BY o.node_id ORDER BY e.id) AS nth
+  FROM g_officers o JOIN (
+    SELECT *, src AS near, dst AS far FROM g_edges
+    UNION ALL SELECT *, dst, src FROM g_edges WHERE src <> dst) e ON e.near = o.node_id)
+WHERE nth <= {NEIGHBORHOOD_LIMIT}"""))
+def q_neighborhood_batch(spark, sf_dir):
+    """The limited neighbourhood of every officer at once."""
+    g = graph_for(spark, sf_dir)
+    officers = g.nodes.filter(F.array_contains("labels", "Officer")).select(F.col("id").alias("root"))
+    return pattern.neighborhood_batch(g, officers)
+
+
 @register("collect_neighbors", with_graph(f"""
 SELECT {_HUB} AS id,
   array_to_string(list_sort(list_distinct(list(CASE WHEN src = {_HUB} THEN dst ELSE src END))), ',') AS neighbors,
@@ -149,8 +176,8 @@ def q_undirected_adjacency(spark, sf_dir):
     return pattern.undirected_adjacency(graph_for(spark, sf_dir))
 
 
-_OF = "type = (SELECT officer_of_type FROM g_ctx)"
-_IM = "type = (SELECT intermediary_of_type FROM g_ctx)"
+_OF = "type = (SELECT type FROM g_of_type)"
+_IM = "type = (SELECT type FROM g_im_type)"
 
 
 @register("match_chain", with_graph(f"""
@@ -169,6 +196,15 @@ def q_match_chain(spark, sf_dir):
     return pattern.match_chain(g, ctx.officer_id, steps)
 
 
+@register("match_chain_unique", with_graph(f"SELECT {_HUB} AS root, other AS node FROM g_co"))
+def q_match_chain_unique(spark, sf_dir):
+    """The co-officer pattern as generic steps with unique edges; another officer than the root."""
+    ctx, g = _ctx(spark, sf_dir)
+    steps = [(ctx.officer_of_type, "out", None), (ctx.intermediary_of_type, "in", None),
+             (ctx.intermediary_of_type, "out", None), (ctx.officer_of_type, "in", "Officer")]
+    return pattern.match_chain(g, ctx.officer_id, steps, edge_unique=True).filter(F.col("node") != F.col("root"))
+
+
 # -- k-hop subgraph ------------------------------------------------------------------
 
 @register("khop_nodes", with_graph("SELECT node AS id, depth FROM g_bfs_dist",
@@ -253,7 +289,32 @@ def q_simple_paths(spark, sf_dir):
     return paths.first_hit(g, ctx.path_source_id, ctx.path_target_id, ctx.max_hops)
 
 
-_NAME_OF_HUB = "(SELECT min(node_id) FROM g_officers WHERE name = (SELECT name FROM g_officers WHERE node_id = (SELECT officer_id FROM g_ctx)))"
+# The edge types and the depth of the walk that lists all simple paths.
+WALK_TYPES = ("connected_to", "REGISTERED_ADDRESS")
+WALK_DEPTH = 3
+
+
+@register("simple_path_walk", with_graph(f"""
+SELECT node, depth, array_to_string(path, ',') AS path FROM g_walk""", f"""
+g_walk_step AS (
+  SELECT src AS u, dst AS v FROM g_edges WHERE type IN {WALK_TYPES}
+  UNION SELECT dst, src FROM g_edges WHERE type IN {WALK_TYPES}
+),
+g_walk AS (
+  SELECT {_HUB} AS node, 0 AS depth, [{_HUB}] AS path
+  UNION ALL
+  SELECT s.v, w.depth + 1, list_append(w.path, s.v) FROM g_walk w JOIN g_walk_step s ON s.u = w.node
+  WHERE w.depth < {WALK_DEPTH} AND NOT list_contains(w.path, s.v)
+)""", recursive=True))
+def q_simple_path_walk(spark, sf_dir):
+    """Every simple path of at most three connections and registered addresses from the hub."""
+    ctx, g = _ctx(spark, sf_dir)
+    near = g.edges.filter(F.col("type").isin(*WALK_TYPES))
+    walk = paths.recursive_walk(g.nodes, near, ctx.officer_id, WALK_DEPTH)
+    return walk.select("node", "depth", F.array_join(F.col("path").cast("array<string>"), ",").alias("path"))
+
+
+_NAME_OF_HUB = "(SELECT min(node_id) FROM g_officers WHERE name = (SELECT name FROM g_officers WHERE node_id = (SELECT officer_id FROM g_hub)))"
 _NAME_OF_TARGET = "(SELECT min(node_id) FROM g_officers WHERE name = (SELECT name FROM g_officers WHERE node_id = (SELECT path_target_id FROM g_ctx)))"
 
 
@@ -277,12 +338,11 @@ def q_shortest_path_by_name(spark, sf_dir):
                      F.array_join(F.col("path").cast("array<string>"), ",").alias("path"))
 
 
-# Three connected_to steps away from the hub (the rule of the fixture's edges).
-_N = "(SELECT count(*) FROM customer)"
-_AWAY = f"({_HUB} - {OFFICER_BASE})"
+# Three connected_to steps away from the hub.
+_AWAY = _HUB
 for _ in range(3):
-    _AWAY = f"(({_AWAY} * 7 + 4) % {_N})"
-_DIRECTED_TARGET = _NAME_OF_TARGET.replace("(SELECT path_target_id FROM g_ctx)", f"{OFFICER_BASE} + {_AWAY}")
+    _AWAY = f"(SELECT min(dst) FROM g_edges WHERE type = 'connected_to' AND src = {_AWAY})"
+_DIRECTED_TARGET = _NAME_OF_TARGET.replace("(SELECT path_target_id FROM g_ctx)", _AWAY)
 
 
 @register("simple_paths_directed", with_graph("""
@@ -290,13 +350,10 @@ SELECT target, length, array_to_string(path, ',') AS path FROM g_best""",
     shortest_ctes(_NAME_OF_HUB, _DIRECTED_TARGET, _HOPS, directed=True), recursive=True))
 def q_simple_paths_directed(spark, sf_dir):
     """Along edge directions, between two names: the hub and the officer three steps away."""
-    ctx = context_for(spark, sf_dir)
-    n = read_table(spark, sf_dir, "customer", "c_custkey").count()
-    away = ctx.officer_id - OFFICER_BASE
-    for _ in range(3):
-        away = (away * 7 + 4) % n
-    _, src, dst = _ids_by_name(spark, sf_dir, OFFICER_BASE + away)
-    return paths.first_hit(graph_for(spark, sf_dir), src, dst, ctx.max_hops, directed=True)
+    ctx, g = _ctx(spark, sf_dir)
+    away = pattern.match_chain(g, ctx.officer_id, [("connected_to", "out", None)] * 3)
+    _, src, dst = _ids_by_name(spark, sf_dir, away.agg(F.min("node")).first()[0])
+    return paths.first_hit(g, src, dst, ctx.max_hops, directed=True)
 
 
 @register("depth_sweep", with_graph(f"""

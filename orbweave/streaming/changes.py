@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from orbweave.model import Graph
 from orbweave.operators import mutate
-from orbweave.sources.fixture import store_graph
+from orbweave.sources.fixture import read_graph, store_graph
 
 POINTER = "_current"
 
@@ -35,8 +35,7 @@ def current_version(spark: SparkSession, store: str) -> int:
 
 
 def read_current(spark: SparkSession, store: str) -> Graph:
-    v = current_version(spark, store)
-    return Graph(*(spark.read.parquet(f"{store}/v{v}/{t}") for t in ("nodes", "edges", "edges_by_dst")))
+    return read_graph(spark, f"{store}/v{current_version(spark, store)}")
 
 
 def _apply(kind: str, graph: Graph, batch: DataFrame, stamp: str) -> mutate.Applied:
