@@ -12,12 +12,14 @@ request ids are rejected.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orbweave.functions.text import prop
 from orbweave.model import Graph
-from orbweave.sources.quality import validate_edge_merges, validate_node_creates
+from orbweave.sources.quality import validate_edge_merges, validate_node_creates, validate_patches
 
 DEFAULT_SOURCE_ID = "batch-import"
 
@@ -39,7 +41,22 @@ def _next_id_base(df: DataFrame) -> F.Column:
     return df.select(F.coalesce(F.max("id"), F.lit(0)) + F.lit(1)).scalar()
 
 
-def create_nodes(graph: Graph, batch: DataFrame, created_at: str,
+def _stamp(at: str | datetime) -> F.Column:
+    """A change's time as a timestamp (NULL for text that is none)."""
+    return F.try_to_timestamp(F.lit(at)) if isinstance(at, str) else F.lit(at).cast("timestamp")
+
+
+def _stamp_text(at: str | datetime) -> F.Column:
+    """What the property holds: text as given, a time in ISO form; ``stamp`` reads it."""
+    return F.lit(at) if isinstance(at, str) else F.date_format(F.lit(at).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ssXXX")
+
+
+def stamp(key: str) -> F.Column:
+    """A node's or edge's stamp (``created_at``, ``updated_at``) as a timestamp; NULL if it has none."""
+    return F.try_to_timestamp(prop(key))
+
+
+def create_nodes(graph: Graph, batch: DataFrame, created_at: str | datetime,
                  source_id: str = DEFAULT_SOURCE_ID) -> Applied:
     """batch: request_id, kind, name, country, jurisdiction, note."""
     valid, rejected = validate_node_creates(batch)
@@ -47,28 +64,30 @@ def create_nodes(graph: Graph, batch: DataFrame, created_at: str,
     props = F.map_filter(F.create_map(
         F.lit("name"), F.col("name"), F.lit("countries"), F.col("country"),
         F.lit("jurisdiction_description"), F.col("jurisdiction"), F.lit("note"), F.col("note"),
-        F.lit("sourceID"), F.lit(source_id), F.lit("created_at"), F.lit(created_at)),
+        F.lit("sourceID"), F.lit(source_id), F.lit("created_at"), _stamp_text(created_at)),
         lambda k, v: v.isNotNull())
     created = valid.select((base + F.col("request_id")).alias("id"),
                            F.array(F.col("kind")).alias("labels"), props.alias("props"),
                            "request_id")
     new_nodes = graph.nodes.unionByName(created.drop("request_id"))
-    results = created.select("request_id", "id", F.lit("created").alias("status"))
-    return Applied(Graph(new_nodes, graph.edges, graph.edges_by_dst), results, rejected)
+    results = created.select("request_id", "id", F.lit("created").alias("status"), _stamp(created_at).alias("created_at"))
+    return Applied(Graph(new_nodes, graph.edges, graph.edges_by_dst, graph.layout), results, rejected)
 
 
-def patch_nodes(graph: Graph, patches: DataFrame, updated_at: str) -> Applied:
-    """patches (long form): id, key, value, seq. NULL value removes the key; per
+def patch_nodes(graph: Graph, patches: DataFrame, updated_at: str | datetime) -> Applied:
+    """patches (long form): id, key, value (text or VARIANT), seq. NULL value removes the key; per
     (id, key) the highest ``seq`` wins; ``updated_at`` is set on patched nodes.
-    Patches for unknown ids are rejected."""
-    last = patches.groupBy("id", "key").agg(
-        F.max(F.struct("seq", "value")).getField("value").alias("value"))
+    Rows that ``validate_patches`` refuses and patches for unknown ids are rejected (id, key, reason)."""
+    valid, refused = validate_patches(patches)
+    last = valid.groupBy("id", "key").agg(
+        F.max_by("value", F.struct("seq", "value")).alias("value"))
     per_node = last.groupBy("id").agg(
         F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("patch"))
     known = per_node.join(graph.nodes.select("id"), "id", "left_semi")
-    rejected = per_node.join(graph.nodes.select("id"), "id", "left_anti").select(
-        "id", F.lit("node not found").alias("reason"))
-    stamp = F.create_map(F.lit("updated_at"), F.lit(updated_at))
+    missing = per_node.join(graph.nodes.select("id"), "id", "left_anti").select(
+        "id", F.lit(None).cast("string").alias("key"), F.lit("node not found").alias("reason"))
+    rejected = refused.select("id", "key", "reason").unionByName(missing)
+    stamp = F.create_map(F.lit("updated_at"), _stamp_text(updated_at))
     touched = F.array_union(F.map_keys("patch"), F.array(F.lit("updated_at")))
     merged = F.map_concat(
         F.map_filter("props", lambda k, v: ~F.array_contains(touched, k)),
@@ -77,8 +96,8 @@ def patch_nodes(graph: Graph, patches: DataFrame, updated_at: str) -> Applied:
     nodes = graph.nodes.join(known, "id", "left").select(
         "id", "labels", F.when(F.col("patch").isNull(), F.col("props")).otherwise(merged)
         .alias("props"))
-    results = known.select("id", F.lit("patched").alias("status"))
-    return Applied(Graph(nodes, graph.edges, graph.edges_by_dst), results, rejected)
+    results = known.select("id", F.lit("patched").alias("status"), _stamp(updated_at).alias("updated_at"))
+    return Applied(Graph(nodes, graph.edges, graph.edges_by_dst, graph.layout), results, rejected)
 
 
 def detach_delete_nodes(graph: Graph, ids: DataFrame) -> Applied:
@@ -93,7 +112,7 @@ def detach_delete_nodes(graph: Graph, ids: DataFrame) -> Applied:
     return Applied(Graph(nodes, *edges), results, empty)
 
 
-def merge_edges(graph: Graph, batch: DataFrame, created_at: str,
+def merge_edges(graph: Graph, batch: DataFrame, created_at: str | datetime,
                 source_id: str = DEFAULT_SOURCE_ID) -> Applied:
     """batch: request_id, src, dst, type. Idempotent on (src, dst, type) — types are
     compared in lower case, the canonical form; stamps only on creation."""
@@ -119,7 +138,7 @@ def merge_edges(graph: Graph, batch: DataFrame, created_at: str,
         *key, "first_request",
         F.coalesce("edge_id", base + F.col("first_request")).alias("edge_id"),
         F.col("edge_id").isNull().alias("is_new"))
-    props = F.create_map(F.lit("created_at"), F.lit(created_at), F.lit("sourceID"), F.lit(source_id))
+    props = F.create_map(F.lit("created_at"), _stamp_text(created_at), F.lit("sourceID"), F.lit(source_id))
     created = resolved.filter("is_new").select(
         F.col("edge_id").alias("id"), "type", "src", "dst", props.alias("props"))
     edges = _edges(graph, lambda e: e.unionByName(created))

@@ -130,6 +130,8 @@ class TokenIndex:
 
     def of(self, table: DataFrame, tokens: list[str]) -> DataFrame:
         """The rows of some tokens, read from their buckets."""
+        if not self.buckets:  # not stored
+            return table.filter(F.col("token").isin(tokens))
         here = [_token_bucket(F.lit(t), self.buckets) for t in tokens]
         return table.filter(F.col("bucket").isin(here) & F.col("token").isin(tokens))
 
@@ -156,13 +158,15 @@ def store_token_index(all_nodes: DataFrame, path: str, buckets: int | None = Non
     return TokenIndex(kept, spark.read.schema("token string, nodes long, bucket int").parquet(f"{path}/counts"), buckets)
 
 
-def token_search(index: TokenIndex, q: str) -> DataFrame:
-    """Nodes whose name holds every token of ``q``: (node_id, kind, matched).
+def token_search(index: TokenIndex | DataFrame, q: str) -> DataFrame:
+    """Nodes whose name holds every token of ``q``: (node_id, kind, matched). ``index``: stored, or the frame of ``token_index``.
 
     Reads the buckets of the query's tokens only. The tokens' stored counts (a
     row for each token of the query) say which postings to start from; those are
     broadcast if they are few, so a common token's postings are not shuffled.
     """
+    if isinstance(index, DataFrame):
+        index = TokenIndex(index, index.groupBy("token").agg(F.count(F.lit(1)).alias("nodes")), 0)
     spark = index.postings.sparkSession
     tokens = query_tokens(spark, q)
     counts = {r["token"]: r["nodes"] for r in index.of(index.counts, tokens).collect()} if tokens else {}

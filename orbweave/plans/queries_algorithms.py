@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orbweave.functions.params import parameter
 from orbweave.operators import algorithms as alg
 from orbweave.operators import mapping, paths
 from orbweave.operators.nodes import node_view
@@ -57,6 +58,18 @@ def q_pagerank_khop(spark, sf_dir):
     return alg.top_scores(alg.pagerank(nodes, edges), g, PAGERANK_TOP)
 
 
+@register("score_display", with_graph("""
+SELECT t.id, v.kind, v.name, round(t.raw, 4) AS score FROM (
+  SELECT id, raw FROM pr_final ORDER BY raw DESC, id LIMIT 30) t
+LEFT JOIN g_nv v ON v.id = t.id""", _KHOP_PR, recursive=True))
+def q_score_display(spark, sf_dir):
+    """PageRank of the hub's 2-hop subgraph as it is listed: 30 rows of the 100 asked for, 4 digits."""
+    ctx = context_for(spark, sf_dir)
+    g = graph_for(spark, sf_dir)
+    nodes, edges = alg.project_graph(g, node_ids=paths.khop_nodes(g, ctx.officer_id, parameter("algorithm_hops")))
+    return alg.score_display(alg.pagerank(nodes, edges), g, 100)
+
+
 _GLOBAL_NODES = ("SELECT id FROM g_nodes WHERE list_contains(labels, 'Officer') OR "
                  "list_contains(labels, 'Entity') OR list_contains(labels, 'Intermediary')")
 _GLOBAL_EDGES_DIRECTED = f"""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbweave.functions.text import prop
@@ -9,6 +13,7 @@ from orbweave.operators import mapping, pattern, search
 from orbweave.plans.catalog import (context_for, graph_for, loaded_mirror_for, mirror_for,
                                     register, token_index_for)
 from orbweave.plans.oracle import norm, with_graph
+from orbweave.session import checkpoint_dir
 from orbweave.sources import etl, quality
 
 # Fixed value: the literal term of the multi-kind search query.
@@ -115,13 +120,18 @@ def q_load_capped(spark, sf_dir):
 
 
 @register("insert_or_ignore", with_graph("""
-SELECT node_id, name FROM g_intermediaries
-WHERE node_id NOT IN (SELECT node_id FROM g_officers)"""))
+SELECT node_id, name, 'intermediaries' AS batch FROM g_intermediaries
+WHERE node_id NOT IN (SELECT node_id FROM g_officers)
+UNION ALL SELECT node_id, name, 'officers' FROM g_officers"""))
 def q_insert_or_ignore(spark, sf_dir):
-    """Intermediary rows offered to the officers table: only keys it lacks are appended."""
+    """Officers, then intermediaries appended to a stored table: only keys it lacks stay, and appending them again,
+    as the same batch or as another, adds nothing."""
     m = mirror_for(spark, sf_dir)
-    batch = m.intermediaries.select("node_id", "name")
-    return etl.insert_or_ignore(m.officers, batch, "node_id")
+    officers, others = m.officers.select("node_id", "name"), m.intermediaries.select("node_id", "name")
+    table = etl.KeyedTable(spark, f"{checkpoint_dir(spark).rstrip('/')}/keyed-{uuid.uuid4().hex}", officers.schema, "node_id")
+    for batch, rows in (("officers", officers), ("intermediaries", others), ("intermediaries", others), ("again", others)):
+        table.append(rows, batch)
+    return reduce(DataFrame.unionByName, (table.read([b]).withColumn("batch", F.lit(b)) for b in table.published()))
 
 
 _QUALITY_SQL = """
@@ -145,7 +155,7 @@ UNION ALL SELECT 'nodes.in_several_tables', (SELECT count(*) FROM g_nodes WHERE
 
 @register("quality_report", with_graph(_QUALITY_SQL))
 def q_quality_report(spark, sf_dir):
-    return quality.quality_report(graph_for(spark, sf_dir), mirror_for(spark, sf_dir))
+    return quality.quality_report(graph_for(spark, sf_dir))
 
 
 # -- search -------------------------------------------------------------------------

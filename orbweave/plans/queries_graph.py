@@ -8,6 +8,7 @@ from orbweave.operators import pattern, stats
 from orbweave.plans.catalog import context_for, graph_for, loaded_mirror_for, register
 from orbweave.plans.context import sample_context as _sample_context
 from orbweave.plans.oracle import fragment, with_graph
+from orbweave.sources.fixture import read_table
 
 
 @register("sample_context", with_graph("SELECT * FROM g_ctx"))
@@ -121,3 +122,38 @@ def q_path_witness(spark, sf_dir):
     ctx = context_for(spark, sf_dir)
     return pattern.path_witness(graph_for(spark, sf_dir), ctx.officer_id, ctx.officer_of_type,
                                 ctx.intermediary_of_type)
+
+
+# The events as a run log: repeated timings of two engines for each of 50 queries; those above 80 did not finish.
+_RUNS = """
+g_runs AS (
+  SELECT 'query ' || CAST(user_id % 50 AS VARCHAR) AS query, CASE event_type WHEN 'click' THEN 'graph' ELSE 'tables' END AS engine,
+         CASE WHEN value <= 80 THEN value END AS ms
+  FROM events WHERE event_type IN ('click', 'view') OR (event_type = 'error' AND user_id % 50 < 3)
+),
+g_medians AS (SELECT query, engine, median(ms) AS median_ms, count(*) AS runs FROM g_runs WHERE ms IS NOT NULL GROUP BY 1, 2)"""
+
+
+def _runs(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events", "user_id", "event_type", "value")
+    group = F.col("user_id") % 50
+    return e.filter(F.col("event_type").isin("click", "view") | ((F.col("event_type") == "error") & (group < 3))).select(
+        F.concat(F.lit("query "), group.cast("string")).alias("query"),
+        F.when(F.col("event_type") == "click", "graph").otherwise("tables").alias("engine"),
+        F.when(F.col("value") <= 80, F.col("value")).alias("ms"))
+
+
+@register("bench_median", with_graph("SELECT query, engine, round(median_ms, 6) AS median_ms, runs FROM g_medians", _RUNS))
+def q_bench_median(spark, sf_dir):
+    """Median of the repeated timings of each query and engine."""
+    return stats.bench_median(_runs(spark, sf_dir)).withColumn("median_ms", F.round("median_ms", 6))
+
+
+@register("bench_winner", with_graph("""
+SELECT query, CASE WHEN a IS NULL AND b IS NULL THEN NULL WHEN b IS NULL OR a <= b THEN 'graph' ELSE 'tables' END AS winner,
+       round(CASE WHEN a <= b THEN b / a ELSE a / b END, 1) AS ratio
+FROM (SELECT query, max(CASE engine WHEN 'graph' THEN median_ms END) AS a, max(CASE engine WHEN 'tables' THEN median_ms END) AS b
+      FROM g_medians GROUP BY 1)""", _RUNS))
+def q_bench_winner(spark, sf_dir):
+    """The faster engine of each query and by how much."""
+    return stats.bench_winner(stats.bench_median(_runs(spark, sf_dir)), "graph", "tables").select("query", "winner", "ratio")

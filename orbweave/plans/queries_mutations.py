@@ -6,6 +6,8 @@ part that matches a data predicate), so their size grows with the data.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from orbweave.functions.text import prop
@@ -14,7 +16,7 @@ from orbweave.plans.catalog import graph_for, register
 from orbweave.plans.oracle import with_graph
 from orbweave.sources.fixture import (ADDRESS_BASE, CONNECTED_BASE, ENTITY_BASE,
                                       INTERMEDIARY_BASE, OFFICER_BASE, read_table)
-from orbweave.sources.quality import validate_edge_merges, validate_node_creates
+from orbweave.sources.quality import validate_edge_merges, validate_node_creates, validate_patches
 
 # Stamps of the change batches (passed in for repeatable results)
 # and the request-id offset separating supplier requests from customer ones.
@@ -59,13 +61,14 @@ def patch_batch(spark, sf_dir):
     eid = F.lit(ENTITY_BASE) + F.col("p_partkey")
 
     def rows(cond, id_col, key, value, seq):
-        return p.filter(cond).select(id_col.alias("id"), F.lit(key).alias("key"),
+        return p.filter(cond).select(id_col.alias("id"), F.lit(key).cast("string").alias("key"),
                                      F.lit(value).cast("string").alias("value"),
                                      F.lit(seq).alias("seq"))
     return (rows(F.col("p_size") < 25, eid, "status", "Dissolved", 1)
             .unionByName(rows(F.col("p_size") < 10, eid, "jurisdiction", None, 2))
             .unionByName(rows(F.col("p_size") < 5, eid, "status", "Struck off", 3))
             .unionByName(rows(F.col("p_size") < 3, eid, "updated_at", "1999-01-01T00:00:00Z", 4))
+            .unionByName(rows(F.col("p_size") == 11, eid, None, "no key", 1))
             .unionByName(rows(F.col("p_size") >= 49, eid + F.lit(ORPHAN_OFFSET), "note",
                               "orphan patch", 1)))
 
@@ -76,11 +79,12 @@ g_pb AS (
   UNION ALL SELECT {ENTITY_BASE} + p_partkey, 'jurisdiction', NULL, 2 FROM part WHERE p_size < 10
   UNION ALL SELECT {ENTITY_BASE} + p_partkey, 'status', 'Struck off', 3 FROM part WHERE p_size < 5
   UNION ALL SELECT {ENTITY_BASE} + p_partkey, 'updated_at', '1999-01-01T00:00:00Z', 4 FROM part WHERE p_size < 3
+  UNION ALL SELECT {ENTITY_BASE} + p_partkey, NULL, 'no key', 1 FROM part WHERE p_size = 11
   UNION ALL SELECT {ENTITY_BASE + ORPHAN_OFFSET} + p_partkey, 'note', 'orphan patch', 1 FROM part WHERE p_size >= 49
 ),
 g_pl AS (
   SELECT id, key, value FROM (
-    SELECT *, row_number() OVER (PARTITION BY id, key ORDER BY seq DESC) AS rn FROM g_pb) WHERE rn = 1
+    SELECT *, row_number() OVER (PARTITION BY id, key ORDER BY seq DESC) AS rn FROM g_pb WHERE key IS NOT NULL) WHERE rn = 1
 )"""
 
 
@@ -174,7 +178,9 @@ SELECT n.id,
   CASE WHEN n.id IN (SELECT id FROM g_pl) THEN 'patched' ELSE 'unchanged' END AS result
 FROM g_nodes n WHERE list_contains(n.labels, 'Entity')
 UNION ALL
-SELECT DISTINCT id, NULL, NULL, NULL, 'node not found' FROM g_pl WHERE id NOT IN (SELECT id FROM g_nodes)""",
+SELECT DISTINCT id, NULL, NULL, NULL, 'node not found' FROM g_pl WHERE id NOT IN (SELECT id FROM g_nodes)
+UNION ALL
+SELECT id, NULL, NULL, NULL, 'key required' FROM g_pb WHERE key IS NULL""",
     _PATCH_BATCH_SQL))
 def q_patch_nodes(spark, sf_dir):
     g = graph_for(spark, sf_dir)
@@ -190,6 +196,40 @@ def q_patch_nodes(spark, sf_dir):
     return ent.unionByName(refused)
 
 
+#: JSON values of the patches that ``validate_patches`` looks at, by the part's size modulo 8.
+PATCH_VALUES = ['"Dissolved"', "12", "0.5", "null", "true", '{"k": 1}', "[1, 2]", None]
+
+
+@register("validate_patches", with_graph(f"""
+SELECT id, key, value, reason FROM (
+  SELECT CASE p_size % 10 WHEN 0 THEN NULL ELSE {ENTITY_BASE} + p_partkey END AS id,
+         CASE p_size % 10 WHEN 1 THEN NULL WHEN 2 THEN '' ELSE 'status' END AS key,
+         (CASE p_size % 8 {" ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(PATCH_VALUES) if v is not None)} END) AS json,
+         CASE WHEN json IS NULL OR json = 'null' THEN NULL ELSE replace(json, ' ', '') END AS shown,
+         CASE WHEN id IS NULL THEN 'id required' WHEN key IS NULL OR key = '' THEN 'key required'
+              WHEN p_size % 8 IN (4, 5, 6) THEN 'value must be string, number or null' END AS reason,
+         CASE WHEN reason IS NULL THEN trim(shown, '"') ELSE coalesce(shown, json) END AS value
+  FROM part)"""))
+def q_validate_patches(spark, sf_dir):
+    """Typed patches of every part: those that can be used with their value as text, the others with the reason."""
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_size")
+    value = F.get(F.array(*(F.lit(v) for v in PATCH_VALUES)), F.col("p_size") % len(PATCH_VALUES))
+    last = F.col("p_size") % 10
+    batch = p.select(F.when(last != 0, F.lit(ENTITY_BASE) + F.col("p_partkey")).alias("id"),
+                     F.when(last == 2, "").when(last != 1, "status").alias("key"), F.parse_json(value).alias("value"), F.lit(1).alias("seq"))
+    valid, rejected = validate_patches(batch)
+    return valid.withColumn("reason", F.lit(None).cast("string")).unionByName(rejected).select("id", "key", "value", "reason")
+
+
+@register("node_stamps", with_graph(f"""
+SELECT n.id, CASE WHEN n.id IN (SELECT id FROM g_pl) THEN TIMESTAMP '2026-01-01 00:00:00' END AS updated_at
+FROM g_nodes n WHERE list_contains(n.labels, 'Entity')""", _PATCH_BATCH_SQL))
+def q_node_stamps(spark, sf_dir):
+    """When each entity was patched, as a time."""
+    applied = mutate.patch_nodes(graph_for(spark, sf_dir), patch_batch(spark, sf_dir), datetime(2026, 1, 1, tzinfo=timezone.utc))
+    return applied.graph.nodes.filter(F.array_contains("labels", "Entity")).select("id", mutate.stamp("updated_at").cast("timestamp_ntz").alias("updated_at"))
+
+
 @register("detach_delete_nodes", with_graph(f"SELECT id FROM g_nodes WHERE id NOT IN {_DELETED_SQL}"))
 def q_detach_delete_nodes(spark, sf_dir):
     applied = mutate.detach_delete_nodes(graph_for(spark, sf_dir), delete_node_batch(spark, sf_dir))

@@ -6,12 +6,15 @@ regex expressions. Nothing here collects rows to the driver.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orbweave.functions.text import norm_text, prop
 from orbweave.model import Graph
@@ -140,20 +143,69 @@ def normalize_props(graph: Graph) -> DataFrame:
         "id", "key", norm_text(F.col("raw")).alias("value"))
 
 
+def first_rows(batch: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
+    """The first row of each key by ``order_col`` (ties, or without one, by all columns); rows without a key go.
+
+    An aggregation, so copies of a hot key are reduced before they are shuffled.
+    """
+    order = [order_col] if order_col is not None else []
+    order += sorted(c for c in batch.columns if c != order_col)
+    one = batch.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
+        F.min_by(F.struct(*batch.columns), F.struct(*order)).alias("__row"))
+    return one.select("__row.*")
+
+
 def insert_or_ignore(target: DataFrame, batch: DataFrame, key: str,
                      order_col: str | None = None) -> DataFrame:
     """Rows of ``batch`` a keyed insert would add: first row per key, keys absent from target.
 
-    Returns only the rows to append (``write.mode('append')`` them). The first
-    row per key follows ``order_col`` (a batch sequence) when given; the window
-    is partitioned by the key, so no single task sees the whole batch.
+    Returns only the rows to append; ``KeyedTable.append`` writes them. The first
+    row per key follows ``order_col`` (a batch sequence), ties all columns.
+    """
+    return first_rows(batch, key, order_col).join(target.select(key), key, "left_anti").select(*batch.columns)
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    """A stored table with a unique key that batches are appended to, each once.
+
+    A batch is written to ``data/batch=<id>`` (over what a run that died left
+    there) and then published by a row in ``manifest/batch=<id>``. Only published
+    batches are read, and a published batch is not written again: repeating an
+    append, whole or after a failure, adds nothing.
     """
-    if order_col is not None:
-        w = Window.partitionBy(key).orderBy(F.col(order_col))
-        batch = batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    else:
-        batch = batch.dropDuplicates([key])
-    return batch.join(target.select(key), key, "left_anti")
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    key: str
+
+    def published(self) -> list[str]:
+        """Ids of the published batches: one for each append, from the manifest's folders."""
+        try:
+            done = self.spark.read.schema("rows long, batch string").parquet(f"{self.path}/manifest")
+        except AnalysisException:  # nothing published yet
+            return []
+        return sorted(r["batch"] for r in done.select("batch").collect())
+
+    def read(self, batches: list[str] | None = None) -> DataFrame:
+        """The rows of the published batches (or of some), without the batch."""
+        have = [b for b in self.published() if batches is None or b in batches]
+        if not have:
+            return self.spark.createDataFrame([], self.schema)
+        stored = T.StructType([*self.schema.fields, T.StructField("batch", T.StringType())])
+        return self.spark.read.schema(stored).parquet(f"{self.path}/data").filter(F.col("batch").isin(have)).drop("batch")
+
+    def append(self, batch: DataFrame, batch_id: str, order_col: str | None = None) -> bool:
+        """Insert-or-ignore ``batch``; False if that batch is published already."""
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
+            raise ValueError(f"{batch_id!r} can't be a batch id")
+        if batch_id in self.published():
+            return False
+        rows = insert_or_ignore(self.read(), batch, self.key, order_col).select(*self.schema.names)
+        rows.write.mode("overwrite").parquet(f"{self.path}/data/batch={batch_id}")
+        written = self.spark.read.schema(self.schema).parquet(f"{self.path}/data/batch={batch_id}")
+        written.agg(F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch_id}")
+        return True
 
 
 def load_capped(graph: Graph, per_label: int, edge_cap: int) -> Mirror:
@@ -167,25 +219,37 @@ def load_capped(graph: Graph, per_label: int, edge_cap: int) -> Mirror:
 
 
 def load_report(m: Mirror) -> DataFrame:
-    """Rows per mirror table plus the total, from one aggregation per table."""
-    parts = [df.select(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
-             for name, df in m.tables().items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    nodes_total = out.filter(F.col("table_name") != "relationships").select(
-        F.lit("nodes_total").alias("table_name"), F.sum("rows").cast("long").alias("rows"))
-    return out.unionByName(nodes_total)
+    """Rows per mirror table and the total of the node tables: each table is counted once, the total added from the counts."""
+    counts = reduce(DataFrame.unionByName, (
+        df.select(F.count(F.lit(1)).alias("rows")).select(
+            F.array(F.lit(name), *([] if name == "relationships" else [F.lit("nodes_total")])).alias("names"), "rows")
+        for name, df in m.tables().items()))
+    return counts.select(F.explode("names").alias("table_name"), "rows").groupBy("table_name").agg(F.sum("rows").alias("rows"))
+
+
+def _write_relationships(df: DataFrame, path: str) -> None:
+    """One folder per type, sorted by source: filters prune folders, then row groups. Dealt by ranges, so that
+    a type has as many files as its share of the rows asks for."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["rel_type", "start_id", "end_id"]
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("rel_type").parquet(path)
 
 
 def store_mirror(m: Mirror, path: str) -> Mirror:
-    """Write the five mirror tables as parquet under ``path`` and return frames reading them."""
+    """Write the five mirror tables as parquet under ``path`` and return frames reading them.
+
+    Node tables are sorted by what is looked up in them, the name (an address's
+    text), relationships by type and source.
+    """
     spark = m.officers.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, df in m.tables().items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-    return Mirror(*(spark.read.parquet(f"{path}/{n}") for n in
-                    ("officers", "entities", "intermediaries", "addresses", "relationships")),
-                  m.quarantine)
+        if name == "relationships":
+            _write_relationships(df, f"{path}/{name}")
+            continue
+        order = ["address" if name == "addresses" else "name", "node_id"]
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/{name}")
+    return Mirror(*(spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in m.tables().items()), m.quarantine)
 
 
 def _has_rows(spark, path: str) -> bool:
@@ -199,8 +263,10 @@ def load_graph(m: Mirror, path: str | None = None, truncate: bool = False) -> Da
     """Write the mirror as parquet tables and return the report read back from storage.
 
     Guard: refuses when ``relationships`` at ``path`` has rows, unless ``truncate``.
-    It is written last, so a load that died on the way can be run again.
-    Every table is overwritten. The default location is a fresh folder under
+    It is written last, so a load that died on the way can be run again, under
+    the same ``path``: node tables are keyed tables (the first row per id stays),
+    each load writes one batch of them in a folder of its own and names that
+    folder in ``loads`` at the end. The default location is a fresh folder under
     the cluster's checkpoint directory (shared storage).
     """
     spark = m.officers.sparkSession
@@ -208,13 +274,14 @@ def load_graph(m: Mirror, path: str | None = None, truncate: bool = False) -> Da
         raise RuntimeError(f"{path} already holds a loaded graph")
     if path is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/mirror-{uuid.uuid4().hex}"
+    load, frames = uuid.uuid4().hex, {}
     for name, df in m.tables().items():
-        writer = df.write.mode("overwrite")
         if name == "relationships":
-            # one folder per type: edge-type filters prune whole folders
-            writer = writer.partitionBy("rel_type")
-        writer.parquet(f"{path}/{name}")
-    stored = Mirror(*(spark.read.parquet(f"{path}/{n}") for n in
-                      ("officers", "entities", "intermediaries", "addresses", "relationships")),
-                    m.quarantine)
-    return load_report(stored)
+            _write_relationships(df, f"{path}/{name}")
+            frames[name] = spark.read.schema(df.schema).parquet(f"{path}/{name}")
+        else:
+            table = KeyedTable(spark, f"{path}/{name}/{load}", df.schema, "node_id")
+            table.append(df, "load")
+            frames[name] = table.read()
+    spark.range(1).select(F.lit(load).alias("load")).write.mode("overwrite").parquet(f"{path}/loads")
+    return load_report(Mirror(**frames, quarantine=m.quarantine))

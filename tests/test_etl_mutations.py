@@ -40,7 +40,7 @@ def test_two_labels_two_tables_and_quarantine(dirty):
 def test_edge_type_lowercase_and_dangling_report(dirty):
     m = etl.mirror(dirty)
     assert sorted(r["rel_type"] for r in m.relationships.collect()) == ["connected_to", "officer_of"]
-    report = {r["rule"]: r["violations"] for r in quality.quality_report(dirty, m).collect()}
+    report = {r["rule"]: r["violations"] for r in quality.quality_report(dirty).collect()}
     assert report["relationships.dangling_end"] == 1      # node 4 has no table
     assert report["nodes.in_no_table"] == 1
     assert report["nodes.in_several_tables"] == 1
@@ -99,3 +99,44 @@ def test_create_validation(make_graph, spark):
     assert [(r["request_id"], r["id"]) for r in out.results.collect()] == [(1, 7)]
     assert {r["request_id"]: r["reason"] for r in out.rejected.collect()} == {
         2: "kind not allowed", 3: "name required"}
+
+
+def test_keyed_table_appends_each_batch_once(spark, tmp_path):
+    form = "node_id long, name string"
+    table = etl.KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], form).schema, "node_id")
+    first = spark.createDataFrame([(1, "b", 2), (1, "a", 1), (2, "x", 1), (2, "w", 1), (None, "no key", 1)], f"{form}, seq int")
+    assert table.read().count() == 0
+    assert table.append(first, "one", "seq") and not table.append(first, "one", "seq")
+    # a run that died after its data, before it was published: not read, and written over
+    spark.createDataFrame([(9, "left")], form).write.parquet(f"{table.path}/data/batch=two")
+    assert sorted(tuple(r) for r in table.read().collect()) == [(1, "a"), (2, "w")]
+    assert table.append(spark.createDataFrame([(2, "late"), (3, "y")], form), "two")
+    assert sorted(tuple(r) for r in table.read().collect()) == [(1, "a"), (2, "w"), (3, "y")]
+    assert [r["node_id"] for r in table.read(["two"]).collect()] == [3]
+    with pytest.raises(ValueError):
+        table.append(first, "a/b")
+
+
+def test_patch_rows_that_cant_be_used(make_graph, spark):
+    g = make_graph([(1, ["Entity"], {"status": "Active", "note": "n"})], [])
+    form = "id long, key string, json string, seq int"
+    rows = [(1, None, '"x"', 1), (1, "", '"x"', 1), (None, "note", '"x"', 1), (1, "a", "true", 1), (1, "b", '{"k": 1}', 1), (1, "c", "[1]", 1),
+            (1, "note", "null", 1), (1, "status", '"B"', 1), (1, "size", "12", 1), (1, "share", "0.25", 1), (1, "none", None, 1), (7, "x", '"y"', 1)]
+    patches = spark.createDataFrame(rows, form).select("id", "key", F.parse_json("json").alias("value"), "seq")
+    out = mutate.patch_nodes(g, patches, "2026-01-01T00:00:00Z")
+    assert out.graph.nodes.first()["props"] == {"status": "B", "size": "12", "share": "0.25", "updated_at": "2026-01-01T00:00:00Z"}
+    wrong = "value must be string, number or null"
+    assert sorted(((r["id"], r["key"], r["reason"]) for r in out.rejected.collect()), key=str) == sorted([
+        (1, None, "key required"), (1, "", "key required"), (None, "note", "id required"), (1, "a", wrong), (1, "b", wrong), (1, "c", wrong),
+        (7, None, "node not found")], key=str)
+    assert mutate.patch_nodes(g, patches.limit(0), "t").graph.nodes.first()["props"] == {"status": "Active", "note": "n"}
+
+
+def test_stamps_are_times(make_graph, spark):
+    from datetime import datetime, timezone
+    g = make_graph([(1, ["Entity"], {"created_at": "not a time"}), (2, ["Entity"], {})], [])
+    at = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
+    out = mutate.patch_nodes(g, spark.createDataFrame([(1, "note", "x", 1)], "id long, key string, value string, seq int"), at)
+    seen = out.graph.nodes.select("id", mutate.stamp("updated_at").alias("at"), mutate.stamp("created_at").alias("no")).orderBy("id")
+    assert [(r["id"], r["at"] and r["at"].astimezone(timezone.utc), r["no"]) for r in seen.collect()] == [(1, at, None), (2, None, None)]
+    assert dict(out.results.dtypes)["updated_at"] == "timestamp"
