@@ -10,9 +10,8 @@ is joined by a shuffle, which AQE splits where a hub skews it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,26 +32,6 @@ class Frontier:
         return F.broadcast(self.frame) if self.rows <= BROADCAST_ROWS else self.frame
 
 
-@dataclass
-class Kept:
-    """Frames persisted while a result is made; ``result`` writes that and lets them go."""
-    frames: list[DataFrame] = field(default_factory=list)
-
-    def keep(self, frame: DataFrame) -> DataFrame:
-        self.frames.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
-        return self.frames[-1]
-
-    def release(self) -> None:
-        while self.frames:
-            self.frames.pop().unpersist()
-
-    def result(self, frame: DataFrame) -> DataFrame:
-        try:
-            return cut_lineage(frame)
-        finally:
-            self.release()
-
-
 def known(graph: Graph, ids: list[int]) -> Frontier:
     """The frontier of some given ids (``root`` = ``node``) that are in the graph; asks for no job."""
     frame = graph.nodes.filter(F.col("id").isin(ids)).select(F.col("id").alias("root"), F.col("id").alias("node"))
@@ -67,11 +46,11 @@ def measured(graph: Graph, frame: DataFrame, *more: Column) -> tuple[Frontier, d
     return Frontier(frame, row.pop("__rows"), sorted(row.pop("__buckets")) if found else None), row
 
 
-def of_roots(graph: Graph, roots, kept: Kept) -> Frontier:
+def of_roots(graph: Graph, roots) -> Frontier:
     """(root, node) for an id, a list of ids or a frame with ``root``."""
     if isinstance(roots, DataFrame):
         frame = roots.select(F.col("root").cast("long").alias("root")).distinct()
-        return measured(graph, kept.keep(frame.withColumn("node", F.col("root"))))[0]
+        return measured(graph, cut_lineage(frame.withColumn("node", F.col("root"))))[0]
     return known(graph, [int(roots)] if isinstance(roots, int) else [int(r) for r in roots])
 
 

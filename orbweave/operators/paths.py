@@ -3,8 +3,8 @@
 One level = frontier ⋈ the edges of its buckets -> distinct -> anti-join against
 already visited nodes. The loop runs on the driver only as control: each level
 is a Spark job whose single returned value is a small summary row (count,
-buckets, where it meets). Levels are persisted while a result is made, every few
-levels cut with a reliable checkpoint, and let go when the result is written.
+buckets, where it meets). Each level is written by a reliable checkpoint, whose
+files Spark removes once no frame refers to them: nothing stays cached.
 
 Undirected BFS uses the fact that a neighbour of a node at depth d-1 has depth
 d-2, d-1 or d, so the anti-join only needs the last two levels, not the whole
@@ -22,44 +22,40 @@ from pyspark.sql import functions as F
 
 from orbweave.functions.params import clamp
 from orbweave.model import Graph
-from orbweave.operators.frontier import Frontier, Kept, expand, known, measured, of_roots
+from orbweave.operators.frontier import Frontier, expand, known, measured, of_roots
 from orbweave.operators.nodes import attach_nodes
 from orbweave.session import cut_lineage
 
 MAX_HOPS_LIMIT = 10
 
 
-def _level(graph: Graph, at: Frontier, direction: str, seen: list[DataFrame], kept: Kept, depth: int, keys: list[str]) -> DataFrame:
-    """The nodes one step from the frontier that are in none of ``seen``, kept."""
+def _level(graph: Graph, at: Frontier, direction: str, seen: list[DataFrame], keys: list[str]) -> DataFrame:
+    """The nodes one step from the frontier that are in none of ``seen``, written."""
     step = expand(graph, at, direction).select(*keys[:-1], F.col("next").alias("node")).distinct()
     for level in seen:
         step = step.join(level.select(*keys), keys, "left_anti")
-    return cut_lineage(step) if depth % 4 == 0 else kept.keep(step)
+    return cut_lineage(step)
 
 
 def bfs(graph: Graph, roots, max_depth: int, directed: bool = False) -> DataFrame:
-    """Levels of a BFS from each root: (root, node, depth), written to the checkpoint folder.
+    """Levels of a BFS from each root: (root, node, depth).
 
     Stops at ``max_depth`` (clamped to 0..``MAX_HOPS_LIMIT``) or at an empty frontier.
     """
     max_depth = clamp(max_depth, 0, MAX_HOPS_LIMIT)
-    kept = Kept()
-    try:
-        at = of_roots(graph, roots, kept)
-        levels = [at.frame.select("root", "node")]
-        for d in range(1, max_depth + 1):
-            step = _level(graph, at, "out" if directed else "both", levels if directed else levels[-2:], kept, d, ["root", "node"])
-            levels.append(step)
-            if d < max_depth:
-                at, _ = measured(graph, step)
-                if not at.rows:
-                    break
-        out = levels[0].withColumn("depth", F.lit(0))
-        for d, level in enumerate(levels[1:], 1):
-            out = out.unionByName(level.withColumn("depth", F.lit(d)))
-        return kept.result(out)
-    finally:
-        kept.release()
+    at = of_roots(graph, roots)
+    levels = [at.frame.select("root", "node")]
+    for d in range(1, max_depth + 1):
+        step = _level(graph, at, "out" if directed else "both", levels if directed else levels[-2:], ["root", "node"])
+        levels.append(step)
+        if d < max_depth:
+            at, _ = measured(graph, step)
+            if not at.rows:
+                break
+    out = levels[0].withColumn("depth", F.lit(0))
+    for d, level in enumerate(levels[1:], 1):
+        out = out.unionByName(level.withColumn("depth", F.lit(d)))
+    return out
 
 
 # -- distances and subgraphs ----------------------------------------------------
@@ -96,7 +92,7 @@ class _Meeting:
     length: int | None
 
 
-def _meet(graph: Graph, source: int, target: int, max_hops: int, directed: bool, kept: Kept) -> _Meeting:
+def _meet(graph: Graph, source: int, target: int, max_hops: int, directed: bool) -> _Meeting:
     """Two-sided BFS: each step expands the smaller of the two frontiers (the target's side backwards if directed).
 
     On a graph with hubs the frontiers grow to about b^(d/2) instead of b^d.
@@ -114,8 +110,7 @@ def _meet(graph: Graph, source: int, target: int, max_hops: int, directed: bool,
         side, other = ("s", "t") if levels["s"][-1].rows <= levels["t"][-1].rows else ("t", "s")
         direction = {"s": "out", "t": "in"}[side] if directed else "both"
         seen = [level.frame for level in (levels[side] if directed else levels[side][-2:])]
-        depth = len(levels[side])
-        step = _level(graph, levels[side][-1], direction, seen, kept, depth, ["node"])
+        step = _level(graph, levels[side][-1], direction, seen, ["node"])
         # Sides that have not met before can only meet at the other side's last level.
         last = levels[other][-1]
         marked = step.join(Frontier(last.frame.select("node", F.lit(1).alias("met")), last.rows).hinted(), "node", "left")
@@ -132,7 +127,7 @@ def _ends(graph: Graph, source: int, target: int) -> set[int]:
     return {r["id"] for r in graph.nodes.filter(F.col("id").isin([source, target])).select("id").distinct().collect()}
 
 
-def _least_path(graph: Graph, source: int, target: int, meeting: _Meeting, directed: bool, kept: Kept) -> list[int]:
+def _least_path(graph: Graph, source: int, target: int, meeting: _Meeting, directed: bool) -> list[int]:
     """The least shortest path by node ids, step by step; at most ``MAX_HOPS_LIMIT`` + 1 ids reach the driver.
 
     A node at the target's side is on a shortest path by its distance alone. At
@@ -141,11 +136,11 @@ def _least_path(graph: Graph, source: int, target: int, meeting: _Meeting, direc
     s, t = meeting.levels["s"], meeting.levels["t"]
     middle = len(s) - 1
     forward, backward = ("out", "in") if directed else ("both", "both")
-    on = {middle: kept.keep(s[-1].frame.select("node").join(t[-1].frame.select("node"), "node", "left_semi"))}
+    on = {middle: cut_lineage(s[-1].frame.select("node").join(t[-1].frame.select("node"), "node", "left_semi"))}
     for step in range(middle - 1, 0, -1):
         at, _ = measured(graph, on[step + 1])
         before = expand(graph, at, backward).select(F.col("next").alias("node")).distinct()
-        on[step] = kept.keep(s[step].frame.select("node").join(before, "node", "left_semi"))
+        on[step] = cut_lineage(s[step].frame.select("node").join(before, "node", "left_semi"))
     path = [source]
     for step in range(1, meeting.length):
         allowed = on[step] if step <= middle else t[meeting.length - step].frame.select("node")
@@ -158,17 +153,13 @@ def shortest_path(graph: Graph, source: int, target: int, max_hops: int = 6,
                   directed: bool = False) -> DataFrame:
     """The smallest (by node-id array) shortest path: one row (source, target, length, path) or none."""
     source, target, max_hops = int(source), int(target), clamp(max_hops, 0, MAX_HOPS_LIMIT)
-    kept, rows = Kept(), []
-    try:
-        found = _ends(graph, source, target)
-        if source == target and found:
-            rows = [(source, target, 0, [source])]
-        elif len(found) == 2:
-            meeting = _meet(graph, source, target, max_hops, directed, kept)
-            if meeting.length is not None:
-                rows = [(source, target, meeting.length, _least_path(graph, source, target, meeting, directed, kept))]
-    finally:
-        kept.release()
+    found, rows = _ends(graph, source, target), []
+    if source == target and found:
+        rows = [(source, target, 0, [source])]
+    elif len(found) == 2:
+        meeting = _meet(graph, source, target, max_hops, directed)
+        if meeting.length is not None:
+            rows = [(source, target, meeting.length, _least_path(graph, source, target, meeting, directed))]
     return graph.spark.createDataFrame(rows, "source long, target long, length int, path array<long>")
 
 
@@ -176,16 +167,12 @@ def shortest_path_length(graph: Graph, source: int, target: int, max_hops: int =
                          directed: bool = False) -> DataFrame:
     """Length of a shortest path (0..max_hops) as one row (source, target, length), or none."""
     source, target, max_hops = int(source), int(target), clamp(max_hops, 0, MAX_HOPS_LIMIT)
-    kept, rows = Kept(), []
-    try:
-        found = _ends(graph, source, target)
-        if source == target and found:
-            rows = [(source, target, 0)]
-        elif len(found) == 2:
-            length = _meet(graph, source, target, max_hops, directed, kept).length
-            rows = [] if length is None else [(source, target, length)]
-    finally:
-        kept.release()
+    found, rows = _ends(graph, source, target), []
+    if source == target and found:
+        rows = [(source, target, 0)]
+    elif len(found) == 2:
+        length = _meet(graph, source, target, max_hops, directed).length
+        rows = [] if length is None else [(source, target, length)]
     return graph.spark.createDataFrame(rows, "source long, target long, length int")
 
 

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from orbweave.functions.params import parameter
 from orbweave.functions.text import IDENTIFIER
 from orbweave.model import Graph
-from orbweave.operators.frontier import Kept, edges_of, expand, known, measured, of_roots
+from orbweave.operators.frontier import edges_of, expand, known, measured, of_roots
 from orbweave.operators.nodes import (attach_nodes, edge_frame, keep_labelled, node_view,
                                       with_label)
+from orbweave.session import cut_lineage
 
 
 def check_edge_type(edge_type: str | Column) -> str | Column:
@@ -68,27 +69,23 @@ def co_officer_ids(graph: Graph, roots, officer_of_type: str | Column, intermedi
     """
     check_edge_type(officer_of_type)
     check_edge_type(intermediary_of_type)
-    kept = Kept()
-    try:
-        at = of_roots(graph, roots, kept)
-        e1 = kept.keep(expand(graph, at, "out", officer_of_type).select("root", F.col("next").alias("node")).distinct())
-        at, _ = measured(graph, e1)
-        # i with the number of its edges into root's entities (parallel edges count)
-        i_set = kept.keep(expand(graph, at, "in", intermediary_of_type).groupBy("root", F.col("next").alias("node"))
-                          .agg(F.count(F.lit(1)).alias("c_i")))
-        at, _ = measured(graph, i_set)
-        r3 = expand(graph, at, "out", intermediary_of_type).select("root", "c_i", F.col("next").alias("node"))
-        if edge_unique:
-            in_e1 = e1.select("root", "node", F.lit(True).alias("in_e1"))
-            r3 = r3.join(in_e1, ["root", "node"], "left").filter(
-                F.col("in_e1").isNull() | (F.col("c_i") >= 2))
-        e2 = kept.keep(r3.select("root", "node").distinct())
-        at, _ = measured(graph, e2)
-        others = expand(graph, at, "in", officer_of_type).select("root", F.col("next").alias("other")) \
-            .distinct().filter(F.col("other") != F.col("root"))
-        return kept.result(keep_labelled(others, graph, "other", "Officer"))
-    finally:
-        kept.release()
+    at = of_roots(graph, roots)
+    e1 = cut_lineage(expand(graph, at, "out", officer_of_type).select("root", F.col("next").alias("node")).distinct())
+    at, _ = measured(graph, e1)
+    # i with the number of its edges into root's entities (parallel edges count)
+    i_set = cut_lineage(expand(graph, at, "in", intermediary_of_type).groupBy("root", F.col("next").alias("node"))
+                        .agg(F.count(F.lit(1)).alias("c_i")))
+    at, _ = measured(graph, i_set)
+    r3 = expand(graph, at, "out", intermediary_of_type).select("root", "c_i", F.col("next").alias("node"))
+    if edge_unique:
+        in_e1 = e1.select("root", "node", F.lit(True).alias("in_e1"))
+        r3 = r3.join(in_e1, ["root", "node"], "left").filter(
+            F.col("in_e1").isNull() | (F.col("c_i") >= 2))
+    e2 = cut_lineage(r3.select("root", "node").distinct())
+    at, _ = measured(graph, e2)
+    others = expand(graph, at, "in", officer_of_type).select("root", F.col("next").alias("other")) \
+        .distinct().filter(F.col("other") != F.col("root"))
+    return keep_labelled(others, graph, "other", "Officer")
 
 
 def co_officers(graph: Graph, officer_id: int, officer_of_type: str, intermediary_of_type: str,
@@ -163,32 +160,28 @@ def match_chain(graph: Graph, roots, steps, distinct_between: bool = True, edge_
             check_edge_type(edge_type)
         if direction not in ("out", "in", "both"):
             raise ValueError(f"unknown direction {direction!r}")
-    kept = Kept()
-    try:
-        at = of_roots(graph, roots, kept)
-        frontier = at.frame
-        carried: dict[int, str] = {}  # step -> column of the edge it took
-        for i, (edge_type, direction, label) in enumerate(steps):
-            if i:
-                at, _ = measured(graph, kept.keep(frontier))
-            frontier = expand(graph, at, direction, edge_type, carry=("id",) if edge_unique else ())
-            for step, column in carried.items():
-                if _may_meet(steps[step][0], edge_type):
-                    frontier = frontier.filter(F.col("edge_id") != F.col(column))
-            later = {step: sum(_may_meet(steps[step][0], t) for t, _, _ in steps[i + 1:]) for step in [*carried, i]} if edge_unique else {}
-            carried = {step: f"__edge{step}" for step, n in later.items() if n}
-            taken = [F.col("edge_id" if step == i else column).alias(column) for step, column in carried.items()]
-            frontier = frontier.select("root", F.col("next").alias("node"), *taken)
-            if label is not None:
-                frontier = frontier.join(with_label(graph, label).withColumnRenamed("id", "node"),
-                                         "node", "left_semi").select(*frontier.columns)
-            if edge_unique or distinct_between:
-                frontier = frontier.distinct()
-            for step, column in carried.items():
-                frontier = _representatives(frontier, column, later[step])
-        return kept.result(frontier.select("root", "node"))
-    finally:
-        kept.release()
+    at = of_roots(graph, roots)
+    frontier = at.frame
+    carried: dict[int, str] = {}  # step -> column of the edge it took
+    for i, (edge_type, direction, label) in enumerate(steps):
+        if i:
+            at, _ = measured(graph, cut_lineage(frontier))
+        frontier = expand(graph, at, direction, edge_type, carry=("id",) if edge_unique else ())
+        for step, column in carried.items():
+            if _may_meet(steps[step][0], edge_type):
+                frontier = frontier.filter(F.col("edge_id") != F.col(column))
+        later = {step: sum(_may_meet(steps[step][0], t) for t, _, _ in steps[i + 1:]) for step in [*carried, i]} if edge_unique else {}
+        carried = {step: f"__edge{step}" for step, n in later.items() if n}
+        taken = [F.col("edge_id" if step == i else column).alias(column) for step, column in carried.items()]
+        frontier = frontier.select("root", F.col("next").alias("node"), *taken)
+        if label is not None:
+            frontier = frontier.join(with_label(graph, label).withColumnRenamed("id", "node"),
+                                     "node", "left_semi").select(*frontier.columns)
+        if edge_unique or distinct_between:
+            frontier = frontier.distinct()
+        for step, column in carried.items():
+            frontier = _representatives(frontier, column, later[step])
+    return frontier.select("root", "node")
 
 
 def first_of(rows: DataFrame, keys: list[str], order: list, k: int, spread, salts: int = 32) -> DataFrame:
@@ -228,17 +221,13 @@ def neighborhood_batch(graph: Graph, roots: DataFrame, limit: int | None = None)
     Each root keeps its first ``limit`` edges by id, in two stages, so that a hub's
     edges are cut in parts by hash before any task ranks them together.
     """
-    kept = Kept()
-    try:
-        at = of_roots(graph, roots, kept)
-        carry = ("id", "type")
-        out = expand(graph, at, "out", carry=carry).select("root", "edge_id", "type", F.col("node").alias("src"), F.col("next").alias("dst"), F.col("next").alias("neighbor"))
-        back = expand(graph, at, "in", carry=carry).filter(F.col("next") != F.col("node")) \
-            .select("root", "edge_id", "type", F.col("next").alias("src"), F.col("node").alias("dst"), F.col("next").alias("neighbor"))
-        first = first_of(out.unionByName(back), ["root"], ["edge_id"], parameter("neighborhood_limit", limit), F.col("edge_id"))
-        return kept.result(first.withColumnRenamed("edge_id", "id"))
-    finally:
-        kept.release()
+    at, carry = of_roots(graph, roots), ("id", "type")
+    out = expand(graph, at, "out", carry=carry) \
+        .select("root", "edge_id", "type", F.col("node").alias("src"), F.col("next").alias("dst"), F.col("next").alias("neighbor"))
+    back = expand(graph, at, "in", carry=carry).filter(F.col("next") != F.col("node")) \
+        .select("root", "edge_id", "type", F.col("next").alias("src"), F.col("node").alias("dst"), F.col("next").alias("neighbor"))
+    first = first_of(out.unionByName(back), ["root"], ["edge_id"], parameter("neighborhood_limit", limit), F.col("edge_id"))
+    return first.withColumnRenamed("edge_id", "id")
 
 
 def neighborhood_nodes(graph: Graph, root: int, limit: int | None = None,

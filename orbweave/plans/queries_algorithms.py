@@ -180,7 +180,7 @@ def _first_pass(nodes, edges):
     w = alg.cut_lineage(alg.weighted_undirected(edges))
     m2 = w.agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("m2")).first()["m2"]
     state = alg.cut_lineage(alg.singletons(nodes, w))
-    return (alg.local_pass(w, state, m2, 0) if m2 else state).select("id", "community")
+    return (alg.local_pass(w, state, m2, 0)[0] if m2 else state).select("id", "community")
 
 
 @register("louvain_pass", with_graph(

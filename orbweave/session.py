@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -78,10 +77,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     re-reading a parquet table, whose commit protocol costs more.)
     """
     checkpoint_dir(df.sparkSession)
-    # Persist first so the checkpoint write reads the computed partitions
-    # instead of running the plan a second time.
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    return df.checkpoint(eager=True)  # the write is the one run of the plan
