@@ -34,6 +34,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -240,18 +241,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE, item_bytes: int = ITEM_BYTES, quoted: int = QUOTED) -> DataFrame:
-    """The rows of ``docs`` that no item contaminates, unchanged."""
+    """The rows of ``docs`` that no item contaminates, unchanged.
+
+    Only texts go to Python, and only the verdicts come back; the rows stay with
+    Spark. Each block of items counts its words over all of ``docs``.
+    """
+    out = docs
     for items in _item_blocks(benchmark, item_bytes, least, quoted):
-        shared = docs.sparkSession.sparkContext.broadcast(rarest(items, _frequencies(docs, items)))
+        out = out.where(_clean(docs.sparkSession.sparkContext.broadcast(rarest(items, _frequencies(docs, items))))(F.col("text").cast("string")))
+    return out
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            memory: dict = {}
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for block in blocks(batch.column("text")):
-                    for d, *_ in _found(block, shared.value, memory):
-                        keep[block.lo + d] = False
-                yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+def _clean(shared: Broadcast):  # noqa: ANN202
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        memory: dict = {}
+        for some in texts:
+            keep = np.ones(len(some), bool)
+            for block in blocks(some):
+                for d, *_ in _found(block, shared.value, memory):
+                    keep[block.lo + d] = False
+            yield pa.array(keep)
+
+    return F.arrow_udf(clean, "boolean")

@@ -211,16 +211,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that the model doesn't call toxic, unchanged (a text column is needed)."""
+    """The rows of ``docs`` that the model doesn't call toxic, unchanged (a text column is needed).
+
+    Only texts go to Python, and only the verdicts come back; the rows stay with Spark.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for batch in batches:
-            _, _, p = m.severity(_latent(m, batch.column("text")))
-            yield batch.filter(pa.array(p < TOXIC_AT))
+        for some in texts:
+            _, _, p = m.severity(_latent(m, some))
+            yield pa.array(p < TOXIC_AT)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(clean(F.col("text").cast("string")))
 
 
 def _latent(model: Model, col: pa.Array) -> np.ndarray:
