@@ -29,7 +29,7 @@ ROUNDS = 8
 #: Stands in for a secret; a production job passes its own.
 DEFAULT_KEY = "orbweave"
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+EMAIL = r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 DATE = r"(?<![0-9])(?:(?:19|20)[0-9]{2}([-/])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2(?:19|20)[0-9]{2})(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
@@ -42,6 +42,8 @@ PATTERN = "|".join([EMAIL, IPV4, DATE, SSN, PHONE, CARD])
 
 #: Days from 1900-01-01 to 2099-12-31: 17 x 4297.
 _DAYS, _DAY_PARTS = 73_049, (17, 4297)
+#: Steps along a cycle at most; each leaves two dates in five to go on (after all of them, less than one in 10**70).
+_WALK = 180
 
 
 class _Feistel:
@@ -82,11 +84,15 @@ class _Feistel:
                 by = F.conv(F.substr(digest, (at * 3) % 60 + 1, F.lit(3)), 16, 10).cast("int")
                 code = F.ascii(c)
 
-                def turned(low: int, n: int) -> Column:
-                    return F.char(F.lit(low) + (code - low + by) % n)
+                def turned(low: int, n: int, gap: int = 1 << 20) -> Column:
+                    """The n characters from ``low`` on, without the one at ``gap``, turned round."""
+                    to = (code - low - (code > gap).cast("int") + by) % n + low
+                    return F.char(to + (to >= gap).cast("int"))
 
                 return (F.when((code >= 48) & (code <= 57), turned(48, 10)).when((code >= 97) & (code <= 122), turned(97, 26))
-                        .when((code >= 65) & (code <= 90), turned(65, 26)).otherwise(c))
+                        .when((code >= 65) & (code <= 90), turned(65, 26))
+                        .when((code >= 223) & (code <= 255) & (code != 247), turned(223, 32, 247))
+                        .when((code >= 192) & (code <= 222) & (code != 215), turned(192, 30, 215)).otherwise(c))
 
             return F.array_join(F.transform(F.split(text, ""), one), "")
 
@@ -166,12 +172,21 @@ def pseudonym(match: Column, what: Column, key: str) -> Column:
 
     day = F.datediff(_as_date(match), F.lit("1900-01-01").cast("date"))
     a, b = _DAY_PARTS
-    moved = _let(fe.numbers(F.floor(day / b), day % b, F.lit(a), F.lit(b), F.lit("date")),
-                 lambda s: F.date_add(F.lit("1900-01-01").cast("date"), (s["l"] * b + s["r"]).cast("int")))
+    first = F.lit("1900-01-01").cast("date")
+    # Day first, between slashes or dashes: read so only if the day can't be a month. Else the pseudonym would be
+    # another date's, so the permutation is repeated until it reads back as it was written.
+    day_first = ~match.rlike("^[0-9]{4}") & ~match.contains(".") & _parts(match, 2, 0, 1).isNull()
+
+    def once(at: Column) -> Column:
+        return _let(fe.numbers(F.floor(at / b), at % b, F.lit(a), F.lit(b), F.lit("date")), lambda s: s["l"] * b + s["r"])
+
+    walk = F.array_repeat(F.lit(0), F.when(day_first, _WALK).otherwise(0))
+    moved = _let(F.aggregate(walk, once(day.cast("long")), lambda at, _: F.when(F.dayofmonth(F.date_add(first, at.cast("int"))) > 12, at).otherwise(once(at))),
+                 lambda at: F.date_add(first, at.cast("int")))
     sep = F.regexp_extract(match, "[-/.]", 0)
     y, m, d = (F.date_format(moved, x) for x in ("yyyy", "MM", "dd"))
     date = (F.when(match.rlike("^[0-9]{4}"), F.concat(y, sep, m, sep, d))
-            .when(match.contains(".") | _parts(match, 2, 0, 1).isNull(), F.concat(d, sep, m, sep, y))
+            .when(match.contains(".") | day_first, F.concat(d, sep, m, sep, y))
             .otherwise(F.concat(m, sep, d, sep, y)))
 
     area, rest = F.substring(match, 1, 3).cast("long"), F.substring(match, 5, 2).cast("long")

@@ -47,6 +47,31 @@ def test_a_date_is_linked_across_its_formats(changed):
     assert (dots, us, slash) == (f"{d}.{m}.{y}", f"{m}/{d}/{y}", f"{d}/{m}/{y}") or int(d) <= 12
 
 
+def test_no_two_dates_share_a_pseudonym_in_any_format(changed):
+    days = [date(1900, 1, 1) + timedelta(days=i) for i in range(0, 73049, 23)]
+    forms = ["%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y", "%d/%m/%Y", "%d-%m-%Y"]
+    texts = sorted({d.strftime(f) for d in days for f in forms})
+    out = changed(texts)
+    assert len(set(out)) == len(texts)
+
+    def read(text):  # as the docstring says: month first if it can be
+        p = re.split("[-/.]", text)
+        if len(p[0]) == 4:
+            return "ymd", text
+        return ("dmy" if "." in text or int(p[0]) > 12 else "mdy"), text
+
+    assert all(read(a)[0] == read(b)[0] for a, b in zip(texts, out, strict=True))
+
+
+def test_email_letters_outside_ascii(changed):
+    mails = [f"{n}.{i}@ex.org" for i in range(40) for n in ("josé", "ÅSA", "žeļko", "mül-ß")]
+    out = changed([f"to {m} now" for m in mails])
+    assert len(set(out)) == len(mails)
+    for a, b in zip(mails, out, strict=True):
+        local, domain = b[3:-4].split("@")
+        assert domain == "ex.org" and len(local) == len(a.split("@")[0]) and local != a.split("@")[0]
+
+
 def test_cards_stay_valid_and_linked(changed):
     body = [f"40{i:013d}" for i in range(300)]
     cards = [b + next(str(c) for c in range(10) if luhn(b + str(c)) % 10 == 0) for b in body]
