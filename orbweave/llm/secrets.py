@@ -162,9 +162,10 @@ def digest(found: DataFrame) -> DataFrame:
     def written(spans):  # noqa: ANN001, ANN202
         return F.array_join(F.transform(spans, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
 
+    counts = [F.size(listed((k,))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select(
-        "doc_id", *(F.size(listed((k,))).cast("long").alias(f"n_{k}") for k in KINDS),
-        F.sha2(written(listed(KINDS[:3])).cast("binary"), 256).alias("base_sha256"), written(F.col("findings")).alias("spans"))
+        "doc_id", *counts[:3], F.sha2(written(listed(KINDS[:3])).cast("binary"), 256).alias("base_sha256"),
+        written(F.col("findings")).alias("spans"), *counts[3:])
 
 
 def sha256_of(spans: list[tuple[str, int, int]]) -> str:
