@@ -8,6 +8,8 @@ columns of ``documents``. ``labels`` and ``benchmark`` are read from ``sf_dir``.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,22 +18,42 @@ from orbweave.llm import decontaminate, neardup, packing, pii, toxicity
 from orbweave.llm.common import table
 from orbweave.session import checkpoint_dir
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Bytes of rows that Spark hands to a Python worker at a time (or one row), whatever a row holds.
+BATCH_BYTES = 8 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _bounded(stage: Stage) -> Stage:
+    """``stage`` with the session's batches bounded by bytes, as rows may hold very long texts."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(_BATCHES, BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_bounded
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model, trained on the labels of these documents, doesn't reject."""
     return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+@_bounded
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
     return neardup.keep_one(docs)
 
 
+@_bounded
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_bounded
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal values replaced; ``n_chars`` follows the new text."""
     out = pii.pseudonymise(docs)
@@ -41,6 +63,7 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return out.select(*docs.columns)
 
 
+@_bounded
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with the sequence and offset where each lies."""
     return packing.pack(docs)
