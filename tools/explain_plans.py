@@ -16,7 +16,8 @@ from orbweave.session import build_session  # noqa: E402
 
 KEYS = ["search_contains", "entities_controlled", "neighborhood_edges", "co_officers",
         "co_officers_sql", "khop_edges", "shortest_path_edges", "pagerank_directed",
-        "stats_totals", "etl_officers", "merge_edges"]
+        "stats_totals", "etl_officers", "merge_edges", "khop_nodes", "token_search_words",
+        "neighborhood_batch", "match_chain_unique", "quality_report", "sample_context"]
 
 
 KEEP = re.compile(r"^(Exchange|ShuffleQueryStage|BroadcastQueryStage|AQEShuffleRead|BroadcastExchange|BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|"
@@ -37,7 +38,7 @@ def condensed(plan, depth: int = 0, out=None) -> list[str]:
     if plan.nodeName().startswith("WholeStageCodegen") or plan.nodeName() == "InputAdapter":
         pass
     elif KEEP.match(text.strip(" *")):
-        out.append("  " * depth + text.strip(" *")[:260])
+        out.append("  " * depth + text.strip(" *")[:420])
         depth += 1
     if "QueryStage" in plan.nodeName():
         # adaptive query stages are leaves that wrap the stage's plan
