@@ -77,8 +77,24 @@ BOXES = {"div", "ul", "ol", "dl", "table", "header", "center", "article"}
 #: Dropped elements that may stand around a whole page, and comment sections, which are no wrappers of an article.
 WRAPS = {"form", "fieldset"}
 COMMENTS = {"comment", "comments", "commentlist", "respond", "replies", "disqus"}
+#: Boxes of reader comments, and what their class or id may hold beside ("post-comments", "reader_comments").
+COMMENT_BOXES = {"div", "section", "ul", "ol", "dl", "aside", "article", "table"}
+COMMENTERS = {"post", "posts", "user", "users", "reader", "readers", "visitor", "visitors", "guest", "member", "public", "customer", "article", "entry", "story", "blog", "news",
+              "section", "thread", "threads", "stream", "feed", "body", "content", "template", "count", "all", "recent", "latest", "new", "view", "fb", "facebook", "wp"}
+#: Inline elements with one of these go from within a sentence too.
+ADVERTS = {"ad", "ads", "advert", "advertisement", "adsense", "sponsored", "cookie", "cookies", "gdpr", "breadcrumb", "breadcrumbs"}
 PARTS = re.compile(r"[A-Za-z]+")
 HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)")
+#: Table parts and list items, whose end tags may be left out, with what each ends where it begins.
+CELLS = frozenset({"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "colgroup", "table"})
+ITEMS = frozenset({"li", "dt", "dd"})
+_ROW = frozenset({"td", "th", "tr", "caption", "colgroup"})
+ENDS = {"li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"}),
+        "tr": _ROW, **dict.fromkeys(("tbody", "thead", "tfoot"), _ROW | {"tbody", "thead", "tfoot"})}
+#: Elements that tags inside them don't reach beyond: table parts, list items, and all others.
+TABLE = frozenset({"table"})
+SCOPE = frozenset({"table", "td", "th", "caption", "object"})
+LISTS = SCOPE | {"ul", "ol", "dl", "menu", "dir", "section", "article", "main", "aside", "nav", "header", "footer", "blockquote", "figure", "form", "fieldset"}
 #: Without one of these, nothing in a page marks its article.
 MARKED = re.compile(r"""<(?:article|main)[\s>/]|role\s*=\s*["']?main|itemprop\s*=\s*["']?articleBody""", re.I)
 
@@ -109,6 +125,8 @@ def _roles(tag: str, attrs: dict[str, str]) -> set[str]:
             parts = set(PARTS.findall(token))
             if parts & OTHER and parts <= OTHER | BESIDE:
                 out |= parts & OTHER
+            elif tag in COMMENT_BOXES and parts & COMMENTS and parts <= COMMENTS | COMMENTERS | BESIDE:
+                out |= parts & COMMENTS
     return out
 
 
@@ -154,19 +172,23 @@ def _around_articles(html: str) -> set[int]:
 
 
 class _Page:
-    """Blocks of a page: of its articles, of its main parts, loose ones, and dropped ones."""
+    """Blocks of a page: of its articles, of its main parts, loose ones, and dropped ones.
+
+    Elements whose end tag may be left out end where HTML ends them (``li`` at
+    the next one of its list, a cell at the next cell or row, ``p`` at a block),
+    and an end tag ends what stands open inside its element, so that what is
+    dropped never goes beyond its parent.
+    """
 
     def __init__(self, html: str, around: frozenset[int] | set[int] = frozenset()):
         """``around``: where elements begin that are not skipped, since they hold an article."""
         self.zones: dict[str, list[str]] = {"article": [], "main": [], "loose": [], "dropped": []}
         self.parts: list[str] = []
-        marked: list[tuple[str, str]] = []  # (zone, block) of both marked zones in page order
-        self.marked = marked
+        self.marked: list[tuple[str, str]] = []  # (zone, block) of both marked zones in page order
+        self.open_zone = {"article": 0, "main": 0, "dropped": 0}
+        self.stack: list[tuple[str, str, list[str] | None]] = []  # tag, zone that it opens, text before a dropped inline element
+        self.where: dict[str, list[int]] = {}  # a tag's places in the stack
         nested = False
-        open_zone = {"article": 0, "main": 0}
-        stack: list[tuple[str, str]] = []  # elements that open a zone
-        skip, depth = "", 0
-        self.zone = "loose"
         at = 0
         while m := MARKUP.search(html, at):
             self.parts.append(html[at:m.start()])
@@ -175,58 +197,99 @@ class _Page:
             if not tag:
                 continue
             closing = bool(m["close"])
-            if skip == "p" and not closing and tag not in INLINE and tag not in VOID:
-                self._flush("dropped")  # a block ends the paragraph before it
-                skip = ""
             if tag in RAW:
                 if not closing:
                     end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
                     at = end.end() if end else len(html)
                 continue
-            if tag in INLINE and not skip:
-                attrs = _attributes(m["attrs"]) if not closing and m["attrs"] else {}
-                if not attrs or not _other(tag, attrs, bool(open_zone["article"] or open_zone["main"])):
-                    continue
-            elif tag == "br":
+            if tag == "br":
                 self.parts.append(" ")
                 continue
-            if tag in INLINE and skip and tag != skip:
+            if tag in INLINE:
+                if closing:
+                    self._end(tag)
+                elif tag not in VOID:
+                    self._inline(tag, m["attrs"])
                 continue
-            self._flush("dropped" if skip else self.zone)
-            if skip:
-                if tag == skip:
-                    depth += -1 if closing else 1
-                    if not depth:
-                        skip = ""
+            self._flush()
+            if closing:
+                self._end(tag)
                 continue
+            if tag in VOID and tag != "hr":
+                continue
+            self._implied(tag)
             if tag in VOID:
                 continue
-            if not closing:
+            name = ""
+            if not self.open_zone["dropped"]:
                 attrs = _attributes(m["attrs"])
-                inside = bool(open_zone["article"] or open_zone["main"])
+                inside = bool(self.open_zone["article"] or self.open_zone["main"])
                 if (_other(tag, attrs, inside) or tag == "header" and not inside) and m.start() not in around:
-                    skip, depth = tag, 1
-                    continue
-                name = _zone(tag, attrs)
-                if name or any(t == tag for t, _ in stack):
-                    stack.append((tag, name))
-                    if name:
-                        open_zone[name] += 1
-                        nested = nested or name == "article" and bool(open_zone["main"]) and not open_zone["article"] - 1
-            elif any(t == tag for t, _ in stack):
-                while stack:
-                    t, name = stack.pop()
-                    if name:
-                        open_zone[name] -= 1
-                    if t == tag:
-                        break
-            self.zone = "article" if open_zone["article"] else "main" if open_zone["main"] else "loose"
+                    name = "dropped"
+                else:
+                    name = _zone(tag, attrs)
+                    nested = nested or name == "article" and bool(self.open_zone["main"]) and not self.open_zone["article"]
+            self._push(tag, name)
         self.parts.append(html[at:])
-        self._flush("dropped" if skip else self.zone)
+        self._pop(0)
+        self._flush()
         if nested and self.zones["main"]:  # the main part as a whole, its articles included
-            self.zones["article"], self.zones["main"] = [], [block for _, block in marked]
-
-    def _flush(self, zone: str) -> None:
+            self.zones["article"], self.zones["main"] = [], [block for _, block in self.marked]
+
+    def _inline(self, tag: str, attrs: str) -> None:
+        """A dropped inline element is taken out of its block, which goes on after it; others are no elements here."""
+        if self.open_zone["dropped"]:
+            if self.where.get(tag):
+                self._push(tag, "")
+            return
+        read = _attributes(attrs) if attrs else {}
+        inside = bool(self.open_zone["article"] or self.open_zone["main"])
+        if read and _other(tag, read, inside):
+            # Inside of an article, a link with such a class within a sentence is a part of it.
+            if inside and not ADVERTS & _roles(tag, read) and _roles(tag, read) and any(p.strip() for p in self.parts):
+                return
+            held, self.parts = self.parts, []
+            self._push(tag, "dropped", held)
+
+    def _push(self, tag: str, zone: str, held: list[str] | None = None) -> None:
+        self.where.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, zone, held))
+        if zone:
+            self.open_zone[zone] += 1
+
+    def _pop(self, to: int) -> None:
+        """Ends the open elements from place ``to`` of the stack on."""
+        while len(self.stack) > to:
+            tag, zone, held = self.stack.pop()
+            self.where[tag].pop()
+            if tag not in INLINE or held is not None:
+                self._flush()  # under the zones that are still open
+            if zone:
+                self.open_zone[zone] -= 1
+            if held is not None:
+                self.parts = held
+
+    def _nearest(self, tags: frozenset[str]) -> int:
+        return max((self.where[t][-1] for t in tags if self.where.get(t)), default=-1)
+
+    def _end(self, tag: str) -> None:
+        """An end tag: nothing if its element isn't open within the same list or table cell."""
+        if (at := self._nearest(frozenset((tag,)))) > self._nearest((TABLE if tag in CELLS else LISTS if tag in ITEMS else SCOPE) - {tag}):
+            self._pop(at)
+
+    def _implied(self, tag: str) -> None:
+        """Ends what the begin of a block ends: a paragraph, and the list item or table part before."""
+        if (at := self._nearest(frozenset(("p",)))) > self._nearest(SCOPE):
+            self._pop(at)
+        if ends := ENDS.get(tag):
+            limit = self._nearest(TABLE if tag in CELLS else LISTS)
+            places = [i for t in ends for i in self.where.get(t, ())[-1:] if i > limit]
+            if places:
+                self._pop(min(places))
+
+    def _flush(self) -> None:
+        zones = self.open_zone
+        zone = "dropped" if zones["dropped"] else "article" if zones["article"] else "main" if zones["main"] else "loose"
         if text := " ".join(unescape("".join(self.parts)).split()):
             self.zones[zone].append(text)
             if zone in ("article", "main"):

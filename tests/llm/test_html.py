@@ -43,6 +43,25 @@ def test_marks_without_text_and_articles_in_main(spark):
     assert [got[i] for i in range(8)] == ["The body"] * 3 + ["Title\n\nOne\n\nTeaser\n\nTwo", "Text", "A\n\nB\n\nC", "A\n\nB", ""]
 
 
+def test_elements_without_end_tags(spark):
+    cases = [("<article><h1>T</h1><ul><li class='ad'>buy<li>one<li>two</ul><p>Body one.</p></article>", "T one two Body one."),
+             ("<article><table><tr><td class='sidebar'>x<td>y<tr><td>z</table>k</article>", "y z k"), ("<article><dl><dt class='ad'>a<dd>b</dl><p class='ad'>x<p>y</article>", "b y"),
+             ("<article><ul><li class='promo-box ad'>a<ul><li>in</ul>more<li>b</ul>z</article>", "b z"), ("<article><ol><li class='ad'>x</ol>end</article>", "end"),
+             ("<article><div class='ad'><p>x</div><p>t</p></article>", "t"), ("<article><table><tr><td><div class='ad'>x<td>y</table>z</article>", "y z"),
+             ("<article><p>one <div class='ad'>x</div>two</p>three</article>", "one two three"), ("<article><ul><li>a<p>b</li><li class='ad'>c<p>d</ul>e</article>", "a b e"),
+             ("<article><p>a <span class='ad'>b<b>c</b></span> d<p>e <span class='ad'>f<p>g</article>", "a d e g"), ("<article>" + "<div>" * 30_000 + "x" + "</p></li>" * 30_000, "x")]
+    got = text_of(spark, [(f"http://a.org/{i}", h) for i, (h, _) in enumerate(cases)])
+    assert [got[i].replace("\n\n", " ") for i in range(len(cases))] == [t for _, t in cases]
+
+
+def test_reader_comments_and_links_in_sentences(spark):
+    page = "<article><p>a</p><section class='{0}'><p>no</p></section><p>See the <a class='share'>pages</a> here</p><a class='share'>Share</a></article>"
+    names = ["post-comments", "user_comments", "reader-comments", "comments-section", "comments", "comment-list"]
+    got = text_of(spark, [(f"http://a.org/{n}", page.format(n)) for n in names] + [("http://a.org/", page.format("has-comments"))])
+    assert [got[i] for i in range(len(names))] == ["a\n\nSee the pages here"] * len(names)
+    assert got[len(names)] == "a\n\nno\n\nSee the pages here"
+
+
 def test_loose_text_against_the_rest_of_its_host(spark):
     page = "<div>Welcome to the site of all good things</div><p>{0} {0}a {0}b own {0}c words {0}d here</p><div>Made with care by the people of this place in {0}</div><p>short</p>"
     pages = [("http://h.org/%d" % i, page.format(f"year{i}")) for i in range(3)] + [("http://other.org", page.format("alone"))]
