@@ -11,6 +11,13 @@ within the text until nothing changes (``DB = "..."`` then ``password = DB``).
 A value without quotes is a name if the text gives that name a value, and else
 a literal as in .env, INI and YAML files; identifiers that are called or compared
 (``f(x)``, ``a == b``) are neither.
+Literals joined by ``+``, ``.`` or ``&`` are one, from the first's start to the last's
+end. A plain ``value`` is named by what holds it: the object that it stands in
+(``"client_secret": {"value": "x"}``), the YAML block above it (``credentials:``), or
+the ``name`` or ``key`` before it (``name: DB_PASSWORD``, then ``value: x``).
+A literal of several words counts as a passphrase of three words or more without
+words of a sentence; names as common as ``pin`` and ``key`` only count with a
+literal of the shape of one (``SHAPED``).
 A literal's score is the weight of the most sensitive name that it reaches
 times how much the literal looks like a secret; from ``MIN_SCORE`` on it is
 reported, as ``pair`` where the name is its own and as ``flow`` where the name
@@ -54,8 +61,22 @@ PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "passcode": 1.0, "secret": 1.0, "token": 0.9, "credential": 0.9, "credentials": 0.9,
     "apikey": 1.0, "accesskey": 1.0, "secretkey": 1.0, "privatekey": 1.0, "authkey": 1.0, "signingkey": 1.0, "encryptionkey": 1.0, "masterkey": 1.0,
-    "accountkey": 0.9, "sessionkey": 0.9, "authorization": 0.8, "bearer": 0.8, "auth": 0.6, "signature": 0.6, "salt": 0.6, "pass": 0.8, "pin": 0.4, "key": 0.4,
+    "accountkey": 0.9, "sessionkey": 0.9, "authorization": 0.8, "bearer": 0.8, "auth": 0.6, "signature": 0.6, "salt": 0.6, "pass": 0.8, "pin": 0.1, "key": 0.1,
 }
+#: Names that mean a secret only if the literal looks like one, and their weight then.
+SHAPED = {0.1: re.compile(r"\d{4,12}|(?=.*\d)(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_.=-]{16,}|[0-9a-f]{32,}", re.ASCII)}
+SHAPED_WEIGHT = 0.9
+#: Words of sentences: a literal with one of them is no passphrase.
+SENTENCE = {"a", "an", "and", "are", "as", "at", "be", "by", "can", "cannot", "do", "enter", "for", "from", "has", "have", "if", "in", "invalid", "is", "it", "its", "must", "my", "new", "no",
+            "not", "of", "on", "or", "password", "please", "required", "reset", "secret", "should", "that", "the", "this", "to", "token", "was", "will", "with", "you", "your"}
+PASSPHRASE = 0.7
+#: Names that say nothing of what they hold, and those whose literal names the value beside them.
+VALUES = {"value", "val", "default", "data", "plain", "plaintext", "raw", "content", "string", "literal"}
+NAMES = {"name", "key", "id", "env", "variable"}
+JOINED = re.compile(r"""\s*+(?:\.\.|[+.&])\s*+(?:"(?P<double>(?:[^"\\\n]|\\.)*+)"|'(?P<single>(?:[^'\\\n]|\\.)*+)')""")
+OBJECT = re.compile(r"""(?P<q>["'`]?)(?P<name>[A-Za-z_$][\w.$-]*+)(?P=q)[ \t]*+(?:=>|=|:)\s*+(?={)""", re.ASCII)
+BRACES = re.compile(r""""(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|[{}]""")
+LINE = re.compile(r"""^(?P<indent>[ \t]*+)(?:- +)?(?:["']?(?P<name>[A-Za-z_$][\w.$-]*+)["']?[ \t]*+:[ \t]*+(?:#.*)?$|\S)""", re.ASCII | re.M)
 PLACEHOLDER = re.compile(r"(?i)^(?:true|false|null|none|nil|undefined|yes|no|x+|\*+|\.+|change_?me|example|sample|test|dummy|placeholder|your[_-].*|<.*>|\$\{.*|\$\(.*|%\(.*|\{\{.*)$")
 
 
@@ -76,39 +97,116 @@ def name_weight(name: str) -> float:
 
 def literal_weight(text: str) -> float:
     """How much a literal looks like a secret, 0 to 1: its length, spread of characters and their classes."""
-    if len(text) < MIN_VALUE or " " in text or PLACEHOLDER.match(text):
+    if len(text) < MIN_VALUE or PLACEHOLDER.match(text):
         return 0.0
+    if " " in text:
+        words = text.split()
+        return PASSPHRASE if len(words) >= 3 and all(w.isalnum() for w in words) and SENTENCE.isdisjoint(map(str.lower, words)) else 0.0
     n = len(text)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(text).values())
     classes = sum(any(map(test, text)) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
     return min(1.0, 0.3 + 0.1 * entropy + 0.1 * (classes - 1) + 0.01 * min(n, 20))
 
 
+class _Pair(NamedTuple):
+    at: int  # where the name begins
+    name: str
+    start: int
+    end: int
+    value: str
+    bare: bool
+    compared: bool
+
+
+def _pairs(text: str) -> list[_Pair]:
+    out = []
+    for m in PAIR.finditer(text):
+        kind = m.lastgroup or ""
+        start, end = m.span(kind)
+        parts = [m[kind]]
+        if kind == "bare":
+            if parts[0].startswith("//"):  # the rest of an URL's scheme is no value
+                continue
+        elif kind != "back":
+            while j := JOINED.match(text, end + 1):
+                parts.append(j[j.lastgroup])
+                end = j.end() - 1
+        out.append(_Pair(m.start(), m["name"], start, end, "".join(parts), kind == "bare", "==" in text[m.end("name"):start]))
+    return out
+
+
+def _holders(text: str, pairs: list[_Pair]) -> dict[int, str]:
+    """What names the plain values among the pairs, by the place of the pair."""
+    plain = [p.at for p in pairs if p.name.lower() in VALUES]
+    if not plain:
+        return {}
+    out: dict[int, str] = {}
+    opened = {m.end(): m["name"] for m in OBJECT.finditer(text)}
+    steps = [(m.start(), m.start() if m[0] == "{" else -1) for m in BRACES.finditer(text) if m[0] in "{}"] if opened else []
+    stack: list[str] = []
+    at = 0
+    for place in plain:
+        while at < len(steps) and steps[at][0] < place:
+            if steps[at][1] >= 0:
+                stack.append(opened.get(steps[at][1], ""))
+            elif stack:
+                stack.pop()
+            at += 1
+        if stack and stack[-1]:
+            out[place] = stack[-1]
+    blocks: list[tuple[int, str]] = []
+    rest = iter(plain)
+    place = next(rest, None)
+    for m in LINE.finditer(text):
+        if place is None:
+            break
+        indent = len(m["indent"])
+        while blocks and blocks[-1][0] >= indent:
+            blocks.pop()
+        end = text.find("\n", m.end())
+        while place is not None and place < (end if end >= 0 else len(text)):
+            if blocks and place >= m.start():
+                out.setdefault(place, blocks[-1][1])
+            place = next(rest, None)
+        if m["name"]:
+            blocks.append((indent, m["name"]))
+    for before, pair in zip(pairs, pairs[1:], strict=False):
+        if pair.name.lower() in VALUES and before.name.lower() in NAMES and NAME.fullmatch(before.value) and pair.at - before.end < 200 and not text[before.end:pair.at].strip("\"'`, \t\r\n"):
+            out[pair.at] = before.value
+    return out
+
+
 def lexed(text: str) -> list[Finding]:
     """``pair`` and ``flow`` findings of a text."""
     if ":" not in text and "=" not in text:
         return []
-    # The rest of an URL's scheme is no value.
-    pairs = [m for m in PAIR.finditer(text) if m.lastgroup != "bare" or not m["bare"].startswith("//")]
-    names = {m["name"] for m in pairs}
-    literals: list[tuple[int, int, str]] = []  # start, end, own name
+    pairs = _pairs(text)
+    holders = _holders(text, pairs)
+    names = {p.name for p in pairs}
+    literals: list[tuple[_Pair, str]] = []  # with its own name
     alias: dict[str, set[str]] = {}  # a name -> the names that are given its value
-    for m in pairs:
-        start, end = m.span(m.lastgroup)
-        if m.lastgroup == "bare" and m["bare"] in names:
-            alias.setdefault(m["bare"], set()).add(m["name"])
-        elif not (m.lastgroup == "bare" and NAME.fullmatch(m["bare"].rstrip(":")) and ("==" in text[m.end("name"):start] or CALL.match(text, end))):
-            literals.append((start, end, m["name"]))
-    reached = _most_sensitive(names, alias)
+    for p in pairs:
+        name = f"{holders[p.at]}.{p.name}" if p.at in holders else p.name
+        if p.bare and p.value in names:
+            alias.setdefault(p.value, set()).add(name)
+        elif not (p.bare and NAME.fullmatch(p.value.rstrip(":")) and (p.compared or CALL.match(text, p.end))):
+            literals.append((p, name))
+    reached = _most_sensitive(names | {name for _, name in literals}, alias)
     found = []
-    for start, end, name in literals:
-        worth = literal_weight(text[start:end])
+    for p, name in literals:
+        worth = literal_weight(p.value)
         best, via = reached[name]
-        if best * worth >= MIN_SCORE:
-            found.append(Finding("pair" if name_weight(name) * worth >= MIN_SCORE else "flow", start, end, via, best * worth))
+        if (score := _shaped(best, p.value) * worth) >= MIN_SCORE:
+            own = _shaped(name_weight(name), p.value) * worth >= MIN_SCORE
+            found.append(Finding("pair" if own else "flow", p.start, p.end, via, score))
     return found
 
 
+def _shaped(weight: float, value: str) -> float:
+    """The weight of a name with this literal."""
+    return (SHAPED_WEIGHT if SHAPED[weight].fullmatch(value) else 0.0) if weight in SHAPED else weight
+
+
 def _most_sensitive(names: set[str], alias: dict[str, set[str]]) -> dict[str, tuple[float, str]]:
     """(weight, name) of the most sensitive name that each name's value reaches; its own name, then the least one, wins ties.
 

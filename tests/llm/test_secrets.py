@@ -42,6 +42,62 @@ def test_constants_flow_to_sensitive_names():
     assert spans("a = b\nb = a\npassword = a", "pair", "flow") == []
 
 
+def test_passphrases_and_names_that_need_a_shape():
+    assert spans('passphrase = "correct horse battery staple"', "pair") == [("pair", "correct horse battery staple")]
+    assert spans('password = "please enter your password"\ntoken: "must not be empty"\nsecret = "two words"', "pair", "flow") == []
+    assert spans("DB_PIN=483920", "pair") == [("pair", "483920")] and spans('led_pin = "GPIO17_A"', "pair", "flow") == []
+    assert spans('key = "9fA3kL0pQ8zX2mV7bN4c"', "pair") == [("pair", "9fA3kL0pQ8zX2mV7bN4c")]
+    assert spans('key = "Content-Security-Policy"\nkey: user-profile-2024-01-01-list', "pair", "flow") == []
+    assert spans("A = '483920'\nDB_PIN = A", "pair", "flow") == [("flow", "483920")]
+
+
+def test_values_named_by_what_holds_them():
+    for text in ('{"client_secret": {"value": "Zq9-kk_31x", "hint": "Ab3-xx_77q"}, "value": "Ab3-xx_77q"}', "credentials:\n  # note\n  value: Zq9-kk_31x\n  hint: Ab3-xx_77q\nvalue: Ab3-xx_77q\n",
+                 "env:\n  - name: DB_PASSWORD\n    value: Zq9-kk_31x\n  - name: HOST\n    value: Ab3-xx_77q\n", '<add key="apiKey" value="Zq9-kk_31x"/><add key="host" value="Ab3-xx_77q"/>',
+                 'client_secret = {\n  "a": {"value": "Ab3-xx_77q"},\n  "value": "Zq9-kk_31x"}'):
+        assert spans(text, "pair", "flow") == [("pair", "Zq9-kk_31x")], text
+    deep = "".join(f"{' ' * i}secret{i}:\n" for i in range(2_000)) + " " * 2_000 + "value: Zq9-kk_31x\n" + '{"a": {"value": "x"}}\n' * 20_000
+    assert spans(deep, "pair", "flow") == [("pair", "Zq9-kk_31x")]
+
+
+def test_joined_literals():
+    assert spans('password = "Zq9" + \'-kk_31x\'\nx = 1', "pair") == [("pair", "Zq9\" + '-kk_31x")]
+    assert spans('$password = "Zq9" .\n  "-kk" . "_31x";', "pair") == [("pair", 'Zq9" .\n  "-kk" . "_31x')]
+    assert spans('password = "Zq9", "-kk_31x"', "pair", "flow") == []
+
+
+def brute_reach(pairs):
+    """For each literal of ``name = "literal"`` and ``name = name`` lines: whether its name, or one that it reaches, is sensitive, by following every chain."""
+    given = {}
+    for name, value, quoted in pairs:
+        if not quoted:
+            given.setdefault(value, set()).add(name)
+    out = set()
+    for name, value, quoted in pairs:
+        todo, seen = [name], set()
+        while quoted and todo:
+            n = todo.pop()
+            if n not in seen:
+                seen.add(n)
+                todo += given.get(n, ())
+        if any("password" in n for n in seen):
+            out.add(("pair" if "password" in name else "flow", value))
+    return out
+
+
+def test_pairs_and_flows_equal_brute_force():
+    import random
+
+    rng = random.Random(4)
+    names = [f"v{i}" for i in range(8)] + ["password1", "my_password"]
+    for _ in range(400):
+        defined = [(n, f"Zq9-{n}-31xK", True) for n in names]
+        pairs = defined + [(rng.choice(names), rng.choice(names), False) for _ in range(rng.randrange(10))]
+        rng.shuffle(pairs)
+        text = "\n".join(f'{n} = "{v}"' if quoted else f"{n} = {v}" for n, v, quoted in pairs)
+        assert set(spans(text, "pair", "flow")) == brute_reach(pairs), text
+
+
 def test_long_chains_of_constants():
     n = 30_000
     text = "".join(f"a{i} = 'v{i}x8Kd92mmPq'\nb{i} = a{i}\na{i + 1} = b{i}\n" for i in range(n)) + f"my_token = a{n}"
