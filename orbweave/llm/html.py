@@ -1,4 +1,4 @@
-"""Main text of web pages: marked articles, and what doesn't repeat of each host's loose text.
+"""Main text of web pages: their articles without what each host's suffix array finds repeated.
 
 A page's HTML is read once into blocks. Dropped outright are scripts, styles,
 forms, comments of the markup, and elements whose tag, role, class or id (whole
@@ -10,19 +10,24 @@ around the page's article is never dropped. If the page marks its article (``art
 blocks, all of them; where an article lies inside a main part, all blocks of
 both in page order; where an article lies beside it, the article's.
 
-Otherwise the blocks that are left ("loose") are judged by what repeats on
-their host: the runs of ``DEPTH`` tokens (a shorter block as a whole) of the
-loose and of the dropped blocks of all the host's pages are counted by the
-pages that hold them. Pages with the same content (see ``_content``) are one, so
-copies under several urls are no evidence against their text. A run repeats
-from ``PAGES`` pages on that are the part ``SHARE`` of the host's. Where repeated
-runs cover half of a loose block's tokens or more, they are cut out of it and
-its own runs stay; other blocks are kept whole. Runs are grouped by host and
-hash and their pages counted before they move, so that a host with a third of
-all pages and a line on each of them needs no task of its own.
-
-Repetition inside a marked article is left alone: the article is wanted whole,
-and articles repeat (copies, licences, quotations).
+Otherwise the text is the blocks that are left ("loose").
+
+On both, what repeats on the host decides then, by its suffix array: the token streams of all
+blocks of the host's pages (dropped ones too) are put one after another, their suffixes
+named by prefix doubling and sorted, and neighbours that share ``DEPTH`` tokens (a shorter block
+as a whole) counted by the distinct pages they come from. Longer repeats are runs of such
+places, so their places cover what longer repeats cover. A repeat counts from ``PAGES`` pages on that are the part
+``SHARE`` of the host's; against a block of a marked article, which is
+evidence for it, from ``ALWAYS_PAGES`` pages on that are the part ``ALWAYS``, and not by short blocks
+(a title may be the name of a menu's item). Where repeats cover half of a block's
+tokens or more, they are cut out of it and its own runs stay; other blocks are kept whole.
+Pages with the same content (see ``_content``) are one, so copies under several urls
+are no evidence against their text.
+
+How it runs: streams (4 bytes a token) are dealt by host, a host of more than ``PIECE_PAGES`` pages by
+parts of its pages, and sorted in parts of at most about ``PIECE_TOKENS`` tokens. What is on enough
+pages of a host in parts is so on those of one part at least; those candidates
+are counted again on all its pages. A host's repeats are few (see ``repeats``) and joined to its pages.
 
 Defined results: null or empty html gives an empty text; a page without a host
 is judged among the pages without one; repeated rows and copies of a page count as one
@@ -32,21 +37,35 @@ page; rows keep a null ``page_id`` or ``url``; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orbweave.llm.common import cut
+from orbweave.llm.tokens import blocks, mix
+
 #: Tokens that a repeated substring has at least; a shorter block counts as a whole.
 DEPTH = 6
-#: Part of a loose block's tokens that repeated substrings cover at least if it is boilerplate.
+#: Part of a block's tokens that repeated substrings cover at least if it is boilerplate.
 COVERED = 0.5
 #: A repeated substring is on so many pages of its host at least (or on all, if there are fewer), and on this part of them.
 PAGES, SHARE = 3, 0.2
+#: The same for a block of a marked article.
+ALWAYS_PAGES, ALWAYS = 5, 0.5
+#: Pages of a host that are dealt together, and tokens of a suffix array, about.
+PIECE_PAGES, PIECE_TOKENS = 10_000, 4 << 20
+#: Streams a task remembers at most, to send each once.
+REMEMBERED = 1 << 20
+#: Entries of 8 bytes, and a host for some of them, that are broadcast at most.
+BROADCAST = 500_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Tokens of a paragraph at least, and of a run of its own that a covered block keeps (one token is a year or a number in a line that repeats).
 PARAGRAPH, OWN = 12, 2
 
@@ -84,7 +103,7 @@ COMMENTERS = {"post", "posts", "user", "users", "reader", "readers", "visitor",
 #: Inline elements with one of these go from within a sentence too.
 ADVERTS = {"ad", "ads", "advert", "advertisement", "adsense", "sponsored", "cookie", "cookies", "gdpr", "breadcrumb", "breadcrumbs"}
 PARTS = re.compile(r"[A-Za-z]+")
-HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)")
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)"
 #: Table parts and list items, whose end tags may be left out, with what each ends where it begins.
 CELLS = frozenset({"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "colgroup", "table"})
 ITEMS = frozenset({"li", "dt", "dd"})
@@ -314,38 +333,6 @@ def _chars(texts: list[str]) -> int:
     return sum(map(len, texts))
 
 
-def _host(url: str | None) -> str:
-    m = HOST.match(url or "")
-    return m[1].lower() if m else ""
-
-
-def _marked_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pages whose marked article or main part has text, and those without html."""
-    for batch in batches:
-        texts = []
-        for html in batch.column("html").to_pylist():
-            zones = page_blocks(html)
-            marked = zones["article"] or zones["main"]
-            texts.append("\n\n".join(marked) if marked or not html else None)
-        texts = pa.array(texts, pa.string())
-        whole = texts.is_valid()
-        yield pa.RecordBatch.from_arrays([batch.column("page_id").filter(whole), batch.column("url").filter(whole), texts.filter(whole)], names=["page_id", "url", "text"])
-
-
-def _loose_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The other pages."""
-    for batch in batches:
-        ids, urls, rows = [], [], []
-        for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
-            zones = page_blocks(html)
-            if html and not (zones["article"] or zones["main"]):
-                ids.append(page_id)
-                urls.append(url)
-                rows.append(zones["loose"])
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array([_host(u) for u in urls], pa.string()), pa.array(rows, pa.list_(pa.string()))],
-                                         names=["page_id", "url", "host", "blocks"])
-
-
 def _content(zones: dict[str, list[str]]) -> int:
     """What tells a page from others: its paragraphs if they are most of its text, so that a print view or a copy under another url is the same page."""
     blocks = [b for zone in ("article", "main", "loose") for b in zones[zone]] or zones["dropped"]
@@ -354,81 +341,215 @@ def _content(zones: dict[str, list[str]]) -> int:
     return int.from_bytes(hashlib.blake2b("\n".join(own).encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
 
 
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(token of each word: 32 bits of its hash, not 0; words of each text)."""
+    parts = list(blocks(pa.array(texts, pa.string())))
+    if not parts:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    return np.maximum(np.concatenate([b.hash for b in parts]) >> np.uint64(32), 1).astype(np.uint32), np.concatenate([b.count for b in parts])
+
+
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, block, page): what can repeat on a host; a page has a row without a block too."""
+    """(host, page, stream) of the pages: all blocks' tokens, a 0 after each block. A task sends a stream of a page once."""
+    sent: set[tuple[str, int, bytes]] = set()
     for batch in batches:
-        hosts, blocks, pages = [], [], []
-        for url, html in zip(*(batch.column(c).to_pylist() for c in ("url", "html")), strict=True):
+        hosts, pages, streams = [], [], []
+        for host, html in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
             zones = page_blocks(html)
-            if any(zones.values()):
-                own = [None, *dict.fromkeys([*zones["loose"], *zones["dropped"]])]
-                hosts += [_host(url)] * len(own)
-                pages += [_content(zones)] * len(own)
-                blocks += own
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(blocks, pa.string()), pa.array(pages, pa.int64())], names=["host", "block", "page"])
+            if texts := [b for zone in zones.values() for b in zone]:
+                tokens, count = _words(texts)
+                stream = np.insert(tokens, np.cumsum(count), 0).tobytes()
+                key = host, _content(zones), hashlib.blake2b(stream, digest_size=8).digest()
+                if key not in sent:
+                    if len(sent) >= REMEMBERED:
+                        sent.clear()
+                    sent.add(key)
+                    hosts.append(host)
+                    pages.append(key[1])
+                    streams.append(stream)
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(streams, pa.binary())], names=["host", "page", "stream"])
+
+
+def prefix_names(tokens: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
+    """The 64-bit name of the first ``depth`` tokens of each suffix, by prefix doubling.
+
+    Names of 2k tokens follow from those of k tokens at a place and k places on.
+    A suffix ends with its block, ``left`` tokens on.
+    """
+    def ahead(names: np.ndarray, k: int) -> np.ndarray:
+        out = np.zeros_like(names)
+        out[:-k] = names[k:]
+        out[left <= k] = 0
+        return out
+
+    names, width, out, at = mix(tokens), 1, None, 0
+    while depth:
+        if depth & 1:
+            out = names if out is None else mix(out * _STEP + ahead(names, at))
+            at += width
+        if depth := depth >> 1:
+            names = mix(names * _STEP + ahead(names, width))
+            width *= 2
+    return out
 
 
-def _left(depth: int, covered: float):  # noqa: ANN202
+def _suffixes(stream: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, names) of a stream's suffixes that have ``depth`` tokens (even names), or are a whole shorter block (odd ones)."""
+    end = np.flatnonzero(stream == 0)
+    left = np.repeat(end, np.diff(end, prepend=-1)) - np.arange(stream.size)
+    start = np.append(True, stream[:-1] == 0)
+    names = prefix_names(stream, left, depth)
+    at = np.flatnonzero((left >= depth) | (left > 0) & start)
+    return at, (names[at] & ~np.uint64(1) | (left[at] < depth).astype(np.uint64)).view(np.int64)
+
+
+def _sorted_suffixes(streams: list[bytes], pages: list[int], depth: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """(pages, names, pages of each name) of a host's suffix array: suffixes in the order of their names, neighbours that share ``depth`` tokens together."""
+    stream = np.frombuffer(b"".join(streams), np.uint32)
+    at, names = _suffixes(stream, depth)
+    distinct, page = np.unique(np.array(pages, np.int64), return_inverse=True)
+    page = np.repeat(page, [len(x) // 4 for x in streams])[at]
+    order = np.lexsort((page, names))
+    names, page = names[order], page[order]
+    new = np.append(True, names[1:] != names[:-1]) if names.size else np.zeros(0, bool)
+    own = new.copy()
+    own[1:] |= page[1:] != page[:-1]
+    begin = np.flatnonzero(new)
+    return distinct.size, names[begin], np.add.reduceat(own.astype(np.int64), begin) if begin.size else begin
+
+
+def _host_repeats(depth: int, least: int, share: float, limit: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What is left of the blocks that are covered: the runs of ``OWN`` tokens or more that nothing covers."""
+        """What repeats on each host, of streams in the order of hosts and pages.
+
+        Of a host in several parts: what is on the part ``share`` of a part's pages; what is on that part of all its pages is so in one of its parts.
+        """
+        host, split, size = None, False, 0
+        pages: list[int] = []
+        streams: list[bytes] = []
+
+        def found() -> pa.RecordBatch:
+            n, names, count = _sorted_suffixes(streams, pages, depth)
+            ok = count >= max(1, math.ceil(share * n)) if split else count >= max(2, min(least, n), math.ceil(share * n))
+            return pa.RecordBatch.from_arrays([pa.array([host], pa.string()), pa.array([split]), pa.array([n], pa.int64()), pa.array([names[ok]], pa.list_(pa.int64())), pa.array([count[ok]], pa.list_(pa.int64()))],
+                                              names=["host", "split", "pages", "names", "n"])
+
         for batch in batches:
-            hosts, blocks, kept = [], [], []
-            for host, block, starts in zip(*(batch.column(c).to_pylist() for c in ("host", "block", "at")), strict=True):
-                tokens = block.split(" ")
-                runs, end, n = [], 0, 0  # tokens before ``end`` are looked at
-                for at in sorted(starts):
-                    if at - 1 > end:
-                        runs.append(tokens[end:at - 1])
-                    last = min(len(tokens), at - 1 + depth)
-                    n += last - max(end, at - 1)
-                    end = last
-                runs.append(tokens[end:])
-                if n >= covered * len(tokens):
-                    hosts.append(host)
-                    blocks.append(block)
-                    kept.append(" ".join(t for r in runs if len(r) >= OWN for t in r))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (hosts, blocks, kept)], names=["host", "block", "kept"])
+            for h, page, pieces, stream in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "pieces", "stream")), strict=True):
+                full = h == host and size >= limit and page != pages[-1]
+                if streams and (full or h != host):
+                    split = split or full
+                    yield found()
+                    pages, streams, size = [], [], 0
+                if h != host:
+                    host, split = h, pieces > 1
+                pages.append(page)
+                streams.append(stream)
+                size += len(stream) // 4
+        if streams:
+            yield found()
+
+    return run
+
+
+def _page_names(depth: int):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [np.unique(_suffixes(np.frombuffer(x, np.uint32), depth)[1]) for x in batch.column("stream").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), pa.array(names, pa.list_(pa.int64()))], names=["host", "page", "names"])
 
     return run
 
 
-def repeated_blocks(pages: DataFrame, depth: int = DEPTH, covered: float = COVERED, least: int = 2, share: float = 0.0) -> DataFrame:
-    """(``host``, ``block``, ``kept``) of the loose and dropped blocks that substrings repeated across a host's pages cover, and what is left of each.
+def _rows(pages: DataFrame) -> DataFrame:
+    host = F.lower(F.regexp_extract("url", HOST, 1))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    return rows.withColumn("host", F.coalesce(host, F.lit("")))
+
+
+def _small(found: DataFrame, size: Column) -> DataFrame:
+    """``found``, to be broadcast if it has at most ``BROADCAST`` entries."""
+    n = found.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(found) if n <= BROADCAST else found
+
+
+def repeats(pages: DataFrame, depth: int = DEPTH, least: int = PAGES, share: float = SHARE, piece_pages: int = PIECE_PAGES, limit: int = PIECE_TOKENS) -> DataFrame:
+    """(``host``, ``pages``, ``found``: array of (``name``, ``n``)): the prefixes of ``depth`` tokens that ``n`` of a host's distinct pages share.
 
-    A substring is repeated if it is on ``least`` of the host's pages (all, if it has fewer, but two) and on the part ``share`` of them.
+    So many are ``least`` (all of the host's pages, if there are fewer, but two) and the part ``share`` of them at
+    least; so a host has at most (tokens of its mean page) / ``share`` of them.
     """
-    seen = pages.select("url", "html").mapInArrow(_streams, "host string, block string, page long")
-    size = F.size("tokens")
-
-    def suffixes(blocks: DataFrame, *more: str) -> DataFrame:
-        # A block of up to ``depth`` tokens has one suffix to look at; it ends the stream, so only equal whole blocks meet.
-        return (blocks.select("host", *more, F.split("block", " ").alias("tokens"))
-                .select("host", *more, size.alias("size"), F.explode(F.sequence(F.lit(1), F.greatest(size - depth + 1, F.lit(1)))).alias("at"), "tokens")
-                .select("host", *more, "at", F.xxhash64(F.array_join(F.slice("tokens", F.col("at"), depth), " "), F.col("size") < depth).alias("head")))
-
-    blocks = seen.where("block is not null")
-    hosts = seen.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    found = suffixes(blocks, "page").select("host", "head", "page").distinct().groupBy("host", "head").agg(F.count("*").alias("n")).where("n >= 2")
+    rows = _rows(pages)
+    large = cut(rows.groupBy("host").agg(F.ceil(F.count("*") / piece_pages).cast("int").alias("pieces")).where("pieces > 1"))
+    streams = rows.select("host", "html").mapInArrow(_streams, "host string, page long, stream binary")
+    dealt = (streams.join(_small(large, F.lit(1)), "host", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+             .withColumn("piece", F.pmod("page", F.col("pieces"))).repartition("host", "piece").sortWithinPartitions("host", "piece", "page"))
+    found = cut(dealt.select("host", "page", "pieces", "stream").mapInArrow(_host_repeats(depth, least, share, limit), "host string, split boolean, pages long, names array<long>, n array<long>"))
+    whole = found.where("not split").select("host", "pages", F.arrays_zip(F.col("names").alias("name"), "n").alias("found"))
+    parts = found.where("split")
+    if not parts.limit(1).count():
+        return whole
+    # Hosts in parts: what is often in one part is counted on all the host's pages.
+    asked = cut(parts.select("host", F.explode("names").alias("name")).distinct())
+    hosts = cut(parts.select("host").distinct())
+    own = rows.join(_small(hosts, F.lit(1)), "host", "left_semi").select("host", "html").mapInArrow(_streams, "host string, page long, stream binary")
+    own = cut(own.mapInArrow(_page_names(depth), "host string, page long, names array<long>")
+              .select("host", "page", F.explode("names").alias("name")).join(_small(asked, F.lit(1)), ["host", "name"], "left_semi").distinct())
+    total = own.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     wanted = F.greatest(F.lit(2), F.least(F.lit(least), F.col("pages")), F.ceil(F.lit(share) * F.col("pages")))
-    repeats = found.join(hosts, "host").where(F.col("n") >= wanted).select("host", "head")
-    hits = (suffixes(blocks.select("host", "block").distinct(), "block").join(repeats, ["host", "head"])
-            .groupBy("host", "block").agg(F.collect_set("at").alias("at")))
-    return hits.mapInArrow(_left(depth, covered), "host string, block string, kept string")
+    counted = (own.groupBy("host", "name").agg(F.count("*").alias("n")).join(total, "host").where(F.col("n") >= wanted)
+               .groupBy("host", "pages").agg(F.collect_list(F.struct("name", "n")).alias("found")))
+    return whole.unionByName(counted)
+
+
+def _uncovered(block: str, hit: np.ndarray, depth: int, covered: float) -> str:
+    """The block, or if the runs of ``depth`` tokens from the places ``hit`` on cover enough of it, its runs of ``OWN`` tokens or more that they don't."""
+    tokens = block.split(" ")
+    edge = np.zeros(len(tokens) + 1, np.int64)
+    np.add.at(edge, hit, 1)
+    np.add.at(edge, np.minimum(hit + depth, len(tokens)), -1)
+    free = np.cumsum(edge[:-1]) == 0
+    if len(tokens) - free.sum() < covered * len(tokens):
+        return block
+    bounds = np.flatnonzero(np.diff(np.concatenate([[0], free, [0]]).astype(np.int8)))
+    return " ".join(t for a, b in zip(bounds[::2], bounds[1::2], strict=True) if b - a >= OWN for t in tokens[a:b])
+
+
+def kept_blocks(texts: list[str], names: np.ndarray, depth: int = DEPTH, covered: float = COVERED) -> list[str]:
+    """What is left of a page's blocks without what repeats (``names``, sorted) on its host."""
+    if not names.size or not texts:
+        return texts
+    tokens, count = _words(texts)
+    at, own = _suffixes(np.insert(tokens, np.cumsum(count), 0), depth)
+    at = at[names[np.searchsorted(names, own).clip(0, names.size - 1)] == own]
+    if not at.size:
+        return texts
+    first = np.cumsum(count + 1) - count - 1
+    block = np.searchsorted(first, at, side="right") - 1
+    out = list(texts)
+    for b in np.unique(block):
+        out[b] = _uncovered(texts[b], at[block == b] - first[b], depth, covered)
+    return [t for t in out if t]
+
+
+def _texts(depth: int, covered: float):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for html, often, always in zip(*(batch.column(c) for c in ("html", "often", "always")), strict=True):
+                zones = page_blocks(html.as_py())
+                marked = zones["article"] or zones["main"]
+                names = np.sort(np.array((always if marked else often).as_py() or [], np.int64))
+                texts.append("\n\n".join(kept_blocks(marked or zones["loose"], names, depth, covered)))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
+    return run
 
-def extract(pages: DataFrame) -> DataFrame:
-    """One row per row of ``pages``: ``page_id``, ``url``, ``text`` (blocks joined by an empty line), ``n_chars``."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    whole = rows.mapInArrow(_marked_texts, "page_id long, url string, text string")
-    loose = (rows.mapInArrow(_loose_blocks, "page_id long, url string, host string, blocks array<string>")
-             .withColumn("row", F.monotonically_increasing_id())  # numbers pages, before their blocks are listed
-             .select("row", "page_id", "url", "host", F.posexplode_outer("blocks").alias("at", "block")))
-    # The whole table's streams count, those of pages with a marked article too; there is nothing to judge if no page is loose.
-    boilerplate = repeated_blocks(rows, least=PAGES, share=SHARE)
-    piece = F.coalesce("kept", "block")
-    kept = (loose.join(boilerplate, ["host", "block"], "left")
-            .groupBy("row", "page_id", "url")
-            .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.when(piece != "", F.struct("at", piece.alias("block"))))),
-                                          lambda b: b["block"]), "\n\n").alias("text"))
-            .select("page_id", "url", "text"))
-    return whole.unionByName(kept).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+def extract(pages: DataFrame, depth: int = DEPTH, covered: float = COVERED, **more) -> DataFrame:
+    """One row per row of ``pages``: ``page_id``, ``url``, ``text`` (blocks joined by an empty line), ``n_chars``; ``more`` goes to ``repeats``."""
+    always = F.greatest(F.lit(ALWAYS_PAGES), F.ceil(F.lit(ALWAYS) * F.col("pages")))
+    listed = cut(repeats(pages, depth, **more).select("host", F.col("found")["name"].alias("often"), F.filter("found", lambda f: (f["n"] >= always) & (f["name"] % 2 == 0))["name"].alias("always")))
+    rows = _rows(pages).join(_small(listed, F.size("often")), "host", "left").select("page_id", "url", "html", "often", "always")
+    return (rows.mapInArrow(_texts(depth, covered), "page_id long, url string, text string")
+            .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))

@@ -92,39 +92,71 @@ def test_copied_articles_survive(spark):
     assert all(got[26 + i].startswith(f"page{i}x page{i}y page{i}z\n\n") for i in range(4))
 
 
-def brute_repeats(blocks, depth):
-    """Covered share of each (host, block) by substrings of ``depth`` tokens that occur on two pages."""
-    seen = {}
-    for host, page, block in blocks:
-        t = block.split(" ")
-        heads = [tuple(t[i:i + depth]) for i in range(len(t) - depth + 1)] if len(t) >= depth else [(*t, None)]
-        for h in heads:
-            seen.setdefault((host, h), set()).add(page)
-    out = set()
-    for host, _, block in blocks:
-        t = block.split(" ")
-        covered = set()
-        for i in range(max(1, len(t) - depth + 1)):
-            h = tuple(t[i:i + depth]) if len(t) >= depth else (*t, None)
-            if len(seen[host, h]) > 1:
-                covered |= set(range(i, min(i + depth, len(t))))
-        if len(covered) >= html.COVERED * len(t):
-            out.add((host, block))
-    return out
-
-
-def test_repeats_equal_brute_force(spark):
+def brute_repeats(pages, depth, least, share):
+    """{(host, run of ``depth`` tokens or whole shorter block): pages} of what repeats; ``pages``: (host, page, blocks)."""
+    seen, total = {}, {}
+    for host, page, blocks in pages:
+        total.setdefault(host, set()).add(page)
+        for t in (b.split(" ") for b in blocks):
+            for i in range(max(1, len(t) - depth + 1)):
+                seen.setdefault((host, tuple(t[i:i + depth])), set()).add(page)
+    return {k: len(v) for k, v in seen.items() if len(v) >= max(2, min(least, len(total[k[0]])), share * len(total[k[0]]))}
+
+
+def test_suffix_array_equals_brute_force(spark):
     import random
 
+    import numpy as np
+
     rng = random.Random(8)
-    pages, blocks = [], []
-    for i in range(60):
-        url, own = f"http://h{i % 3}.org/{i}", [" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 14))) for _ in range(4)]
-        pages.append((url, "".join(f"<p>{b}</p>" for b in own)))
-        blocks += [(f"h{i % 3}.org", i, b) for b in own]
-    rows = spark.createDataFrame(pages, "url string, html string")
-    got = {(r["host"], r["block"]) for r in html.repeated_blocks(rows, depth=4).collect()}
-    assert got == brute_repeats(blocks, 4)
+    pages, own = [], []
+    for i in range(120):
+        host, blocks = f"h{min(i % 7, 2)}.org", [" ".join(rng.choice("abcd") for _ in range(rng.randrange(1, 14))) for _ in range(4)]
+        copies = 1 + (i % 10 == 0)  # a copy is no other page
+        pages += [(f"http://{host}/{i}/{c}", "".join(f"<p>{b}</p>" if j else f"<article>{b}</article>" for j, b in enumerate(blocks))) for c in range(copies)]
+        own.append((host, tuple(blocks), blocks))
+    rows = spark.createDataFrame([(1, *p) for p in pages], "page_id long, url string, html string")
+    for least, share in ((2, 0.0), (3, 0.1)):
+        want = brute_repeats(own, 4, least, share)
+        runs = list(want)
+        named = {}
+        for host, run in runs:
+            tokens, _ = html._words([" ".join(run)])
+            (_, names) = html._suffixes(np.append(tokens, np.uint32(0)), 4)
+            named[host, int(names[0])] = want[host, run]
+        for size in ({}, {"piece_pages": 10}, {"limit": 100}, {"piece_pages": 25, "limit": 200}):  # whole hosts, hosts in parts
+            got = {(r["host"], f["name"]): f["n"] for r in html.repeats(rows, 4, least, share, **size).collect() for f in r["found"]}
+            assert got == named and len(got) > 20
+
+
+def test_kept_blocks_equal_brute_force():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    for _ in range(300):
+        blocks = [" ".join(rng.choice("ab") for _ in range(rng.randrange(1, 12))) for _ in range(5)]
+        runs = {tuple(rng.choice("ab") for _ in range(rng.choice((1, 2, 4)))) for _ in range(3)}
+        streams = [np.append(html._words([" ".join(r)])[0], np.uint32(0)) for r in runs]
+        names = np.sort(np.array([html._suffixes(s, 4)[1][0] for s in streams], np.int64))
+        want = []
+        for t in (b.split(" ") for b in blocks):
+            cover = {j for i in range(max(1, len(t) - 3)) if tuple(t[i:i + 4]) in runs for j in range(i, min(i + 4, len(t)))}
+            free = "".join(" " if i in cover else w for i, w in enumerate(t))
+            want.append(" ".join(" ".join(r) for r in free.split() if len(r) >= html.OWN) if 2 * len(cover) >= len(t) else " ".join(t))
+        assert html.kept_blocks(blocks, names, 4) == [w for w in want if w]
+
+
+def test_what_repeats_in_marked_articles(spark):
+    line = "Subscribe to our letter for more of these good stories"
+    pages = [(f"http://a.org/{i}", f"<article><p>Story{i} has words{i} of its{i} own{i}</p><p>{line}</p><p>{line} by writer number{i} of{i} all{i} the{i} many{i} people{i} here{i} and{i} there{i} x{i} y{i} z{i} w{i}</p></article>") for i in range(6)]
+    pages += [(f"http://b.org/{i}", f"<article><p>Story{i} is here</p><p>{line}</p></article>") for i in range(4)]  # too few pages against a marked article
+    pages += [(f"http://c.org/{i}", f"<nav><a>World</a></nav><article><h1>World</h1><p>Day {i}</p></article>") for i in range(6)]  # a title like a menu's item
+    got = text_of(spark, pages)
+    assert got[12] == "World\n\nDay 2"
+    assert got[2] == f"Story2 has words2 of its2 own2\n\n{line} by writer number2 of2 all2 the2 many2 people2 here2 and2 there2 x2 y2 z2 w2"
+    assert got[7] == f"Story1 is here\n\n{line}"
 
 
 def test_odd_rows(spark):
