@@ -24,8 +24,8 @@ tokens or more, they are cut out of it and its own runs stay; other blocks are k
 Pages with the same content (see ``_content``) are one, so copies under several urls
 are no evidence against their text.
 
-How it runs: streams (4 bytes a token) are dealt by host, a host of more than ``PIECE_PAGES`` pages by
-parts of its pages, and sorted in parts of at most about ``PIECE_TOKENS`` tokens. What is on enough
+How it runs: streams (4 bytes a token) are dealt by host, a host with many pages by
+parts of them (each a 32nd of all pages, but 500 to 10,000), and sorted in parts of at most about ``PIECE_TOKENS`` tokens. What is on enough
 pages of a host in parts is so on those of one part at least; those candidates
 are counted again on all its pages. A host's repeats are few (see ``repeats``) and joined to its pages.
 
@@ -59,8 +59,9 @@ COVERED = 0.5
 PAGES, SHARE = 3, 0.2
 #: The same for a block of a marked article.
 ALWAYS_PAGES, ALWAYS = 5, 0.5
-#: Pages of a host that are dealt together, and tokens of a suffix array, about.
-PIECE_PAGES, PIECE_TOKENS = 10_000, 4 << 20
+#: Pages of a host that are dealt together: a part of all pages, within these bounds; and tokens of a suffix array, about.
+PIECE_PART, PIECE_LEAST, PIECE_MOST = 32, 500, 10_000
+PIECE_TOKENS = 4 << 20
 #: Streams a task remembers at most, to send each once.
 REMEMBERED = 1 << 20
 #: Entries of 8 bytes, and a host for some of them, that are broadcast at most.
@@ -293,13 +294,15 @@ class _Page:
 
     def _end(self, tag: str) -> None:
         """An end tag: nothing if its element isn't open within the same list or table cell."""
-        if (at := self._nearest(frozenset((tag,)))) > self._nearest((TABLE if tag in CELLS else LISTS if tag in ITEMS else SCOPE) - {tag}):
-            self._pop(at)
+        if places := self.where.get(tag):
+            at = places[-1]
+            if at == len(self.stack) - 1 or at >= self._nearest(TABLE if tag in CELLS else LISTS if tag in ITEMS else SCOPE):
+                self._pop(at)
 
     def _implied(self, tag: str) -> None:
         """Ends what the begin of a block ends: a paragraph, and the list item or table part before."""
-        if (at := self._nearest(frozenset(("p",)))) > self._nearest(SCOPE):
-            self._pop(at)
+        if (places := self.where.get("p")) and (places[-1] == len(self.stack) - 1 or places[-1] > self._nearest(SCOPE)):
+            self._pop(places[-1])
         if ends := ENDS.get(tag):
             limit = self._nearest(TABLE if tag in CELLS else LISTS)
             places = [i for t in ends for i in self.where.get(t, ())[-1:] if i > limit]
@@ -473,14 +476,17 @@ def _small(found: DataFrame, size: Column) -> DataFrame:
     return F.broadcast(found) if n <= BROADCAST else found
 
 
-def repeats(pages: DataFrame, depth: int = DEPTH, least: int = PAGES, share: float = SHARE, piece_pages: int = PIECE_PAGES, limit: int = PIECE_TOKENS) -> DataFrame:
+def repeats(pages: DataFrame, depth: int = DEPTH, least: int = PAGES, share: float = SHARE, piece_pages: int | None = None, limit: int = PIECE_TOKENS) -> DataFrame:
     """(``host``, ``pages``, ``found``: array of (``name``, ``n``)): the prefixes of ``depth`` tokens that ``n`` of a host's distinct pages share.
 
     So many are ``least`` (all of the host's pages, if there are fewer, but two) and the part ``share`` of them at
     least; so a host has at most (tokens of its mean page) / ``share`` of them.
     """
     rows = _rows(pages)
-    large = cut(rows.groupBy("host").agg(F.ceil(F.count("*") / piece_pages).cast("int").alias("pieces")).where("pieces > 1"))
+    sizes = cut(rows.groupBy("host").agg(F.count("*").alias("rows")))
+    if piece_pages is None:
+        piece_pages = min(PIECE_MOST, max(PIECE_LEAST, sizes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] // PIECE_PART))
+    large = sizes.select("host", F.ceil(F.col("rows") / piece_pages).cast("int").alias("pieces")).where("pieces > 1")
     streams = rows.select("host", "html").mapInArrow(_streams, "host string, page long, stream binary")
     dealt = (streams.join(_small(large, F.lit(1)), "host", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
              .withColumn("piece", F.pmod("page", F.col("pieces"))).repartition("host", "piece").sortWithinPartitions("host", "piece", "page"))
