@@ -9,7 +9,8 @@ the finished trees are flattened into arrays, which numpy traverses for all
 documents of a batch at once.
 
 Defined results: a null text is an empty text and gets the score of all-zero
-statistics; repeated rows are scored one by one; rows with a null ``doc_id``
+statistics; repeated rows are scored one by one, and of rows with one labelled
+``doc_id`` that with the least statistics is learnt from; rows with a null ``doc_id``
 are scored and are not held out; without labels of both kinds every score is
 the label's mean (0.5 without labels); other columns are neither read nor changed.
 """
@@ -183,10 +184,11 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> F
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "label", "x"])
 
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(sample, "doc_id")
-            .mapInArrow(run, "doc_id long, label int, x array<double>").toArrow())
+            .mapInArrow(run, "doc_id long, label int, x array<double>")
+            .groupBy("doc_id").agg(F.min(F.struct("x", "label")).alias("r")).select("doc_id", "r.label", "r.x").toArrow())  # at most train_docs rows
     x = np.array(rows["x"].combine_chunks().flatten()).reshape(-1, len(FEATURES)) if rows.num_rows else np.zeros((0, len(FEATURES)))
     ids, y = np.array(rows["doc_id"]), (np.array(rows["label"]) > 0).astype(float)
-    order = np.lexsort((*x.T[::-1], ids)) if len(ids) else np.zeros(0, np.int64)
+    order = np.argsort(ids)
     return grow(x[order], y[order])
 
 
