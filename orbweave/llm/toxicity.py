@@ -113,7 +113,9 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
     """Fit the model on at most ``train_docs`` labelled documents of ``docs``."""
     sample = F.broadcast(labelled_sample(labels, "toxic", train_docs))  # at most train_docs rows
     rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .join(sample, "doc_id"))
+               .join(sample, "doc_id")
+               # Of rows with one id the least by hash: at most train_docs rows, of which the driver gets at most MAX_FEATURES numbers each.
+               .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "label")).alias("r")).select("doc_id", "r.text", "r.label"))
     counts = {r["label"] > 0: r["count"] for r in rows.groupBy((F.col("label") > 0).cast("int").alias("label")).count().collect()}
     n1, n0 = counts.get(True, 0), counts.get(False, 0)
     none = Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))

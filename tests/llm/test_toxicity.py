@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from orbweave.llm import toxicity
 from orbweave.llm.tokens import blocks
@@ -71,3 +72,11 @@ def test_labels_with_nulls_and_repeats(spark, trained):
     more = labels.unionByName(labels).unionByName(spark.createDataFrame([(None, 1, 1), (3, None, None)], labels.schema))
     a, b = toxicity.train(docs, labels), toxicity.train(docs, more)
     assert a.features.tolist() == b.features.tolist() and np.allclose(a.weights, b.weights)
+
+
+def test_repeated_labelled_rows_are_one(spark):
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    again = docs.unionByName(docs.join(labels.where("toxic > 0").limit(5).select("doc_id"), "doc_id", "left_semi").select(*docs.columns).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("n"))
+    a, b = toxicity.train(docs, labels), toxicity.train(again, labels)
+    assert len(a.features) and all(np.array_equal(x, y) for x, y in zip(vars(a).values(), vars(b).values(), strict=True))
