@@ -75,7 +75,6 @@ def test_labels_with_nulls_and_repeats(spark, trained):
 
 
 def test_repeated_labelled_rows_are_one(spark):
-
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
     again = docs.unionByName(docs.join(labels.where("toxic > 0").limit(5).select("doc_id"), "doc_id", "left_semi").select(*docs.columns).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("n"))
     a, b = toxicity.train(docs, labels), toxicity.train(again, labels)
