@@ -28,6 +28,13 @@ a metric, so linked members' distances differ by at most 1 - THRESHOLD). So no
 link between members of a bucket is lost that could join two classes, and
 groups of copies are not expanded.
 
+A bucket may hold a third of all texts. One of more than ``HOT_ROWS`` members and
+more than one ``HOT_SHARE``-th of all memberships (so there are fewer than
+``HOT_SHARE`` such buckets, and their list is broadcast) is dealt by salt: its
+members are spread by hash, what is one row a bucket is repeated for each salt.
+What a bucket has left to finish is cut into sub-blocks of about ``SUB_BLOCK`` members,
+and each pair of sub-blocks is compared in a place of its own.
+
 Defined results: a null text is an empty text, and all texts without words are
 copies of each other; rows that share a ``doc_id`` are one document (their texts
 are linked); rows with a null ``doc_id`` have a null class and are never
@@ -58,6 +65,10 @@ LEVEL_STEP, LEVELS = 4, 128
 #: Parts of the elements for which weights are kept apart in the bound.
 PARTS = 32
 DRAWS, SEED = 1 << 16, 20_240_607
+#: A bucket is dealt by salt beyond this many members and this part of all memberships.
+HOT_ROWS, HOT_SHARE = 256, 10_000
+#: Members of a bucket's sub-block, about, of which two are compared with each other at a time.
+SUB_BLOCK = 256
 
 
 def _cells(h: np.ndarray) -> np.ndarray:
@@ -273,14 +284,48 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _spread(buckets: DataFrame) -> DataFrame:
+    """``buckets`` once for each of their ``salts``, as column ``salt``."""
+    return buckets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+
+
+def bucket_members(single: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``single`` (``m``, ``band``, ``key``) of the buckets with several texts, with ``salt`` below the bucket's ``salts``."""
+    several = cut(single.groupBy("band", "key").agg(F.min("m").alias("x"), F.max("m").alias("y"), F.count("*").alias("n")).where("x <> y").select("band", "key", "n"))
+    total = several.agg(F.sum("n").alias("n")).first()["n"] or 0
+    share = max(hot_rows, -(-total // HOT_SHARE))
+    several = several.select("band", "key", F.ceil(F.col("n") / share).cast("int").alias("salts"))
+    # Fewer than HOT_SHARE rows: each is of a bucket with more than a HOT_SHARE-th of all.
+    hot = F.broadcast(several.where("salts > 1"))
+    dealt = single.join(hot, ["band", "key"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64("m", F.lit(2)), F.col("salts")).cast("int")
+    return dealt.withColumn("salt", salt).join(_spread(several), ["band", "key", "salt"])
+
+
+def across(rest: DataFrame, names: tuple[str, ...], near: Column, sub_block: int = SUB_BLOCK) -> DataFrame:
+    """Pairs (``a``, ``b``) of ``rest``'s members of one bucket and different ``label`` for which ``near`` holds.
+
+    ``rest`` has ``band``, ``key``, ``salt``, ``salts`` and ``names``; ``near`` names the second's columns with a 2 behind.
+    A member lies in one sub-block of its bucket and goes
+    to each pair of sub-blocks that has it, so a task holds two sub-blocks and each pair meets once.
+    """
+    subs = F.ceil(F.count("*") / sub_block).cast("int").alias("subs")
+    rest = rest.drop("salts").join(_spread(rest.groupBy("band", "key").agg(subs, F.max("salts").alias("salts"))), ["band", "key", "salt"]).withColumn("s", F.pmod(F.xxhash64("m", F.lit(3)), F.col("subs")).cast("int"))
+    left = rest.withColumn("t", F.explode(F.sequence(F.col("s"), F.col("subs") - 1))).select("band", "key", "s", "t", *names)
+    right = (rest.withColumnRenamed("s", "t").withColumn("s", F.explode(F.sequence(F.lit(0), F.col("t"))))
+             .select("band", "key", "s", "t", *(F.col(c).alias(f"{c}2") for c in names)))
+    # Within a sub-block a pair would meet twice.
+    once = (F.col("label") < F.col("label2")) | ((F.col("s") < F.col("t")) & (F.col("label") > F.col("label2")))
+    return left.join(right, ["band", "key", "s", "t"]).where(once & near).select(F.least("m", "m2").alias("a"), F.greatest("m", "m2").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``class_id``, ``text_id``."""
     idf = word_idf(docs)
     marks = cut(sketches(docs, idf))
     texts = cut(marks.where("doc_id is not null").groupBy("text_id").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
     single = texts.where("text_id <> 0").select(F.col("text_id").alias("m"), F.posexplode("bands").alias("band", "key"))
-    several = single.groupBy("band", "key").agg(F.min("m").alias("x"), F.max("m").alias("y")).where("x <> y").select("band", "key")
-    members = cut(single.join(several, ["band", "key"]))
+    members = cut(bucket_members(single))
     wanted = members.select(F.col("m").alias("text_id")).distinct().join(texts.select("text_id", "rep"), "text_id")
     codes = cut(elements(docs, wanted, idf))
     # A text that shares too little weight is linked to none.
@@ -290,11 +335,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Leaders of a bucket: in each of LEADERS parts the member of least lonely share; the first leader has the least of all.
     place = F.struct((1 - F.col("shared") / F.col("weight")).alias("u"), F.xxhash64("m").alias("h"), "m", "weight", "shared")
     part = F.pmod(F.xxhash64("m", F.lit(1)), F.lit(LEADERS)).alias("part")
-    leaders = members.groupBy("band", "key", part).agg(F.min(place).alias("l")).select(
-        "band", "key", F.col("l.m").alias("leader"), F.col("l.weight").alias("weight2"), F.col("l.shared").alias("shared2"), F.col("l.u").alias("u"), F.col("l.h").alias("h"))
+    leaders = members.groupBy("band", "key", part).agg(F.min(place).alias("l"), F.max("salts").alias("salts")).select(
+        "band", "key", "salts", F.col("l.m").alias("leader"), F.col("l.weight").alias("weight2"), F.col("l.shared").alias("shared2"), F.col("l.u").alias("u"), F.col("l.h").alias("h"))
     pair = F.least("m", "leader").alias("a"), F.greatest("m", "leader").alias("b")
     common = F.least("shared", "shared2")
-    pairs = members.join(leaders, ["band", "key"]).where((F.col("m") != F.col("leader")) & _reachable(threshold, common)).select(*pair).distinct()
+    pairs = members.join(_spread(leaders), ["band", "key", "salt"]).where((F.col("m") != F.col("leader")) & _reachable(threshold, common)).select(*pair).distinct()
     compared = cut(compare(pairs, codes))
     # Texts of the same doc_id belong together.
     twice = (marks.where("doc_id is not null").groupBy("doc_id").agg(F.min("text_id").alias("a"), F.max("text_id").alias("z")).where("a <> z"))
@@ -304,23 +349,22 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     # Buckets with several classes: compare the pairs across classes that the distance to the first leader allows.
     label = F.coalesce("label", "m").alias("label")
-    labelled = members.join(labels, F.col("m") == F.col("node"), "left").select("band", "key", "m", "weight", "shared", label)
-    mixed = labelled.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
+    labelled = members.join(labels, F.col("m") == F.col("node"), "left").select("band", "key", "salt", "salts", "m", "weight", "shared", label)
+    mixed = labelled.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("salts").alias("salts")).where("x <> y").select("band", "key", "salts")
     first = leaders.groupBy("band", "key").agg(F.min(F.struct("u", "h", "leader")).alias("f")).select("band", "key", F.col("f.leader").alias("first"))
+    open_buckets = _spread(mixed.join(first, ["band", "key"]))
     # A leader has been compared with every member that it can reach.
-    rest = (labelled.join(mixed, ["band", "key"]).join(leaders.select("band", "key", F.col("leader").alias("m")), ["band", "key", "m"], "left_anti")
-            .join(first, ["band", "key"])
+    rest = (labelled.join(open_buckets, ["band", "key", "salt"]).join(leaders.select("band", "key", F.col("leader").alias("m")), ["band", "key", "m"], "left_anti")
             .withColumn("a", F.least("m", "first")).withColumn("b", F.greatest("m", "first"))
-            .join(compared, ["a", "b"], "left").select("band", "key", "m", "label", "weight", "shared", "similarity"))
+            .join(compared, ["a", "b"], "left").select("band", "key", "salt", "salts", "m", "label", "weight", "shared", "similarity"))
     bands = texts.select(F.col("text_id").alias("m"), "bands")
     rest = cut(rest.join(able.select("m", "parts"), "m").join(bands, "m"))
     names = ("m", "label", "weight", "shared", "similarity", "parts", "bands")
-    other = rest.select("band", "key", *(F.col(c).alias(f"{c}2") for c in names))
     apart = F.abs(F.col("similarity") - F.col("similarity2")) > 1 - threshold + 1e-9  # null where one wasn't compared
     in_parts = F.aggregate(F.zip_with("parts", "parts2", lambda x, y: F.least(x, y)), F.lit(0.0), lambda s, x: s + x)
     first_band = F.array_position(F.zip_with("bands", "bands2", lambda x, y: x == y), True) == F.col("band") + 1  # a pair once, not in each band
-    near = (F.col("label") < F.col("label2")) & ~F.coalesce(apart, F.lit(False)) & _reachable(threshold, common) & first_band & _reachable(threshold, in_parts)
-    more = rest.join(other, ["band", "key"]).where(near).select(F.least("m", "m2").alias("a"), F.greatest("m", "m2").alias("b")).distinct()
+    near = ~F.coalesce(apart, F.lit(False)) & _reachable(threshold, common) & first_band & _reachable(threshold, in_parts)
+    more = across(rest, names, near)
     late = cut(compare(more, codes).where(F.col("similarity") >= threshold).select("a", "b"))
     if late.limit(1).count():
         labels = components(links.unionByName(late))

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from orbweave.llm import neardup
 from orbweave.llm.tokens import blocks
@@ -109,3 +110,30 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["label"] for r in neardup.components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_hot_buckets_are_dealt_and_nothing_is_lost(spark, groups, monkeypatch):
+    """Small limits deal nearly every bucket; the classes stay those of one place a bucket."""
+    docs = spark.createDataFrame(groups, "doc_id long, text string")
+    want = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs).collect()}
+    monkeypatch.setattr(neardup.bucket_members, "__defaults__", (3,))
+    monkeypatch.setattr(neardup.across, "__defaults__", (2,))
+    assert {r["doc_id"]: r["class_id"] for r in neardup.classes(docs).collect()} == want
+
+
+def test_members_of_buckets(spark):
+    rows = [(m, 0, 7) for m in range(1000)] + [(m, 1, m // 2) for m in range(100)] + [(5, 2, 1)]
+    got = neardup.bucket_members(spark.createDataFrame(rows, "m long, band int, key long"), 100).collect()
+    assert sorted((r["m"], r["band"], r["key"]) for r in got) == sorted(rows[:-1])
+    hot = [r for r in got if r["band"] == 0]
+    assert {r["salts"] for r in hot} == {10} and {r["salt"] for r in hot} == set(range(10))
+    assert {(r["salts"], r["salt"]) for r in got if r["band"] == 1} == {(1, 0)}
+
+
+@pytest.mark.parametrize("sub_block", [1, 7, 1000])
+def test_each_pair_across_labels_meets_once(spark, sub_block):
+    rng = random.Random(3)
+    rows = [(band, 9, m % 2, 2, m, rng.randrange(4)) for band in range(2) for m in range(40)]
+    frame = spark.createDataFrame(rows, "band int, key long, salt int, salts int, m long, label long")
+    got = sorted(tuple(r) for r in neardup.across(frame, ("m", "label"), F.lit(True), sub_block).collect())
+    assert got == sorted({(min(x[4], y[4]), max(x[4], y[4])) for x in rows for y in rows if x[0] == y[0] and x[5] != y[5]})
