@@ -1,18 +1,21 @@
 """Exact top-k by inner product with KD-trees over shards of the vectors.
 
 Components are made whole numbers, floor(scale * x), so scores are exact. The
-vectors are dealt over shards by hash of their id and bounded in size; each
-task builds a KD-tree of its shard (median splits of the widest dimension,
-tight bounding boxes) and searches it best first for a block of queries: leaves
-are visited in the order of the largest inner product that a query can have
-with their box, until no box can beat the query's kth best. A first round
-searches each query's own shard; its kth score is passed to the others, whose
-trees skip every box below it. The best k over all shards follow by a ranked
-window.
-
-The work is that of a stated query set against all rows: vectors go once to
-each block of queries, queries once to each shard, and no task holds more than
-one shard and one block.
+vectors are dealt over shards by hash of their id and components and bounded in
+size; each task builds a KD-tree of its shard (median splits of the widest
+dimension, tight bounding boxes at every node) and searches it best first: each
+query has a queue of nodes in the order of the largest inner product that it can
+have with their box, opens the first (a node's two halves join the queue, a
+leaf's points are scored), and ends when no box left can beat its kth best. A
+first round searches one shard for each query; its kth score is passed to the
+others, whose trees skip every box below it. The best k over all shards follow
+by a ranked window.
+
+The work is that of a stated query set against all rows: after the first round,
+in which each shard meets its own queries only, vectors go once to each block of
+queries, queries once to each shard, and no task holds more than one shard and
+one block. Rows of an id that has more than a shard's rows are counted first:
+of equal ones k are enough, as no query can return more.
 
 Defined results: vectors that are null, empty or hold a null or non-finite
 component, and rows with a null id, take no part; vectors of another dimension
@@ -45,31 +48,36 @@ SHARD = BLOCK = 8192
 
 
 class Tree:
-    """Leaves of a KD-tree over integer vectors: rows in leaf order, and each leaf's bounding box."""
+    """A KD-tree over integer vectors: bounding box, halves and least row of each node, rows of each leaf. Node 0 is the root."""
 
     def __init__(self, points: np.ndarray, ids: np.ndarray, leaf: int = LEAF):
         order = np.argsort(ids, kind="stable")
         points, self.ids = points[order], ids[order]
-        todo, leaves = [np.arange(len(points))], []
+        low, high, first, halves = [], [], [], []
+        self.rows: dict[int, np.ndarray] = {}  # of leaves
+        todo = [(np.arange(len(points)), -1, 0)]
         while todo:
-            rows = todo.pop()
-            low, high = points[rows].min(0), points[rows].max(0)
-            wide = int((high - low).argmax())
-            if len(rows) <= leaf or low[wide] == high[wide]:  # equal points need no split
-                leaves.append((rows, low, high))
+            rows, above, side = todo.pop()
+            node = len(low)
+            if above >= 0:
+                halves[above][side] = node
+            low.append(points[rows].min(0))
+            high.append(points[rows].max(0))
+            first.append(rows.min())
+            halves.append([-1, -1])
+            wide = int((high[node] - low[node]).argmax())
+            if len(rows) <= leaf or low[node][wide] == high[node][wide]:  # equal points need no split
+                self.rows[node] = np.sort(rows)
                 continue
             half = len(rows) // 2
             parted = np.argpartition(points[rows, wide], half)
-            todo += [rows[parted[:half]], rows[parted[half:]]]
-        self.rows = [np.sort(r) for r, _, _ in leaves]
-        self.low = np.array([a for _, a, _ in leaves])
-        self.high = np.array([b for _, _, b in leaves])
-        self.points = [points[r] for r in self.rows]
-        self.first = np.array([r[0] for r in self.rows])
+            todo += [(rows[parted[:half]], node, 0), (rows[parted[half:]], node, 1)]
+        self.low, self.high, self.first, self.halves = (np.array(x) for x in (low, high, first, halves))
+        self.points = {node: points[rows] for node, rows in self.rows.items()}
 
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """Largest inner product of each query with a point of each leaf's box."""
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+    def bounds(self, queries: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Largest inner product of each query with a point of its node's box."""
+        return np.einsum("qd,qd->q", np.maximum(queries, 0), self.high[node]) + np.einsum("qd,qd->q", np.minimum(queries, 0), self.low[node])
 
     def search(self, queries: np.ndarray, own: np.ndarray, at_least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, row, score) of each query's best k rows of score ``at_least``, ties to smaller ids, without the id ``own``."""
@@ -78,19 +86,24 @@ class Tree:
         shift = np.int64(max(1, int(len(self.ids)).bit_length()))
         mask = (np.int64(1) << shift) - 1
         best = np.full((n, k), none, np.int64)
-        bound = self.bounds(queries)
-        top = (bound.astype(np.int64) << shift) + (mask - self.first)
         floor = np.where(at_least == none, none, np.clip(at_least, -TREE, TREE) << shift)
-        order = np.argsort(-top, axis=1, kind="stable")
+        queue = np.full((n, len(self.low)), none, np.int64)  # keys of the nodes to open
         active = np.arange(n)
-        for step in range(order.shape[1]):
-            leaf = order[active, step]
-            go = top[active, leaf] > np.maximum(best[active, k - 1], floor[active] - 1)
-            active, leaf = active[go], leaf[go]
-            if not active.size:
-                break
-            for one in np.unique(leaf):
-                asks = active[leaf == one]
+
+        def put(asks: np.ndarray, node: np.ndarray) -> None:
+            queue[asks, node] = (self.bounds(queries[asks], node).astype(np.int64) << shift) + (mask - self.first[node])
+
+        put(active, np.zeros(n, np.int64))
+        while active.size:
+            node = queue[active].argmax(1)
+            go = queue[active, node] > np.maximum(best[active, k - 1], floor[active] - 1)
+            active, node = active[go], node[go]
+            queue[active, node] = none
+            inner = self.halves[node, 0] >= 0
+            for side in (0, 1):
+                put(active[inner], self.halves[node[inner], side])
+            for one in np.unique(node[~inner]):
+                asks = active[node == one]
                 rows = self.rows[one]
                 key = ((queries[asks] @ self.points[one].T).astype(np.int64) << shift) + (mask - rows)
                 key[(self.ids[rows] == own[asks][:, None]) | (key < floor[asks][:, None])] = none
@@ -177,20 +190,30 @@ def whole_vectors(rows: DataFrame, vec_id: str, vector: str, scale: int) -> Data
                     F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double")).alias("v")))
 
 
+def _once_k(vectors: DataFrame, k: int, shard: int) -> DataFrame:
+    """``vectors``, of whose equal rows at most ``k`` stay where an id has more than ``shard`` rows."""
+    many = cut(vectors.groupBy("vec_id").agg(F.count("*").alias("n")).where(F.col("n") > shard).select(F.col("vec_id").alias("many")))
+    if many.isEmpty():
+        return vectors
+    counted = (vectors.join(many, F.col("vec_id") == F.col("many"), "left_semi").groupBy("vec_id", "dim", "v").agg(F.count("*").alias("n"))
+               .withColumn("n", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int")))).drop("n"))
+    return vectors.join(many, F.col("vec_id") == F.col("many"), "left_anti").unionByName(counted)
+
+
 def top_k(rows: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id", vector: str = "embedding", scale: int = SCALE,
           shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """Each query's best ``k`` rows: ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``. ``is_query`` is a condition on the column ``vec_id``."""
-    vectors = whole_vectors(rows, vec_id, vector, scale)
+    vectors = _once_k(whole_vectors(rows, vec_id, vector, scale), k, shard)
     asked = vectors.where(is_query)
     counts = vectors.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
     shards, blocks = max(1, -(-counts["n"] // shard)), max(1, -(-counts["q"] // block))
 
-    def dealt(column: str, n: int, seed: int) -> Column:
-        return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(n)).cast("int")
+    def dealt(n: int, *columns: str | Column) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
-    every = vectors.withColumn("shard", dealt("vec_id", shards, 1))
+    every = vectors.withColumn("shard", dealt(shards, "vec_id", "v"))
     queries = (asked.dropDuplicates(["vec_id"]).withColumnRenamed("vec_id", "query_id")
-               .withColumn("block", dealt("query_id", blocks, 2)).withColumn("own", dealt("query_id", shards, 1)))
+               .withColumn("block", dealt(blocks, "query_id", F.lit(2))).withColumn("own", dealt(shards, "query_id", F.lit(1))))
     none = F.lit(NONE)
     form = "query_id long, vec_id long, score long"
 
@@ -200,13 +223,14 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id",
         return (points.groupBy("dim", "shard", "block").cogroup(asks.groupBy("q_dim", "q_shard", "q_block"))
                 .applyInArrow(_search(k), form))
 
-    points = every.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    first = cut(searched(queries.select("query_id", "dim", "v", "block", F.col("own").alias("shard"), none.alias("at_least")), points))
+    alone = F.lit(0).alias("block")  # a shard has no more queries of its own than rows, about
+    first = cut(searched(queries.select("query_id", "dim", "v", alone, F.col("own").alias("shard"), none.alias("at_least")), every.select("*", alone)))
     # The kth score so far; a query with fewer than k own candidates has no bound yet.
     kth = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth")).withColumnRenamed("query_id", "kth_id")
     others = (queries.join(kth, F.col("query_id") == F.col("kth_id"), "left")
               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> own")
               .select("query_id", "dim", "v", "block", "shard", F.coalesce("kth", none).alias("at_least")))
+    points = every.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = first.unionByName(searched(others, points)) if shards > 1 else first
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -79,7 +79,35 @@ def test_boxes_bound_their_points():
     rng = np.random.default_rng(3)
     points, queries = np.floor(rng.normal(size=(500, 4)) * 20), np.floor(rng.normal(size=(30, 4)) * 20)
     tree = kdtree.Tree(points, np.arange(500), 16)
-    bound = tree.bounds(queries)
-    for leaf, rows in enumerate(tree.points):
-        assert (bound[:, leaf] >= (queries @ rows.T).max(1)).all()
-    assert sorted(np.concatenate(tree.rows).tolist()) == list(range(500))
+    for node, rows in tree.points.items():
+        assert (tree.bounds(queries, np.full(30, node)) >= (queries @ rows.T).max(1)).all()
+    assert sorted(np.concatenate(list(tree.rows.values())).tolist()) == list(range(500))
+    for node, halves in enumerate(tree.halves):
+        if halves[0] >= 0:  # a box holds its halves' boxes
+            assert (tree.low[halves] >= tree.low[node]).all() and (tree.high[halves] <= tree.high[node]).all()
+            assert tree.first[node] == tree.first[halves].min()
+
+
+def test_best_first_leaves_far_boxes_closed():
+    """Clusters far apart: a query opens the leaves near it, not all."""
+    rng = np.random.default_rng(4)
+    points = np.concatenate([rng.integers(-5, 5, (200, 8)) + 1000 * rng.choice([-1, 1], 8) for _ in range(20)]).astype(float)
+    tree = kdtree.Tree(points, np.arange(len(points)), 32)
+    opened = []
+    tree.points = type("Seen", (dict,), {"__getitem__": lambda self, node: opened.append(node) or dict.__getitem__(self, node)})(tree.points)
+    query = points[:1]
+    _, row, score = tree.search(query, np.array([0]), np.array([kdtree.NONE]), 5)
+    want = sorted((-int(query[0] @ p), i) for i, p in enumerate(points) if i)[:5]
+    assert sorted(zip((-score).tolist(), row.tolist())) == want
+    assert len(opened) < len(tree.rows) / 2
+
+
+def test_one_id_with_more_rows_than_a_shard(spark):
+    rng = np.random.default_rng(5)
+    vectors = [(i, [float(x) for x in rng.integers(-3, 3, 4)]) for i in range(60)]
+    vectors += [(7, [2.0, 2.0, 2.0, 2.0])] * 90 + [(7, [float(x) for x in rng.integers(-3, 3, 4)]) for _ in range(40)]
+    vectors += [(20, vectors[20][1])] * 50  # a query's own id
+    rows = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = kdtree.top_k(rows, F.col("vec_id") % 20 == 0, 5, shard=30, block=2)
+    assert {(r["query_id"], r["rank"]) for r in got.collect()} == {(q, n) for q in (0, 20, 40) for n in range(1, 6)}
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == sorted(brute(vectors, 5))
