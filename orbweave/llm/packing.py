@@ -179,9 +179,10 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
 
 def ranked(rows: DataFrame) -> DataFrame:
     """``rows`` with ``rank``: 0, 1, ... among the rows of the same ``length``."""
-    order = ["length", "doc_id", "start", "ids_crc32"]
+    order = ["length", "doc_id", "start", "ids_crc32", "__row"]  # the last parts equal rows, which may be any number
     # The position of a row must stay once its partition's offset is known: the dealt rows are written before they are counted.
-    rows = cut(rows)  # the ranges are found on a sample, which would make the rows twice
+    names = rows.columns
+    rows = cut(rows.withColumn("__row", F.xxhash64(F.monotonically_increasing_id())))  # the ranges are found on a sample, which would make the rows twice
     dealt = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()))
     part, at = F.shiftright("__id", 33).alias("__part"), F.col("__id").bitwiseAND((1 << 33) - 1)
     # One row for each partition and each length in it: at most partitions + lengths, as lengths ascend over partitions.
@@ -194,7 +195,7 @@ def ranked(rows: DataFrame) -> DataFrame:
     shift = F.broadcast(spark.createDataFrame(offsets, "__length long, __p long, __shift long"))
     return (dealt.withColumn("__part", part).withColumn("__at", at)
             .join(shift, (F.col("length") == F.col("__length")) & (F.col("__part") == F.col("__p")))
-            .withColumn("rank", F.col("__at") + F.col("__shift")).select(*rows.columns, "rank"))
+            .withColumn("rank", F.col("__at") + F.col("__shift")).select(*names, "rank"))
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
