@@ -76,7 +76,7 @@ def test_very_long_runs(make_docs):
 
 def test_many_equal_rows(make_docs):
     """Equal rows are dealt over places and ranked once each."""
-    texts = [(7, "the same words again")] * 400 + [(i, "other words " * (i % 5)) for i in range(60)]
+    texts = [(7, "the same words again")] * 400 + [(i, "other words " * (i % 5)) for i in range(100, 160)]
     check(packing.pack(make_docs(texts).repartition(5)).collect(), texts)
     ranks = packing.ranked(packing.pieces(make_docs(texts).repartition(5))).where("doc_id = 7").collect()
     assert sorted(r["rank"] - min(r["rank"] for r in ranks) for r in ranks) == list(range(len(ranks)))
