@@ -9,6 +9,7 @@ from orbweave.operators import algorithms as alg
 from orbweave.operators import pattern
 from orbweave.operators.frontier import both_ways, unordered
 from orbweave.session import ROWS_PER_PARTITION, spread_shuffles
+from orbweave.sources import etl
 from orbweave.sources.fixture import fixture_edges, store_graph, store_on_demand
 
 EDGES = [(1, "a", 1, 2), (2, "a", 2, 1), (3, "b", 1, 2), (4, "a", 3, 3), (5, "a", 2, 3)]
@@ -82,3 +83,28 @@ def test_partitions_follow_the_rows(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "41"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_pagerank_joins_a_row_for_each_source(spark, monkeypatch):
+    links = [(0, i) for i in range(1, 9)] + [(i, 0) for i in range(1, 5)] + [(1, 2), (1, 2), (3, 3)]
+    nodes = spark.range(10).select("id")
+    edges = spark.createDataFrame(links, "src long, dst long")
+    kept, cut = [], alg.cut_lineage
+    monkeypatch.setattr(alg, "cut_lineage", lambda df: kept.append(cut(df)) or kept[-1])
+    got = {r["id"]: r["score"] for r in alg.pagerank(nodes, edges, 7, edges_per_salt=3).collect()}
+    lists = next(df for df in kept if dict(df.dtypes).get("dst") == "array<bigint>")
+    assert lists.groupBy("src").count().filter("count > 1").count() == 1  # the hub's targets are dealt to several lists
+    assert lists.filter("src > 0").count() == 4 and lists.select(F.explode("dst")).count() == 14
+    score = dict.fromkeys(range(10), 0.15)
+    for _ in range(7):
+        score = {v: 0.15 + 0.85 * sum(score[s] / sum(a == s for a, _ in links) for s, d in links if d == v) for v in score}
+    assert got.keys() == score.keys() and all(abs(got[v] - score[v]) < 1e-12 for v in score)
+
+
+def test_mirror_tables_are_written_when_first_read(make_graph, tmp_path):
+    g = store_on_demand(_graph(make_graph), str(tmp_path / "graph"), 2, 4)
+    m = etl.store_mirror(etl.mirror(g), str(tmp_path / "mirror"))
+    assert m.officers.count() == 4
+    assert os.listdir(tmp_path / "mirror") == ["officers"] and os.listdir(tmp_path / "graph") == ["nodes"]
+    assert {r["table_name"]: r["rows"] for r in etl.load_report(m).collect()} == {
+        "officers": 4, "entities": 0, "intermediaries": 0, "addresses": 0, "relationships": 5, "nodes_total": 4}
