@@ -108,3 +108,70 @@ def test_mirror_tables_are_written_when_first_read(make_graph, tmp_path):
     assert os.listdir(tmp_path / "mirror") == ["officers"] and os.listdir(tmp_path / "graph") == ["nodes"]
     assert {r["table_name"]: r["rows"] for r in etl.load_report(m).collect()} == {
         "officers": 4, "entities": 0, "intermediaries": 0, "addresses": 0, "relationships": 5, "nodes_total": 4}
+
+
+def _moved(links, ids, parity):
+    """One half-pass of local moving from singletons by brute force, and the modularity after it."""
+    w = {}
+    for a, b in links + [(b, a) for a, b in links]:
+        w[a, b] = w.get((a, b), 0) + 1
+    k = {v: sum(x for (a, _), x in w.items() if a == v) for v in ids}
+    m = sum(k.values()) / 2
+    community = {v: v for v in ids}
+    for half in parity:
+        new = dict(community)
+        for v in ids:
+            if (v % 1_000_003 * 7_919) % 1_009 % 2 != half:
+                continue
+            own, gain = community[v], {}
+            for c in {own} | {community[b] for (a, b) in w if a == v and b != v}:
+                into = sum(x for (a, b), x in w.items() if a == v and b != v and community[b] == c)
+                gain[c] = into / m - k[v] * (sum(k[u] for u in ids if community[u] == c) - (k[v] if c == own else 0)) / (2.0 * m * m)
+            best = min(gain, key=lambda c: (-gain[c], c))
+            new[v] = best if gain[best] > gain[own] + 1e-12 else own
+        community = new
+    tot = {c: sum(k[v] for v in ids if community[v] == c) for c in set(community.values())}
+    return community, sum(x for (a, b), x in w.items() if community[a] == community[b]) / (2 * m) - sum(t * t for t in tot.values()) / (4 * m * m)
+
+
+def test_a_pass_of_salted_hubs_equals_brute_force(spark, monkeypatch):
+    links = [(0, i) for i in range(1, 30)] + [(i, i + 1) for i in range(1, 20)] + [(3, 3), (4, 5), (4, 5), (31, 32)]
+    edges, nodes = spark.createDataFrame(links, "src long, dst long"), spark.range(34).select("id")
+    want, q = _moved(links, range(34), (0, 1))
+    for per_salt in (4, 10_000):
+        level = alg.lay_out(alg.weighted_undirected(edges), per_salt)
+        assert (level.hubs is not None) == (per_salt == 4) and level.lists.agg(F.max(F.size("dst"))).first()[0] <= 4 * per_salt
+        assert level.m2 == 2.0 * len(links)
+        for rows in (0, alg.BROADCAST_ROWS):  # states that are dealt, and broadcast
+            monkeypatch.setattr(alg, "BROADCAST_ROWS", rows)
+            done, found = alg.local_pass(level, alg.singletons(nodes, level), 0, 34)
+            assert {r["id"]: r["community"] for r in done.collect()} == want and abs(found - q) < 1e-12
+
+
+def test_louvain_shuffles_follow_its_own_links(spark, monkeypatch):
+    # A session's partitions are for whole tables: 64 of them on a few links would make 64 x 64 blocks a shuffle.
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 6), (6, 4)], "src long, dst long")
+    seen, plan = [], alg._local_moving
+    monkeypatch.setattr(alg, "_local_moving", lambda *a: seen.append(spark.conf.get("spark.sql.shuffle.partitions")) or plan(*a))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        found = {r["id"]: r["community"] for r in alg.louvain(spark.range(1, 7).select("id"), edges).collect()}
+        assert alg.lay_out(alg.weighted_undirected(edges)).lists.rdd.getNumPartitions() == 1
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4} and set(seen) == {"1"}
+
+
+def test_joined_partitions_stay_small(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {n: spark.conf.get(n) for n in (name, "spark.sql.shuffle.partitions")}
+    try:
+        for given, kept in (("64MB", "16m"), ("67108864b", "16m"), ("1g", "16m"), ("16k", "16k"), ("8MB", "8MB")):
+            spark.conf.set(name, given)
+            spread_shuffles(spark, 10)
+            assert spark.conf.get(name) == kept
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
