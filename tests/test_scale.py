@@ -2,13 +2,14 @@
 
 import datetime
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from orbweave.operators import algorithms as alg
 from orbweave.operators import pattern
 from orbweave.operators.frontier import both_ways, unordered
-from orbweave.session import ROWS_PER_PARTITION, spread_shuffles
+from orbweave.session import ROWS_PER_PARTITION, checkpoint_dir, spread_shuffles
 from orbweave.sources import etl
 from orbweave.sources.fixture import fixture_edges, store_graph, store_on_demand
 
@@ -175,3 +176,43 @@ def test_joined_partitions_stay_small(spark):
     finally:
         for n, value in before.items():
             spark.conf.set(n, value)
+
+
+def _shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(",")
+    return {b for b in blocks.split(",") if b.startswith("shuffle_")}
+
+
+def _left(spark, before):
+    """Shuffle files that are there and were not before; they are deleted in the background."""
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    return _shuffle_files(spark) - before
+
+
+def _kept(spark):
+    return set(os.listdir(checkpoint_dir(spark).removeprefix("file:")))
+
+
+def test_pagerank_leaves_its_lists_and_last_ranks(spark):
+    # Twenty iterations' shuffle files, links and ranks at once fill the disks.
+    links = [(0, i) for i in range(1, 9)] + [(i, 0) for i in range(1, 5)]
+    edges, kept, files = spark.createDataFrame(links, "src long, dst long"), _kept(spark), _shuffle_files(spark)
+    ranks = alg.pagerank(spark.range(10).select("id"), edges, 6)
+    assert _left(spark, files) == set()
+    assert len(_kept(spark) - kept) <= 3  # lists, degrees, ranks
+    score = dict.fromkeys(range(10), 0.15)
+    for _ in range(6):
+        score = {v: 0.15 + 0.85 * sum(score[s] / sum(a == s for a, _ in links) for s, d in links if d == v) for v in score}
+    got = {r["id"]: r["score"] for r in ranks.collect()}
+    assert got.keys() == score.keys() and all(abs(got[v] - score[v]) < 1e-12 for v in score)
+
+
+def test_storing_leaves_no_shuffle_files(spark, make_graph, tmp_path):
+    files = _shuffle_files(spark)
+    lazy = store_on_demand(_graph(make_graph), str(tmp_path / "g"), 2, 4)
+    assert lazy.edges.count() == len(EDGES) and lazy.nodes.count() == 4
+    left = _left(spark, files)
+    assert len({b.split("_")[1] for b in left}) <= 2  # the counts', at most
