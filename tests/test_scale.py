@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from orbweave.operators import algorithms as alg
 from orbweave.operators import pattern
 from orbweave.operators.frontier import both_ways, unordered
-from orbweave.session import ROWS_PER_PARTITION, checkpoint_dir, spread_shuffles
+from orbweave.session import ROWS_PER_PARTITION, checkpoint_dir, shuffles_of, spread_shuffles
 from orbweave.sources import etl
 from orbweave.sources.fixture import fixture_edges, store_graph, store_on_demand
 
@@ -210,6 +210,26 @@ def test_pagerank_leaves_its_lists_and_last_ranks(spark):
     assert got.keys() == score.keys() and all(abs(got[v] - score[v]) < 1e-12 for v in score)
 
 
+def test_a_large_pass_shuffles_its_links_once(spark, monkeypatch):
+    monkeypatch.setattr(alg, "BROADCAST_ROWS", 0)
+    edges = spark.createDataFrame([(i, j) for i in range(30) for j in range(i)], "src long, dst long")
+    nodes = spark.range(30).select("id")
+    level = alg.lay_out(alg.weighted_undirected(edges))
+    state = alg.cut_lineage(alg.singletons(nodes, level))
+    with shuffles_of(spark, level.partitions):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = level.send(state, ["community"], None)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1  # of the state
+    kept, files = _kept(spark), _shuffle_files(spark)
+    done, _ = alg.local_pass(level, state, 0, 30)
+    assert _left(spark, files) == set()
+    assert len(_kept(spark) - kept) == 1  # the new state
+    assert {r["id"]: r["community"] for r in done.collect()} == _moved([(i, j) for i in range(30) for j in range(i)], range(30), (0, 1))[0]
+
+
 def test_storing_leaves_no_shuffle_files(spark, make_graph, tmp_path):
     files = _shuffle_files(spark)
     lazy = store_on_demand(_graph(make_graph), str(tmp_path / "g"), 2, 4)
