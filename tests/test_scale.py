@@ -210,6 +210,17 @@ def test_pagerank_leaves_its_lists_and_last_ranks(spark):
     assert got.keys() == score.keys() and all(abs(got[v] - score[v]) < 1e-12 for v in score)
 
 
+def test_lists_stay_where_they_are(spark, monkeypatch):
+    kept, cut = [], alg.cut_lineage
+    monkeypatch.setattr(alg, "cut_lineage", lambda df: kept.append(cut(df)) or kept[-1])
+    edges = spark.createDataFrame([(i, j) for i in range(30) for j in range(i)], "src long, dst long")
+    monkeypatch.setattr(alg, "LINKS_PER_PARTITION", 200)  # three partitions
+    alg.pagerank(spark.range(30).select("id"), edges, 1)
+    lists = next(df for df in kept if dict(df.dtypes).get("dst") == "array<bigint>")
+    with shuffles_of(spark, lists.rdd.getNumPartitions()):
+        assert "Exchange" not in lists.groupBy("src", "salt").count()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_large_pass_shuffles_its_links_once(spark, monkeypatch):
     monkeypatch.setattr(alg, "BROADCAST_ROWS", 0)
     edges = spark.createDataFrame([(i, j) for i in range(30) for j in range(i)], "src long, dst long")
